@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .packing import harmonic_pack
 from .quality_rules import repetition_quality
+from .token_counts import token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,12 +25,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
