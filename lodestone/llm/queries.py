@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .packing import harmonic_pack
 from .quality_rules import repetition_quality
 from .token_counts import token_counts
+from .topk import top_k
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,6 +26,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(vectors.vec_id % 20 == 0))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -34,8 +53,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_topk": OP2_SQL}
