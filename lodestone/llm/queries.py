@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import harmonic_pack
+from .pii import pii_digest
 from .quality_rules import repetition_quality
 from .token_counts import token_counts
 from .topk import top_k
@@ -48,12 +49,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
