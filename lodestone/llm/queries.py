@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .packing import harmonic_pack
 from .pii import pii_digest
 from .quality_rules import repetition_quality
+from .simhash import near_duplicate_digest
 from .token_counts import token_counts
 from .topk import top_k
 
@@ -53,12 +54,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op6_simhash, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
