@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .katz import katz_scores
 from .packing import harmonic_pack
 from .pii import pii_digest
 from .quality_rules import repetition_quality
@@ -58,12 +59,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op6_simhash, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op6_simhash, op7_katz, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
