@@ -11,6 +11,7 @@ from .packing import harmonic_pack
 from .pii import pii_digest
 from .quality_rules import repetition_quality
 from .simhash import near_duplicate_digest
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .topk import top_k
 
@@ -55,6 +56,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_digest(table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op6_simhash, op7_katz, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
