@@ -26,7 +26,7 @@ BUCKET = 32 << 20  # bytes of text for each bucket of an exchange
 
 NO_ID = (1 << 63) - 1  # stands for a null id, after all others
 
-SCHEMA = "block long, ids binary, offsets binary, texts binary, bytes long"
+SCHEMA = "block long, ids binary, offsets binary, texts binary, bytes long, rest binary"
 SENT = "bucket long, block long, payload binary"
 ANSWER = "block long, bucket long, payload binary"
 
@@ -57,8 +57,8 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A checkpoint of blocks. Null texts are empty; rows keep their order within a block."""
+def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """A checkpoint of blocks. Null texts are empty; rows keep their order within a block, and the carried columns with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -72,7 +72,12 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             ids = pc.fill_null(rows.column(0), NO_ID).to_numpy(zero_copy_only=False)
             number += 1
             packed = [pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 3))]
-            return pa.RecordBatch.from_arrays([pa.array([number]), *packed, pa.array([len(data)], pa.int64())], ["block", "ids", "offsets", "texts", "bytes"])
+            rest = None
+            if carry:
+                with pa.BufferOutputStream() as sink, pa.ipc.new_stream(sink, (others := rows.select(range(2, rows.num_columns))).schema) as out:
+                    out.write_batch(others)
+                rest = zstandard.compress(sink.getvalue().to_pybytes(), 3)
+            return pa.RecordBatch.from_arrays([pa.array([number]), *packed, pa.array([len(data)], pa.int64()), pa.array([rest], pa.binary())], ["block", "ids", "offsets", "texts", "bytes", "rest"])
 
         for batch in batches:
             _, offsets = text_bytes(batch.column(1), b"")
@@ -89,7 +94,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield block(held)
 
     ensure_checkpoint_dir(docs.sparkSession)
-    chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"carry{i}") for i, c in enumerate(carry)])
     return chosen.mapInArrow(run, SCHEMA).checkpoint()
 
 
@@ -101,6 +106,12 @@ def opened(row: dict, pad: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, np.frombuffer(data, np.uint8), offsets + len(pad) * np.arange(len(offsets))
 
 
+def carried(row: dict) -> list[pa.Array]:
+    """The carried columns of a block."""
+    table = pa.ipc.open_stream(zstandard.decompress(row["rest"], max_output_size=1 << 31)).read_all()
+    return [c.combine_chunks() for c in table.columns]
+
+
 def id_column(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, mask=ids == NO_ID)
 

@@ -12,6 +12,7 @@ from .pii import pii_digest
 from .quality_rules import repetition_quality
 from .sentencepieces import piece_round_trip
 from .simhash import near_duplicate_digest
+from .site_quality import site_quality
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .topk import top_k
@@ -73,12 +74,16 @@ def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

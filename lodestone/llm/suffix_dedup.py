@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import SENT, answer, bucket_count, id_column, make_blocks, opened, rejoin, release, send, split, squeeze
+from .blocks import SENT, answer, bucket_count, carried, id_column, make_blocks, opened, rejoin, release, send, split, squeeze
 from .common import covered, first_of_runs, mix
 from .rindex import RunIndex, suffix_ranks
 
@@ -199,11 +199,11 @@ def _removed(a: Anchors, got: dict, buckets: int) -> np.ndarray:
     return covered(len(a.data), starts, ends)
 
 
-def _apply(buckets: int, texts: bool):
+def _apply(buckets: int, texts: bool, carry: dict[str, pa.DataType]):
     def run(row, got):
         if row is None:
             names = [x.split() for x in SCHEMA.split(", ")]
-            return pa.table({n: pa.array([], {"long": pa.int64(), "string": pa.string()}[t]) for n, t in names} | ({"kept": pa.array([], pa.binary())} if texts else {}))
+            return pa.table({n: pa.array([], {"long": pa.int64(), "string": pa.string()}[t]) for n, t in names} | ({"kept": pa.array([], pa.binary())} if texts else {}) | {k: pa.array([], t) for k, t in carry.items()})
         a = Anchors(row, buckets)
         gone = _removed(a, got, buckets)
         kept, shas, removed, spans = [], [], [], []
@@ -217,14 +217,20 @@ def _apply(buckets: int, texts: bool):
             if texts:
                 kept.append(body)
         out = {"doc_id": id_column(a.ids), "n_bytes": pa.array(a.stop - a.head), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())}
-        return pa.table(out | ({"kept": pa.array(kept, pa.binary())} if texts else {}))
+        return pa.table(out | ({"kept": pa.array(kept, pa.binary())} if texts else {}) | (dict(zip(carry, carried(row), strict=True)) if carry else {}))
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
-    """What each text loses and the checksum of what it keeps; with texts, also the kept bytes (a cut may fall inside a letter)."""
-    blocks = make_blocks(docs, id_col, text_col)
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """What each text loses and the checksum of what it keeps; with texts, also the kept bytes (a cut may fall inside a letter).
+
+    carry: further columns to keep, without a join.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kinds = {c: to_arrow_type(docs.schema[c].dataType) for c in carry}
+    blocks = make_blocks(docs, id_col, text_col, carry)
     buckets = bucket_count(blocks)
     settled = answer(send(blocks, _anchors(buckets)), buckets, _settle)
     asked = rejoin(blocks, settled, _contest(buckets), SENT)
@@ -232,4 +238,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     del asked
     release(docs.sparkSession)
     both = settled.unionByName(fought.withColumn("bucket", F.col("bucket") + buckets))
-    return rejoin(blocks, both, _apply(buckets, texts), SCHEMA + (", kept binary" if texts else ""))
+    schema = SCHEMA + (", kept binary" if texts else "") + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return rejoin(blocks, both, _apply(buckets, texts, kinds), schema)
