@@ -13,6 +13,7 @@ Texts of any length are cut, never truncated. An empty table gives an empty tabl
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 
 LIMIT = 4096
 SMALL = 256  # rests under this many tokens go to the finer classes
-CACHED = 400_000  # words whose ids a worker keeps
+CACHED = 1_200_000  # words whose ids a worker keeps
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long"
 
@@ -36,14 +37,15 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.memory: dict[str, bytes] = {}
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        #: Characters that the memory is used for: composed Latin, and punctuation that no library disagrees on.
-        self.plain = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-įĲ-ž‐-‧‰-⁞₠-₿]*")
+        #: Characters that the memory is used for: composed Latin, and punctuation that no library disagrees on. On these,
+        #: the classes for letters and digits below are those of any version of Unicode.
+        self.plain = re.compile("[\t\n\r\\x20-\x7e\xa1-\xac\xae-\u012f\u0132-\u017e\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+        letter, digit = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017e", "0-9\xb2\xb3\xb9\xbc-\xbe"
+        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\s{letter}{digit}]+")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
