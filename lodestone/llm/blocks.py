@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ensure_checkpoint_dir, shuffle_parts, text_bytes
 
-BLOCK = 8 << 20  # bytes of text; a longer text is a block of its own
+BLOCK = 5 << 20  # bytes of text; a longer text is a block of its own
 BUCKET = 32 << 20  # bytes of text for each bucket of an exchange
 
 NO_ID = (1 << 63) - 1  # stands for a null id, after all others

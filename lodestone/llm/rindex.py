@@ -11,38 +11,53 @@ from __future__ import annotations
 import numpy as np
 
 
+SMALL = 1 << 21  # texts under this many bytes are sorted as packed words
+
+
 def suffix_ranks(text: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffix array by prefix doubling, and for each position the class of its next `keep` bytes (17 to 64)."""
+    """The suffix array by prefix doubling, and for each position the class of its next `keep` bytes (5 to 64)."""
     n = len(text)
-    padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    word = np.ndarray((n,), ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
-    # how many bytes are really there sets a short end apart from zero bytes
-    _, rank = np.unique(word, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    depth, classes = 8, None
-    rank = _pair(rank, np.minimum(np.arange(n, 0, -1), 8))
+    letters = np.zeros(n + 3, np.uint64)
+    letters[:n] = text.astype(np.uint64) + np.uint64(1)  # 0: past the end
+    key = letters[:n].copy()
+    for k in range(1, 4):
+        key *= np.uint64(257)
+        key += letters[k : n + k]
+    order, rank = _ranked(key)
+    depth, classes = 4, None
     while True:
         if classes is None and 2 * depth >= keep:
-            classes = _pair(rank, _ahead(rank, keep - depth))
-        if depth >= n or rank.max(initial=0) == n:
-            if classes is not None:
-                break
-        rank = _pair(rank, _ahead(rank, depth))
+            classes = _ranked(_pair(rank, keep - depth))[1]
+        if classes is not None and (depth >= n or rank.max(initial=0) == n):
+            return order, classes
+        order, rank = _ranked(_pair(rank, depth))
         depth *= 2
-    order = np.empty(n, np.int64)
-    order[rank - 1] = np.arange(n)
-    return order, classes
 
 
-def _ahead(rank: np.ndarray, by: int) -> np.ndarray:
-    out = np.zeros_like(rank)
+def _pair(rank: np.ndarray, by: int) -> np.ndarray:
+    """The rank of each position and that of the position so far ahead, as one key."""
+    key = rank.astype(np.uint64) * np.uint64(len(rank) + 1)
     if by < len(rank):
-        out[: len(rank) - by] = rank[by:]
-    return out
+        key[: len(rank) - by] += rank[by:].astype(np.uint64)
+    return key
 
 
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique(a.astype(np.int64) << 32 | b, return_inverse=True)[1].astype(np.int64) + 1
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of their keys, and the rank (from 1) of each position's key among the distinct ones."""
+    n = len(key)
+    if n < SMALL:
+        bits = np.uint64(max(1, n.bit_length()))
+        both = np.sort(key << bits | np.arange(n, dtype=np.uint64))
+        order = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        both >>= bits
+    else:
+        order = np.argsort(key, kind="stable")
+        both = key[order]
+    new = np.ones(n, bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(new)
+    return order, rank
 
 
 class RunIndex:
@@ -52,6 +67,9 @@ class RunIndex:
         bwt = text[order - 1]  # the letter before the first is the last
         self.start = np.flatnonzero(np.concatenate(([True], bwt[1:] != bwt[:-1])))
         self.letter = bwt[self.start].astype(np.int64)
+        marks = np.zeros(len(bwt), np.int32)
+        marks[self.start] = 1
+        self.run_of = np.cumsum(marks, dtype=np.int32) - 1  # rank over the marks of run starts
         self.end = np.append(self.start[1:], len(bwt)) - 1
         self.at_start, self.at_end = order[self.start], order[self.end]
         self.by_letter = np.argsort(self.letter, kind="stable")
@@ -87,7 +105,7 @@ class RunIndex:
         length = np.zeros(count, np.int64)
         for j in range(width - 1, -1, -1):
             c = patterns[:, j].astype(np.int64)
-            run = np.searchsorted(self.start, row, "right") - 1
+            run = self.run_of[row].astype(np.int64)
             off = np.flatnonzero(self.letter[run] != c)
             if len(off):
                 k = np.searchsorted(self.keys, c[off] * self.runs + run[off])

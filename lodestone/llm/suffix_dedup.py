@@ -32,6 +32,7 @@ WINDOW, GRAM = 50, 16
 STARTS = WINDOW - GRAM + 1  # windows that can have one anchor
 SIDE = WINDOW - GRAM
 WIDTH = 2 * SIDE + GRAM
+INDEXED = 1_500_000  # bytes of contexts in one index; a single gram may exceed them
 NOT = 0xFF  # never a byte of UTF-8; stands around texts
 NEVER = np.uint64((1 << 64) - 1)
 _48 = np.uint64((1 << 48) - 1)
@@ -141,10 +142,30 @@ def _contest(buckets: int):
     return run
 
 
+def _row_hash(rows: np.ndarray) -> np.ndarray:
+    """64-bit hash of each row of bytes."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for word in wide.view("<u8").T:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + word)
+    return out
+
+
 def first_documents(contexts: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """For each context the first document of each of its windows, from the run-length index of the distinct contexts."""
-    rows = np.ascontiguousarray(contexts).view(f"V{WIDTH}").ravel()
-    _, pick, back = np.unique(rows, return_index=True, return_inverse=True)
+    """For each context the first document of each of its windows. Contexts of one gram share an index; an index holds many grams, up to INDEXED bytes."""
+    parts = -(-len(contexts) * (WIDTH + 1) // INDEXED)
+    part = (_row_hash(contexts[:, SIDE : SIDE + GRAM]) % np.uint64(max(1, parts))).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    out = np.empty((len(contexts), STARTS), np.uint64)
+    for _, some in split(part[order], max(1, parts)):
+        out[order[some]] = _indexed(contexts[order[some]], least[order[some]])
+    return out
+
+
+def _indexed(contexts: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """First documents from the run-length index of the distinct contexts, through which these are streamed."""
+    _, pick, back = np.unique(_row_hash(contexts), return_index=True, return_inverse=True)
     owner = np.full(len(pick), NEVER, np.uint64)
     np.minimum.at(owner, back, least)
     place = np.argsort(owner, kind="stable")  # texts in the order of their first documents
