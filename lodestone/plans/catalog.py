@@ -294,8 +294,8 @@ def eval_metrics(spark, sf):
 # ---- near duplicates
 
 PAIRS = f"""WITH {SETS}, c AS (SELECT id, s, min(id) OVER (PARTITION BY list_sort(s)) AS cls FROM sets), u AS (SELECT id, s FROM c WHERE id = cls),
-x AS (SELECT id, len(s) AS n, unnest(s) AS g FROM u), o AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS both FROM x a JOIN x b ON a.g = b.g AND a.id < b.id GROUP BY ALL),
-j AS (SELECT a, b, CAST(both AS DOUBLE) / (na + nb - both) AS similarity FROM o)"""
+x AS (SELECT id, len(s) AS n, unnest(s) AS g FROM u), o AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.id < b.id GROUP BY ALL),
+j AS (SELECT a, b, CAST(shared AS DOUBLE) / (na + nb - shared) AS similarity FROM o)"""
 ACTED = f"""{PAIRS}, k AS (SELECT a, b, similarity, x.source AS source_a, y.source AS source_b, {AUTHORITY.replace('source', 'x.source')} AS authority_a, {AUTHORITY.replace('source', 'y.source')} AS authority_b
   FROM j JOIN documents x ON a = x.doc_id JOIN documents y ON b = y.doc_id WHERE similarity >= 0.8),
 z AS (SELECT *, CASE WHEN similarity > 0.95 THEN 'DROP' WHEN similarity > 0.9 THEN 'MERGE' ELSE 'LINK' END AS action, CASE WHEN authority_b > authority_a THEN b ELSE a END AS keep, CASE WHEN authority_b > authority_a THEN a ELSE b END AS other FROM k)"""
