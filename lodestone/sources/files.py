@@ -18,8 +18,8 @@ CODE_KEYS = ("code", "vex", "vex_code", "snippet")
 
 def whole_files(spark: SparkSession, path: str, suffixes: tuple[str, ...], recursive: bool = True) -> DataFrame:
     """path, text of files with one of the suffixes; corrupt ones are left out."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").option("ignoreCorruptFiles", True)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").option("ignoreCorruptFiles", True)
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def code_files(spark: SparkSession, path: str) -> DataFrame:

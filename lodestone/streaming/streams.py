@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 def file_stream(spark: SparkSession, path: str, per_batch: int = 100) -> DataFrame:
     """path, text of files as they appear; a path is read once."""
-    return spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_batch).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_batch).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def table_stream(spark: SparkSession, path: str, per_batch: int = 1) -> DataFrame:
