@@ -11,6 +11,7 @@ Blocks are a checkpoint, so later passes see the same blocks even if executors a
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ def squeeze(*arrays: np.ndarray) -> bytes:
         wide = a.astype("<u8") if a.dtype != np.uint64 else a
         width = max(1, -(-int(wide.max(initial=0)).bit_length() // 8))
         planes = wide.view(np.uint8).reshape(-1, 8)[:, :width].T
-        body = zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+        body = zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
         out.append(np.array([len(a), width, len(body)], "<u8").tobytes() + body)
     return b"".join(out)
 
@@ -57,8 +58,9 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """A checkpoint of blocks. Null texts are empty; rows keep their order within a block, and the carried columns with them."""
+def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), scale: float = 1.0) -> DataFrame:
+    """A checkpoint of blocks of about scale * BLOCK bytes. Null texts are empty; rows keep their order within a block, and the carried columns with them."""
+    most = int(BLOCK * scale)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -71,7 +73,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             data, offsets = text_bytes(rows.column(1), b"")
             ids = pc.fill_null(rows.column(0), NO_ID).to_numpy(zero_copy_only=False)
             number += 1
-            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 3))]
+            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 6))]
             rest = None
             if carry:
                 with pa.BufferOutputStream() as sink, pa.ipc.new_stream(sink, (others := rows.select(range(2, rows.num_columns))).schema) as out:
@@ -83,11 +85,11 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             _, offsets = text_bytes(batch.column(1), b"")
             row = 0
             while row < batch.num_rows:
-                end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK - size, "right")) - 1)
+                end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most - size, "right")) - 1)
                 held.append(batch.slice(row, end - row))
                 size += int(offsets[end] - offsets[row])
                 row = end
-                if size >= BLOCK * 3 // 4:
+                if size >= most * 3 // 4:
                     yield block(held)
                     held, size = [], 0
         if held:
@@ -146,8 +148,8 @@ def packed(rows, names: tuple[str, str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(p, pa.binary())], [*names, "payload"])
 
 
-def answer(sent: DataFrame, buckets: int, run) -> DataFrame:
-    """run([(block, arrays)]) of a bucket gives (block, payload)s. A checkpoint: what was sent is free again."""
+def answer(spark: SparkSession, sent, buckets: int, run) -> DataFrame:
+    """run([(block, arrays)]) of a bucket gives (block, payload)s. A checkpoint: what sent() gave, held nowhere else, is free again."""
 
     def over(key: tuple, rows: pa.Table) -> pa.Table:
         asked = [(r["block"], unsqueeze(r["payload"])) for r in rows.to_pylist()]
@@ -156,8 +158,8 @@ def answer(sent: DataFrame, buckets: int, run) -> DataFrame:
         a, b, p = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({"block": pa.array(a, pa.int64()), "bucket": pa.array(b, pa.int64()), "payload": pa.array(p, pa.binary())})
 
-    out = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(over, ANSWER).checkpoint()
-    release(sent.sparkSession)
+    out = sent().repartition(buckets, "bucket").groupBy("bucket").applyInArrow(over, ANSWER).checkpoint()
+    release(spark)
     return out
 
 
@@ -176,6 +178,8 @@ def rejoin(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more; its cleaner works beside us, so a moment is left to it."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, answer, bucket_count, id_column, make_blocks, opened, rejoin, release, send, split, squeeze, unsqueeze
+from .blocks import NO_ID, SENT, answer, bucket_count, id_column, make_blocks, opened, rejoin, send, split, squeeze, unsqueeze
 from .common import RangeHash, mix, words_of
 
 K = 5  # counts above this lose as much as this one
@@ -317,17 +317,15 @@ def _hot_sums(answers: DataFrame) -> dict[int, np.ndarray]:
 
 def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token counts, the smoothed-unigram base score and the model's log10 probability of each text."""
-    blocks = make_blocks(docs, id_col, text_col)
+    blocks = make_blocks(docs, id_col, text_col, scale=1.6)  # larger blocks repeat fewer words and bigrams
     buckets = bucket_count(blocks)
-    words = answer(send(blocks, _words(buckets)), buckets, _number(buckets))
+    spark = docs.sparkSession
+    words = answer(spark, lambda: send(blocks, _words(buckets)), buckets, _number(buckets))
     *times, big, big_sum, total, distinct = _totals(words).tolist()
     unigrams = Unigrams.of(total, distinct, big, big_sum, np.array(times))
     hot = max(HOT, total // MOST_HOT)
     known = words.where("block >= 0")
-    asked = rejoin(blocks, known, _pairs(buckets, hot), "bucket long, block long, payload binary")
-    pairs = answer(asked, buckets, _count(unigrams))
-    del asked
-    release(docs.sparkSession)
+    pairs = answer(spark, lambda: rejoin(blocks, known, _pairs(buckets, hot), SENT), buckets, _count(unigrams))
     bigrams = Discounts.of(_totals(pairs)[: K + 1])
     hot_sums = _hot_sums(pairs)
     begun = hot_sums.get(START)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import SENT, answer, bucket_count, carried, id_column, make_blocks, opened, rejoin, release, send, split, squeeze
+from .blocks import SENT, answer, bucket_count, carried, id_column, make_blocks, opened, rejoin, send, split, squeeze
 from .common import covered, first_of_runs, mix
 from .rindex import RunIndex, suffix_ranks
 
@@ -253,11 +253,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = {c: to_arrow_type(docs.schema[c].dataType) for c in carry}
     blocks = make_blocks(docs, id_col, text_col, carry)
     buckets = bucket_count(blocks)
-    settled = answer(send(blocks, _anchors(buckets)), buckets, _settle)
-    asked = rejoin(blocks, settled, _contest(buckets), SENT)
-    fought = answer(asked, buckets, _resolve)
-    del asked
-    release(docs.sparkSession)
+    spark = docs.sparkSession
+    settled = answer(spark, lambda: send(blocks, _anchors(buckets)), buckets, _settle)
+    fought = answer(spark, lambda: rejoin(blocks, settled, _contest(buckets), SENT), buckets, _resolve)
     both = settled.unionByName(fought.withColumn("bucket", F.col("bucket") + buckets))
     schema = SCHEMA + (", kept binary" if texts else "") + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rejoin(blocks, both, _apply(buckets, texts, kinds), schema)
