@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import ensure_checkpoint_dir
 
-FIT_ROWS = 4000  # bound of the labelled rows that the classifier is fitted on: those of least hash
+FIT_ROWS = 3000  # bound of the labelled rows that the classifier is fitted on: those of least hash
 FEATURES = 600  # most features of a classifier
 LEAST_SEEN, LEAST_GAIN = 5, 24.0  # rows with a feature, and its likelihood-ratio statistic
 REJECT_QUALITY, REJECT_TOXIC = 0.5, 0.15
@@ -134,7 +134,7 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(features(t or "")) for t in batch.column(0).to_pylist()]
+            found = [sorted(features(t.as_py() or "")) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.string()))], ["quality", "toxic", "found"])
 
     chosen = _labelled(docs, labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -142,11 +142,16 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
     got = rows.mapInArrow(run, "quality int, toxic int, found array<string>").collect()
     got.sort(key=lambda r: (r.found, r.quality or 0, r.toxic or 0))  # whatever the order of arrival
 
-    def one(name: str) -> Classifier:
-        known = [(set(r.found), int(r[name] > 0)) for r in got if r[name] is not None]
+    one_of: dict[str, str] = {}  # a word's string is kept once
+    sets = [{one_of.setdefault(k, k) for k in r.found} for r in got]
+    marks = [(r.quality, r.toxic) for r in got]
+    del got
+
+    def one(place: int) -> Classifier:
+        known = [(s, int(m[place] > 0)) for s, m in zip(sets, marks, strict=True) if m[place] is not None]
         return fit([k for k, _ in known], [y for _, y in known])
 
-    return one("quality"), one("toxic")
+    return one(0), one(1)
 
 
 def _log_odds(p: Column) -> Column:
@@ -176,8 +181,9 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t or "") for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([good.evidence(f) for f in found], pa.float64()), pa.array([bad.evidence(f) for f in found], pa.float64())], ["doc_id", "host", "path", "evidence", "toxic_evidence"])
+            judged_ = [(good.evidence(f), bad.evidence(f)) for f in (features(t.as_py() or "") for t in batch.column(3))]
+            both = [pa.array([x[k] for x in judged_], pa.float64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *both], ["doc_id", "host", "path", "evidence", "toxic_evidence"])
 
     judged = (
         docs.select(docs["doc_id"].cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), docs["text"].alias("text"))
