@@ -63,7 +63,7 @@ def _entry(title: Column, code: Column, text: Column) -> Column:
     return F.concat(F.lit("### "), title, F.lit("\n\n"), F.coalesce(block, F.lit("")), F.coalesce(said, F.lit("")))
 
 
-def topic_pages(chunks: DataFrame, labels: dict[str, str] | None = None) -> DataFrame:
+def topic_pages(chunks: DataFrame, labels: dict[str, str] | None = None, title: str = "Corpus", origin: str = "corpus") -> DataFrame:
     """topic, page. chunks: topic, id, title, difficulty, source_id, code, content. Sections by difficulty, entries by source and id.
 
     A page is one row, so its size is that of a topic; topics of any size belong in a table instead.
@@ -77,14 +77,14 @@ def topic_pages(chunks: DataFrame, labels: dict[str, str] | None = None) -> Data
     shown = sections.select("topic", F.struct(difficulty_rank(F.col("level")).alias("r"), F.concat(F.lit("## "), heading, F.lit(" ("), F.col("n").cast("string"), F.lit(" examples)\n\n"), F.col("body")).alias("t")).alias("x"))
     bodies = shown.groupBy("topic").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("body"))
     heads = rows.groupBy("topic").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"))
-    title = F.concat(F.lit("# VEX Corpus: "), T.pretty_label(F.col("topic")), F.lit("\n\n> "), F.col("n").cast("string"), F.lit(" examples from vex-corpus. Sources: "), F.col("sources"), F.lit("\n\n"))
-    return heads.join(bodies, "topic", "left").select("topic", F.concat(title, F.coalesce("body", F.lit(""))).alias("page"))
+    head = F.concat(F.lit(f"# {title}: "), T.pretty_label(F.col("topic")), F.lit("\n\n> "), F.col("n").cast("string"), F.lit(f" examples from {origin}. Sources: "), F.col("sources"), F.lit("\n\n"))
+    return heads.join(bodies, "topic", "left").select("topic", F.concat(head, F.coalesce("body", F.lit(""))).alias("page"))
 
 
 def semantic_entries(chunks: DataFrame, keywords: DataFrame) -> DataFrame:
     """file_key, summary, keywords, sources for each topic."""
     heads = chunks.groupBy("topic").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("source_id")).alias("sources"))
-    return heads.join(keywords, "topic", "left").select(F.concat(F.lit("vex_corpus_"), F.col("topic")).alias("file_key"), F.concat(F.col("n").cast("string"), F.lit(" examples: "), T.pretty_label(F.col("topic"))).alias("summary"), "keywords", "sources")
+    return heads.join(keywords, "topic", "left").select(F.concat(F.lit("corpus_"), F.col("topic")).alias("file_key"), F.concat(F.col("n").cast("string"), F.lit(" examples: "), T.pretty_label(F.col("topic"))).alias("summary"), "keywords", "sources")
 
 
 def merge_namespace(existing: DataFrame, new: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -116,7 +116,7 @@ def corpus_hash(df: DataFrame) -> str:
     return "-".join(str(x or 0) for x in row)
 
 
-def sync(df: DataFrame, folder: str, namespace: str = "vex_corpus_", dry_run: bool = False, force: bool = False) -> dict:
+def sync(df: DataFrame, folder: str, namespace: str = "corpus_", dry_run: bool = False, force: bool = False) -> dict:
     """Writes topic pages, index and manifest unless the corpus is unchanged; foreign files and index keys stay, stale pages go."""
     root = Path(folder)
     manifest = root / "manifest.json"

@@ -638,7 +638,7 @@ def keywords_top50(spark, sf):
 e AS (SELECT topic, level, source, doc_id, '### T' || doc_id || chr(10) || chr(10) || (CASE WHEN length(h) > 200 THEN substr(h, 1, 197) || '...' ELSE h END) || '.' || chr(10) || chr(10) AS e FROM (SELECT *, regexp_replace(string_split(text, '. ')[1], '\.+$', '') AS h FROM c)),
 s AS (SELECT topic, level, '## ' || (CASE level WHEN 'unknown' THEN 'Uncategorized' WHEN 'expert' THEN 'Expert' ELSE 'Beginner' END) || ' (' || count(*) || ' examples)' || chr(10) || chr(10) || string_agg(e, '' ORDER BY source, 'd' || doc_id) AS t FROM e GROUP BY topic, level),
 b AS (SELECT topic, string_agg(t, '' ORDER BY CASE level WHEN 'beginner' THEN 0 WHEN 'expert' THEN 3 ELSE 4 END) AS body FROM s GROUP BY topic)
-SELECT topic, '# VEX Corpus: ' || upper(substr(topic, 1, 1)) || substr(topic, 2) || chr(10) || chr(10) || '> ' || n || ' examples from vex-corpus. Sources: ' || srcs || chr(10) || chr(10) || body AS page
+SELECT topic, '# Corpus: ' || upper(substr(topic, 1, 1)) || substr(topic, 2) || chr(10) || chr(10) || '> ' || n || ' examples from corpus. Sources: ' || srcs || chr(10) || chr(10) || body AS page
 FROM b JOIN (SELECT topic, count(*) AS n, array_to_string(list_sort(list(DISTINCT source)), ', ') AS srcs FROM c GROUP BY topic) USING (topic)""")
 def render_topic_page(spark, sf):
     d = read(spark, sf, "documents")

@@ -75,11 +75,11 @@ def test_migration_and_tags(spark):
 def test_sync_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([("t", "1", "A", "beginner", "s", "x = 1;", "Does it. More")], "topic string, id string, title string, difficulty string, source_id string, code string, content string")
     (tmp_path / "own.md").write_text("mine")
-    (tmp_path / "vex_corpus_old.md").write_text("stale")
+    (tmp_path / "corpus_old.md").write_text("stale")
     first = export.sync(df, str(tmp_path))
-    assert first["written"] == ["vex_corpus_t.md"] and first["deleted"] == ["vex_corpus_old.md"]
+    assert first["written"] == ["corpus_t.md"] and first["deleted"] == ["corpus_old.md"]
     assert export.sync(df, str(tmp_path))["skipped"] and (tmp_path / "own.md").exists()
-    assert "### A" in (tmp_path / "vex_corpus_t.md").read_text()
+    assert "### A" in (tmp_path / "corpus_t.md").read_text()
 
 
 def test_metrics(spark):
