@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ensure_checkpoint_dir, shuffle_parts, text_bytes
+from .common import ensure_checkpoint_dir, give_back, shuffle_parts, text_bytes, tidy
 
 BLOCK = 5 << 20  # bytes of text; a longer text is a block of its own
 BUCKET = 32 << 20  # bytes of text for each bucket of an exchange
@@ -97,7 +97,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ensure_checkpoint_dir(docs.sparkSession)
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"carry{i}") for i, c in enumerate(carry)])
-    return chosen.mapInArrow(run, SCHEMA).checkpoint()
+    return chosen.mapInArrow(tidy(run), SCHEMA).checkpoint()
 
 
 def opened(row: dict, pad: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,6 +138,7 @@ def send(blocks: DataFrame, run, schema: str = SENT) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 yield packed(((b, row["block"], p) for b, p in run(row)), ("bucket", "block"))
+                give_back()
 
     return blocks.mapInArrow(over, schema)
 
@@ -156,6 +157,8 @@ def answer(spark: SparkSession, sent, buckets: int, run) -> DataFrame:
         bucket = key[0].as_py()
         out = [(block, bucket, p) for block, p in run(sorted(asked, key=lambda x: x[0]))]
         a, b, p = zip(*out, strict=True) if out else ((), (), ())
+        del asked, out
+        give_back()
         return pa.table({"block": pa.array(a, pa.int64()), "bucket": pa.array(b, pa.int64()), "payload": pa.array(p, pa.binary())})
 
     out = sent().repartition(buckets, "bucket").groupBy("bucket").applyInArrow(over, ANSWER).checkpoint()
@@ -171,7 +174,9 @@ def rejoin(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame
         for r in right.to_pylist():
             got.setdefault(r["bucket"], []).append(unsqueeze(r["payload"]))
         parts = [run(row, got) for row in left.to_pylist()]
-        return pa.concat_tables(parts) if parts else run(None, got)
+        del got
+        give_back()
+        return pa.concat_tables(parts) if parts else run(None, {})
 
     parts = max(shuffle_parts(blocks.sparkSession), blocks.count() // 2)
     return blocks.repartition(parts, "block").groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(over, schema)

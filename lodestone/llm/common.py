@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,7 +110,27 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     d = np.zeros(n + 1, np.int32)
     np.add.at(d, starts, 1) if len(starts) < 64 else d.__iadd__(np.bincount(starts, minlength=n + 1).astype(np.int32))
     np.subtract.at(d, ends, 1) if len(ends) < 64 else d.__isub__(np.bincount(ends, minlength=n + 1).astype(np.int32))
-    return np.cumsum(d[:-1]) > 0
+    return np.cumsum(d[:-1], dtype=np.int32) > 0
+
+
+def give_back() -> None:
+    """Returns memory that is free again to the system. Python workers live on for later stages, and would keep the most that any took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """An Arrow iterator function that gives memory back at the end of its task."""
+
+    def over(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return over
 
 
 def shuffle_parts(spark) -> int:

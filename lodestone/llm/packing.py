@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import tidy
+
 LIMIT = 4096
 SMALL = 256  # rests under this many tokens go to the finer classes
 CACHED = 400_000  # words whose ids a worker keeps
@@ -157,7 +159,7 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                 yield table(pieces)
         yield table(list(packer.finish()))
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), SCHEMA)
 
 
 _ENCODERS: dict[str, WordIds] = {}

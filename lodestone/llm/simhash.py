@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, first_of_runs, mix, shuffle_parts
+from .common import ensure_checkpoint_dir, first_of_runs, give_back, mix, shuffle_parts, tidy
 from .graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t.as_py() or "") for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def _masks(pair: tuple[int, int]) -> tuple[np.uint64, np.ndarray]:
@@ -122,6 +122,7 @@ def _link(rows: pd.DataFrame) -> pd.DataFrame:
         cuts = np.append(np.flatnonzero(first_of_runs(variants)), len(variants))
         for k in np.flatnonzero(np.diff(cuts) > 1):
             edges.update(forest(owners[cuts[k] : cuts[k + 1]]))
+    give_back()
     out = np.array(list(edges), np.uint64).reshape(-1, 2).view(np.int64)
     return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
@@ -130,7 +131,7 @@ def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) whose components are those of all links."""
     # about 130 variants of 16 bytes for each fingerprint; a bucket stays near 2 million variants at any size
     buckets = max(shuffle_parts(distinct.sparkSession), -(-distinct.count() * 130 // 2_000_000))
-    sent = distinct.select("fp").mapInArrow(_emit(buckets), "bucket long, number int, variants binary, owners binary")
+    sent = distinct.select("fp").mapInArrow(tidy(_emit(buckets)), "bucket long, number int, variants binary, owners binary")
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_link, "a long, b long")
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir
+from .common import ensure_checkpoint_dir, tidy
 
 FIT_ROWS = 3000  # bound of the labelled rows that the classifier is fitted on: those of least hash
 FEATURES = 600  # most features of a classifier
@@ -139,7 +139,7 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
 
     chosen = _labelled(docs, labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "quality", "toxic")
-    got = rows.mapInArrow(run, "quality int, toxic int, found array<string>").collect()
+    got = rows.mapInArrow(tidy(run), "quality int, toxic int, found array<string>").collect()
     got.sort(key=lambda r: (r.found, r.quality or 0, r.toxic or 0))  # whatever the order of arrival
 
     one_of: dict[str, str] = {}  # a word's string is kept once
@@ -187,7 +187,7 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
 
     judged = (
         docs.select(docs["doc_id"].cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), docs["text"].alias("text"))
-        .mapInArrow(run, "doc_id long, host string, path string, evidence double, toxic_evidence double")
+        .mapInArrow(tidy(run), "doc_id long, host string, path string, evidence double, toxic_evidence double")
         .checkpoint()
     )
     soft = judged.join(_labelled(docs, labels).select("doc_id", "quality"), "doc_id", "left").withColumn("p", F.coalesce(F.when(F.col("quality") > 0, 1.0).when(F.col("quality") == 0, 0.0), _chance(F.col("evidence") + logit(good.rate))))

@@ -36,10 +36,31 @@ INDEXED = 1_500_000  # bytes of contexts in one index; a single gram may exceed
 NOT = 0xFF  # never a byte of UTF-8; stands around texts
 NEVER = np.uint64((1 << 64) - 1)
 _48 = np.uint64((1 << 48) - 1)
+PIECE = 1 << 18  # windows whose anchors are found at once
+_PLACE = np.uint64(24)  # bits of a hash that give way to a place in a piece
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _lowest(word: np.ndarray, lo: int, hi: int, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of those windows that start in lo..hi-1, in order, with repeats of a place left out."""
+    m = hi - lo + STARTS - 1
+    gram = word[lo : lo + m] * np.uint64(0x9E3779B97F4A7C15)
+    gram ^= gram >> np.uint64(29)
+    gram += word[lo + 8 : lo + 8 + m]
+    gram = mix(gram)
+    low = gram >> _PLACE << _PLACE
+    low |= np.arange(m, dtype=np.uint64)  # the first of equals
+    span = 1
+    while 2 * span <= STARTS:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    low = np.minimum(low[: hi - lo], low[STARTS - span :])
+    at = (low[windows[lo:hi]] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
+    at = at[first_of_runs(at)]
+    return at + lo, gram[at]
+
+
 class Anchors:
     """The anchors of a block, sorted by (bucket, gram, context), and their distinct (gram, context) classes."""
 
@@ -50,23 +71,12 @@ class Anchors:
         self.head, self.stop = offsets[:-1] + WINDOW, offsets[1:]  # of the texts in data
         n = len(data)
         word = np.ndarray((n - 7,), "<u8", data, strides=(1,))
-        gram = word[: n - 15] * np.uint64(0x9E3779B97F4A7C15)
-        gram ^= gram >> np.uint64(29)
-        gram += word[8:]
-        gram = mix(gram)
-        bits = np.uint64(max(24, n.bit_length()))
-        low = gram >> bits << bits
-        low |= np.arange(len(low), dtype=np.uint64)
-        span = 1
-        while 2 * span <= STARTS:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        low = np.minimum(low[: len(low) - (STARTS - span)], low[STARTS - span :])
         long = self.stop - self.head >= WINDOW
-        windows = covered(n, self.head[long], self.stop[long] - WINDOW + 1)[: len(low)]
-        at = (low[windows] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        at = at[first_of_runs(at)]
-        key = gram[at] & _48
+        windows = covered(n, self.head[long], self.stop[long] - WINDOW + 1)
+        found = [_lowest(word, lo, min(lo + PIECE, n - WINDOW + 1), windows) for lo in range(0, n - WINDOW + 1, PIECE)]
+        at, key = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(zip(*found, strict=True) if found else ((), ()), (np.int64, np.uint64), strict=True))
+        new = first_of_runs(at)
+        at, key = at[new], key[new] & _48
         context = np.zeros(len(at), np.uint64)
         for k, shift in enumerate((-34, -26, -18, -10, -8, 0, 8, 16, 24, 32, 40, 42)):
             context = mix(context * np.uint64(0xC2B2AE3D27D4EB4F) + word[at + shift] + np.uint64(k))
