@@ -32,6 +32,7 @@ FOLDS, HELD_OUT = 5, 1
 HOT, MOST_HOT = 50_000, 100_000  # contexts seen more often than the larger of HOT and N / MOST_HOT are dealt by follower
 END = np.uint64(0x5EED0000E0D00001)
 START = 0  # as a context's id
+PIECE = 1 << 18  # bytes of text hashed at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -89,6 +90,19 @@ class Unigrams:
         return np.where(c > 0, self.discounts.of_counts(c) / max(self.total, 1), self.unseen)
 
 
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words, over PIECE bytes of the buffer at a time (and the rest of the last word)."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        lo = int(start[at])
+        stop = max(at + 1, int(np.searchsorted(start, lo + PIECE)))
+        hi = int(end[stop - 1])
+        out[at:stop] = RangeHash(data[lo:hi]).of(start[at:stop] - lo, end[at:stop] - lo)
+        at = stop
+    return out
+
+
 class Tokens:
     """The tokens of a block: their hashes, documents, and local word numbers in the order in which buckets are asked."""
 
@@ -98,7 +112,7 @@ class Tokens:
         data = _LOWER[data]
         start, end = words_of(data)
         word_doc = np.searchsorted(offsets, start, "right") - 1
-        hashes = RangeHash(data).of(start, end)
+        hashes = _word_hashes(data, start, end)
         total = len(start) + n
         ends = np.cumsum(np.bincount(word_doc, minlength=n)) + np.arange(n)
         self.doc = np.repeat(np.arange(n), np.diff(ends, prepend=-1))
