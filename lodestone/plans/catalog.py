@@ -305,9 +305,15 @@ def _sets(spark, sf):
     return dedup.shingle_sets(read(spark, sf, "documents"), "doc_id", F.col("text"))
 
 
-def _acted(spark, sf):
+def _linked(spark, sf):
+    """Links of all documents, copies included, and the documents with their authority."""
     docs = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", authority().alias("authority"))
-    return dedup.actions(dedup.with_sources(dedup.jaccard_pairs(_sets(spark, sf), 0.8), docs))
+    sets = _sets(spark, sf)
+    return dedup.with_copies(dedup.jaccard_pairs(sets, 0.8), dedup.classes(sets), docs), docs
+
+
+def _acted(spark, sf):
+    return dedup.actions(dedup.with_sources(*_linked(spark, sf)))
 
 
 @query(f"{PAIRS} SELECT a, b, round(similarity, 6) AS similarity FROM j WHERE similarity >= 0.8")
@@ -339,7 +345,7 @@ def apply_dedup(spark, sf):
 t(node, comp) AS (SELECT a, a FROM e UNION SELECT e.b, t.comp FROM t JOIN e ON e.a = t.node), m AS (SELECT node, min(comp) AS cluster FROM t GROUP BY node)
 SELECT cluster, array_to_string(list_sort(list(node)), ',') AS members, count(*) AS size FROM m GROUP BY cluster""")
 def dup_clusters(spark, sf):
-    found = dedup.clusters(dedup.jaccard_pairs(_sets(spark, sf), 0.8))
+    found = dedup.clusters(_linked(spark, sf)[0])
     return found.select("cluster", F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"), "size")
 
 
