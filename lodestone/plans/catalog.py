@@ -245,7 +245,7 @@ e AS (SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id
 
 def _dense(spark, sf, k):
     v = read(spark, sf, "embeddings")
-    return search.dense(v, "vec_id", "embedding", v.where("vec_id % 100 = 0"), "vec_id", "embedding", k, 5)
+    return search.dense(v, "vec_id", "embedding", v.where("vec_id % 50 = 0"), "vec_id", "embedding", k, 5)
 
 
 @query(f"WITH {DENSE} SELECT query_id, id, score, rank FROM e WHERE rank <= 20")
@@ -258,7 +258,7 @@ LEXICAL = f"asked AS (SELECT doc_id AS query_id, substr(text, 1, 80) AS query FR
 
 def _both(spark, sf, depth):
     d = read(spark, sf, "documents")
-    asked = d.where("doc_id % 100 = 0").select("doc_id", F.substring("text", 1, 80).alias("query"))
+    asked = d.where("doc_id % 50 = 0").select("doc_id", F.col("text").alias("query"))
     return search.bm25(d, "doc_id", F.col("text"), asked, "doc_id", F.col("query"), depth), _dense(spark, sf, depth)
 
 

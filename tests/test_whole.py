@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,17 @@ def test_no_authority_is_the_least(spark):
     sets = dedup.shingle_sets(docs, "id", F.col("text"))
     acted = dedup.actions(dedup.with_sources(dedup.with_copies(dedup.jaccard_pairs(sets, 0.8), dedup.classes(sets), docs), docs))
     assert [r.id for r in dedup.apply_actions(docs, acted).collect()] == [2]
+
+
+@pytest.mark.parametrize("name", ["dense_topk", "hybrid_search", "rrf_single_list"])
+def test_every_fiftieth_row_asks_with_its_whole_text(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    sql = catalog.SQL[name].replace("% 100 = 0", "% 50 = 0").replace("substr(text, 1, 80)", "text")
+    want = {x[:2]: x[2:] for x in con.execute(f"SELECT query_id, rank, id, score FROM ({sql})").fetchall()}
+    rows = catalog.QUERIES[name](spark, SF).collect()
+    got = {(r.query_id, r.rank): (r.id, r.score) for r in rows}
+    ids = con.execute("SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0").fetchall()
+    assert len(rows) == len(got) and {q for q, _ in got} == {i for (i,) in ids}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-8) for k in got)
