@@ -1,5 +1,6 @@
 """Queries that must do the whole job, against brute force or SQL of their own: copies, all queries, all permutations."""
 
+import hashlib
 from collections import defaultdict
 
 import duckdb
@@ -96,3 +97,39 @@ def test_every_fiftieth_row_asks_with_its_whole_text(spark, name):
     ids = con.execute("SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0").fetchall()
     assert len(rows) == len(got) and {q for q, _ in got} == {i for (i,) in ids}
     assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-8) for k in got)
+
+
+@pytest.fixture(scope="module")
+def nearby(spark, tmp_path_factory):
+    """Sets of one text with one word changed, which few permutations tell apart; copies; sets near 0.8 on both sides."""
+    base = [f"w{i}" for i in range(300)]
+    texts = [base] + [base[:i] + ["x"] + base[i + 1 :] for i in range(20, 280, 20)] + [base, base[:20] + ["x"] + base[21:]]
+    texts += [[f"{k}_{i}" for i in range(200)] for k in range(5)] + [[f"{k}_{i}" for i in range(n)] for k, n in enumerate([170, 162, 160, 158, 150])]
+    folder = str(tmp_path_factory.mktemp("nearby"))
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return folder, {i: _shingles(t) for i, t in rows}
+
+
+def test_signatures_have_128_permutations(spark, nearby):
+    folder, sets = nearby
+    got = {r.id: [int(x) for x in r.signature.split(",")] for r in catalog.minhash_signature(spark, folder).collect()}
+    hashes = {i: [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % dedup.PRIME for g in s] for i, s in sets.items()}
+    assert got == {i: [min((a * h + b) % dedup.PRIME for h in hs) for a, b in dedup.permutations(128)] for i, hs in hashes.items()}
+
+
+def test_minhash_pairs_are_exact_and_reach_all(spark, nearby):
+    folder, sets = nearby
+    first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    want = {(first[i], i): 1.0 for i in sets if first[i] != i}
+    own = sorted(set(first.values()))
+    want |= {(i, j): s for i in own for j in own if i < j and (s := len(sets[i] & sets[j]) / len(sets[i] | sets[j])) >= 0.8}
+    rows = catalog.minhash_pairs(spark, folder).collect()
+    assert len(rows) == len(want) > 90 and {(r.a, r.b): r.similarity for r in rows} == want
+    assert {(r.a, r.b) for r in catalog.lsh_candidates(spark, folder).collect()} >= want.keys()
+
+
+def test_minhash_pairs_at_sf_are_those_of_all_pairs(spark):
+    sets = catalog._sets(spark, SF)
+    want = {(r.a, r.b): r.similarity for r in dedup.jaccard_pairs(sets, 0.8).collect()} | {(r.a, r.b): 1.0 for r in dedup.copy_links(dedup.classes(sets)).collect()}
+    assert {(r.a, r.b): r.similarity for r in catalog.minhash_pairs(spark, SF).collect()} == want
