@@ -10,9 +10,9 @@ A host with a third of all rows is one row of the pooled table; hosts and paths
 adaptive execution splits when skewed.
 
 Cases: a null or empty text has no words, and whatever evidence its shape gives. Null hosts and paths are sites of their
-own. Labels may be missing, partly null, or repeated (a document's smallest quality and largest toxicity count); with
-none, or one class only, evidence is 0 and every document is kept. Repeated rows stay. Further columns are not read. An
-empty table gives an empty table.
+own. Labels may be missing, partly null, or repeated (a document's smallest quality and largest toxicity count), and of
+a repeated id only the smallest text is fitted on; with none, or one class only, evidence is 0 and every document is
+kept. Repeated rows stay. Further columns are not read. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import ensure_checkpoint_dir, tidy
 
-FIT_ROWS = 3000  # bound of the labelled rows that the classifier is fitted on: those of least hash
+FIT_ROWS = 4000  # bound of the labelled rows that the classifier is fitted on: those of least hash
 FEATURES = 600  # most features of a classifier
 LEAST_SEEN, LEAST_GAIN = 5, 24.0  # rows with a feature, and its likelihood-ratio statistic
 REJECT_QUALITY, REJECT_TOXIC = 0.5, 0.15
@@ -130,7 +130,7 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> tuple[Classifier, Classifier]:
-    """Classifiers of quality and of toxicity from the `most` labelled documents of least hash."""
+    """Classifiers of quality and of toxicity from the `most` labelled documents of least hash, one text (the smallest) of each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +138,8 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.string()))], ["quality", "toxic", "found"])
 
     chosen = _labelled(docs, labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", "quality", "toxic")
+    texts = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "quality", "toxic")
     got = rows.mapInArrow(tidy(run), "quality int, toxic int, found array<string>").collect()
     got.sort(key=lambda r: (r.found, r.quality or 0, r.toxic or 0))  # whatever the order of arrival
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.llm import site_quality as module
 from lodestone.llm.site_quality import features, fit, logit, site_quality
 
 from .util import SF, frame, sample
@@ -45,3 +46,12 @@ def test_classifier():
     c = fit([{"good"}, {"good", "x"}] * 30 + [{"bad"}, {"bad", "x"}] * 30, [1, 1] * 30 + [0, 0] * 30)
     assert c.evidence({"good"}) > 2 and c.evidence({"bad"}) < -2
     assert features("") and F
+
+
+def test_a_repeated_id_is_fitted_on_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda rows, marks: seen.append(len(rows)) or fit(rows, marks))
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "two"), (3, None)], "doc_id long, text string")
+    known = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    module.fit_classifiers(docs, known)
+    assert seen == [3, 3] and module.FIT_ROWS == 4000
