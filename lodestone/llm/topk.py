@@ -68,11 +68,12 @@ class SortedLists:
                 last = np.where(up, self.values[n - depth, dims], self.values[depth - 1, dims])
                 if last @ weight < np.partition(scores, len(scores) - k)[len(scores) - k]:
                     break
+        count = len(places)
         if len(scores) > k:
             keep = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
             places, scores = places[keep], scores[keep]
         best = _best(self.ids[places], scores, k)
-        return self.ids[places[best]], scores[best], len(places)
+        return self.ids[places[best]], scores[best], count
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:

@@ -1,6 +1,8 @@
 import random
 
-from lodestone.llm.topk import top_k
+import numpy as np
+
+from lodestone.llm.topk import SortedLists, top_k
 
 
 def brute(rows, every, k):
@@ -38,3 +40,13 @@ def test_few_and_none(spark):
     assert run(spark, []) == []
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(0, [1.0]), (0, [1.0]), (1, [0.5]), (1, [0.5])]) == [(0, 1, 1, 2048), (0, 2, 1, 2048)]
+
+
+def test_rows_met_are_counted_before_the_cut():
+    r = np.random.default_rng(1)
+    flat = r.integers(-64, 64, (400, 32))
+    steep = np.vstack([np.eye(2, dtype=np.int64)[[0] * 20 + [1] * 380] * 1000 + r.integers(0, 9, (400, 2))])
+    for rows, fewest, most in ((flat, 399, 399), (steep, 20, 200)):
+        lists = SortedLists(np.arange(400), rows, np.float64)
+        met = lists.top(0, rows[0].astype(float), 10)[2]
+        assert fewest <= met <= most
