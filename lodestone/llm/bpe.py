@@ -41,6 +41,8 @@ class Merges:
         self.slot_says = np.zeros(self.SLOTS, bool)
         known = [(k, p) for k, p in enumerate(pieces) if p]
         self.longest = max(len(p) for _, p in known)
+        if self.longest >= RangeHash.MOST:
+            raise ValueError(f"a piece of {self.longest} bytes is too long for the rolling hash")
         ends = np.cumsum([len(p) for _, p in known])
         hashes = RangeHash(np.frombuffer(b"".join(p for _, p in known), np.uint8)).of(ends - [len(p) for _, p in known], ends)
         order = np.argsort(hashes)

@@ -1,7 +1,8 @@
 """Quality rules by repetition coverage.
 
 Words and lines are taken from the UTF-8 bytes of whole texts; rolling hashes of several n-gram lengths (numpy, many
-documents at once) tell which characters lie inside duplicated n-grams and duplicated lines. Map-only: no shuffle.
+documents at once) tell which characters lie inside duplicated n-grams and duplicated lines. Words and lines are equal if
+their 64-bit hashes are, n-grams if the rolling hashes of their words are. Map-only: no shuffle.
 
 Cases: a null or empty text has no word (all counts 0, base_failed, not kept). Repeated doc_ids and further columns are
 no concern: each row is judged alone and only the id and text columns are read. An empty table gives an empty table.
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import RangeHash, chunks, covered, mix, repeated, words_of
+from .common import chunks, covered, mix, repeated, span_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5  # of the base's repeated words
@@ -43,14 +44,13 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     inside[:] = covered(len(data), start, end)
     np.cumsum(((data & 0xC0) != 0x80) & inside, out=points[1:])
     chars = points[offsets[1:]] - points[heads]
-    hashes = RangeHash(data)
 
     stop = np.flatnonzero(data == 10)
     head = np.concatenate(([0], stop[:-1] + 1)) if len(stop) else stop
     in_line = points[stop] - points[head]
     head, stop, in_line = (x[in_line > 0] for x in (head, stop, in_line))
     line_doc = np.searchsorted(offsets, head, "right") - 1
-    keys = hashes.of(head, stop) ^ mix(line_doc.astype(np.uint64) + np.uint64(1))
+    keys = span_hashes(data, head, stop) ^ mix(line_doc.astype(np.uint64) + np.uint64(1))
     order = np.argsort(keys, kind="stable")
     later = np.zeros(len(keys), bool)
     later[order[1:]] = keys[order][1:] == keys[order][:-1]
@@ -63,7 +63,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     least = np.maximum(chars, 1)
     out["dup_line_share"] = np.bincount(line_doc[later], in_line[later], n) / least
 
-    word = hashes.of(start, end)
+    word = span_hashes(data, start, end)
     salt = mix(doc.astype(np.uint64) + np.uint64(7))
     width = points[end] - points[start]
     gram = np.zeros(len(word), np.uint64)

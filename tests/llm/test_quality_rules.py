@@ -38,6 +38,34 @@ def test_agrees_with_brute_force(spark, source):
         assert tuple(got[i])[1:] == pytest.approx(brute(t)), i
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096, 8192])
+def test_texts_that_rolling_hashes_confuse(spark, n):
+    words = [thue_morse(n), thue_morse(n, "b", "a")]
+    texts = ["\n".join([*words, words[0]]), " ".join(words * 6), " ".join([*words, *"cdefgh"]) + "\n" + " ".join([words[1], words[0], *"cdefgh"])]
+    got = {r.doc_id: tuple(r)[1:] for r in repetition_quality(frame(spark, [(i, t, None, None, None, None, None) for i, t in enumerate(texts)])).collect()}
+    assert all(got[i] == pytest.approx(brute(t)) for i, t in enumerate(texts)) and got[0][3] == 1
+
+
+def test_span_hashes():
+    import random
+
+    import numpy as np
+
+    from lodestone.llm.common import span_hashes
+
+    r = random.Random(1)
+    data = np.frombuffer(bytes(r.choice(b"ab\0") for _ in range(3000)), np.uint8)
+    spans = [(a, a + r.choice([0, 1, 7, 8, 9, 16, 17, 63, 64, 65, 200])) for a in (r.randrange(2800) for _ in range(4000))]
+    spans += [(2993, 3000), (3000, 3000)]
+    got = span_hashes(data, *(np.array(x) for x in zip(*spans, strict=True))).tolist()
+    texts = [data[a:b].tobytes() for a, b in spans]
+    assert len(set(zip(texts, got, strict=True))) == len(set(texts)) == len(set(got))
+
+
 def test_empty_and_repeated_rows(spark):
     assert repetition_quality(frame(spark, [])).count() == 0
     twice = frame(spark).union(frame(spark))
