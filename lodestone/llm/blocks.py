@@ -25,7 +25,7 @@ from .common import ensure_checkpoint_dir, give_back, shuffle_parts, text_bytes,
 BLOCK = 5 << 20  # bytes of text; a longer text is a block of its own
 BUCKET = 32 << 20  # bytes of text for each bucket of an exchange
 
-NO_ID = (1 << 63) - 1  # stands for a null id, after all others
+NO_ID = (1 << 63) - 1  # what a null id counts as, where ids have an order
 
 SCHEMA = "block long, ids binary, offsets binary, texts binary, bytes long, rest binary"
 SENT = "bucket long, block long, payload binary"
@@ -72,8 +72,9 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
             data, offsets = text_bytes(rows.column(1), b"")
             ids = pc.fill_null(rows.column(0), NO_ID).to_numpy(zero_copy_only=False)
+            null = pc.is_null(rows.column(0)).to_numpy(zero_copy_only=False)
             number += 1
-            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 6))]
+            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes() + null.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 6))]
             rest = None
             if carry:
                 with pa.BufferOutputStream() as sink, pa.ipc.new_stream(sink, (others := rows.select(range(2, rows.num_columns))).schema) as out:
@@ -101,8 +102,9 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def opened(row: dict, pad: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's ids, its texts in one buffer, each followed by pad, and their offsets (n + 1, of the padded texts)."""
-    ids, offsets = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["offsets"], np.int64)
+    """A block's ids (null: NO_ID), its texts in one buffer, each followed by pad, and their offsets (n + 1, of the padded texts)."""
+    offsets = np.frombuffer(row["offsets"], np.int64)
+    ids = np.frombuffer(row["ids"], np.int64, len(offsets) - 1)
     texts = zstandard.decompress(row["texts"], max_output_size=max(1, int(offsets[-1])))
     data = pad.join([texts[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]) + pad
     return ids, np.frombuffer(data, np.uint8), offsets + len(pad) * np.arange(len(offsets))
@@ -114,8 +116,25 @@ def carried(row: dict) -> list[pa.Array]:
     return [c.combine_chunks() for c in table.columns]
 
 
-def id_column(ids: np.ndarray) -> pa.Array:
-    return pa.array(ids, mask=ids == NO_ID)
+def nulls(row: dict) -> np.ndarray:
+    """Which ids of a block are null."""
+    n = len(row["offsets"]) // 8 - 1
+    return np.frombuffer(row["ids"], bool, n, 8 * n)
+
+
+def id_column(row: dict) -> pa.Array:
+    ids = np.frombuffer(row["ids"], np.int64, len(row["offsets"]) // 8 - 1)
+    return pa.array(ids, mask=nulls(row))
+
+
+def ranked(ids: np.ndarray) -> np.ndarray:
+    """Ids as unsigned integers of the same order."""
+    return ids.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def route(key: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each 64-bit hash: equal ranges, so ascending hashes have ascending buckets."""
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def bucket_count(blocks: DataFrame) -> int:
@@ -150,12 +169,12 @@ def packed(rows, names: tuple[str, str]) -> pa.RecordBatch:
 
 
 def answer(spark: SparkSession, sent, buckets: int, run) -> DataFrame:
-    """run([(block, arrays)]) of a bucket gives (block, payload)s. A checkpoint: what sent() gave, held nowhere else, is free again."""
+    """run(bucket, [(block, arrays)]) gives (block, payload)s. A checkpoint: what sent() gave, held nowhere else, is free again."""
 
     def over(key: tuple, rows: pa.Table) -> pa.Table:
         asked = [(r["block"], unsqueeze(r["payload"])) for r in rows.to_pylist()]
         bucket = key[0].as_py()
-        out = [(block, bucket, p) for block, p in run(sorted(asked, key=lambda x: x[0]))]
+        out = [(block, bucket, p) for block, p in run(bucket, sorted(asked, key=lambda x: x[0]))]
         a, b, p = zip(*out, strict=True) if out else ((), (), ())
         del asked, out
         give_back()

@@ -24,15 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, SENT, answer, bucket_count, id_column, make_blocks, opened, rejoin, send, split, squeeze, unsqueeze
-from .common import RangeHash, mix, words_of
+from .blocks import SENT, answer, bucket_count, id_column, make_blocks, nulls, opened, rejoin, send, split, squeeze, unsqueeze
+from .common import mix, span_hashes, words_of
 
 K = 5  # counts above this lose as much as this one
 FOLDS, HELD_OUT = 5, 1
 HOT, MOST_HOT = 50_000, 100_000  # contexts seen more often than the larger of HOT and N / MOST_HOT are dealt by follower
 END = np.uint64(0x5EED0000E0D00001)
 START = 0  # as a context's id
-PIECE = 1 << 18  # bytes of text hashed at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -90,19 +89,6 @@ class Unigrams:
         return np.where(c > 0, self.discounts.of_counts(c) / max(self.total, 1), self.unseen)
 
 
-def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of words, over PIECE bytes of the buffer at a time (and the rest of the last word)."""
-    out = np.empty(len(start), np.uint64)
-    at = 0
-    while at < len(start):
-        lo = int(start[at])
-        stop = max(at + 1, int(np.searchsorted(start, lo + PIECE)))
-        hi = int(end[stop - 1])
-        out[at:stop] = RangeHash(data[lo:hi]).of(start[at:stop] - lo, end[at:stop] - lo)
-        at = stop
-    return out
-
-
 class Tokens:
     """The tokens of a block: their hashes, documents, and local word numbers in the order in which buckets are asked."""
 
@@ -112,7 +98,7 @@ class Tokens:
         data = _LOWER[data]
         start, end = words_of(data)
         word_doc = np.searchsorted(offsets, start, "right") - 1
-        hashes = _word_hashes(data, start, end)
+        hashes = span_hashes(data, start, end)
         total = len(start) + n
         ends = np.cumsum(np.bincount(word_doc, minlength=n)) + np.arange(n)
         self.doc = np.repeat(np.arange(n), np.diff(ends, prepend=-1))
@@ -120,7 +106,7 @@ class Tokens:
         inner = np.ones(total, bool)
         inner[ends] = False
         token[inner] = hashes
-        self.held = np.array([i != NO_ID and zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in self.ids.tolist()], bool)
+        self.held = np.array([zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in self.ids.tolist()], bool) & ~nulls(row)
         self.train = ~self.held[self.doc]
         unique, local = np.unique(token, return_inverse=True)
         bucket = (unique % np.uint64(buckets)).astype(np.int64)
@@ -179,7 +165,7 @@ def _times(counts: np.ndarray) -> np.ndarray:
 
 
 def _number(buckets: int):
-    def run(asked):
+    def run(bucket, asked):
         words, back = np.unique(np.concatenate([a[0] for _, a in asked]), return_inverse=True)
         totals = np.bincount(back, np.concatenate([a[1] for _, a in asked]).astype(float), len(words)).astype(np.uint64)
         rank = np.empty(len(words), np.uint64)
@@ -219,7 +205,7 @@ def _numbered(row, got, buckets) -> tuple[Tokens, np.ndarray, np.ndarray]:
 
 
 def _count(unigrams: Unigrams):
-    def run(asked):
+    def run(bucket, asked):
         a = np.concatenate([np.repeat(x[0], x[1].astype(np.int64)) for _, x in asked])
         b = np.concatenate([x[2] for _, x in asked])
         order = np.lexsort((b, a))
@@ -287,7 +273,7 @@ def _score(buckets: int, hot: int, unigrams: Unigrams, bigrams: Discounts, hot_s
         base = np.log10((totals + 0.5) / (unigrams.total + 0.5 * (unigrams.distinct + 1)))
         return pa.table(
             {
-                "doc_id": id_column(t.ids),
+                "doc_id": id_column(row),
                 "held_out": pa.array(t.held),
                 "n_tokens": pa.array(np.bincount(t.doc, minlength=n)),
                 "n_known": pa.array(np.bincount(t.doc[totals[t.local] > 0], minlength=n)),

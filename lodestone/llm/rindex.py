@@ -4,6 +4,9 @@ Patterns are streamed through it from right to left, many at once, and give thei
 the length of its longest match in the text and one place of it. Where the transform goes on with another letter than the
 pattern, the stream jumps to the nearest run of the right letter on the side of the longer common extension; both run
 ends are sampled, so the place is known again at once.
+
+The text's last letter separates the texts that it is made of. Patterns never match it: as it is not unique, the rows of its
+suffixes are not in the order that a step over it would need.
 """
 
 from __future__ import annotations
@@ -64,6 +67,7 @@ class RunIndex:
     def __init__(self, text: np.ndarray, order: np.ndarray) -> None:
         """order: the suffix array of the text; it is not kept, only its samples are."""
         self.text = text
+        self.words = np.ndarray((len(text),), "<u8", np.concatenate((text, np.zeros(8, np.uint8))), strides=(1,))
         bwt = text[order - 1]  # the letter before the first is the last
         self.start = np.flatnonzero(np.concatenate(([True], bwt[1:] != bwt[:-1])))
         self.letter = bwt[self.start].astype(np.int64)
@@ -84,17 +88,16 @@ class RunIndex:
         return len(self.start)
 
     def _extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Common bytes of the text from a and from b, up to most."""
-        n = len(self.text)
+        """Common bytes of the text from a and from b, up to most: eight at a time, then those of the first eight that differ."""
+        most = np.minimum(most, len(self.text) - np.maximum(a, b))
         out = np.zeros(len(a), np.int64)
-        live = np.arange(len(a))
+        live = np.flatnonzero(most > 0)
         while len(live):
-            x, y = a[live] + out[live], b[live] + out[live]
-            ok = (out[live] < most[live]) & (x < n) & (y < n)
-            live, x, y = live[ok], x[ok], y[ok]
-            live = live[self.text[x] == self.text[y]]
-            out[live] += 1
-        return out
+            differ = self.words[a[live] + out[live]] ^ self.words[b[live] + out[live]]
+            low = differ & (~differ + np.uint64(1))  # the lowest bit that differs
+            out[live] += np.where(differ == 0, 8, np.bitwise_count(low - np.uint64(1)) >> 3)
+            live = live[(differ == 0) & (out[live] < most[live])]
+        return np.minimum(out, np.maximum(most, 0))
 
     def statistics(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """patterns: one in each row, all of one length. Lengths and places of the longest match at each position."""
@@ -123,7 +126,7 @@ class RunIndex:
             place = place - 1
             place[place < 0] = len(self.text) - 1
             length = length + 1
-            lost = length <= 0  # a letter that the text lacks
+            lost = (length <= 0) | (c == self.text[-1])  # a letter that the text lacks, or the separator
             row[lost], place[lost], length[lost] = 0, self.at_start[0], 0
             lengths[:, j], places[:, j] = length, place
         return lengths, places
