@@ -5,9 +5,9 @@ addresses, digit counts for phones), and words near a span raise or lower its sc
 The four base kinds are kept whenever their validator holds. Map-only: no shuffle, no Python on the executors.
 
 The expressions are possessive and anchored at the starts of runs, which finds the same spans as the plain ones but
-in time linear in the text, also on long runs of digits or letters.
-
-Positions come from two readings of one pattern: the matches, and the pieces between them.
+in time linear in the text, also on long runs of digits or letters. Positions come from two readings of one pattern: the
+matches, and the pieces between them; their lengths are summed in runs (running()), and context words and masked texts are
+cut from short parts, so the work for each span does not grow with the text, up to some 10^7 spans.
 
 Cases: a null or empty text has no span. Positions are code points, end exclusive. Kinds may overlap one another; spans of
 one kind do not. Each row is judged alone, so repeated rows, ties and further columns (read by no expression but kept by
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.5
 NEAR = 40  # characters before a span that are searched for context words
+LEAST = 3  # characters that any match has at least
+CUT = 1024  # characters of a part of a text
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -87,30 +89,68 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+STRIDE = 256  # items of a list that are added up one by one; longer lists go by runs of these
+
+
+def _bound(value: Column, f) -> Column:
+    """f of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _scan(values: Column, op, start: Column) -> Column:
+    """What came before each item of a short list of integers, by op from a start on."""
+    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, zero, lambda a, v: F.struct(op(a["at"], v).alias("at"), F.array_append(a["out"], a["at"]).alias("out")))["out"]
+
+
+def running(values: Column, op, levels: int = 2) -> Column:
+    """What came before each item of a list of integers, 0 before the first. op: associative, of two columns.
+
+    An array grows by copying, so items are scanned in runs of STRIDE, and the runs' totals likewise; a list of n costs about
+    n * STRIDE / 2 steps, and (n / STRIDE^2)^2 / 2 on top.
+    """
+    zero = F.lit(0)
+    if levels == 0:
+        return _scan(values, op, zero)
+
+    def long(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / STRIDE).cast("int")), lambda c: F.filter(F.transform(F.sequence(F.lit(0), F.lit(STRIDE - 1)), lambda j: F.get(v, c * STRIDE + j)), lambda x: x.isNotNull()))
+
+        def over(r: Column) -> Column:
+            totals = F.transform(r, lambda run: F.aggregate(run, zero, op))
+            return F.flatten(F.zip_with(r, running(totals, op, levels - 1), lambda run, before: _scan(run, op, before)))
+
+        return _bound(runs, over)
+
+    return _bound(values, lambda v: F.when(F.size(v) <= STRIDE, _scan(v, op, zero)).otherwise(long(v)))
+
+
 def _spans(kind: Kind, text: Column, matches: Column) -> Column:
     """The spans of one kind that pass, in order."""
     pieces = F.split(text, kind.pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
+    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("match"), F.right(p, F.lit(NEAR)).alias("p"), F.right(m, F.lit(NEAR)).alias("m")))
 
-    def step(a: Column, pair: Column) -> Column:
-        start = a["at"] + F.length(pair["p"])
-        end = start + F.length(pair["m"])
-        return F.struct(end.alias("at"), F.array_append(a["out"], F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("match"))).alias("out"))
+    def placed(z: Column) -> Column:
+        before = running(F.transform(z, lambda x: x["gap"] + x["size"]), lambda a, b: a + b)
+        return _bound(before, lambda at: F.filter(F.transform(z, lambda x, i: scored(z, x, i, F.get(at, i) + x["gap"])), lambda s: s["score"] >= THRESHOLD))
 
-    pairs = F.transform(F.filter(F.arrays_zip(pieces.alias("p"), matches.alias("m")), lambda z: z["m"].isNotNull()), lambda z: F.struct(z["p"].alias("p"), z["m"].alias("m")))
-    placed = F.aggregate(pairs, zero, step)["out"]
+    def scored(z: Column, x: Column, i: Column, start: Column) -> Column:
+        # a match has LEAST characters or more, so NEAR characters reach over so many matches at most
+        back = F.transform(F.sequence(F.greatest(i - NEAR // LEAST, F.lit(0)), i), lambda j: F.when(j == i, x["p"]).otherwise(F.concat(F.get(z, j)["p"], F.get(z, j)["m"])))
+        near = F.right(F.array_join(back, ""), F.lit(NEAR))
 
-    def scored(s: Column) -> Column:
-        before = F.substring(text, F.greatest(F.lit(1), s["start"] - NEAR + 1), F.least(F.lit(NEAR), s["start"]))
-        score = (
-            F.lit(kind.prior)
-            + F.when(_valid(kind.name, s["match"]), kind.confirmed).otherwise(F.lit(-1.0))
-            + F.when(before.rlike(kind.context), NEARBY).otherwise(F.lit(0.0))
-            + F.when(before.rlike(COUNTER), 0.0 if kind.base else CHILLING).otherwise(F.lit(0.0))
-        )
-        return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.round(F.least(F.lit(1.0), score), 3).alias("score"))
+        def score(said: Column) -> Column:
+            value = (
+                F.lit(kind.prior)
+                + F.when(_valid(kind.name, x["match"]), kind.confirmed).otherwise(F.lit(-1.0))
+                + F.when(said.rlike(kind.context), NEARBY).otherwise(F.lit(0.0))
+                + F.when(said.rlike(COUNTER), 0.0 if kind.base else CHILLING).otherwise(F.lit(0.0))
+            )
+            return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + x["size"]).alias("end"), F.round(F.least(F.lit(1.0), value), 3).alias("score"))
 
-    return F.filter(F.transform(placed, scored), lambda s: s["score"] >= THRESHOLD)
+        return _bound(near, score)
+
+    return _bound(pairs, placed)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
@@ -129,15 +169,21 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
 
 def mask(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by the first one's kind in brackets."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(a: Column, s: Column) -> Column:
-        piece = F.concat(F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], F.array_append(a["out"], piece)).otherwise(a["out"]).alias("out"))
+    def cut(parts: Column, start: Column, end: Column) -> Column:
+        # from the parts that hold it, as reaching into a text takes time up to the place
+        held = F.transform(F.sequence(F.floor(start / CUT).cast("int"), F.floor((end - 1) / CUT).cast("int")), lambda c: F.substring(F.get(parts, c), F.greatest(start - c * CUT, F.lit(0)) + 1, F.least(end - c * CUT, F.lit(CUT)) - F.greatest(start - c * CUT, F.lit(0))))
+        return F.when(end > start, F.array_join(held, "")).otherwise("")
 
-    end = F.aggregate(ordered, zero, step)
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(end["out"], ""), F.substring(text, end["at"] + 1, F.length(text)))).otherwise(text)
+    def masked(parts: Column, ordered: Column, before: Column) -> Column:
+        pieces = F.transform(ordered, lambda s, i: F.when(s["start"] >= F.get(before, i), F.concat(cut(parts, F.get(before, i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        last = F.greatest(F.element_at(before, -1), F.element_at(ordered, -1)["end"])
+        return F.concat(F.array_join(F.array_compact(pieces), ""), _bound(last, lambda at: cut(parts, at, F.length(text))))
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CUT}}}"), F.lit(0))
+    whole = _bound(parts, lambda c: _bound(ordered, lambda o: _bound(running(F.transform(o, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), lambda e: masked(c, o, e))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def written(spans: Column) -> Column:

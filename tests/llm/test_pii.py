@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +54,54 @@ def test_method_adds_confirmed_and_near_spans(spark):
     assert got[106].count("secret:9:49") == 1
 
 
+def many(n):
+    """Addresses side by side, with a few of other kinds between them, and what masks them."""
+    r = random.Random(6)
+    items = [(f"u{i}@h{i}.example", "EMAIL") if (k := r.random()) < 0.9 else (f"10.{i % 256}.3.4", "IP") if k < 0.95 else ("card 4111 1111 1111 1111", "CARD") for i in range(n)]
+    text, out = "é ", "é "
+    for x, kind in items:
+        text += x + ", "
+        out += ("card [CARD]" if kind == "CARD" else f"[{kind}]") + ", "
+    return text, out
+
+
+@pytest.mark.parametrize("n", [100, 700, 100_000])
+def test_time_does_not_grow_with_the_square_of_spans(spark, n):
+    text, out = many(n)
+    joined = "@".join(f"a{i}.b" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, joined)], "doc_id long, text string")
+    pii_digest(df.where("doc_id = 0")).collect()
+    began = time.monotonic()
+    for r in pii_digest(df).collect():
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for (k, _), s in zip(RULES, brute(text if r.doc_id == 1 else joined)) for a, b in s).encode()).hexdigest()
+    assert find_pii(df.where("doc_id = 1")).select(mask(F.col("text"), F.col("pii")).alias("m")).first().m == out
+    assert time.monotonic() - began < 60
+
+
+def test_mask_agrees_with_plain_python(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(60):
+        n = r.choice([1, 3, 300, 5000])
+        text = "".join(r.choice("abé😀 ") for _ in range(n))
+        spans = [(k := r.randrange(n), min(n, k + r.randint(1, 30)), r.choice(["email", "ip"]), 1.0) for _ in range(r.choice([0, 1, 5, 600]))]
+        rows.append((i, text, [(kind, a, b, s) for a, b, kind, s in spans]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii array<struct<kind:string,start:int,end:int,score:double>>")
+    for x in df.withColumn("m", mask(F.col("text"), F.col("pii"))).collect():
+        out, at = "", 0
+        for a, b, kind in sorted((s.start, s.end, s.kind) for s in x.pii):
+            if a >= at:
+                out += x.text[at:a] + f"[{kind.upper()}]"
+            at = max(at, b)
+        assert x.m == out + x.text[at:]
+
+
+def test_repeated_rows(spark):
+    twice = frame(spark).union(frame(spark)).union(spark.createDataFrame([(None, "x@y.zz", None, None, None, None, None)], COLUMNS))
+    rows = pii_digest(twice).collect()
+    assert len(rows) == twice.count() and len({tuple(r) for r in rows}) == frame(spark).count() + 1
+
+
 def test_mask(spark):
     out = {r.doc_id: r.m for r in find_pii(hard(spark)).withColumn("m", mask(F.col("text"), F.col("pii"))).collect()}
     assert out[103].startswith("[CARD] and 4111-1111-1111-1112 5500005555555559 ")  # one run of too many digits
