@@ -10,7 +10,8 @@ Copies are collapsed to distinct fingerprints first. Variants travel as packed b
 bucket, so no key is hot in the shuffle; within a bucket, fingerprints with a common variant are linked by a search that
 visits each once and compares it with those not yet reached only, and gives a spanning forest, never all pairs.
 
-Cases: null, empty and blank texts have fingerprint zero and link like any other. Repeated rows stay. Texts of fewer than
+Cases: null, empty and blank texts have fingerprint zero and link like any other. Repeated rows stay; rows of one id but
+different texts are not linked by it. A null id names a component only if it has no other, and then as null. Texts of fewer than
 four words are one shingle. Further columns are not read. An empty table gives an empty table.
 """
 
@@ -140,10 +141,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ensure_checkpoint_dir(docs.sparkSession)
     prints = fingerprints(docs, id_col, text_col).checkpoint()
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
-    parts = components(links(distinct).checkpoint())
-    grouped = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = grouped.join(smallest, "component").select("fp", "component_id")
+    parts = components(links(distinct).checkpoint(), distinct.select(F.col("fp").alias("node"), F.col("first").alias("value")))
+    named = distinct.join(parts.select(F.col("node").alias("fp"), "value"), "fp", "left").select("fp", F.coalesce("value", "first").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

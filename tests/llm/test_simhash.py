@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lodestone.llm.simhash import RADIUS, balls, fingerprint, forest, near_duplicate_digest
+from lodestone.llm.simhash import RADIUS, balls, fingerprint, forest, near_duplicate_digest, near_duplicates
 
 from .util import WORD, frame, pairs, sample
 
@@ -65,3 +65,24 @@ def test_forest_joins_chains():
 
 def test_empty(spark):
     assert near_duplicate_digest(frame(spark, [])).count() == 0
+
+
+def test_repeated_and_null_ids(spark):
+    near = " ".join(f"w{i}" for i in range(200))
+    rows = [(7, near), (7, "quite another text than that one"), (None, near + " x"), (9, near), (None, "a text alone of null id"), (-4, "quite another text than that one")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    near_id = brute_print(near)
+    for r in got:
+        want = brute_print(next(t for i, t in rows if i == r.doc_id and brute_print(t) == r.fp % (1 << 64)))
+        assert r.component_id == (None if want == brute_print(rows[4][1]) else -4 if want == brute_print(rows[1][1]) else 7)
+    assert (near_id ^ brute_print(near + " x")).bit_count() <= 4
+
+
+def test_chains_are_named_by_the_smallest_value(spark):
+    from lodestone.llm.graph import components
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101)], "a long, b long")
+    values = spark.createDataFrame([(i, None if i == 3 else 1000 - i % 7) for i in range(60)] + [(100, None), (101, None)], "node long, value long")
+    got = {r.node: r.value for r in components(edges, values).collect()}
+    assert got == {i: 994 for i in range(51)} | {100: None, 101: None}
