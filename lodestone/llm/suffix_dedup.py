@@ -321,16 +321,26 @@ def first_documents(rows: np.ndarray, least: np.ndarray) -> np.ndarray:
 
 def _first_documents(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     span = rows.shape[1] - WINDOW + 1
+    # a row's own document holds its windows, but for those that leave their text
+    outside = (rows == NOT).cumsum(1, dtype=np.int16)
+    outside[:, WINDOW:] -= outside[:, : span - 1].copy()
+    out = np.where(outside[:, WINDOW - 1 :] == 0, owner[:, None], NEVER)
     if span == 1:  # the rows are the windows, and distinct
-        return np.where((rows == NOT).any(1), NEVER, owner)[:, None]
-    parts = max(1, -(-rows.size // INDEXED))
-    part = route(_row_hash(rows[:, span - 1 : WINDOW]), parts)
-    order = np.argsort(part, kind="stable")
-    out = np.empty((len(rows), span), np.uint64)
-    for _, some in split(part[order], parts):
-        mine = order[some]
+        return out
+    key = _row_hash(rows[:, span - 1 : WINDOW])
+    order = np.argsort(key, kind="stable")
+    heads = np.flatnonzero(first_of_runs(key[order]))
+    of = np.empty(len(rows), np.int64)
+    of[order] = np.cumsum(first_of_runs(key[order])) - 1
+    # a group's smallest document loses nothing, and its largest takes nothing from the others
+    streamed, indexed = owner != np.minimum.reduceat(owner[order], heads)[of], owner != np.maximum.reduceat(owner[order], heads)[of]
+    some = order[(streamed | indexed)[order]]
+    parts = max(1, -(-len(some) * rows.shape[1] // INDEXED))
+    for _, mine in split(route(key[some], parts), parts):
+        mine = some[mine]
         if rows[mine].size <= 2 * INDEXED:
-            out[mine] = _indexed(rows[mine], owner[mine])
+            text, asked = mine[indexed[mine]], mine[streamed[mine]]
+            out[asked] = np.where(out[asked] == NEVER, NEVER, np.minimum(out[asked], _found(rows[text], owner[text], rows[asked])))
         else:
             half = (span - 1) // 2
             out[mine, : half + 1] = first_documents(rows[mine, : half + WINDOW], owner[mine])
@@ -338,23 +348,17 @@ def _first_documents(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
-def _indexed(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """First documents from the run-length index of distinct rows, through which these are streamed."""
+def _found(rows: np.ndarray, owner: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """For each window of the rows asked, streamed through the run-length index of other rows, the first document of its matches."""
     width = rows.shape[1]
     span = width - WINDOW + 1
-    place = np.argsort(owner, kind="stable")  # texts in the order of their first documents
-    text = np.concatenate((rows[place], np.full((len(rows), 1), NOT, np.uint8)), 1).ravel()
+    text = np.concatenate((rows, np.full((len(rows), 1), NOT, np.uint8)), 1).ravel()
     order, classes = suffix_ranks(text, WINDOW)
-    index = RunIndex(text, order)
     starts = (np.arange(len(rows)) * (width + 1))[:, None] + np.arange(span)
-    first = np.full(int(classes.max()) + 1, NEVER, np.uint64)
-    np.minimum.at(first, classes[starts].ravel(), np.repeat(owner[place], span))
-    lengths, places = index.statistics(rows)
-    out = np.where(lengths[:, :span] >= WINDOW, first[classes[places[:, :span]]], NEVER)
-    outside = (rows == NOT).cumsum(1)
-    clear = outside[:, WINDOW - 1 :] - np.concatenate((np.zeros((len(rows), 1), int), outside[:, : span - 1]), 1) == 0
-    out[~clear] = NEVER
-    return out
+    first = np.full(len(text), NEVER, np.uint64)
+    np.minimum.at(first, classes[starts].ravel(), np.repeat(owner, span))
+    lengths, places = RunIndex(text, order).statistics(asked)
+    return np.where(lengths[:, :span] >= WINDOW, first[classes[places[:, :span]]], NEVER)
 
 
 def repeats(offers: list[tuple[int, bytes]], claims: list[tuple[int, bytes]]) -> list[np.ndarray]:
