@@ -10,9 +10,8 @@ Blocks are a checkpoint, so later passes see the same blocks even if executors a
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +167,18 @@ def packed(rows, names: tuple[str, str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(p, pa.binary())], [*names, "payload"])
 
 
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Within it, an action's shuffle files are removed once it has ended; what it read must be there to be read again, as checkpoints are."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def answer(spark: SparkSession, sent, buckets: int, run) -> DataFrame:
     """run(bucket, [(block, arrays)]) gives (block, payload)s. A checkpoint: what sent() gave, held nowhere else, is free again."""
 
@@ -180,9 +191,8 @@ def answer(spark: SparkSession, sent, buckets: int, run) -> DataFrame:
         give_back()
         return pa.table({"block": pa.array(a, pa.int64()), "bucket": pa.array(b, pa.int64()), "payload": pa.array(p, pa.binary())})
 
-    out = sent().repartition(buckets, "bucket").groupBy("bucket").applyInArrow(over, ANSWER).checkpoint()
-    release(spark)
-    return out
+    with freeing(spark):
+        return sent().repartition(buckets, "bucket").groupBy("bucket").applyInArrow(over, ANSWER).checkpoint()
 
 
 def rejoin(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
@@ -199,11 +209,3 @@ def rejoin(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame
 
     parts = max(shuffle_parts(blocks.sparkSession), blocks.count() // 2)
     return blocks.repartition(parts, "block").groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(over, schema)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of frames that nothing refers to any more; its cleaner works beside us, so a moment is left to it."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)

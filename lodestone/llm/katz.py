@@ -1,17 +1,25 @@
-"""Language-model scores by a bigram model with Katz backoff.
+"""Language-model scores by an n-gram model with Katz backoff.
 
-Counts are discounted by Good-Turing: up to K by the count-of-counts, above by the amount that a count of K loses. What a context
-loses goes to its unseen followers in proportion to the unigram model, so that each context's probabilities sum to one
-exactly; the unigram model is discounted alike, and what it loses is shared by the estimated number of unseen words.
+Counts of each length are discounted by Good-Turing: up to K by the count-of-counts, above by the amount that a count of K
+loses. What a context loses goes to its unseen followers in proportion to the model of contexts one word shorter, so that
+each context's probabilities sum to one exactly, at every order; the unigram model is discounted alike, and what it loses is
+shared by the estimated number of unseen words. A text's first word has the start of a text as context, its second the start
+and the first, and so on up to order - 1 words.
 
-The tables stay partitioned: word buckets hold the counts of words, bigram buckets the counts of the followers of their
-contexts. Blocks of documents ask both for what they hold and evaluate each token from the answers, first its bigram, else
-backoff weight times unigram, else the share of unseen words. Contexts with very many followers are dealt over all
-buckets by follower; only their sums (at most MOST_HOT contexts) and the count-of-counts reach the driver.
+The tables stay partitioned: word buckets hold the counts of words, n-gram buckets the counts of the followers of their
+contexts, one table for each length, and shorter ones are there before longer ones. Blocks of documents ask for what they
+hold, and each token is evaluated by the recursion: its longest n-gram if that was seen, else the backoff weight of its
+context times the same for the n-gram without its first word, down to the word alone, or the share of an unseen one. All
+that a weight needs of the shorter model are the counts of the shorter n-grams, as these were seen wherever the longer were.
+
+A context that one block alone holds needs no exchange: its followers are counted within the block. Contexts with very many
+followers are dealt over all buckets by follower; only their sums (at most MOST_HOT contexts of a length) and the
+count-of-counts reach the driver.
 
 Cases: a null or empty text is one end token. Rows of null id train, as held_out is false for them. Repeated rows count as
-often as they stand. With nothing to learn from, all tokens are unseen. Scores are finite for every text. Words are told
-apart by 64-bit hashes. An empty table gives an empty table; further columns are not read.
+often as they stand, and rows of one id are scored each. With nothing to learn from, all tokens are unseen. Scores are finite
+for every text. Words and contexts are told apart by 64-bit hashes. An empty table gives an empty table; further columns are
+not read.
 """
 
 from __future__ import annotations
@@ -24,14 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import SENT, answer, bucket_count, id_column, make_blocks, nulls, opened, rejoin, send, split, squeeze, unsqueeze
-from .common import mix, span_hashes, words_of
+from .blocks import SENT, answer, bucket_count, id_column, make_blocks, nulls, opened, rejoin, route, send, split, squeeze, unsqueeze
+from .common import first_of_runs, mix, span_hashes, words_of
 
+ORDER = 3  # words of the longest n-gram
 K = 5  # counts above this lose as much as this one
 FOLDS, HELD_OUT = 5, 1
 HOT, MOST_HOT = 50_000, 100_000  # contexts seen more often than the larger of HOT and N / MOST_HOT are dealt by follower
 END = np.uint64(0x5EED0000E0D00001)
-START = 0  # as a context's id
+START = np.uint64(0)  # as a context's name
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -118,35 +127,73 @@ class Tokens:
         self.first = np.append(0, ends[:-1] + 1) if n else ends
 
 
-class Bigrams:
-    """The distinct bigrams of a block, in the order in which buckets are asked. Context 0 is the start of a text."""
-
-    def __init__(self, tokens: Tokens, ids: np.ndarray, totals: np.ndarray, hot: int, buckets: int) -> None:
-        context = np.empty_like(tokens.local)
-        context[1:] = tokens.local[:-1] + 1
-        context[tokens.first] = START
-        key, self.of_token = np.unique(context << 32 | tokens.local, return_inverse=True)
-        a, b = key >> 32, key & 0xFFFFFFFF
-        counts = np.bincount(self.of_token[tokens.train], minlength=len(key))
-        a_id = np.append(np.uint64(START), ids)[a]
-        b_id = ids[b]
-        self.hot = np.append(True, totals >= hot)
-        bucket = (np.where(self.hot[a], mix(a_id) + mix(b_id * np.uint64(3)), mix(a_id)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((b_id, a_id, bucket))
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        self.of_token = place[self.of_token]
-        self.a, self.b, self.bucket, self.counts = a[order], b[order], bucket[order], counts[order]
-        self.a_id, self.b_id = a_id[order], b_id[order]
-
-
-def _runs(bucket: np.ndarray, *keys: np.ndarray) -> np.ndarray:
-    """Where a new context begins within a bucket's part."""
-    new = np.ones(len(bucket), bool)
-    new[1:] = False
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(new)
+@dataclass
+class Level:
+    """The distinct n-grams of one length in a block, in the order in which buckets are asked."""
+
+    of_token: np.ndarray  # -1 where a text has too few words before
+    name: np.ndarray
+    context: np.ndarray  # a place in contexts
+    word: np.ndarray
+    word_id: np.ndarray
+    suffix: np.ndarray  # the same without its first word, of the level below
+    counts: np.ndarray  # of training tokens in the block
+    bucket: np.ndarray  # the count of buckets where the context is the block's own
+    contexts: np.ndarray  # names
+    followed: np.ndarray  # how often training tokens follow each context
+    below: np.ndarray  # and how often they follow it without its first word
+    hot: np.ndarray
+    total: np.ndarray | None = None  # in all blocks, once these are known
+    alone: np.ndarray | None = None  # whether no other block holds the n-gram
+
+
+def _words_level(t: Tokens, ids: np.ndarray, totals: np.ndarray, alone: np.ndarray) -> Level:
+    none = np.zeros(len(ids), np.int64)
+    return Level(t.local, ids, none, np.arange(len(ids)), ids, none, t.counts, t.bucket, none, none, none, none, totals.astype(np.int64), alone)
+
+
+def _next_level(t: Tokens, levels: list[Level], hot: int, buckets: int, starts: int, total: int) -> Level:
+    """The n-grams that are one word longer than those of the last level. starts: training texts; total: training tokens."""
+    words, low = levels[0], levels[-1]
+    context = np.empty_like(t.local)
+    context[1:] = low.of_token[:-1]
+    if len(levels) == 1:  # the start of a text is one more context
+        names, followed, alone, below = np.append(low.name, START), np.append(low.total, starts), np.append(low.alone, False), np.full(len(low.name) + 1, total)
+        context[t.first] = len(low.name)
+        is_hot = np.append(low.total >= hot, True)
+        home = route(mix(names), buckets)
+    else:
+        names, followed, alone, below = low.name, low.total, low.alone, levels[-2].total[low.suffix]
+        context[t.first] = -1
+        is_hot = followed >= hot
+        home = route(names, buckets)
+    own = alone & ~is_hot
+    home = np.where(own, buckets, home)
+    rank = np.empty(len(names), np.int64)
+    rank[np.lexsort((names, home))] = np.arange(len(names))
+    by_id = np.empty(len(words.name), np.int64)
+    by_id[np.argsort(words.name)] = np.arange(len(words.name))
+    has = np.flatnonzero(context >= 0)
+    key, first, back = np.unique(rank[context[has]] << 32 | by_id[t.local[has]], return_index=True, return_inverse=True)
+    at = has[first]
+    a, b = context[at], t.local[at]
+    word_id = words.name[b]
+    bucket = home[a]
+    dealt = np.flatnonzero(is_hot[a])
+    bucket[dealt] = route(mix(mix(names[a[dealt]]) + word_id[dealt]), buckets)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    of_token = np.full(len(t.local), -1, np.int64)
+    of_token[has] = place[back]
+    counts = np.bincount(of_token[has][t.train[has]], minlength=len(order))
+    a, b, word_id = a[order], b[order], word_id[order]
+    return Level(of_token, mix(mix(names[a]) + word_id), a, b, word_id, low.of_token[at[order]], counts, bucket[order], names, followed, below, is_hot)
+
+
+def _runs(context: np.ndarray) -> np.ndarray:
+    """Where a new context begins."""
+    return np.flatnonzero(first_of_runs(context))
 
 
 def _words(buckets: int):
@@ -159,116 +206,170 @@ def _words(buckets: int):
 
 
 def _times(counts: np.ndarray) -> np.ndarray:
-    """How many counts are 1..K + 1, over K, and the total of those."""
+    """How many counts are 1..K + 1, over K, and the total of those, of all, and how many are not 0."""
     small = np.bincount(counts[counts <= K + 1].astype(np.int64), minlength=K + 2)[1:]
     return np.array([*small, (counts > K).sum(), counts[counts > K].sum(), counts.sum(), (counts > 0).sum()], np.uint64)
 
 
+def _sums(of: np.ndarray, n: int, totals: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each of n contexts, over its followers seen in training: how many values are 1..K, how many larger, and the total of these."""
+    of, values = of[totals > 0], values[totals > 0]
+    out = np.zeros((n, K + 2), np.int64)
+    for r in range(1, K + 1):
+        out[:, r - 1] = np.bincount(of[values == r], minlength=n)
+    out[:, K] = np.bincount(of[values > K], minlength=n)
+    out[:, K + 1] = np.bincount(of[values > K], values[values > K].astype(float), n)
+    return out
+
+
 def _number(buckets: int):
     def run(bucket, asked):
-        words, back = np.unique(np.concatenate([a[0] for _, a in asked]), return_inverse=True)
+        words, back, blocks = np.unique(np.concatenate([a[0] for _, a in asked]), return_inverse=True, return_counts=True)
         totals = np.bincount(back, np.concatenate([a[1] for _, a in asked]).astype(float), len(words)).astype(np.uint64)
         rank = np.empty(len(words), np.uint64)
         rank[np.argsort(-totals.astype(np.int64), kind="stable")] = np.arange(len(words), dtype=np.uint64)
         ids = rank * np.uint64(buckets) + (words % np.uint64(buckets)) + np.uint64(1)
+        says = totals << np.uint64(1) | (blocks == 1).astype(np.uint64)
         at = 0
         for block, a in asked:
             mine = back[at : at + len(a[0])]
             at += len(a[0])
-            yield block, squeeze(ids[mine], totals[mine])
+            yield block, squeeze(ids[mine], says[mine])
         yield -1, squeeze(_times(totals))
 
     return run
 
 
-def _pairs(buckets: int, hot: int):
-    def run(row, got):
-        if row is None:
-            return pa.table({"bucket": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
-        t, ids, totals = _numbered(row, got, buckets)
-        g = Bigrams(t, ids, totals, hot, buckets)
-        cw = totals[g.b]
-        out = []
-        for k, part in split(g.bucket, buckets):
-            heads = _runs(g.a[part], g.a[part])
-            out.append((k, squeeze(g.a_id[part][heads], np.diff(heads, append=part.stop - part.start), g.b_id[part], g.counts[part], cw[part], g.hot[g.a[part][heads]])))
-        b, p = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"bucket": pa.array(b, pa.int64()), "block": pa.array([row["block"]] * len(b), pa.int64()), "payload": pa.array(p, pa.binary())})
+@dataclass(frozen=True)
+class Known:
+    """What is known of the whole corpus so far: starts is 0 until the bigrams are counted."""
 
-    return run
+    unigrams: Unigrams
+    hot: int
+    buckets: int
+    starts: int = 0
 
 
-def _numbered(row, got, buckets) -> tuple[Tokens, np.ndarray, np.ndarray]:
+def _levels(row, got, known: Known, n: int) -> tuple[Tokens, list[Level]]:
+    """The levels 1..n of a block; the answers for all but the last are in got, under (level - 1) * buckets + bucket."""
+    buckets = known.buckets
     t = Tokens(row, buckets)
     parts = [got[k][0] for k, _ in split(t.bucket, buckets)]
-    return t, np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64), np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.uint64)
-
+    ids, says = (np.concatenate([np.zeros(0, np.uint64), *(p[i] for p in parts)]) for i in (0, 1))
+    levels = [_words_level(t, ids, says >> np.uint64(1), says & np.uint64(1) > 0)]
+    for k in range(2, n + 1):
+        levels.append(_next_level(t, levels, known.hot, buckets, known.starts, known.unigrams.total))
+        if k < n:
+            _told(levels[-1], got, buckets, k)
+    return t, levels
+
+
+def _told(level: Level, got, buckets: int, n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sets a level's totals from the answers; gives (contexts, sums of counts, sums of shorter counts) where a backoff weight may be needed."""
+    level.total, level.alone = np.zeros(len(level.word), np.int64), np.ones(len(level.word), bool)
+    out = []
+    for k, part in split(level.bucket, buckets):
+        says, need, *sums = got[k + (n - 1) * buckets][0]
+        level.total[part] = says >> np.uint64(1)
+        level.alone[part] = says & np.uint64(1) > 0
+        if len(need):
+            a = level.context[part]
+            both = np.stack([x.astype(np.int64) for x in sums], 1)
+            out.append((a[_runs(a)][need.astype(np.int64)], both[:, : K + 2], both[:, K + 2 :]))
+    own = level.bucket == buckets
+    level.total[own] = level.counts[own]
+    return out
+
+
+def _ask(known: Known, n: int):
+    """Sends the n-grams of a block, but for those of contexts of its own, of which a summary goes to one bucket."""
 
-def _count(unigrams: Unigrams):
-    def run(bucket, asked):
-        a = np.concatenate([np.repeat(x[0], x[1].astype(np.int64)) for _, x in asked])
-        b = np.concatenate([x[2] for _, x in asked])
-        order = np.lexsort((b, a))
-        new = np.ones(len(order), bool)
-        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-        heads = np.flatnonzero(new)
-        totals = np.add.reduceat(np.concatenate([x[3] for _, x in asked])[order], heads)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.cumsum(new) - 1
-        cw = np.concatenate([x[4] for _, x in asked])[order][heads]
-        context, of = np.unique(a[order][heads], return_inverse=True)
-        seen = totals > 0
-        sums = np.zeros((len(context), K + 2))
-        for r in range(1, K + 1):
-            sums[:, r - 1] = np.bincount(of[totals == r], minlength=len(context))
-        sums[:, K] = np.bincount(of[totals > K], minlength=len(context))
-        sums[:, K + 1] = np.bincount(of[totals > K], totals[totals > K].astype(float), len(context))
-        mass = np.bincount(of[seen], unigrams.of_counts(cw[seen].astype(np.int64)), len(context))
-        is_hot = np.zeros(len(context), bool)
-        at = 0
-        for block, x in asked:
-            n = len(x[2])
-            mine = totals[back[at : at + n]]
-            at += n
-            where = np.searchsorted(context, x[0])
-            is_hot[where] |= x[5] > 0
-            # contexts with a follower never seen need their sums
-            need = np.flatnonzero((np.add.reduceat(mine == 0, np.cumsum(x[1].astype(np.int64)) - x[1].astype(np.int64), dtype=np.int64) > 0) & (x[5] == 0))
-            w = where[need]
-            yield block, squeeze(mine, need, *sums[w].T.astype(np.uint64), mass[w].view(np.uint64))
-        hot = np.flatnonzero(is_hot)
-        yield -1, squeeze(_times(totals), context[hot], *sums[hot].T.astype(np.uint64), mass[hot].view(np.uint64))
+    def run(row, got):
+        out = []
+        if row is not None:
+            t, levels = _levels(row, got, known, n)
+            g, low = levels[-1], levels[-2]
+            shorter = np.where(g.counts > 0, low.total[g.suffix], 0)
+            for k, part in split(g.bucket, known.buckets):
+                heads = _runs(g.context[part])
+                a = g.context[part][heads]
+                out.append((k, squeeze(np.diff(g.contexts[a], prepend=np.uint64(0)), np.diff(heads, append=part.stop - part.start), g.word_id[part], g.counts[part], shorter[part], g.hot[a])))
+            own = g.counts[g.bucket == known.buckets]
+            out.append((int(row["block"]) % known.buckets, squeeze(_times(own))))
+        b, p = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"bucket": pa.array(b, pa.int64()), "block": pa.array([row["block"]] * len(b) if b else [], pa.int64()), "payload": pa.array(p, pa.binary())})
 
     return run
 
 
-def _score(buckets: int, hot: int, unigrams: Unigrams, bigrams: Discounts, hot_sums: dict[int, np.ndarray], starts: int):
+def _count(bucket, every):
+    """Counts the followers of the bucket's contexts; answers each block for its n-grams, with the sums of contexts that it has unseen followers of."""
+    asked = [(block, x) for block, x in every if len(x) > 1]
+    times = np.sum([x[0] for _, x in every if len(x) == 1] or [np.zeros(K + 5, np.uint64)], axis=0)
+    if not asked:
+        yield -1, squeeze(times, *[np.zeros(0, np.uint64)] * (2 * K + 5))
+        return
+    names = [np.cumsum(x[0]) for _, x in asked]
+    a = np.concatenate([np.repeat(c, x[1].astype(np.int64)) for c, (_, x) in zip(names, asked, strict=True)])
+    b, counts, shorter = (np.concatenate([x[i] for _, x in asked]) for i in (2, 3, 4))
+    order = np.lexsort((b, a))
+    new = first_of_runs(a[order]) | first_of_runs(b[order])
+    heads = np.flatnonzero(new)
+    totals = np.add.reduceat(counts[order], heads).astype(np.int64)
+    values = np.maximum.reduceat(shorter[order], heads).astype(np.int64)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.cumsum(new) - 1
+    says = totals.astype(np.uint64) << np.uint64(1) | (np.diff(heads, append=len(order)) == 1).astype(np.uint64)
+    context, of = np.unique(a[order][heads], return_inverse=True)
+    sums = np.concatenate((_sums(of, len(context), totals, totals), _sums(of, len(context), totals, values)), 1)
+    is_hot = np.zeros(len(context), bool)
+    at = 0
+    for mine, (block, x) in zip(names, asked, strict=True):
+        n = len(x[2])
+        total = says[back[at : at + n]]
+        at += n
+        where = np.searchsorted(context, mine)
+        is_hot[where] |= x[5] > 0
+        first = np.cumsum(x[1].astype(np.int64)) - x[1].astype(np.int64)
+        need = np.flatnonzero((np.add.reduceat(total < 2, first, dtype=np.int64) > 0) & (x[5] == 0))
+        yield block, squeeze(total, need, *sums[where[need]].T)
+    hot = np.flatnonzero(is_hot)
+    yield -1, squeeze(times + _times(totals), context[hot], *sums[hot].T)
+
+
+def _score(known: Known, discounts: list[Discounts], hot_sums):
+    """discounts: of levels 1.., hot_sums: a broadcast of, for each level from 2 on, context -> sums."""
+
     def run(row, got):
         if row is None:
             return pa.table([pa.array([], x) for x in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], [x.split()[0] for x in SCHEMA.split(", ")])
-        t, ids, totals = _numbered(row, got, buckets)
-        g = Bigrams(t, ids, totals, hot, buckets)
-        followed = np.append(starts, totals.astype(np.int64))  # by context
-        weight = np.ones(len(followed))
-        pair = np.zeros(len(g.a), np.int64)
-
-        def backoff(where: np.ndarray, sums: np.ndarray, mass: np.ndarray) -> None:
-            weight[where] = (1 - bigrams.of_sums(sums) / np.maximum(followed[where], 1)) / np.maximum(1 - mass, 1e-12)
-
-        for k, part in split(g.bucket, buckets):
-            mine, need, *rest = got[k + buckets][0]
-            pair[part] = mine.astype(np.int64)
-            at = g.a[part][_runs(g.a[part], g.a[part])][need.astype(np.int64)]
-            if len(at):
-                backoff(at, np.stack([x.astype(float) for x in rest[:-1]], 1), rest[-1].view(np.float64))
-        names = np.append(np.uint64(START), ids)
-        here = [k for k in np.flatnonzero(g.hot).tolist() if int(names[k]) in hot_sums]
-        if here:
-            found = np.stack([hot_sums[int(names[k])] for k in here])
-            backoff(np.array(here), found[:, :-1], found[:, -1])
-        weight[followed == 0] = 1.0
-        own = unigrams.of_counts(totals.astype(np.int64))
-        p = np.where(pair > 0, bigrams.of_counts(pair) / np.maximum(followed[g.a], 1), weight[g.a] * own[g.b])
+        unigrams = known.unigrams
+        t, levels = _levels(row, got, known, len(discounts))
+        totals = levels[0].total
+        p = unigrams.of_counts(totals)
+        of_text = p[t.local]
+        for n, g in enumerate(levels[1:], 2):
+            weight = np.ones(len(g.contexts))
+
+            def backoff(where: np.ndarray, sums: np.ndarray, shorter: np.ndarray, g=g, n=n, weight=weight) -> None:
+                lost = 1 - discounts[n - 1].of_sums(sums) / np.maximum(g.followed[where], 1)
+                weight[where] = lost / np.maximum(1 - discounts[n - 2].of_sums(shorter) / np.maximum(g.below[where], 1), 1e-12)
+
+            for part in _told(g, got, known.buckets, n):
+                backoff(*part)
+            own = np.flatnonzero(g.bucket == known.buckets)
+            if len(own):
+                where, of = np.unique(g.context[own], return_inverse=True)
+                shorter = levels[n - 2].total[g.suffix[own]]
+                backoff(where, _sums(of, len(where), g.total[own], g.total[own]), _sums(of, len(where), g.total[own], shorter))
+            here = [k for k in np.flatnonzero(g.hot).tolist() if int(g.contexts[k]) in hot_sums.value[n]]
+            if here:
+                found = np.stack([hot_sums.value[n][int(g.contexts[k])] for k in here])
+                backoff(np.array(here), found[:, : K + 2], found[:, K + 2 :])
+            weight[g.followed == 0] = 1.0
+            p = np.where(g.total > 0, discounts[n - 1].of_counts(g.total) / np.maximum(g.followed[g.context], 1), weight[g.context] * p[g.suffix])
+            has = g.of_token >= 0
+            of_text[has] = p[g.of_token[has]]
         n = len(t.ids)
         base = np.log10((totals + 0.5) / (unigrams.total + 0.5 * (unigrams.distinct + 1)))
         return pa.table(
@@ -279,7 +380,7 @@ def _score(buckets: int, hot: int, unigrams: Unigrams, bigrams: Discounts, hot_s
                 "n_known": pa.array(np.bincount(t.doc[totals[t.local] > 0], minlength=n)),
                 "train_tokens": pa.array(np.full(n, unigrams.total, np.int64)),
                 "base_score": pa.array(np.bincount(t.doc, base[t.local], n)),
-                "score": pa.array(np.bincount(t.doc, np.log10(np.maximum(p, 1e-300))[g.of_token], n)),
+                "score": pa.array(np.bincount(t.doc, np.log10(np.maximum(of_text, 1e-300)), n)),
             }
         )
 
@@ -305,30 +406,36 @@ def _totals(answers: DataFrame) -> np.ndarray:
 
 
 def _hot_sums(answers: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of the hot contexts over all buckets, by name."""
+    columns = ["a", *(f"s{i}" for i in range(2 * K + 4))]
+
     def over(batches):
         for batch in batches:
             for row in batch.column(0).to_pylist():
-                _, context, *sums, mass = unsqueeze(row)
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (context, *sums)] + [pa.array(mass.view(np.float64))], ["a", *(f"s{i}" for i in range(K + 2)), "mass"])
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in unsqueeze(row)[1:]], columns)
 
-    rows = _summaries(answers).select("payload").mapInArrow(over, "a long, " + "".join(f"s{i} long, " for i in range(K + 2)) + "mass double")
-    return {r[0]: np.array(r[1:], float) for r in rows.groupBy("a").agg(*[F.sum(f"s{i}") for i in range(K + 2)], F.sum("mass")).collect()}
+    rows = _summaries(answers).select("payload").mapInArrow(over, ", ".join(f"{c} long" for c in columns))
+    return {r[0] % (1 << 64): np.array(r[1:], np.int64) for r in rows.groupBy("a").agg(*[F.sum(c) for c in columns[1:]]).collect()}
 
 
-def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token counts, the smoothed-unigram base score and the model's log10 probability of each text."""
-    blocks = make_blocks(docs, id_col, text_col, scale=1.6)  # larger blocks repeat fewer words and bigrams
+def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """Token counts, the smoothed-unigram base score and the model's log10 probability of each text. order: words of the longest n-gram, 2 or more."""
+    if order < 2:
+        raise ValueError("a model that backs off needs order 2 or more")
+    blocks = make_blocks(docs, id_col, text_col, scale=1.6)  # larger blocks repeat fewer words and n-grams
     buckets = bucket_count(blocks)
     spark = docs.sparkSession
     words = answer(spark, lambda: send(blocks, _words(buckets)), buckets, _number(buckets))
     *times, big, big_sum, total, distinct = _totals(words).tolist()
     unigrams = Unigrams.of(total, distinct, big, big_sum, np.array(times))
-    hot = max(HOT, total // MOST_HOT)
-    known = words.where("block >= 0")
-    pairs = answer(spark, lambda: rejoin(blocks, known, _pairs(buckets, hot), SENT), buckets, _count(unigrams))
-    bigrams = Discounts.of(_totals(pairs)[: K + 1])
-    hot_sums = _hot_sums(pairs)
-    begun = hot_sums.get(START)
-    starts = int(begun[:K] @ np.arange(1, K + 1) + begun[K + 1]) if begun is not None else 0
-    both = known.unionByName(pairs.where("block >= 0").withColumn("bucket", F.col("bucket") + buckets))
-    return rejoin(blocks, both, _score(buckets, hot, unigrams, bigrams, hot_sums, starts), SCHEMA)
+    known = Known(unigrams, max(HOT, total // MOST_HOT), buckets)
+    answers = words.where("block >= 0")
+    discounts, hot_sums = [unigrams.discounts], {}
+    for n in range(2, order + 1):
+        counted = answer(spark, lambda n=n, answers=answers, known=known: rejoin(blocks, answers, _ask(known, n), SENT), buckets, _count)
+        discounts.append(Discounts.of(_totals(counted)[: K + 1]))
+        hot_sums[n] = _hot_sums(counted)
+        if n == 2 and (begun := hot_sums[2].get(int(START))) is not None:
+            known = Known(unigrams, known.hot, buckets, int(begun[:K] @ np.arange(1, K + 1) + begun[K + 1]))
+        answers = answers.unionByName(counted.where("block >= 0").withColumn("bucket", F.col("bucket") + (n - 1) * buckets))
+    return rejoin(blocks, answers, _score(known, discounts, spark.sparkContext.broadcast(hot_sums)), SCHEMA)
