@@ -10,7 +10,7 @@ Blocks are a checkpoint, so later passes see the same blocks even if executors a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -57,8 +57,11 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), scale: float = 1.0) -> DataFrame:
-    """A checkpoint of blocks of about scale * BLOCK bytes. Null texts are empty; rows keep their order within a block, and the carried columns with them."""
+def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), scale: float = 1.0, pack: Callable[[np.ndarray, np.ndarray], bytes] | None = None) -> DataFrame:
+    """A checkpoint of blocks of about scale * BLOCK bytes. Null texts are empty; rows keep their order within a block, and the carried columns with them.
+
+    pack: what is kept of the texts, from their bytes and offsets, each text followed by a line feed; else they are compressed as they are.
+    """
     most = int(BLOCK * scale)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,11 +72,12 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             nonlocal number
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            data, offsets = text_bytes(rows.column(1), b"")
+            data, offsets = text_bytes(rows.column(1), b"\n" if pack else b"")
+            body = pack(data, offsets) if pack else zstandard.compress(data.tobytes(), 6)
             ids = pc.fill_null(rows.column(0), NO_ID).to_numpy(zero_copy_only=False)
             null = pc.is_null(rows.column(0)).to_numpy(zero_copy_only=False)
             number += 1
-            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes() + null.tobytes(), offsets.astype(np.int64).tobytes(), zstandard.compress(data.tobytes(), 6))]
+            packed = [pa.array([x], pa.binary()) for x in (ids.tobytes() + null.tobytes(), offsets.astype(np.int64).tobytes(), body)]
             rest = None
             if carry:
                 with pa.BufferOutputStream() as sink, pa.ipc.new_stream(sink, (others := rows.select(range(2, rows.num_columns))).schema) as out:

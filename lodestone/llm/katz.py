@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import SENT, answer, bucket_count, id_column, make_blocks, nulls, opened, rejoin, route, send, split, squeeze, unsqueeze
+from .blocks import SENT, answer, bucket_count, id_column, make_blocks, nulls, rejoin, route, send, split, squeeze, unsqueeze
 from .common import first_of_runs, mix, span_hashes, words_of
 
 ORDER = 3  # words of the longest n-gram
@@ -76,8 +76,10 @@ class Discounts:
 
     def of_sums(self, sums: np.ndarray) -> np.ndarray:
         """Discounted total of rows of (followers seen 1..K times, more often, and the total of these)."""
-        small = np.array([r * d for r, d in enumerate(self.keep, 1)])
-        return sums[:, :K] @ small + sums[:, K + 1] - self.lost * sums[:, K]
+        out = sums[:, K + 1] - self.lost * sums[:, K]
+        for r, d in enumerate(self.keep, 1):
+            out = out + r * d * sums[:, r - 1]
+        return out
 
 
 @dataclass(frozen=True)
@@ -98,33 +100,56 @@ class Unigrams:
         return np.where(c > 0, self.discounts.of_counts(c) / max(self.total, 1), self.unseen)
 
 
+def tokens_of(data: np.ndarray, offsets: np.ndarray) -> bytes:
+    """The tokens of a block: how many each text has, the words' hashes, the most frequent first, and the number of each token among these."""
+    data, n = _LOWER[data], len(offsets) - 1
+    start, end = words_of(data)
+    sizes = np.bincount(np.searchsorted(offsets, start, "right") - 1, minlength=n) + 1
+    ends = np.cumsum(sizes) - 1
+    token = np.full(int(sizes.sum()), END, np.uint64)
+    inner = np.ones(len(token), bool)
+    inner[ends] = False
+    token[inner] = span_hashes(data, start, end)
+    words, local, counts = np.unique(token, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return squeeze(sizes, words[order], place[local])
+
+
 class Tokens:
     """The tokens of a block: their hashes, documents, and local word numbers in the order in which buckets are asked."""
 
     def __init__(self, row: dict, buckets: int) -> None:
-        self.ids, data, offsets = opened(row, b"\n")
-        n = len(self.ids)
-        data = _LOWER[data]
-        start, end = words_of(data)
-        word_doc = np.searchsorted(offsets, start, "right") - 1
-        hashes = span_hashes(data, start, end)
-        total = len(start) + n
-        ends = np.cumsum(np.bincount(word_doc, minlength=n)) + np.arange(n)
-        self.doc = np.repeat(np.arange(n), np.diff(ends, prepend=-1))
-        token = np.full(total, END, np.uint64)
-        inner = np.ones(total, bool)
-        inner[ends] = False
-        token[inner] = hashes
+        sizes, words, local = unsqueeze(row["texts"])
+        n = len(sizes)
+        self.ids = np.frombuffer(row["ids"], np.int64, n)
         self.held = np.array([zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in self.ids.tolist()], bool) & ~nulls(row)
+        self.doc = np.repeat(np.arange(n), sizes.astype(np.int64))
         self.train = ~self.held[self.doc]
-        unique, local = np.unique(token, return_inverse=True)
-        bucket = (unique % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(words)
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        self.words, self.bucket, self.local = unique[order], bucket[order], place[local]
+        self.words, self.local = words[order], place[local.astype(np.int64)]
+        self.bucket = route(self.words, buckets)
         self.counts = np.bincount(self.local[self.train], minlength=len(order))
-        self.first = np.append(0, ends[:-1] + 1) if n else ends
+        self.first = np.cumsum(sizes.astype(np.int64)) - sizes.astype(np.int64)
+
+
+def _distinct(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For keys under `most`: one place of each distinct key, in order, and the number of each key among them."""
+    n = len(key)
+    bits = max(1, n.bit_length())
+    if most.bit_length() + bits > 64:
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        return first, back
+    both = np.sort(key.astype(np.uint64) << np.uint64(bits) | np.arange(n, dtype=np.uint64))
+    order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    both >>= np.uint64(bits)
+    new = first_of_runs(both)
+    back = np.empty(n, np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back
 
 
 @dataclass
@@ -132,7 +157,6 @@ class Level:
     """The distinct n-grams of one length in a block, in the order in which buckets are asked."""
 
     of_token: np.ndarray  # -1 where a text has too few words before
-    name: np.ndarray
     context: np.ndarray  # a place in contexts
     word: np.ndarray
     word_id: np.ndarray
@@ -146,10 +170,14 @@ class Level:
     total: np.ndarray | None = None  # in all blocks, once these are known
     alone: np.ndarray | None = None  # whether no other block holds the n-gram
 
+    def names(self) -> np.ndarray:
+        """Of the n-grams as contexts of longer ones; words have their ids."""
+        return mix(mix(self.contexts[self.context]) + self.word_id) if len(self.contexts) else self.word_id
+
 
 def _words_level(t: Tokens, ids: np.ndarray, totals: np.ndarray, alone: np.ndarray) -> Level:
     none = np.zeros(len(ids), np.int64)
-    return Level(t.local, ids, none, np.arange(len(ids)), ids, none, t.counts, t.bucket, none, none, none, none, totals.astype(np.int64), alone)
+    return Level(t.local, none, np.arange(len(ids)), ids, none, t.counts, t.bucket, none[:0].view(np.uint64), none, none, none, totals.astype(np.int64), alone)
 
 
 def _next_level(t: Tokens, levels: list[Level], hot: int, buckets: int, starts: int, total: int) -> Level:
@@ -158,37 +186,40 @@ def _next_level(t: Tokens, levels: list[Level], hot: int, buckets: int, starts:
     context = np.empty_like(t.local)
     context[1:] = low.of_token[:-1]
     if len(levels) == 1:  # the start of a text is one more context
-        names, followed, alone, below = np.append(low.name, START), np.append(low.total, starts), np.append(low.alone, False), np.full(len(low.name) + 1, total)
-        context[t.first] = len(low.name)
+        names, followed, alone, below = np.append(words.word_id, START), np.append(low.total, starts), np.append(low.alone, False), np.full(len(words.word_id) + 1, total)
+        context[t.first] = len(words.word_id)
         is_hot = np.append(low.total >= hot, True)
         home = route(mix(names), buckets)
     else:
-        names, followed, alone, below = low.name, low.total, low.alone, levels[-2].total[low.suffix]
+        names, followed, alone, below = low.names(), low.total, low.alone, levels[-2].total[low.suffix]
         context[t.first] = -1
         is_hot = followed >= hot
         home = route(names, buckets)
     own = alone & ~is_hot
-    home = np.where(own, buckets, home)
+    home[own] = buckets
+    shared = np.flatnonzero(~own)
+    by_name = shared[np.lexsort((names[shared], home[shared])) if len(levels) == 1 else np.argsort(names[shared])]  # hashes ascend with their buckets
     rank = np.empty(len(names), np.int64)
-    rank[np.lexsort((names, home))] = np.arange(len(names))
-    by_id = np.empty(len(words.name), np.int64)
-    by_id[np.argsort(words.name)] = np.arange(len(words.name))
+    rank[by_name], rank[own] = np.arange(len(shared)), np.arange(len(shared), len(names))
+    by_id = np.empty(len(words.word_id), np.int64)
+    by_id[np.argsort(words.word_id)] = np.arange(len(words.word_id))
     has = np.flatnonzero(context >= 0)
-    key, first, back = np.unique(rank[context[has]] << 32 | by_id[t.local[has]], return_index=True, return_inverse=True)
+    first, back = _distinct(rank[context[has]] * len(by_id) + by_id[t.local[has]], len(names) * len(by_id) + 1)
     at = has[first]
-    a, b = context[at], t.local[at]
-    word_id = words.name[b]
+    a = context[at]
     bucket = home[a]
     dealt = np.flatnonzero(is_hot[a])
-    bucket[dealt] = route(mix(mix(names[a[dealt]]) + word_id[dealt]), buckets)
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty_like(order)
-    place[order] = np.arange(len(order))
+    if len(dealt):
+        bucket[dealt] = route(mix(mix(names[a[dealt]]) + words.word_id[t.local[at[dealt]]]), buckets)
+        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        at, a, bucket, back = at[order], a[order], bucket[order], place[back]
     of_token = np.full(len(t.local), -1, np.int64)
-    of_token[has] = place[back]
-    counts = np.bincount(of_token[has][t.train[has]], minlength=len(order))
-    a, b, word_id = a[order], b[order], word_id[order]
-    return Level(of_token, mix(mix(names[a]) + word_id), a, b, word_id, low.of_token[at[order]], counts, bucket[order], names, followed, below, is_hot)
+    of_token[has] = back
+    counts = np.bincount(back[t.train[has]], minlength=len(at))
+    b = t.local[at]
+    return Level(of_token, a, b, words.word_id[b], low.of_token[at], counts, bucket, names, followed, below, is_hot)
 
 
 def _runs(context: np.ndarray) -> np.ndarray:
@@ -228,7 +259,7 @@ def _number(buckets: int):
         totals = np.bincount(back, np.concatenate([a[1] for _, a in asked]).astype(float), len(words)).astype(np.uint64)
         rank = np.empty(len(words), np.uint64)
         rank[np.argsort(-totals.astype(np.int64), kind="stable")] = np.arange(len(words), dtype=np.uint64)
-        ids = rank * np.uint64(buckets) + (words % np.uint64(buckets)) + np.uint64(1)
+        ids = rank * np.uint64(buckets) + np.uint64(bucket + 1)
         says = totals << np.uint64(1) | (blocks == 1).astype(np.uint64)
         at = 0
         for block, a in asked:
@@ -310,17 +341,20 @@ def _count(bucket, every):
         yield -1, squeeze(times, *[np.zeros(0, np.uint64)] * (2 * K + 5))
         return
     names = [np.cumsum(x[0]) for _, x in asked]
-    a = np.concatenate([np.repeat(c, x[1].astype(np.int64)) for c, (_, x) in zip(names, asked, strict=True)])
     b, counts, shorter = (np.concatenate([x[i] for _, x in asked]) for i in (2, 3, 4))
-    order = np.lexsort((b, a))
-    new = first_of_runs(a[order]) | first_of_runs(b[order])
+    context, of = np.unique(np.concatenate(names), return_inverse=True)
+    of = np.repeat(of, np.concatenate([x[1] for _, x in asked]).astype(np.int64)).astype(np.uint64)
+    wide = np.uint64(int(b.max(initial=0)).bit_length())
+    key = of << wide | b if len(context).bit_length() + int(wide) <= 64 else np.unique(np.stack((of, b)), axis=1, return_inverse=True)[1].ravel()
+    order = np.argsort(key)
+    new = first_of_runs(key[order])
     heads = np.flatnonzero(new)
+    of = of[order][heads].astype(np.int64)
     totals = np.add.reduceat(counts[order], heads).astype(np.int64)
     values = np.maximum.reduceat(shorter[order], heads).astype(np.int64)
     back = np.empty(len(order), np.int64)
     back[order] = np.cumsum(new) - 1
     says = totals.astype(np.uint64) << np.uint64(1) | (np.diff(heads, append=len(order)) == 1).astype(np.uint64)
-    context, of = np.unique(a[order][heads], return_inverse=True)
     sums = np.concatenate((_sums(of, len(context), totals, totals), _sums(of, len(context), totals, values)), 1)
     is_hot = np.zeros(len(context), bool)
     at = 0
@@ -422,7 +456,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Token counts, the smoothed-unigram base score and the model's log10 probability of each text. order: words of the longest n-gram, 2 or more."""
     if order < 2:
         raise ValueError("a model that backs off needs order 2 or more")
-    blocks = make_blocks(docs, id_col, text_col, scale=1.6)  # larger blocks repeat fewer words and n-grams
+    blocks = make_blocks(docs, id_col, text_col, scale=1.6, pack=tokens_of)  # larger blocks repeat fewer words and n-grams
     buckets = bucket_count(blocks)
     spark = docs.sparkSession
     words = answer(spark, lambda: send(blocks, _words(buckets)), buckets, _number(buckets))
