@@ -176,6 +176,8 @@ def ensure_checkpoint_dir(spark) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="lodestone-checkpoint-")

@@ -30,6 +30,7 @@ from .common import ensure_checkpoint_dir, first_of_runs, give_back, mix, shuffl
 from .graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
+MANY = 10_000  # most fingerprints that are sent to every task
 #: Bands as bit ranges, and the pairs of bands that are keys.
 BANDS = ((0, 21), (21, 42), (42, 64))
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -140,10 +141,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, fp and component_id, the smallest doc_id reachable over links, of each row."""
     ensure_checkpoint_dir(docs.sparkSession)
     prints = fingerprints(docs, id_col, text_col).checkpoint()
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).checkpoint()
     parts = components(links(distinct).checkpoint(), distinct.select(F.col("fp").alias("node"), F.col("first").alias("value")))
-    named = distinct.join(parts.select(F.col("node").alias("fp"), "value"), "fp", "left").select("fp", F.coalesce("value", "first").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = distinct.join(parts.select(F.col("node").alias("fp"), "value"), "fp", "left").select("fp", "n", F.coalesce("value", "first").alias("component_id")).checkpoint()
+    # fingerprints of very many rows, at most MANY of them, are sent to the rows; the rest meet their rows by a join
+    often = max(64, (distinct.agg(F.sum("n")).first()[0] or 0) // MANY)
+    hot, rest = named.where(F.col("n") > often).drop("n"), named.where(F.col("n") <= often).drop("n")
+    found = prints.join(F.broadcast(hot), "fp").unionByName(prints.join(F.broadcast(hot), "fp", "left_anti").join(rest, "fp"))
+    return found.select("doc_id", "fp", "component_id")
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:
