@@ -20,8 +20,10 @@ def is_snippet(code: Column, language: Column) -> Column:
     return F.when(lang.isin(*P.OTHER_LANGUAGES), False).when(lang.isin(*P.OWN_LANGUAGES), True).otherwise(lang.isin(*P.LIKE_LANGUAGES) & code.rlike(P.SNIPPET_PATTERN))
 
 
-def joined_code(sep: str, blocks: Column, code: Column) -> Column:
-    """All code of a record: its blocks (array of strings) and its single-code column where that is not empty."""
+def joined_code(sep: str, blocks: Column, code: Column, stripped: bool = False) -> Column:
+    """All code of a record: its blocks (array of strings) and its single-code column where that is not empty; as a prompt takes it, stripped."""
+    if stripped:
+        return strip(joined_code(sep, blocks, code))
     parts = F.transform(F.coalesce(blocks, F.array().cast("array<string>")), lambda b: F.coalesce(b, F.lit("")))
     return F.array_join(F.when(F.coalesce(code, F.lit("")) != "", F.array_append(parts, code)).otherwise(parts), sep)
 
@@ -31,8 +33,7 @@ def calls(code: Column) -> Column:
     found = F.regexp_extract_all(code, F.lit(r"(?<![.@#])\b([a-zA-Z_]\w*)\s*\("), F.lit(1))
     found = F.filter(found, lambda f: ~F.lower(f).isin(*P.NOT_CALLS))
     found = F.transform(found, lambda f: F.when(F.lower(f).isin(*P.CASTS), F.lower(f)).otherwise(f))
-    known = sorted({c for calls_ in P.CALL_CONCEPTS.values() for c in calls_} | {s.rstrip("( ") for t in P.TOPIC_SIGNALS.values() for s in t})
-    return F.array_sort(F.array_distinct(F.filter(found, lambda f: f.rlike("^[a-z]") | F.lower(f).isin(*known))))
+    return F.array_sort(F.array_distinct(F.filter(found, lambda f: f.rlike("^[a-z]") | F.lower(f).isin(*P.KNOWN_CALLS))))
 
 
 def attributes(code: Column) -> dict[str, Column]:
@@ -115,8 +116,8 @@ def contexts(code: Column) -> Column:
 
 
 def local_contexts(code: Column) -> Column:
-    found = present_classes(code, P.LOCAL_CONTEXTS)
-    return F.when(F.size(found) > 0, F.array_sort(found)).otherwise(F.array(F.lit("sop")))
+    found = F.array_compact(F.array(*[F.when(contains_any(code, signals), F.lit(c)) for c, signals in P.LOCAL_CONTEXTS]))
+    return F.when(F.size(found) > 0, F.array_sort(F.array_distinct(found))).otherwise(F.array(F.lit("sop")))
 
 
 def version(code: Column) -> tuple[Column, Column]:
@@ -139,6 +140,11 @@ def normal_topic(name: Column) -> Column:
     return F.coalesce(F.element_at(known, F.lower(whole)), F.element_at(known, F.lower(first)), spaced)
 
 
+def balance(code: Column, a: str, b: str) -> Column:
+    """How many more of one sign than of another."""
+    return F.length(F.replace(code, F.lit(b), F.lit(""))) - F.length(F.replace(code, F.lit(a), F.lit("")))
+
+
 def warnings(code: Column) -> Column:
     """What is odd about a snippet, in order: lines that lack a semicolon, balance, deprecated syntax, leaks, read-only attributes."""
     lines = F.split(strip(code), "\n", -1)
@@ -148,13 +154,13 @@ def warnings(code: Column) -> Column:
         fine = (s == "") | s.rlike(r"[;{},(\\:]$") | s.rlike(r"^(?://|#|/\*|\*)") | s.endswith("*/") | ~F.contains(s, F.lit("="))
         return F.when(~fine, F.concat(F.lit("Line "), (i + 1).cast("string"), F.lit(": possible missing semicolon: "), F.substring(s, 1, 60)))
 
-    def balance(a: str, b: str, name: str) -> Column:
-        n = F.length(code) - F.length(F.replace(code, F.lit(a), F.lit(""))) - (F.length(code) - F.length(F.replace(code, F.lit(b), F.lit(""))))
+    def uneven(a: str, b: str, name: str) -> Column:
+        n = balance(code, a, b)
         more = F.concat(F.lit(f"Unclosed {name}: "), n.cast("string"), F.lit(f" more {a} than {b}"))
         less = F.concat(F.lit(f"Extra closing {name}: "), (-n).cast("string"), F.lit(f" more {b} than {a}"))
         return F.when(n > 0, more).when(n < 0, less)
 
-    rest = [balance("{", "}", "braces"), balance("(", ")", "parentheses")]
+    rest = [uneven("{", "}", "braces"), uneven("(", ")", "parentheses")]
     rest += [F.when(code.rlike(p), m) for p, m in P.DEPRECATED]
     rest += [F.when(F.contains(code, F.lit("pcopen")) & ~F.contains(code, F.lit("pcclose")), "pcopen() called without pcclose() -- potential resource leak")]
     rest += [F.when(code.rlike(rf"@{a}\s*="), f"Assigning to @{a} -- this is a read-only attribute") for a in P.READ_ONLY]

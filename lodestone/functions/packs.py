@@ -43,7 +43,12 @@ CONTEXT_SIGNALS = {
     "solver": ["solver", "prev_frame", "solverresult"],
 }
 SOP_SIGNALS = ["@P", "@Cd", "@N", "@ptnum", "point(", "prim(", "npoints"]
-LOCAL_CONTEXTS = {"chop": ["@Channel", "chinput("], "dop": ["@Frame", "@Time", "@TimeInc", "dopfield", "gas_", "@voxelsize", "volumesample", "volumegradient"], "material": ["@uv", "texture(", "colormap("]}
+LOCAL_CONTEXTS = [
+    ("dop", ["@Frame", "@Time", "@TimeInc", "dopfield", "gas_"]),
+    ("dop", ["@voxelsize", "volumesample", "volumegradient"]),
+    ("material", ["@uv", "texture(", "colormap("]),
+    ("chop", ["@Channel", "chinput("]),
+]
 
 # Version rules (pattern, version, note).
 VERSION_RULES = [
@@ -101,6 +106,59 @@ TOPIC_NAMES = {
 }
 POINT_CLOUD_CALLS = ["pcopen", "pcfind", "pcclose", "pcfilter", "pcimport", "pcgenerate", "nearpoints"]
 
+# Names of functions that count as calls in any case.
+KNOWN_CALLS = [
+    # mathematics
+    "abs", "ceil", "floor", "round", "clamp", "fit", "fit01", "fit10", "fit11", "lerp", "slerp", "smooth", "efit", "min", "max", "pow", "sqrt", "log", "exp",
+    "sin", "cos", "tan", "asin", "acos", "atan", "atan2", "radians", "degrees", "sign", "frac", "trunc",
+    # vectors
+    "length", "normalize", "dot", "cross", "distance", "reflect", "set", "getcomp", "setcomp",
+    # noise
+    "noise", "snoise", "onoise", "pnoise", "curlnoise", "curlnoise2d", "anoise", "xnoise", "flownoise", "random", "rand", "nrandom",
+    # point clouds
+    "pcopen", "pcfind", "pcfind_radius", "pcclose", "pcfilter", "pciterate", "pcunshaded", "pcimport", "pcexport", "pcnumfound", "nearpoint", "nearpoints", "neighbour", "neighbours", "neighbourcount",
+    # geometry
+    "point", "prim", "vertex", "detail", "setpointattrib", "setprimattrib", "setvertexattrib", "setdetailattrib", "addpoint", "addprim", "addvertex", "removeprim", "removepoint",
+    "npoints", "nprimitives", "nvertices", "pointattrib", "primattrib", "vertexattrib", "detailattrib", "attribsize", "attribtype", "haspointattrib", "hasprimattrib", "hasvertexattrib", "hasdetailattrib", "primuv", "xyzdist",
+    # intrinsics and bounds
+    "primintrinsic", "setprimintrinsic", "pointintrinsic", "detailintrinsic",
+    "getbbox", "getbbox_size", "getbbox_center", "getbbox_min", "getbbox_max", "getpointbbox", "getpointbbox_size", "getpointbbox_center",
+    # transforms
+    "ident", "invert", "transpose", "determinant", "translate", "rotate", "scale", "maketransform", "cracktransform", "quaternion", "dihedral", "qconvert", "lookat", "instance", "orient",
+    # strings
+    "sprintf", "printf", "concat", "strlen", "substr", "find", "replace", "split", "join", "strip", "lstrip", "rstrip", "upper", "lower", "itoa", "atoi", "atof",
+    # channels
+    "ch", "chf", "chi", "chv", "chs", "chp", "chramp", "chrampf",
+    # arrays
+    "len", "resize", "append", "pop", "push", "insert", "removevalue", "removeindex", "sort", "reverse", "reorder", "argsort", "array", "find", "foreach",
+    # volumes
+    "volumesample", "volumesamplev", "volumegradient", "volumeres", "volumeindex", "volumeindextopos", "volumepostoindex",
+    # groups
+    "inpointgroup", "inprimgroup", "invertexgroup", "setpointgroup", "setprimgroup", "setvertexgroup", "npointsgroup", "nprimitivesgroup",
+    # others
+    "assert", "error", "warning", "printf", "getattrib", "setattrib", "import", "sample_direction_uniform", "sample_hemisphere", "dopfield", "solverresult", "texture", "colormap",
+    "vector", "float", "int", "string", "matrix", "matrix3",
+]
+
+# Navigation lines of wiki pages, and what tells that inline code is a snippet.
+NAVIGATION = r"^\s*(prev|this|next)\s*:"
+INLINE_SNIPPET = r"@\w+|ch[fivs]?\(|point\(|prim\(|set\w+attrib\(|pcopen\(|pcfind\(|nearpoints?\(|addpoint\(|addprim\(|\bvector\b|\bfloat\b|\bint\b|\bforeach\b"
+
+# Contexts by a word of the category that a function is listed under.
+CATEGORY_CONTEXTS = {
+    "any": ["sop", "dop", "cop", "chop", "cvex", "material"],
+    "shading": ["material"],
+    "cop": ["cop"],
+    "chop": ["chop"],
+    "sop": ["sop"],
+    "dop": ["dop"],
+    "cvex": ["cvex"],
+    "fog": ["material"],
+    "surface": ["material"],
+    "displacement": ["material"],
+    "light": ["material"],
+}
+
 # Words before a bracket that are no calls, casts, and deprecated syntax.
 NOT_CALLS = ["if", "else", "for", "while", "do", "return", "break", "continue", "switch", "case", "default", "struct", "typedef", "define", "include", "pragma", "foreach"]
 CASTS = ["vector", "float", "int", "string", "matrix", "matrix3"]
@@ -124,16 +182,20 @@ CONCEPT_INTROS = {
     "channels": r"\b(?:ch|chf|chi|chv)\b.*(?:param|slider|channel)",
 }
 CALL_CONCEPTS = {
-    "point_clouds": ["pcopen", "pcfind", "pcfind_radius", "pcfilter", "pcclose", "pcimport", "nearpoint", "nearpoints", "neighbour", "neighbours"],
-    "noise": ["noise", "snoise", "onoise", "curlnoise", "flownoise", "xnoise"],
-    "matrices": ["matrix", "invert", "transpose", "cracktransform", "maketransform", "quaternion", "dihedral"],
-    "volumes": ["volumesample", "volumesamplev", "volumegradient", "volumeres"],
-    "ramps": ["chramp", "chrampf"],
-    "channels": ["ch", "chf", "chi", "chv"],
-    "groups": ["inpointgroup", "setpointgroup", "inprimgroup", "setprimgroup"],
-    "intrinsics": ["primintrinsic", "setprimintrinsic", "detailintrinsic"],
-    "uv": ["primuv", "uvsample"],
-}
+    "pcopen": "point_clouds", "pcfind": "point_clouds", "pcfind_radius": "point_clouds", "pcfilter": "point_clouds", "pcclose": "point_clouds", "pcimport": "point_clouds",
+    "nearpoint": "point_clouds", "nearpoints": "point_clouds", "neighbour": "point_clouds", "neighbours": "point_clouds",
+    "noise": "noise", "snoise": "noise", "onoise": "noise", "curlnoise": "noise", "flownoise": "noise", "xnoise": "noise",
+    "matrix": "matrices", "invert": "matrices", "transpose": "matrices", "cracktransform": "matrices", "maketransform": "matrices", "quaternion": "matrices", "dihedral": "matrices",
+    "volumesample": "volumes", "volumesamplev": "volumes", "volumegradient": "volumes", "volumeres": "volumes",
+    "chramp": "ramps", "chrampf": "ramps",
+    "ch": "channels", "chf": "channels", "chi": "channels", "chv": "channels",
+    "inpointgroup": "groups", "setpointgroup": "groups", "inprimgroup": "groups", "setprimgroup": "groups",
+    "primintrinsic": "intrinsics", "setprimintrinsic": "intrinsics", "detailintrinsic": "intrinsics",
+    "primuv": "uv", "uvsample": "uv",
+}
+
+# How a page names an episode.
+MENTION = r"(?i)(?:joy\s*of\s*vex|jov)\s*(\d+)"
 
 # Legacy difficulty words.
 DIFFICULTIES = ["beginner", "intermediate", "advanced", "expert"]

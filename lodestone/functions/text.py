@@ -37,8 +37,8 @@ def shingles(tokens: Column, n: int = 3, single_under: int = 10) -> Column:
 
 
 def search_tokens(text: Column) -> Column:
-    """Index terms: lower-case runs of letters, digits and underscores, also behind an @; single letters only behind an @."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"@?[\p{L}\p{N}_]+"), F.lit(0))
+    """Index terms: lower-case runs of letters, digits and underscores, also behind an @; single letters only behind an @. A null text has none."""
+    found = F.regexp_extract_all(F.coalesce(F.lower(text), F.lit("")), F.lit(r"@?[\p{L}\p{N}_]+"), F.lit(0))
     return F.filter(found, lambda t: (F.length(t) > 1) | t.startswith("@"))
 
 
@@ -71,8 +71,60 @@ def clean_heading(text: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(text, "[¶​-‍﻿]", ""), "[  -  ]", " "))
 
 
+def section_label(page: Column) -> Column:
+    """A wiki page's label: the day of a numbered page, a fixed name, or the page's own."""
+    day = F.regexp_extract(page, r"^JoyOfVex(\d+)", 1)
+    return F.when(page == "HoudiniVex", "HoudiniVex Tips").when(page == "JoyOfVex", "Joy of VEX Index").when(day != "", F.concat(F.lit("Joy of VEX Day "), day.try_cast("int").cast("string"))).otherwise(page)
+
+
+def page_difficulty(page: Column) -> Column:
+    """By the day of a numbered page; of others, one is intermediate."""
+    day = F.regexp_extract(page, r"^JoyOfVex(\d+)", 1)
+    return F.when(page == "HoudiniVex", "intermediate").when(day == "", "beginner").otherwise(number_difficulty(day.try_cast("int")))
+
+
+def number_difficulty(number: Column) -> Column:
+    return F.when(number <= 5, "beginner").when(number <= 13, "intermediate").otherwise("advanced")
+
+
+def episode(ident: Column) -> Column:
+    """The episode number anywhere in an id; null if there is none."""
+    return F.nullif(F.regexp_extract(ident, r"ep(\d+)", 1), F.lit("")).try_cast("int")
+
+
+def return_type(signature: Column) -> Column:
+    """The type before a function's name; empty if there is none."""
+    return F.regexp_extract(signature, r"^(\w+(?:\[\])?)\s+\w+\s*\(", 1)
+
+
+def preview(text: Column, most: int = 200) -> Column:
+    return F.substring(text, 1, most)
+
+
+def label_of(key: Column, labels: dict[str, str]) -> Column:
+    """The label of a key, or the key itself."""
+    known = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+    return F.coalesce(F.element_at(known, key), key)
+
+
+def searchable(title: Column, content: Column, codes: Column, code: Column, prompt: Column, explanation: Column) -> Column:
+    """What an index reads of a record: its parts that are not empty, one below the other."""
+    blocks = F.array_join(F.filter(F.coalesce(codes, F.array().cast("array<string>")), lambda c: F.coalesce(c, F.lit("")) != ""), "\n")
+    return join_nonempty("\n", title, content, blocks, code, prompt, explanation)
+
+
+def comparable(content: Column, codes: Column, code: Column | None = None) -> Column:
+    """What duplicates are judged by: content and code in lower case, joined by spaces."""
+    blocks = F.array_join(F.coalesce(codes, F.array().cast("array<string>")), " ")
+    return strip(F.lower(join_nonempty(" ", content, blocks, code if code is not None else F.lit(""))))
+
+
+def line_feeds(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
 def line_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    return line_feeds(text) + 1
 
 
 def sequence_id(prefix: Column, number: Column, digits: int = 3) -> Column:

@@ -81,10 +81,34 @@ def topic_pages(chunks: DataFrame, labels: dict[str, str] | None = None, title:
     return heads.join(bodies, "topic", "left").select("topic", F.concat(head, F.coalesce("body", F.lit(""))).alias("page"))
 
 
-def semantic_entries(chunks: DataFrame, keywords: DataFrame) -> DataFrame:
-    """file_key, summary, keywords, sources for each topic."""
-    heads = chunks.groupBy("topic").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("source_id")).alias("sources"))
-    return heads.join(keywords, "topic", "left").select(F.concat(F.lit("corpus_"), F.col("topic")).alias("file_key"), F.concat(F.col("n").cast("string"), F.lit(" examples: "), T.pretty_label(F.col("topic"))).alias("summary"), "keywords", "sources")
+def grouped_topics(chunks: DataFrame, least: int = MIN_TOPIC) -> DataFrame:
+    """Chunks (column topic) with small topics pooled as misc; own_topic keeps the name."""
+    from .stats import pooled_groups
+
+    kept = chunks.withColumn("own_topic", F.col("topic"))
+    return pooled_groups(kept, "topic", least).withColumn("topic", F.col("grp")).drop("grp")
+
+
+def misc_page(chunks: DataFrame, labels: dict[str, str] | None = None, title: str = "Corpus", origin: str = "corpus") -> DataFrame:
+    """page: one page of small topics, sections by topic, entries by difficulty, source and id. chunks: as for topic_pages()."""
+    label = T.label_of(F.col("source_id"), labels) if labels else F.col("source_id")
+    order = F.struct(difficulty_rank(F.coalesce("difficulty", F.lit("unknown"))), F.coalesce("source_id", F.lit("")), F.coalesce("id", F.lit("")), _entry(F.coalesce("title", "id"), F.col("code"), F.col("content")).alias("e"))
+    rows = chunks.select(F.coalesce("topic", F.lit("misc")).alias("topic"), F.coalesce(label, F.lit("unknown")).alias("source"), order.alias("s"))
+    sections = rows.groupBy("topic").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["e"]), "").alias("body"))
+    parts = sections.select(F.struct("topic", F.concat(F.lit("## "), T.pretty_label(F.col("topic")), F.lit(" ("), F.col("n").cast("string"), F.lit(" examples)\n\n"), "body").alias("t")).alias("x"))
+    body = parts.agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("body"))
+    head = rows.agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"))
+    start = F.concat(F.lit(f"# {title}: Miscellaneous Topics\n\n> "), F.col("n").cast("string"), F.lit(f" examples from {origin} (small topics). Sources: "), "sources", F.lit("\n\n"))
+    return head.crossJoin(body).select(F.concat(start, "body").alias("page"))
+
+
+def semantic_entries(chunks: DataFrame, keywords: DataFrame, namespace: str = "corpus_", title: str = "Corpus") -> DataFrame:
+    """file_key, summary, description, keywords for each topic."""
+    sources = F.array_sort(F.collect_set(F.nullif("source_id", F.lit(""))))
+    heads = chunks.groupBy("topic").agg(F.count("*").cast("string").alias("n"), F.array_join(sources, ", ").alias("sources")).withColumn("label", T.pretty_label(F.col("topic")))
+    summary = F.concat(F.lit(f"{title}: "), "label", F.lit(" ("), "n", F.lit(" examples)"))
+    description = F.concat(F.lit("Labeled examples for "), F.lower("label"), F.lit(". Sources: "), "sources", F.lit(". Covers "), "n", F.lit(" code snippets with difficulty ratings and metadata."))
+    return heads.join(keywords, "topic", "left").select(F.concat(F.lit(namespace), "topic", F.lit(".md")).alias("file_key"), summary.alias("summary"), description.alias("description"), "keywords")
 
 
 def merge_namespace(existing: DataFrame, new: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -124,8 +148,12 @@ def sync(df: DataFrame, folder: str, namespace: str = "corpus_", dry_run: bool =
     old = json.loads(manifest.read_text()) if manifest.exists() else {}
     if old.get("corpus") == mark and not force:
         return {"skipped": True, "written": [], "deleted": []}
-    pages = topic_pages(df)
+    pages = topic_pages(df.where("topic <> 'misc'") if "own_topic" in df.columns else df)
     names = [r.topic for r in pages.select("topic").collect()]
+    pooled = df.where("topic = 'misc'").withColumn("topic", F.col("own_topic")) if "own_topic" in df.columns else None
+    if pooled is not None and pooled.limit(1).count():
+        names.append("misc")
+        pages = pages.unionByName(misc_page(pooled).select(F.lit("misc").alias("topic"), "page"))
     planned = {f"{namespace}{t}.md" for t in names}
     gone = sorted(p.name for p in root.glob(f"{namespace}*.md") if p.name not in planned)
     plan = {"skipped": False, "written": sorted(planned), "deleted": gone}

@@ -9,12 +9,14 @@ from ..functions import packs as P
 
 
 def shared_folder(spark) -> None:
-    """Sets a checkpoint folder only where the cluster has named none."""
+    """Sets the checkpoint folder that the cluster names; one of our own only on one machine, where every folder is shared."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="lodestone-checkpoint-")
@@ -50,8 +52,25 @@ def concept_intros(chunks: DataFrame, text: Column, top: int) -> DataFrame:
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select("concept", "id", "place")
 
 
+def first_of_episodes(chunks: DataFrame) -> DataFrame:
+    """episode, id: the first chunk (by ord) of each episode; chunks without one are left out."""
+    return chunks.where("episode is not null").groupBy("episode").agg(F.min_by("id", "ord").alias("id"))
+
+
+def mentions(chunks: DataFrame, text: Column) -> DataFrame:
+    """id, episode: the episodes that a text names, each once."""
+    found = F.regexp_extract_all(text, F.lit(P.MENTION), F.lit(1))
+    return chunks.select("id", F.explode(F.array_distinct(F.transform(found, lambda n: n.try_cast("long")))).alias("episode")).where("episode is not null")
+
+
+def graph_stats(edges: DataFrame, intros: DataFrame, episodes: DataFrame) -> DataFrame:
+    """One row: chunks with prerequisites, links, concepts introduced, episodes."""
+    links = edges.select("src", "dst").distinct().agg(F.countDistinct("src").alias("chunks_with_prereqs"), F.count("*").alias("total_links"))
+    return links.crossJoin(intros.agg(F.countDistinct("concept").alias("concepts"))).crossJoin(episodes.agg(F.count("*").alias("episodes")))
+
+
 def call_concepts(spark) -> DataFrame:
-    return spark.createDataFrame([(f, c) for c, calls in P.CALL_CONCEPTS.items() for f in calls], "call string, concept string")
+    return spark.createDataFrame([*P.CALL_CONCEPTS.items()], "call string, concept string")
 
 
 def prerequisite_edges(chunks: DataFrame, intros: DataFrame, episodes: DataFrame, mentions: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import packs as P
@@ -27,7 +27,7 @@ def tier(task: Column) -> Column:
 
 def route(tasks: DataFrame, models: DataFrame) -> DataFrame:
     """Tasks (column task) with their tier's models (tier, model, fallbacks)."""
-    return tasks.withColumn("tier", tier(F.col("task"))).join(F.broadcast(models), "tier", "left")
+    return tasks.withColumn("tier", tier(F.col("task"))).join(models, "tier", "left")
 
 
 Model = Callable[[str, str, str], str]  # model name, task, input -> answer; raises TimeoutError, OSError or another error
@@ -109,6 +109,37 @@ def needs_review(confidence: Column, consensus_: Column | None = None, status: C
     return out if status is None else out | status.isin("error", "uncertain")
 
 
+def review_reason(confidence: Column) -> Column:
+    """Why a result goes to review, for low confidence; else empty."""
+    low = F.coalesce(confidence, F.lit(0.0))
+    return F.when(low < REVIEW_CONFIDENCE, F.concat(F.lit("Low confidence: "), F.format_string("%.2f", low))).otherwise("")
+
+
+def split_by_review(results: DataFrame, flag: Column) -> tuple[DataFrame, DataFrame]:
+    """Results that pass, and those for review (a null flag passes)."""
+    return results.where(~F.coalesce(flag, F.lit(False))), results.where(F.coalesce(flag, F.lit(False)))
+
+
+def pending(samples: DataFrame, stage: str = "pending") -> DataFrame:
+    """Samples that no stage has taken yet."""
+    return samples.where(F.coalesce("stage", F.lit("pending")) == stage)
+
+
+def unflagged(samples: DataFrame) -> DataFrame:
+    """Samples that may go on to the second tier."""
+    return samples.where(~F.coalesce("flagged_for_review", F.lit(False)))
+
+
+def enriched(chunks: DataFrame) -> DataFrame:
+    """Chunks that have a topic."""
+    return chunks.where(F.coalesce("llm_topic", F.lit("")) != "")
+
+
+def missing_models(required: list[str], available: list[str]) -> list[str]:
+    """Required models that are not there, in their order."""
+    return [m for m in dict.fromkeys(required) if m not in set(available)]
+
+
 def needs_tier_one(code: Column, topic: Column) -> Column:
     return (F.length(code) >= 10) & (F.coalesce(topic, F.lit("")) == "")
 
@@ -117,22 +148,6 @@ def needs_tier_two(code: Column, prompt: Column, explanation: Column) -> Column:
     return (F.length(code) >= 10) & ((F.coalesce(prompt, F.lit("")) == "") | (F.coalesce(explanation, F.lit("")) == ""))
 
 
-def apply_tier_one(samples: DataFrame, results: DataFrame) -> DataFrame:
-    """Samples (id, ...) with llm_topic, llm_complexity, llm_bugs taken from results (id, topic, complexity, bugs as VARIANT of any shape); what a result lacks stays."""
-    v = F.col("r")
-    got = results.select(
-        "id",
-        F.coalesce(F.try_variant_get(v, "$.topic.primary", "string"), F.try_variant_get(v, "$.topic.primary_topic", "string"), F.try_variant_get(v, "$.topic[0]", "string"), F.try_variant_get(v, "$.topic", "string")).alias("new_topic"),
-        F.coalesce(F.try_variant_get(v, "$.complexity.overall", "string"), F.try_variant_get(v, "$.complexity.complexity", "string"), F.try_variant_get(v, "$.complexity", "string")).alias("new_complexity"),
-        F.to_json(F.coalesce(F.try_variant_get(v, "$.bugs.bugs", "variant"), F.try_variant_get(v, "$.bugs", "variant"))).alias("new_bugs"),
-    )
-    out = samples.join(got, "id", "left")
-    for name in ("topic", "complexity", "bugs"):
-        old = F.col(f"llm_{name}") if f"llm_{name}" in samples.columns else F.lit(None).cast("string")
-        out = out.withColumn(f"llm_{name}", F.coalesce(f"new_{name}", old)).drop(f"new_{name}")
-    return out
-
-
 def fill_missing(old: Column, new: Column) -> Column:
     """Generated fields never overwrite."""
     return F.when(F.coalesce(old, F.lit("")) == "", new).otherwise(old)
@@ -148,8 +163,26 @@ def batch_stats(results: DataFrame) -> DataFrame:
 
 
 def by_priority(jobs: DataFrame) -> DataFrame:
-    """Jobs in the order of service: priority, then arrival (column ord)."""
-    return jobs.withColumn("turn", F.row_number().over(Window.orderBy(F.desc("priority"), "ord")))
+    """Jobs in the order of service: priority, then arrival (column ord). turn ascends in that order, with gaps; the sort is by ranges, over all tasks."""
+    return jobs.orderBy(F.desc("priority"), "ord").withColumn("turn", F.monotonically_increasing_id())
+
+
+def asked_models(routed: DataFrame, fallbacks: int = 2) -> DataFrame:
+    """Of routed tasks that are put to a vote, one row for each model asked: the first, and so many of its fallbacks. ord is the place in that order."""
+    chain = F.concat(F.array("model"), F.slice(F.coalesce("fallbacks", F.array().cast("array<string>")), 1, fallbacks))
+    return routed.where(F.col("task").isin(*VOTED)).select("task_id", "task", "input", F.posexplode(chain).alias("ord", "model")).where("model is not null")
+
+
+def vote(tasks: DataFrame, models: DataFrame, model: Model, fallbacks: int = 2) -> DataFrame:
+    """task_id, winner, votes, asked, consensus, result: tasks answered by several models each; the result is the first (by model) of the winning vote."""
+    asked = asked_models(route(tasks, models), fallbacks)
+    one = asked.select(F.concat_ws("#", "task_id", F.col("ord").cast("string")).alias("task_id"), "task", "input", "model", F.array().cast("array<string>").alias("fallbacks"))
+    got = call_models(one, model)
+    name, place = F.substring_index("task_id", "#", -1).cast("int"), F.regexp_replace("task_id", "#[0-9]+$", "")
+    keyed = got.select(place.alias("task_id"), name.alias("ord"), "result", vote_key(F.col("task"), F.try_parse_json("result")).alias("vote"))
+    best = consensus(keyed)
+    first = keyed.join(best.select("task_id", F.col("winner").alias("vote")), ["task_id", "vote"]).groupBy("task_id").agg(F.min_by("result", "ord").alias("result"))
+    return best.join(first, "task_id", "left")
 
 
 def declared_contexts() -> list[str]:

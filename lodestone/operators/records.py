@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import code as C
 from ..functions import packs as P
@@ -23,14 +24,13 @@ llm_code_quality STRING, llm_complexity STRING, llm_bottlenecks ARRAY<STRING>, l
 """
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Every column of the schema in order; columns that are absent are null (never processed)."""
-    import re
+def chunk_schema() -> StructType:
+    return StructType.fromDDL(" ".join(CHUNK_SCHEMA.split()))
 
-    from pyspark.sql.types import StructType
 
-    fields = StructType.fromDDL(re.sub(r"\s+", " ", CHUNK_SCHEMA.strip()))
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+def conform(df: DataFrame) -> DataFrame:
+    """Every column of the schema in order; columns that are absent are null (never processed)."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in chunk_schema()])
 
 
 def migrate(raw: DataFrame, json_col: str = "value") -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import code as C
@@ -71,6 +71,22 @@ def authority(c: str = "source"):
     return (F.substring(c, 4, 9).cast("int") % 7).cast("double") / 10
 
 
+#: Snippets that are laid before texts by id, so that every class, rule and tie of the rule packs occurs.
+SNIPPETS = [
+    "", "short", "v@P += noise(@P) * 2;\n@Cd = hsvtorgb(@Time, 1, 1);", "int h = pcopen(0, 'P', @P, 1, 10); foreach (int p; nearpoints(0, @P, 1)) { removepoint(0, p); }", "float a = ch('amp') ; float b = chramp(\"r\", a);\nAbs(a); Dot(a, b); Solver(1); normalize(Vector(a))",
+    "matrix3 m = ident(); rotate(m, 1, {0,1,0}); vector4 q = quaternion(m); slerp(q, q, 0.5) ", "int pt = addpoint(0, @P); addprim(0, 'polyline', pt", "for (int i = 0; i < 3; i++) { setpointattrib(0, 'a', i, 1) }\nint x = 1", "vertexpoint(0, 1) + hedge_next(0, 1); neighbours(0, 1)",
+    "fit(clamp(sin(@P.x), 0, 1), 0, 1, 0, 1) + pow(2, 3)", "if (@ptnum == 0) { @Cd = 1; } else { @Cd = 0; }", "f = solver(prev_frame) + @Frame; dopfield(0)", "string s = sprintf('%d', 1); split(s); join({}, '')", "advect(curlnoise(@P)); streamline(1)",
+    "cinput(0, @IX, @IY) + @IR", "chinput(0) * sample_rate + @Channel", "cvex_bsdf(1) + renderstate('a') + gather(1)", "texture('a.jpg', @uv) + diffuse(nrm)", "@opinput1_P + osd_limitSurface(0) + usd_attrib(0) ; getglobalvariable('x')", "foreach (int i; array) { pcfind_radius(0); detailintrinsic(0, 'b'); inpointgroup(0, 'g', 1); }",
+    "dict d; setprimintrinsic(0, 'a', 0, 1); instance(1); @ptnum = 3; @numpt =1;", "how to setup the workflow, step 1 first then next", "the signature returns type and syntax of it", "there is an error and a bug and a problem that is not working", "personally i think this forum has a question and an answer", "an introduction: what is the basic concept",
+    "}} ) @numprim == 4\n// a = comment\ny = 2", "volumesample(0, 0, @P) + @voxelsize; Luminance(1); Length(x)", "thread and compile opencl", "chv('c'); ramp and lerp(1, 2, 3) detail(0, 'a', 0)",
+]
+PLANTED = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in SNIPPETS) + f"][CAST(doc_id % {len(SNIPPETS)} AS INTEGER) + 1]"
+
+
+def planted() -> Column:
+    return F.element_at(F.array(*map(F.lit, SNIPPETS)), (F.col("doc_id") % len(SNIPPETS)).cast("int") + 1)
+
+
 # ---- identity, exact dedup, unions
 
 
@@ -100,8 +116,7 @@ def source_union_ordered(spark, sf):
 
 @query(f"SELECT d.doc_id, d.source, coalesce(r.label, d.source) AS label FROM documents d LEFT JOIN (VALUES ('src1', 'first'), ('src2', 'second')) r(source, label) ON d.source = r.source")
 def source_labels(spark, sf):
-    names = spark.createDataFrame([("src1", "first"), ("src2", "second")], "source string, label string")
-    return read(spark, sf, "documents").select("doc_id", "source").join(F.broadcast(names), "source", "left").select("doc_id", "source", F.coalesce("label", "source").alias("label"))
+    return read(spark, sf, "documents").select("doc_id", "source", T.label_of(F.col("source"), {"src1": "first", "src2": "second"}).alias("label"))
 
 
 # ---- statistics
@@ -149,9 +164,9 @@ def batch_stats(spark, sf):
     return models.batch_stats(e.select(F.when(F.col("event_id") % 5 == 0, "error").otherwise("success").alias("status"), F.col("value").alias("confidence"), (F.col("event_id") % 7).cast("double").alias("seconds")))
 
 
-@query("SELECT doc_id, CASE WHEN n >= 30 THEN source ELSE 'misc' END AS grp FROM (SELECT doc_id, source, count(*) OVER (PARTITION BY lang, source) AS n FROM documents)".replace("lang, source", "source"))
+@query("SELECT doc_id, CASE WHEN n >= 30 THEN site ELSE 'misc' END AS grp FROM (SELECT doc_id, source || lang AS site, count(*) OVER (PARTITION BY source, lang) AS n FROM documents)")
 def topic_groups_having(spark, sf):
-    return stats.pooled_groups(read(spark, sf, "documents").select("doc_id", "source"), "source", 30).select("doc_id", "grp")
+    return stats.pooled_groups(read(spark, sf, "documents").select("doc_id", F.concat("source", "lang").alias("site")), "site", 30).select("doc_id", "grp")
 
 
 # ---- text functions
@@ -239,7 +254,7 @@ def keyword_weighted_search(spark, sf):
 
 
 NORMED = "v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / CASE WHEN n = 0 THEN 1 ELSE n END) AS v FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS n FROM embeddings))"
-DENSE = f"""{NORMED}, c AS (SELECT q.id AS query_id, v.id AS id, round(list_dot_product(q.v, v.v), 5) AS score FROM v q, v WHERE q.id % 100 = 0),
+DENSE = f"""{NORMED}, c AS (SELECT q.id AS query_id, v.id AS id, round(list_dot_product(q.v, v.v), 5) AS score FROM v q, v WHERE q.id % 50 = 0),
 e AS (SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM c)"""
 
 
@@ -253,7 +268,7 @@ def dense_topk(spark, sf):
     return _dense(spark, sf, 20)
 
 
-LEXICAL = f"asked AS (SELECT doc_id AS query_id, substr(text, 1, 80) AS query FROM documents WHERE doc_id % 100 = 0), {BM25}"
+LEXICAL = f"asked AS (SELECT doc_id AS query_id, text AS query FROM documents WHERE doc_id % 50 = 0), {BM25}"
 
 
 def _both(spark, sf, depth):
@@ -296,8 +311,13 @@ def eval_metrics(spark, sf):
 PAIRS = f"""WITH {SETS}, c AS (SELECT id, s, min(id) OVER (PARTITION BY list_sort(s)) AS cls FROM sets), u AS (SELECT id, s FROM c WHERE id = cls),
 x AS (SELECT id, len(s) AS n, unnest(s) AS g FROM u), o AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.id < b.id GROUP BY ALL),
 j AS (SELECT a, b, CAST(shared AS DOUBLE) / (na + nb - shared) AS similarity FROM o)"""
-ACTED = f"""{PAIRS}, k AS (SELECT a, b, similarity, x.source AS source_a, y.source AS source_b, {AUTHORITY.replace('source', 'x.source')} AS authority_a, {AUTHORITY.replace('source', 'y.source')} AS authority_b
-  FROM j JOIN documents x ON a = x.doc_id JOIN documents y ON b = y.doc_id WHERE similarity >= 0.8),
+#: Links of all members: a class stands by its member of highest authority, and its other members are linked to that one.
+LINKED = f"""{PAIRS}, w AS (SELECT c.id, c.cls, {AUTHORITY} AS w FROM c JOIN documents d ON d.doc_id = c.id),
+best AS (SELECT cls, id AS best FROM (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY w DESC, id) AS r FROM w) WHERE r = 1),
+l AS (SELECT least(x.best, y.best) AS a, greatest(x.best, y.best) AS b, similarity FROM j JOIN best x ON x.cls = j.a JOIN best y ON y.cls = j.b WHERE similarity >= 0.8
+  UNION ALL SELECT least(id, best), greatest(id, best), 1.0 FROM w JOIN best USING (cls) WHERE id <> best)"""
+ACTED = f"""{LINKED}, k AS (SELECT a, b, similarity, x.source AS source_a, y.source AS source_b, {AUTHORITY.replace('source', 'x.source')} AS authority_a, {AUTHORITY.replace('source', 'y.source')} AS authority_b
+  FROM l JOIN documents x ON a = x.doc_id JOIN documents y ON b = y.doc_id),
 z AS (SELECT *, CASE WHEN similarity > 0.95 THEN 'DROP' WHEN similarity > 0.9 THEN 'MERGE' ELSE 'LINK' END AS action, CASE WHEN authority_b > authority_a THEN b ELSE a END AS keep, CASE WHEN authority_b > authority_a THEN a ELSE b END AS other FROM k)"""
 
 
@@ -341,47 +361,98 @@ def apply_dedup(spark, sf):
     return dedup.apply_actions(read(spark, sf, "documents").select("doc_id", "source"), _acted(spark, sf), "doc_id")
 
 
-@query(f"""WITH RECURSIVE {PAIRS.removeprefix('WITH ')}, e AS (SELECT a, b FROM j WHERE similarity >= 0.8 UNION SELECT b, a FROM j WHERE similarity >= 0.8),
-t(node, comp) AS (SELECT a, a FROM e UNION SELECT e.b, t.comp FROM t JOIN e ON e.a = t.node), m AS (SELECT node, min(comp) AS cluster FROM t GROUP BY node)
-SELECT cluster, array_to_string(list_sort(list(node)), ',') AS members, count(*) AS size FROM m GROUP BY cluster""")
+CLUSTERED = f"""WITH RECURSIVE {LINKED.removeprefix('WITH ')}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t(node, comp) AS (SELECT a, a FROM e UNION SELECT e.b, t.comp FROM t JOIN e ON e.a = t.node), m AS (SELECT node, min(comp) AS cluster FROM t GROUP BY node)"""
+
+
+@query(f"""{CLUSTERED} SELECT cluster, array_to_string(list_sort(list(node)), ',') AS members, count(*) AS size FROM m GROUP BY cluster""")
 def dup_clusters(spark, sf):
     found = dedup.clusters(_linked(spark, sf)[0])
     return found.select("cluster", F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"), "size")
 
 
-MIN = ", ".join(f"min(({a} * (h % {dedup.PRIME}) + {b}) % {dedup.PRIME}) AS p{i}" for i, (a, b) in enumerate(dedup.permutations(32)))
-SIGNED = f"{SETS}, h AS (SELECT id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) AS h FROM (SELECT id, unnest(s) AS g FROM sets)), m AS (SELECT id, {MIN} FROM h GROUP BY id)"
-SIGNATURE = "[" + ", ".join(f"p{i}" for i in range(32)) + "]"
+@query(f"{CLUSTERED} SELECT node AS id, cluster FROM m")
+def cluster_members(spark, sf):
+    return dedup.membership(_linked(spark, sf)[0])
+
+
+@query(f"""{PAIRS}, n AS (SELECT cls, count(*) AS n FROM c GROUP BY cls), e AS (SELECT a, b FROM j WHERE similarity >= 0.8 UNION ALL SELECT b, a FROM j WHERE similarity >= 0.8),
+k AS (SELECT e.a AS cls, sum(n) AS links FROM e JOIN n ON n.cls = e.b GROUP BY e.a) SELECT c.id, c.cls AS class, CAST(coalesce(links, 0) AS BIGINT) AS links FROM c LEFT JOIN k USING (cls)""")
+def link_counts(spark, sf):
+    sets = _sets(spark, sf)
+    return dedup.link_counts(dedup.jaccard_pairs(sets, 0.8), dedup.classes(sets))
+
+
+@query(f"{ACTED} SELECT a, b, action FROM z WHERE action IN ('DROP', 'MERGE')")
+def dedup_actionable(spark, sf):
+    return dedup.actionable(_acted(spark, sf)).select("a", "b", "action")
+
+
+@query(f"""{CLUSTERED}, {ACTED[len(LINKED):].lstrip(', ')}
+SELECT count(*) AS pairs, CAST(count_if(action = 'DROP') AS BIGINT) AS "drop", CAST(count_if(action = 'MERGE') AS BIGINT) AS "merge", CAST(count_if(action = 'LINK') AS BIGINT) AS link, CAST(count_if(source_a <> source_b) AS BIGINT) AS cross_source, CAST(count_if(source_a = source_b) AS BIGINT) AS same_source,
+  (SELECT count(DISTINCT cluster) FROM m) AS clusters, (SELECT count(*) FROM sets) AS indexed, (SELECT count(*) FROM documents) - (SELECT count(*) FROM sets) AS skipped, CAST(0.8 AS DOUBLE) AS threshold FROM z""")
+def dedup_report(spark, sf):
+    sets, docs = _sets(spark, sf), read(spark, sf, "documents")
+    links, _ = _linked(spark, sf)
+    indexed = sets.count()
+    return dedup.report_stats(_acted(spark, sf), dedup.membership(links), indexed, docs.count() - indexed, 0.8)
+
+
+MIN = ", ".join(f"min(({a} * (h % {dedup.PRIME}) + {b}) % {dedup.PRIME}) AS p{i}" for i, (a, b) in enumerate(dedup.permutations()))
+SIGNATURE = "[" + ", ".join(f"p{i}" for i in range(128)) + "]"
+SIGNED = f"h AS (SELECT id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) AS h FROM (SELECT id, unnest(s) AS g FROM sets)), signed AS (SELECT id, {SIGNATURE} AS sig FROM (SELECT id, {MIN} FROM h GROUP BY id))"
 
 
-@query(f"WITH {SIGNED} SELECT id, array_to_string({SIGNATURE}, ',') AS signature FROM m")
+@query(f"WITH {SETS}, {SIGNED} SELECT id, array_to_string(sig, ',') AS signature FROM signed")
 def minhash_signature(spark, sf):
     return dedup.minhash(_sets(spark, sf)).select("id", F.array_join(F.transform("signature", lambda p: p.cast("string")), ",").alias("signature"))
 
 
+def _representatives(spark, sf):
+    """Classes of equal sets, and the first of each with its set."""
+    sets = _sets(spark, sf)
+    members = dedup.classes(sets)
+    return members, sets.join(members.where("id = class").select("id"), "id", "left_semi")
+
+
 def _candidates(spark, sf):
-    """Classes of equal sets, the first of each with its set, and pairs of these that share a band.
+    """Classes of equal sets, and pairs of the first of each that share a band.
 
-    All 128 permutations in bands of 4 give every pair that fewer bands of 4 give; dedup.BANDS would miss 60% of pairs at 0.8.
+    All 128 permutations in bands of 4 give every pair that fewer bands of 4 give.
     """
-    members = dedup.classes(_sets(spark, sf))
-    reps = members.where("id = class").select("id", "set")
-    return members, reps, dedup.lsh_candidates(dedup.minhash(reps), 32, 4)
+    members, reps = _representatives(spark, sf)
+    return members, dedup.lsh_candidates(dedup.minhash(reps), 32, 4)
+
 
+def _banded(bands: int, rows: int) -> str:
+    return f"""b AS (SELECT signed.id, k, sig[{rows} * k + 1 : {rows} * k + {rows}] AS v FROM signed JOIN c ON signed.id = c.id AND c.id = c.cls, range({bands}) r(k)),
+cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM b x JOIN b y ON x.k = y.k AND x.v = y.v AND x.id < y.id)"""
 
-CANDIDATES = f"WITH {SIGNED}, g AS (SELECT min(id) AS id, {SIGNATURE} AS s FROM m GROUP BY {SIGNATURE}), b AS (SELECT id, k, s[4 * k + 1 : 4 * k + 4] AS w FROM g, range(8) r(k)), cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM b x JOIN b y ON x.k = y.k AND x.w = y.w AND x.id < y.id)"
 
+COPIES = "SELECT cls AS a, id AS b FROM c WHERE id <> cls"
 
-@query(f"{CANDIDATES} SELECT a, b FROM cand")
+
+@query(f"{PAIRS}, {SIGNED}, {_banded(32, 4)} SELECT a, b FROM cand UNION ALL {COPIES}")
 def lsh_candidates(spark, sf):
-    members, _, found = _candidates(spark, sf)
+    members, found = _candidates(spark, sf)
     return found.unionByName(dedup.copy_links(members))
 
 
-@query(f"{CANDIDATES}, e AS (SELECT a, b, CAST(list_sum(list_transform(range(1, 33), lambda i: CAST(x.s[i] = y.s[i] AS INTEGER))) AS DOUBLE) / 32 AS similarity FROM cand JOIN g x ON a = x.id JOIN g y ON b = y.id) SELECT a, b, similarity FROM e WHERE similarity >= 0.8")
+@query(f"{PAIRS}, {SIGNED}, {_banded(32, 4)} SELECT a, b, round(similarity, 6) AS similarity FROM j JOIN cand USING (a, b) WHERE similarity >= 0.8 UNION ALL SELECT a, b, 1.0 FROM ({COPIES})")
 def minhash_pairs(spark, sf):
-    members, reps, found = _candidates(spark, sf)
-    return dedup.exact_pairs(reps, found, 0.8).unionByName(dedup.copy_links(members).withColumn("similarity", F.lit(1.0)))
+    members, found = _candidates(spark, sf)
+    near = dedup.exact_pairs(members.where("id = class").select("id", "set"), found, 0.8).withColumn("similarity", F.round("similarity", 6))
+    return near.unionByName(dedup.copy_links(members).withColumn("similarity", F.lit(1.0)))
+
+
+@query(f"""{PAIRS}, {SIGNED}, {_banded(*dedup.BANDS[0.85])}, e AS (SELECT a, b, CAST(list_sum(list_transform(range(1, 129), lambda i: CAST(x.sig[i] = y.sig[i] AS INTEGER))) AS DOUBLE) / 128 AS similarity FROM cand JOIN signed x ON a = x.id JOIN signed y ON b = y.id)
+SELECT a, b, similarity FROM e WHERE similarity >= 0.85 UNION ALL SELECT a, b, 1.0 FROM ({COPIES})""")
+def minhash_estimates(spark, sf):
+    """Bands and estimates as for a report at 0.85: pairs by the share of equal permutations, without whole sets."""
+    members, reps = _representatives(spark, sf)
+    signed = dedup.minhash(reps)
+    found = dedup.estimated_pairs(signed, dedup.lsh_candidates(signed, *dedup.BANDS[0.85]), 0.85)
+    return found.unionByName(dedup.copy_links(members).withColumn("similarity", F.lit(1.0)))
 
 
 @query(f"""WITH {SETS}, q AS (SELECT item_id, unnest({SHINGLES}) AS g FROM (SELECT item_id, {WORDS.format('lower(text)')} AS w FROM benchmark)), d AS (SELECT id, unnest(s) AS g FROM sets),
@@ -406,39 +477,58 @@ FOUND = "list_concat(" * (len(P.CONTEXT_SIGNALS) - 1) + ", ".join((f"CASE WHEN {
 CONTEXTS = f"CASE WHEN len(f) = 0 THEN NULL WHEN len(f) = 1 AND {_any('code', P.SOP_SIGNALS)} THEN array_to_string(list_sort(list_append(f, 'sop')), ',') ELSE array_to_string(list_sort(f), ',') END"
 
 
-@query(f"SELECT doc_id, {TYPE} AS content_type FROM (SELECT doc_id, text AS content, doc_id % 2 = 0 AS has_code, lower(text || ' ' || source) AS t FROM documents)")
+CODED = f"(SELECT doc_id, source, {PLANTED} || ' ' || text AS content, {PLANTED} AS code FROM documents)"
+
+
+def coded(spark, sf):
+    """Documents with a planted snippet as code, and before their text."""
+    return read(spark, sf, "documents").withColumn("code", planted()).withColumn("content", F.concat("code", F.lit(" "), "text"))
+
+
+@query(f"SELECT doc_id, {TYPE} AS content_type FROM (SELECT doc_id, content, doc_id % 2 = 0 AS has_code, lower(content || ' ' || source) AS t FROM (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN code ELSE content END AS content) FROM {CODED}))")
 def classify_content_type(spark, sf):
-    d = read(spark, sf, "documents")
-    return d.select("doc_id", C.content_type(F.col("text"), F.col("source"), F.col("doc_id") % 2 == 0, F.lit(False)).alias("content_type"))
+    d = coded(spark, sf).withColumn("content", F.when(F.col("doc_id") % 5 == 0, F.col("code")).otherwise(F.col("content")))
+    return d.select("doc_id", C.content_type(F.col("content"), F.col("source"), F.col("doc_id") % 2 == 0, F.lit(False)).alias("content_type"))
 
 
-@query(f"SELECT doc_id, {LEVEL} AS difficulty FROM (SELECT doc_id, text AS code, lower(text || ' ' || source) AS t FROM documents)")
+@query(f"SELECT doc_id, {LEVEL} AS difficulty FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN code ELSE content END AS code, lower((CASE WHEN doc_id % 2 = 0 THEN code ELSE content END) || ' ' || source) AS t FROM {CODED}) WHERE code <> ''")
 def classify_difficulty(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", C.difficulty(F.col("text"), F.col("source")).alias("difficulty"))
+    d = coded(spark, sf).withColumn("code", F.when(F.col("doc_id") % 2 == 0, F.col("code")).otherwise(F.col("content"))).where("code <> ''")
+    return d.select("doc_id", C.difficulty(F.col("code"), F.col("source")).alias("difficulty"))
 
 
-@query(f"SELECT page_id, {CONTEXTS} AS contexts FROM (SELECT page_id, html AS code, {FOUND.replace('code', 'html')} AS f FROM pages)")
+@query(f"SELECT doc_id, {CONTEXTS} AS contexts FROM (SELECT doc_id, code, {FOUND} AS f FROM {CODED})")
 def detect_contexts(spark, sf):
-    return read(spark, sf, "pages").select("page_id", F.array_join(C.contexts(F.col("html")), ",").alias("contexts"))
+    return coded(spark, sf).select("doc_id", F.array_join(C.contexts(F.col("code")), ",").alias("contexts"))
+
+
+LOCAL_FOUND = "list_sort(list_distinct(list_filter([" + ", ".join(f"CASE WHEN {_any('code', x)} THEN '{c}' END" for c, x in P.LOCAL_CONTEXTS) + "], lambda c: c IS NOT NULL)))"
+
+
+@query(f"SELECT doc_id, CASE WHEN len(f) > 0 THEN array_to_string(f, ',') ELSE 'sop' END AS contexts FROM (SELECT doc_id, {LOCAL_FOUND} AS f FROM {CODED})")
+def local_contexts(spark, sf):
+    return coded(spark, sf).select("doc_id", F.array_join(C.local_contexts(F.col("code")), ",").alias("contexts"))
 
 
 VERSIONS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(code, {_q(p)}) THEN {_q(v)} END" for p, v, _ in P.VERSION_RULES) + "], lambda x: x IS NOT NULL)"
 NOTES = "array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(code, {_q(p)}) THEN {_q(n)} END" for p, _, n in P.VERSION_RULES) + "], lambda x: x IS NOT NULL), '; ')"
 
 
-@query(f"SELECT doc_id, coalesce(list_max({VERSIONS}), '') AS version, {NOTES} AS notes FROM (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' chramp dict' ELSE ' instance' END AS code FROM documents)")
+@query(f"SELECT doc_id, coalesce(list_max({VERSIONS}), '') AS version, {NOTES} AS notes FROM {CODED}")
 def version_detect(spark, sf):
-    code = F.concat("text", F.when(F.col("doc_id") % 3 == 0, " chramp dict").otherwise(" instance"))
-    v, notes = C.version(code)
-    return read(spark, sf, "documents").select("doc_id", v.alias("version"), notes.alias("notes"))
+    v, notes = C.version(F.col("code"))
+    return coded(spark, sf).select("doc_id", v.alias("version"), notes.alias("notes"))
 
 
 BEST = "list_max([" + ", ".join(f"{{'n': {_count('code', s)}, 'o': {-k}, 'c': '{c}'}}" for k, (c, s) in enumerate(P.TOPIC_SIGNALS.items())) + "])"
 
 
-@query(f"SELECT doc_id, CASE WHEN length(code) < 10 THEN '' WHEN b.n > 0 THEN b.c ELSE 'math_operations' END AS topic FROM (SELECT doc_id, code, {BEST} AS b FROM (SELECT doc_id, text AS code FROM documents))")
+TOPIC = f"CASE WHEN length(code) < 10 THEN '' WHEN b.n > 0 THEN b.c ELSE 'math_operations' END"
+
+
+@query(f"SELECT doc_id, {TOPIC} AS topic FROM (SELECT doc_id, code, {BEST} AS b FROM {CODED})")
 def topic_argmax(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", C.topic(F.col("text")).alias("topic"))
+    return coded(spark, sf).select("doc_id", C.topic(F.col("code")).alias("topic"))
 
 
 NAMES = ["Point Cloud Operations", "flow visualization, x", " Some New Topic ", "edge topology, edge operations", "single", "Mixed Case, rest", "array operations"]
@@ -453,16 +543,29 @@ def topic_normalize(spark, sf):
     return c.select("name", C.normal_topic(F.col("name")).alias("topic"), "n")
 
 
-TAGGED = f"(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'discussion' ELSE '' END AS ct, CASE WHEN doc_id % 4 = 0 THEN 'expert' ELSE 'beginner' END AS df, text AS content, text AS code, TRUE AS has_code, lower(text || ' ' || source) AS t FROM documents)"
+TAGGED = f"""(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'discussion' WHEN doc_id % 3 = 1 THEN 'concept' ELSE '' END AS ct, CASE WHEN doc_id % 4 = 0 THEN 'expert' WHEN doc_id % 4 = 1 THEN '' ELSE 'beginner' END AS df,
+  CASE WHEN doc_id % 5 = 0 THEN 'cvex' WHEN doc_id % 5 = 1 THEN '' ELSE 'sop' END AS ctx, CASE WHEN doc_id % 2 = 0 THEN '' ELSE '18.0' END AS ver, source, content, code, code <> '' AS has_code, lower(content || ' ' || source) AS t, {FOUND} AS f FROM {CODED})"""
 
 
-@query(f"""SELECT doc_id, CASE WHEN ct IN ('', 'concept') THEN {TYPE} ELSE ct END AS content_type, CASE WHEN df IN ('', 'beginner') THEN {LEVEL.replace("'; '", "'; '")} ELSE df END AS difficulty,
-CAST((CASE WHEN ct IN ('', 'concept') AND {TYPE} <> ct THEN 1 ELSE 0 END) + (CASE WHEN df IN ('', 'beginner') AND {LEVEL} <> df THEN 1 ELSE 0 END) AS INTEGER) AS n_decisions FROM (SELECT *, NULL AS x FROM {TAGGED.replace("lower(text || ' ' || source)", "lower(text || ' ' || source)")})""")
+@query(f"""WITH w AS (SELECT *, {TYPE} AS new_ct FROM {TAGGED}), x AS (SELECT *, {LEVEL} AS new_df, {CONTEXTS} AS new_ctx, coalesce(list_max({VERSIONS}), '') AS new_ver FROM (SELECT * REPLACE (lower(code || ' ' || content || ' ' || source) AS t) FROM w)),
+y AS (SELECT *, ct IN ('', 'concept') AND new_ct <> ct AS c1, df IN ('', 'beginner') AND new_df <> df AS c2, ctx IN ('', 'sop') AND new_ctx IS NOT NULL AND new_ctx <> ctx AS c3, ver = '' AND new_ver <> '' AS c4 FROM x)
+SELECT doc_id, CASE WHEN c1 THEN new_ct ELSE ct END AS content_type, CASE WHEN c2 THEN new_df ELSE df END AS difficulty, CASE WHEN c3 THEN new_ctx ELSE ctx END AS contexts, CASE WHEN c4 THEN new_ver ELSE ver END AS version,
+  array_to_string(list_filter([CASE WHEN c1 THEN 'content_type: ' || CASE WHEN ct = '' THEN 'empty' ELSE ct END || ' -> ' || new_ct END, CASE WHEN c2 THEN 'difficulty: ' || CASE WHEN df = '' THEN 'empty' ELSE df END || ' -> ' || new_df END,
+  CASE WHEN c3 THEN 'vex_context: [' || CASE WHEN ctx = '' THEN '' ELSE chr(39) || ctx || chr(39) END || '] -> [' || chr(39) || replace(new_ctx, ',', chr(39) || ', ' || chr(39)) || chr(39) || ']' END, CASE WHEN c4 THEN 'houdini_version_min: ' || new_ver END], lambda d: d IS NOT NULL), '; ') AS decisions FROM y""")
 def tag_merge_decisions(spark, sf):
-    d = read(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "discussion").otherwise("").alias("content_type"), F.when(F.col("doc_id") % 4 == 0, "expert").otherwise("beginner").alias("difficulty"),
-        F.array(F.lit("cvex")).alias("vex_context"), F.lit("18.0").alias("houdini_version_min"), F.lit("").alias("houdini_version_notes"), F.col("text").alias("content"), F.col("source").alias("title"))
-    tagged = records.tag(d, F.col("content"), F.lit(False))
-    return tagged.select("doc_id", "content_type", "difficulty", F.size("decisions").alias("n_decisions"))
+    tagged = _tagged(spark, sf)
+    return tagged.select("doc_id", "content_type", "difficulty", F.array_join("vex_context", ",").alias("contexts"), F.col("houdini_version_min").alias("version"), F.array_join("decisions", "; ").alias("decisions"))
+
+
+def _tagged(spark, sf):
+    n = lambda k: F.col("doc_id") % k
+    none = F.array().cast("array<string>")
+    d = coded(spark, sf).select(
+        "doc_id", F.when(n(3) == 0, "discussion").when(n(3) == 1, "concept").otherwise("").alias("content_type"), F.when(n(4) == 0, "expert").when(n(4) == 1, "").otherwise("beginner").alias("difficulty"),
+        F.when(n(5) == 0, F.array(F.lit("cvex"))).when(n(5) == 1, none).otherwise(F.array(F.lit("sop"))).alias("vex_context"), F.when(n(2) == 0, "").otherwise("18.0").alias("houdini_version_min"), F.lit("").alias("houdini_version_notes"),
+        "content", F.col("source").alias("title"), "code",
+    )
+    return records.tag(d, F.col("code"), F.lit(False))
 
 
 BUGGY = "(SELECT doc_id, text AS code, CASE WHEN doc_id % 2 = 0 THEN ['resource_leak', 'style'] ELSE ['pcopen misuse'] END AS bugs FROM documents)"
@@ -477,10 +580,15 @@ def repair_corpus(spark, sf):
     return r.select("doc_id", F.array_join(F.transform("llm_bugs", lambda b: b["type"]), ",").alias("bugs"), F.col("llm_code_quality").alias("quality"))
 
 
-@query(r"""SELECT page_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(list_filter(regexp_extract_all(html, '(?:^|[^.@#\w])([a-zA-Z_]\w*)\s*\(', 1), lambda f: NOT list_contains(['if','else','for','while','do','return','break','continue','switch','case','default','struct','typedef','define','include','pragma','foreach'], lower(f))),
-  lambda f: CASE WHEN list_contains(['vector','float','int','string','matrix','matrix3'], lower(f)) THEN lower(f) ELSE f END), lambda f: regexp_matches(f, '^[a-z]')))), ',') AS calls FROM pages""")
+_LIST = lambda xs: "[" + ", ".join(map(_q, xs)) + "]"
+#: Brackets are doubled, as a match takes the bracket before a name with it.
+CALLS = rf"""list_sort(list_distinct(list_filter(list_transform(list_filter(regexp_extract_all(replace(code, '(', '(('), '(?:^|[^.@#\w])([a-zA-Z_]\w*)\s*\(', 1), lambda f: NOT list_contains({_LIST(P.NOT_CALLS)}, lower(f))),
+  lambda f: CASE WHEN list_contains({_LIST(P.CASTS)}, lower(f)) THEN lower(f) ELSE f END), lambda f: regexp_matches(f, '^[a-z]') OR list_contains({_LIST(sorted(set(P.KNOWN_CALLS)))}, lower(f)))))"""
+
+
+@query(f"SELECT doc_id, array_to_string({CALLS}, ',') AS calls FROM {CODED}")
 def extract_calls(spark, sf):
-    return read(spark, sf, "pages").select("page_id", F.array_join(C.calls(F.col("html")), ",").alias("calls"))
+    return coded(spark, sf).select("doc_id", F.array_join(C.calls(F.col("code")), ",").alias("calls"))
 
 
 @query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '@(\w+)', 1), lambda a: NOT list_contains(regexp_extract_all(text, '@(\w+)\s*=', 1), a)))), ',') AS read, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '@(\w+)\s*=', 1))), ',') AS written
@@ -491,17 +599,43 @@ def attr_read_write(spark, sf):
     return d.select("doc_id", F.array_join(a["read"], ",").alias("read"), F.array_join(a["written"], ",").alias("written"))
 
 
-BAL = "length(html) - length(replace(html, '{0}', '')) - (length(html) - length(replace(html, '{1}', '')))"
+BAL = "(length(code) - length(replace(code, '{0}', '')) - (length(code) - length(replace(code, '{1}', ''))))"
+
+
+def _balance(a: str, b: str, name: str) -> str:
+    n = BAL.format(a, b)
+    return f"CASE WHEN {n} > 0 THEN 'Unclosed {name}: ' || {n} || ' more {a} than {b}' WHEN {n} < 0 THEN 'Extra closing {name}: ' || -{n} || ' more {b} than {a}' END"
+
+
+WARNINGS = rf"""list_filter(list_concat(list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN NOT (lines[i] = '' OR regexp_matches(lines[i], '[;{{}},(\\:]$') OR regexp_matches(lines[i], '^(?://|#|/\*|\*)') OR ends_with(lines[i], '*/') OR NOT contains(lines[i], '='))
+  THEN 'Line ' || i || ': possible missing semicolon: ' || substr(lines[i], 1, 60) END), [{_balance('{', '}', 'braces')}, {_balance('(', ')', 'parentheses')}, {", ".join(f"CASE WHEN regexp_matches(code, {_q(p)}) THEN {_q(m)} END" for p, m in P.DEPRECATED)},
+  CASE WHEN contains(code, 'pcopen') AND NOT contains(code, 'pcclose') THEN 'pcopen() called without pcclose() -- potential resource leak' END, {", ".join(rf"CASE WHEN regexp_matches(code, '@{a}\s*=') THEN 'Assigning to @{a} -- this is a read-only attribute' END" for a in P.READ_ONLY)}]), lambda x: x IS NOT NULL)"""
+WARNED = rf"(SELECT *, {WARNINGS} AS warnings FROM (SELECT *, list_transform(string_split({STRIP.format('code')}, chr(10)), lambda l: regexp_replace(l, '^\s+|\s+$', '', 'g')) AS lines FROM {CODED}))"
+
+
+@query(f"SELECT doc_id, array_to_string(warnings, '|') AS warnings FROM {WARNED}")
+def validate_code(spark, sf):
+    return coded(spark, sf).select("doc_id", F.array_join(C.warnings(F.col("code")), "|").alias("warnings"))
 
 
-@query(f"""SELECT page_id, CAST({BAL.format('{', '}')} AS INTEGER) AS braces, CAST({BAL.format('(', ')')} AS INTEGER) AS parens FROM pages WHERE {BAL.format('{', '}')} <> 0 OR {BAL.format('(', ')')} <> 0""")
+@query(f"SELECT doc_id, CAST({BAL.format('{', '}')} AS INTEGER) AS braces, CAST({BAL.format('(', ')')} AS INTEGER) AS parens FROM {CODED} WHERE {BAL.format('{', '}')} <> 0 OR {BAL.format('(', ')')} <> 0")
 def validate_balance(spark, sf):
-    warned = read(spark, sf, "pages").select("page_id", "html", C.warnings(F.col("html")).alias("w")).where(F.exists("w", lambda x: x.rlike("braces|parentheses")))
+    warned = coded(spark, sf).select("doc_id", "code", C.warnings(F.col("code")).alias("w")).where(F.exists("w", lambda x: x.rlike("braces|parentheses")))
+    return warned.select("doc_id", C.balance(F.col("code"), "{", "}").alias("braces"), C.balance(F.col("code"), "(", ")").alias("parens"))
 
-    def diff(a: str, b: str):
-        return F.length(F.regexp_replace("html", f"[^{a}]", "")) - F.length(F.regexp_replace("html", f"[^{b}]", ""))
 
-    return warned.select("page_id", diff(r"{", r"}").alias("braces"), diff(r"(", r")").alias("parens"))
+@query(f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(list_concat(['zz', 'abs'], CASE WHEN doc_id % 2 = 0 THEN ['noise'] ELSE CAST([] AS VARCHAR[]) END), {CALLS}))), ',') AS calls, array_to_string(list_concat(['Unclosed braces: 1 more {{ than }}'], list_filter(warnings, lambda w: w <> 'Unclosed braces: 1 more {{ than }}')), '|') AS warnings FROM {WARNED}")
+def enrich_chunks(spark, sf):
+    return _extracted(spark, sf).select("doc_id", F.array_join("functions_referenced", ",").alias("calls"), F.array_join("validation_warnings", "|").alias("warnings"))
+
+
+def _unextracted(spark, sf):
+    old = F.concat(F.array(F.lit("zz"), F.lit("abs")), F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("noise"))).otherwise(F.array().cast("array<string>")))
+    return coded(spark, sf).select("doc_id", "code", old.alias("functions_referenced"), F.array(F.lit("Unclosed braces: 1 more { than }")).alias("validation_warnings"))
+
+
+def _extracted(spark, sf):
+    return records.extract(_unextracted(spark, sf), F.col("code"))
 
 
 @query(rf"""SELECT doc_id, CASE WHEN l <= 2 AND doc_id % 9 <= 2 THEN 'simple' WHEN l <= 8 AND doc_id % 9 <= 5 THEN 'moderate' ELSE 'complex' END AS complexity FROM (SELECT doc_id, {LINES} AS l FROM (SELECT doc_id, text AS code FROM documents))""")
@@ -514,9 +648,9 @@ def snippet_predicate(spark, sf):
     return read(spark, sf, "documents").select("doc_id", C.looks_like_snippet(F.col("text")).alias("snippet"))
 
 
-@query(f"SELECT doc_id, CASE WHEN {_any('t', P.LOCAL_ADVANCED)} THEN 'advanced' WHEN {_any('t', P.LOCAL_INTERMEDIATE)} THEN 'intermediate' ELSE 'beginner' END AS difficulty FROM (SELECT doc_id, lower(text) || ' ' AS t FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN {_any('t', P.LOCAL_ADVANCED)} THEN 'advanced' WHEN {_any('t', P.LOCAL_INTERMEDIATE)} THEN 'intermediate' ELSE 'beginner' END AS difficulty FROM (SELECT doc_id, lower(source || ' ' || code) AS t FROM {CODED})")
 def local_difficulty(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", C.local_difficulty(F.col("text"), F.lit("")).alias("difficulty"))
+    return coded(spark, sf).select("doc_id", C.local_difficulty(F.col("source"), F.col("code")).alias("difficulty"))
 
 
 @query("SELECT n, CASE WHEN n <= 2 THEN 'beginner' WHEN n <= 4 THEN 'intermediate' WHEN n <= 7 THEN 'advanced' ELSE 'expert' END AS difficulty, c FROM (SELECT event_id % 10 + 1 AS n, count(*) AS c FROM events GROUP BY 1)")
@@ -553,9 +687,13 @@ def _edges(spark, sf):
     d = read(spark, sf, "documents")
     name = F.concat(F.lit("d"), F.col("doc_id").cast("string"))
     chunks = d.select(name.alias("id"), F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("curlnoise"), F.lit("noise"))).when(F.col("doc_id") % 5 == 1, F.array(F.lit("invert"))).otherwise(F.array(F.lit("other"))).alias("calls"))
-    first = read(spark, sf, "conversations").groupBy(F.col("conv_id").alias("episode")).agg(F.min("turn").alias("t")).select("episode", F.concat_ws("_", F.concat(F.lit("c"), F.col("episode").cast("string")), F.col("t").cast("string")).alias("id"))
-    mentions = d.where("doc_id % 11 = 0").select(name.alias("id"), (F.col("doc_id") % 400).alias("episode"))
-    return graph.prerequisite_edges(chunks, _intros(spark, sf, 2), first, mentions)
+    told = d.select(name.alias("id"), F.concat("text", F.when(F.col("doc_id") % 11 == 0, F.concat(F.lit(" as shown in Joy of  VEX"), (F.col("doc_id") % 400).cast("string"), F.lit("."))).otherwise("")).alias("text"))
+    return graph.prerequisite_edges(chunks, _intros(spark, sf, 2), _episodes(spark, sf), graph.mentions(told, F.col("text")))
+
+
+def _episodes(spark, sf):
+    turns = read(spark, sf, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("id"), F.col("conv_id").alias("episode"), F.col("turn").alias("ord"))
+    return graph.first_of_episodes(turns)
 
 
 @query(f"WITH {EDGES} SELECT src, dst, rule FROM g")
@@ -563,9 +701,9 @@ def prereq_edges(spark, sf):
     return _edges(spark, sf)
 
 
-@query(f"WITH {EDGES} SELECT count(DISTINCT src) AS chunks_with_prereqs, count(*) AS total_links FROM (SELECT DISTINCT src, dst FROM g)")
+@query(f"WITH {EDGES} SELECT count(DISTINCT src) AS chunks_with_prereqs, count(*) AS total_links, (SELECT count(DISTINCT concept) FROM i) AS concepts, (SELECT count(*) FROM ep) AS episodes FROM (SELECT DISTINCT src, dst FROM g)")
 def prereq_stats(spark, sf):
-    return _edges(spark, sf).select("src", "dst").distinct().agg(F.countDistinct("src").alias("chunks_with_prereqs"), F.count("*").alias("total_links"))
+    return graph.graph_stats(_edges(spark, sf), _intros(spark, sf, 5), _episodes(spark, sf))
 
 
 # ---- sources over pages and JSON
@@ -573,7 +711,7 @@ def prereq_stats(spark, sf):
 
 @query(r"SELECT page_id, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS title FROM pages")
 def page_titles(spark, sf):
-    return read(spark, sf, "pages").select("page_id", F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1).alias("title"))
+    return read(spark, sf, "pages").select("page_id", html.first_heading(F.col("html")).alias("title"))
 
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[ \t\n\r\f]+', ' ', 'g')) AS text FROM pages""")
@@ -594,23 +732,23 @@ def html_links(spark, sf):
 
 @query(r"SELECT page_id, CASE WHEN n <= 5 THEN 'beginner' WHEN n <= 13 THEN 'intermediate' ELSE 'advanced' END AS difficulty FROM (SELECT page_id, CAST(regexp_extract(url, '(\d{1,2})\D*$', 1) AS INTEGER) AS n FROM pages WHERE regexp_matches(url, '\d{1,2}\D*$'))")
 def page_difficulty(spark, sf):
-    n = F.regexp_extract("url", r"(\d{1,2})\D*$", 1)
-    p = read(spark, sf, "pages").select("page_id", n.alias("n")).where("n <> ''").withColumn("n", F.col("n").cast("int"))
-    return p.select("page_id", F.when(F.col("n") <= 5, "beginner").when(F.col("n") <= 13, "intermediate").otherwise("advanced").alias("difficulty"))
+    p = read(spark, sf, "pages").select("page_id", html.page_number(F.col("url")).alias("n")).where("n is not null")
+    return p.select("page_id", T.number_difficulty(F.col("n")).alias("difficulty"))
 
 
 @query("SELECT k AS k, count(*) AS n FROM (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY k")
 def json_fields(spark, sf):
-    e = read(spark, sf, "events").select(F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+    e = files.json_values(read(spark, sf, "events"), "props", {"k": "bigint"})
     return e.groupBy("k").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, 'code' AS \"key\", event_type AS \"value\" FROM events UNION ALL SELECT event_id, 'snippet', 'n' || event_id FROM events")
+@query("""SELECT event_id, 'code' AS "key", 'int ' || event_type AS "value", 'e' || event_id AS id FROM events UNION ALL SELECT event_id, 'snippet', '@P' || event_id, '' FROM events WHERE event_id % 2 = 0""")
 def json_walk(spark, sf):
     e = read(spark, sf, "events")
-    inner = F.array(F.struct(F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("snippet")))
-    tree = F.to_json(F.struct(F.col("event_type").alias("code"), F.struct(F.struct(inner.alias("list")).alias("deep")).alias("a")))
-    return files.json_strings(e.select("event_id", tree.alias("tree")), "tree").drop("tree")
+    inner = F.array(F.struct(F.concat(F.when(F.col("event_id") % 2 == 0, "@P").otherwise("no code "), F.col("event_id").cast("string")).alias("snippet")))
+    tree = F.to_json(F.struct(F.concat(F.lit("int "), "event_type").alias("code"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), F.struct(F.struct(inner.alias("list")).alias("deep")).alias("a")))
+    found = files.json_strings(e.select("event_id", tree.alias("tree")), "tree")
+    return found.where(C.looks_like_snippet(F.col("value"))).select("event_id", "key", "value", "id")
 
 
 # ---- export
@@ -637,7 +775,7 @@ def chat_export(spark, sf):
 
 @query("SELECT doc_id, lang, source, n_chars, substr(text, 1, 200) AS preview FROM documents")
 def metadata_preview(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.substring("text", 1, 200).alias("preview"))
+    return read(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", T.preview(F.col("text")).alias("preview"))
 
 
 @query(f"SELECT source, array_to_string(list_sort(list(k)), ',') AS keywords FROM (SELECT source, k, row_number() OVER (PARTITION BY source ORDER BY k) AS r FROM (SELECT DISTINCT source, trim(lower(unnest({TOKENS.format('text')}))) AS k FROM documents)) WHERE r <= 50 GROUP BY source")
@@ -659,10 +797,12 @@ def render_topic_page(spark, sf):
     return export.topic_pages(d.select(F.col("lang").alias("topic"), F.concat(F.lit("d"), ident).alias("id"), F.concat(F.lit("T"), ident).alias("title"), level.alias("difficulty"), F.col("source").alias("source_id"), F.lit("").alias("code"), F.col("text").alias("content")))
 
 
-@query("SELECT lang AS topic, count(*) AS n, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM documents GROUP BY lang")
+@query(f"""WITH k AS (SELECT lang, array_to_string(list_sort(list(k)), ',') AS keywords FROM (SELECT lang, k, row_number() OVER (PARTITION BY lang ORDER BY k) AS r FROM (SELECT DISTINCT lang, trim(lower(unnest({TOKENS.format('text')}))) AS k FROM documents)) WHERE r <= 50 GROUP BY lang),
+l AS (SELECT lang, upper(lang[1]) || lang[2:] AS label, count(*) AS n, list_sort(list(DISTINCT source)) AS sources FROM documents GROUP BY lang)
+SELECT 'corpus_' || lang || '.md' AS file_key, 'Corpus: ' || label || ' (' || n || ' examples)' AS summary, 'Labeled examples for ' || lower(label) || '. Sources: ' || array_to_string(sources, ', ') || '. Covers ' || n || ' code snippets with difficulty ratings and metadata.' AS description, keywords FROM l JOIN k USING (lang)""")
 def semantic_entries(spark, sf):
-    d = read(spark, sf, "documents")
-    return d.groupBy(F.col("lang").alias("topic")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
+    d = read(spark, sf, "documents").select(F.col("lang").alias("topic"), F.col("source").alias("source_id"), T.search_tokens(F.col("text")).alias("t"))
+    return export.semantic_entries(d, stats.keywords(d, "topic", [F.col("t")])).withColumn("keywords", F.array_join("keywords", ","))
 
 
 @query("SELECT source AS file_key, count(*) AS n FROM documents WHERE NOT starts_with(source, 'src1') GROUP BY source UNION ALL SELECT 'src1_' || lang, count(*) FROM documents GROUP BY lang")
@@ -673,10 +813,10 @@ def index_merge(spark, sf):
     return export.merge_namespace(old, new, "file_key", "src1")
 
 
-@query("SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE lang = 'es')")
+@query("SELECT DISTINCT source || '_' || lang AS file FROM documents WHERE source || '_' || lang NOT IN (SELECT source || '_' || lang FROM documents WHERE doc_id % 7 = 0)")
 def stale_files(spark, sf):
-    d = read(spark, sf, "documents")
-    return export.stale(d.select("source").distinct(), d.where("lang = 'es'").select("source").distinct(), "source")
+    d = read(spark, sf, "documents").withColumn("file", F.concat_ws("_", "source", "lang"))
+    return export.stale(d.select("file").distinct(), d.where("doc_id % 7 = 0").select("file").distinct(), "file")
 
 
 # ---- model-backed steps over simulated votes
@@ -696,9 +836,27 @@ def consensus_vote(spark, sf):
     return _consensus(spark, sf).withColumn("consensus", F.round("consensus", 6))
 
 
-@query(f"WITH {CONSENSUS} SELECT task_id, CAST(votes AS DOUBLE) / asked < 0.66 AS flagged FROM w JOIN a USING (task_id) WHERE r = 1")
+GATED = "(SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value / 40 END AS confidence, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 10 AS DOUBLE) / 10 END AS consensus, ['success', 'success', 'success', 'error', 'success', 'uncertain', 'success'][CAST(event_id % 7 AS INTEGER) + 1] AS status FROM events)"
+
+
+@query(f"""SELECT event_id, coalesce(confidence, 0) < 0.6 OR coalesce(consensus, 1) < 0.66 OR status IN ('error', 'uncertain') AS flagged,
+  CASE WHEN coalesce(confidence, 0) < 0.6 THEN printf('Low confidence: %.2f', coalesce(confidence, 0)) ELSE '' END AS reason FROM {GATED}""")
 def review_gate(spark, sf):
-    return _consensus(spark, sf).select("task_id", models.needs_review(F.lit(1.0), F.col("consensus")).alias("flagged"))
+    g = _gated(spark, sf)
+    return g.select("event_id", models.needs_review(F.col("confidence"), F.col("consensus"), F.col("status")).alias("flagged"), models.review_reason(F.col("confidence")).alias("reason"))
+
+
+def _gated(spark, sf):
+    n = F.col("event_id")
+    status = F.when(n % 7 == 3, "error").when(n % 7 == 5, "uncertain").otherwise("success")
+    return read(spark, sf, "events").select("event_id", F.when(n % 11 != 0, F.col("value") / 40).alias("confidence"), F.when(n % 3 != 0, (n % 10).cast("double") / 10).alias("consensus"), status.alias("status"))
+
+
+@query(f"""SELECT CAST(count_if(NOT f) AS BIGINT) AS passed, CAST(count_if(f) AS BIGINT) AS flagged FROM (SELECT coalesce(confidence, 0) < 0.6 OR coalesce(consensus, 1) < 0.66 OR status IN ('error', 'uncertain') AS f FROM {GATED})""")
+def review_split(spark, sf):
+    g = _gated(spark, sf)
+    passed, flagged = models.split_by_review(g, models.needs_review(F.col("confidence"), F.col("consensus"), F.col("status")))
+    return passed.agg(F.count("*").alias("passed")).crossJoin(flagged.agg(F.count("*").alias("flagged")))
 
 
 @query(f"SELECT d.doc_id, length(text) >= 10 AND l.quality IS NULL AS tier_one, length(text) >= 10 AND l.toxic IS NULL AS tier_two FROM {LABELLED}")
@@ -724,9 +882,10 @@ def sessionized_batches(spark, sf):
     return s.select("user_id", "n", F.round(F.col("end").cast("timestamp").cast("double") - 1800 - F.col("start").cast("timestamp").cast("double")).cast("long").alias("seconds"))
 
 
-@query("SELECT event_id, CASE WHEN p IS NULL THEN 'created' ELSE 'modified' END AS kind FROM (SELECT event_id, event_id % 1000 AS m, lag(event_id % 1000) OVER (PARTITION BY user_id ORDER BY event_id % 1000) AS p FROM events) WHERE p IS NULL OR m > p".replace("ORDER BY event_id % 1000)", "ORDER BY event_id)").replace("event_id % 1000", "event_id"))
+@query("""SELECT event_id, CASE WHEN p IS NULL THEN 'created' ELSE 'modified' END AS kind FROM (SELECT event_id, event_id % 100 AS m, max(event_id % 100) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM events) WHERE p IS NULL OR m > p""")
 def mtime_change_detect(spark, sf):
-    return streams.modified(read(spark, sf, "events").select("event_id", "user_id"), "user_id", "event_id").select("event_id", "kind")
+    listing = read(spark, sf, "events").select("event_id", "user_id", (F.col("event_id") % 100).alias("mtime"))
+    return streams.modified(listing, "user_id", "mtime", "event_id").select("event_id", "kind")
 
 
 @query("SELECT event_id, digest FROM (SELECT event_id, substr(sha256(event_type), 1, 16) AS digest, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p, event_type FROM events) WHERE p IS NULL OR p <> event_type")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +11,7 @@ from ..functions import text as T
 from ..functions.identity import derived_id, hash16
 
 CODE_SUFFIXES, TEXT_SUFFIXES = ("vex", "vfl", "h"), ("md", "txt")
+ANCHORED, LOOSE = r"(?ms)^```(\w*)\n(.*?)^```", r"(?s)```((?:vex|c\+\+|cpp)?)\n(.*?)```"  # fences
 CODE_KEYS = ("code", "vex", "vex_code", "snippet")
 
 
@@ -30,16 +29,20 @@ def code_files(spark: SparkSession, path: str) -> DataFrame:
 
 def fenced_blocks(text: Column, anchored: bool = True) -> Column:
     """array<struct<language, code>> of fenced blocks. Not anchored: fences of snippets anywhere in a line, as older data was read."""
-    pattern = r"(?ms)^```(\w*)\n(.*?)^```" if anchored else r"(?s)```((?:vex|c\+\+|cpp)?)\n(.*?)```"
+    pattern = ANCHORED if anchored else LOOSE
     return F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("language"), F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("code"))
 
 
 def fence_samples(files: DataFrame, anchored: bool = False) -> DataFrame:
-    """path, source_line, code of fenced snippets in text files (path, text)."""
-    blocks = files.select("path", "text", F.posexplode(fenced_blocks(F.col("text"), anchored)).alias("n", "b"))
-    kept = blocks.where(C.looks_like_snippet(F.col("b.code")))
-    before = F.substring_index("text", F.concat(F.lit("\n"), F.col("b.code")), 1)
-    return kept.select("path", T.line_count(before).alias("source_line"), T.strip(F.col("b.code")).alias("code"))
+    """path, source_line, code of fenced snippets in text files (path, text); the line is that of the opening fence."""
+    pattern = ANCHORED if anchored else LOOSE
+    # the pieces between matches tell where each match begins
+    pieces = F.transform(F.split("text", pattern, -1), T.line_feeds)
+    whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    blocks = files.select("path", F.posexplode(F.arrays_zip(fenced_blocks(F.col("text"), anchored).alias("b"), whole.alias("w"))).alias("n", "z"), pieces.alias("gaps"), F.transform(whole, T.line_feeds).alias("sizes"))
+    before = F.aggregate(F.slice("gaps", 1, F.col("n") + 1), F.lit(0), lambda a, x: a + x) + F.aggregate(F.slice("sizes", 1, F.col("n")), F.lit(0), lambda a, x: a + x)
+    out = blocks.select("path", (before + 1).alias("source_line"), T.strip(F.col("z.b.code")).alias("code"))
+    return out.where(C.looks_like_snippet(F.col("code")))
 
 
 def json_lines(spark: SparkSession, path: str, column: str = "v") -> DataFrame:
@@ -47,45 +50,67 @@ def json_lines(spark: SparkSession, path: str, column: str = "v") -> DataFrame:
     return spark.read.text(path).where(T.strip(F.col("value")) != "").select(F.try_parse_json("value").alias(column)).where(F.col(column).isNotNull())
 
 
+def json_values(df: DataFrame, json_col: str, fields: dict[str, str]) -> DataFrame:
+    """Fields (name: type) of a column of JSON text; null where the text is malformed or the value of another type."""
+    v = F.try_parse_json(json_col)
+    return df.select(*[F.try_variant_get(v, f"$.{name}", kind).alias(name) for name, kind in fields.items()])
+
+
 def typed_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
 def json_strings(df: DataFrame, json_col: str, keys: tuple[str, ...] = CODE_KEYS) -> DataFrame:
-    """The rows with key, value of every string below one of the keys in a JSON tree of any depth; such keys are not entered.
+    """The rows with id, key, value of every string below one of the keys in a JSON tree of any depth, in document order; such keys are not entered.
 
-    One Arrow pass; a tree is walked with a stack of its own, so its depth is no concern. Malformed JSON gives nothing.
+    id is the string of that name beside it, or empty. Only the JSON itself passes through Arrow; a tree is walked with a
+    stack of its own, so its depth is no concern. Malformed JSON gives nothing.
     """
     import json
 
-    from pyspark.sql.types import StringType, StructField, StructType
-
     wanted = set(keys)
-    place = df.columns.index(json_col)
 
-    def walk(text: str | None) -> Iterator[tuple[str, str]]:
+    def walk(text: str | None) -> list[dict[str, str]]:
         try:
             stack = [json.loads(text)] if text else []
         except (ValueError, RecursionError):
-            return
+            return []
+        out = []
         while stack:
             node = stack.pop()
-            if isinstance(node, dict):
-                for k, v in node.items():
-                    if k in wanted and isinstance(v, str):
-                        yield k, v
-                    elif isinstance(v, (dict, list)):
-                        stack.append(v)
+            if isinstance(node, tuple):
+                out.append(dict(zip(("id", "key", "value"), node, strict=True)))
+            elif isinstance(node, dict):
+                own = node.get("id", "")
+                parts = [(own if isinstance(own, str) else str(own), k, v) if k in wanted and isinstance(v, str) else v for k, v in node.items()]
+                stack.extend(x for x in reversed(parts) if isinstance(x, (dict, list, tuple)))
             elif isinstance(node, list):
-                stack.extend(v for v in node if isinstance(v, (dict, list)))
+                stack.extend(x for x in reversed(node) if isinstance(x, (dict, list)))
+        return out
+
+    @F.pandas_udf("array<struct<id:string,key:string,value:string>>")
+    def found(trees: pd.Series) -> pd.Series:
+        return trees.map(walk)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = [(*row, k, v) for row in part.itertuples(index=False) for k, v in walk(row[place])]
-            yield pd.DataFrame(found, columns=[*part.columns, "key", "value"])
+    return df.select("*", F.posexplode(found(F.col(json_col))).alias("place", "found")).select(*df.columns, "place", "found.id", "found.key", "found.value")
+
+
+def json_samples(spark: SparkSession, path: str) -> DataFrame:
+    """path, place, id, code of the snippets in a folder's JSON files."""
+    found = json_strings(whole_files(spark, path, ("json",)), "text")
+    return found.where(C.looks_like_snippet(F.col("value"))).select("path", "place", "id", T.strip(F.col("value")).alias("code"))
+
+
+def ingest(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """path, source_line, place, id, code: the samples of a folder's code, text and JSON files, ids derived where there is none, the first of each hash."""
+    from ..operators.dedup import first_wins
 
-    schema = StructType([*df.schema.fields, StructField("key", StringType()), StructField("value", StringType())])
-    return df.mapInPandas(run, schema)
+    texts = whole_files(spark, path, TEXT_SUFFIXES, recursive)
+    every = [code_files(spark, path).select("path", "source_line", F.lit(0).alias("place"), F.lit("").alias("id"), "code")]
+    every.append(fence_samples(texts).select("path", "source_line", F.col("source_line").alias("place"), F.lit("").alias("id"), "code"))
+    every.append(json_samples(spark, path).select("path", F.lit(0).alias("source_line"), "place", "id", "code"))
+    rows = every[0].unionByName(every[1]).unionByName(every[2]).withColumn("hash", hash16(F.col("code")))
+    return first_wins(rows, F.col("hash"), [F.col("path"), F.col("place")]).withColumn("id", derived_id(F.col("id"), F.col("code")))
 
 
 def samples(codes: DataFrame) -> DataFrame:

@@ -35,32 +35,48 @@ def session_batches(events: DataFrame, time: str, key: str, gap: str = "30 secon
     return events.groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def size_or_gap_batches(stream: DataFrame, key: str, item: str, most: int = 10, gap_ms: int = 30_000) -> DataFrame:
-    """key, items: batches of `most` items, or of what there is once nothing has come for `gap_ms`."""
+def size_or_gap_batches(stream: DataFrame, key: str, item: str, event_time: str, most: int = 10, gap_ms: int = 30_000, late: str = "0 seconds") -> DataFrame:
+    """key, items: batches of `most` items of a key, or of what there is once the next comes, or time goes on, `gap_ms` after the last.
+
+    Time is that of the events, so a stream that is read to its end ends; what is then still held comes by held_back().
+    """
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(state.get[0]) if state.exists else []
+        held, last = (list(state.get[0]), state.get[1]) if state.exists else ([], 0)
+        out = []
         if state.hasTimedOut:
+            out, held = ([held] if held else []), []
             state.remove()
-            if held:
-                yield pd.DataFrame({"key": [k[0]], "items": [held]})
-            return
         for part in parts:
-            held += part[item].tolist()
-            while len(held) >= most:
-                yield pd.DataFrame({"key": [k[0]], "items": [held[:most]]})
-                held = held[most:]
-        state.update((held,))
-        state.setTimeoutDuration(gap_ms)
+            for at, x in sorted(zip((part["at"].astype("int64") // 1_000_000).tolist(), part["item"].tolist(), strict=True)):
+                if held and at - last >= gap_ms:
+                    out.append(held)
+                    held = []
+                held, last = [*held, x], max(last, at)
+                if len(held) >= most:
+                    out.append(held)
+                    held = []
+        if held:
+            state.update((held, last))
+            state.setTimeoutTimestamp(max(last + gap_ms, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"key": [k[0]] * len(out), "items": out})
+
+    rows = stream.withWatermark(event_time, late).select(F.col(key).cast("string").alias("k"), F.col(event_time).alias("at"), F.col(item).cast("string").alias("item"))
+    return rows.groupBy("k").applyInPandasWithState(step, "key string, items array<string>", "held array<string>, last long", "append", GroupStateTimeout.EventTimeTimeout)
+
 
-    rows = stream.select(F.col(key).cast("string").alias("k"), F.col(item).cast("string").alias(item))
-    return rows.groupBy("k").applyInPandasWithState(step, "key string, items array<string>", "held array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+def held_back(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """key, items that a stopped size_or_gap_batches() still held, from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key").getField("k").alias("key"), F.col("value.groupState.held").alias("items"))
 
 
-def modified(listing: DataFrame, path: str, mtime: str) -> DataFrame:
-    """Listing rows that are new or later than the row of the same path before: kind is created or modified."""
-    order = Window.partitionBy(path).orderBy(mtime)
-    before = F.lag(mtime).over(order)
+def modified(listing: DataFrame, path: str, mtime: str, seen: str | None = None) -> DataFrame:
+    """Listing rows that are new, or later than all rows of the same path seen before (by column seen, else by time): kind is created or modified."""
+    order = Window.partitionBy(path).orderBy(seen or mtime).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.max(mtime).over(order)
     return listing.withColumn("before", before).withColumn("kind", F.when(F.col("before").isNull(), "created").when(F.col(mtime) > F.col("before"), "modified")).where("kind is not null").drop("before")
 
 

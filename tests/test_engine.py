@@ -63,7 +63,7 @@ def test_code_and_snapshots(spark, tmp_path):
 
 def test_html():
     page = "<script>x()</script><h1>T &amp; x</h1><p>a <code>b</code></p><pre>int x;</pre><p>prev: y</p><h2>U</h2>"
-    assert html.sections(page) == [("T & x", "a b prev: y", ["int x;"])]
+    assert html.sections(page) == [("T & x", "a b", ["int x;"])]
 
 
 def test_migration_and_tags(spark):
