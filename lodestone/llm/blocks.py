@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ensure_checkpoint_dir, give_back, shuffle_parts, text_bytes, tidy
+from .common import bounded_batches, ensure_checkpoint_dir, give_back, shuffle_parts, text_bytes, tidy
 
 BLOCK = 5 << 20  # bytes of text; a longer text is a block of its own
 BUCKET = 32 << 20  # bytes of text for each bucket of an exchange
@@ -32,10 +32,14 @@ ANSWER = "block long, bucket long, payload binary"
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Integer arrays as compressed byte planes, each with no more bytes than its largest value needs."""
+    """Integer arrays as compressed byte planes, each with no more bytes than its largest value needs; arrays of bytes stay such."""
     out = []
     for a in arrays:
         a = np.ascontiguousarray(a)
+        if a.dtype == np.uint8:
+            body = zstandard.compress(a.tobytes(), 3)
+            out.append(np.array([len(a), 0, len(body)], "<u8").tobytes() + body)
+            continue
         wide = a.astype("<u8") if a.dtype != np.uint64 else a
         width = max(1, -(-int(wide.max(initial=0)).bit_length() // 8))
         planes = wide.view(np.uint8).reshape(-1, 8)[:, :width].T
@@ -45,14 +49,17 @@ def squeeze(*arrays: np.ndarray) -> bytes:
 
 
 def unsqueeze(data: bytes) -> list[np.ndarray]:
-    """The arrays of squeeze(), as unsigned 64-bit integers."""
+    """The arrays of squeeze(), as unsigned 64-bit integers or as bytes."""
     out, at = [], 0
     while at < len(data):
         n, width, size = (int(x) for x in np.frombuffer(data, "<u8", 3, at))
-        body = zstandard.decompress(data[at + 24 : at + 24 + size], max_output_size=max(1, n * width))
-        planes = np.zeros((n, 8), np.uint8)
-        planes[:, :width] = np.frombuffer(body, np.uint8).reshape(width, n).T
-        out.append(planes.view("<u8").ravel())
+        body = zstandard.decompress(data[at + 24 : at + 24 + size], max_output_size=max(1, n * max(1, width)))
+        if width:
+            planes = np.zeros((n, 8), np.uint8)
+            planes[:, :width] = np.frombuffer(body, np.uint8).reshape(width, n).T
+            out.append(planes.view("<u8").ravel())
+        else:
+            out.append(np.frombuffer(body, np.uint8))
         at += 24 + size
     return out
 
@@ -100,6 +107,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield block(held)
 
     ensure_checkpoint_dir(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *[docs[c].alias(f"carry{i}") for i, c in enumerate(carry)])
     return chosen.mapInArrow(tidy(run), SCHEMA).checkpoint()
 

@@ -164,6 +164,18 @@ def tidy(run):
     return over
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark) -> None:
+    """Arrow batches of at most BATCH_BYTES, unless the session has them smaller: a batch of long texts is then no larger than one of short ones."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    size = int(now.rstrip("b")) if now and now.rstrip("b").isdigit() else None
+    if size is None or size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def shuffle_parts(spark) -> int:
     """Partitions of a shuffle, as the session is set."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

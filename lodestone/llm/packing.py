@@ -22,11 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import tidy
+from .common import bounded_batches, tidy
 
 LIMIT = 4096
 SMALL = 256  # rests under this many tokens go to the finer classes
-CACHED = 400_000  # words whose ids a worker keeps
+CACHED = 300_000  # words whose ids a worker keeps
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long"
 
@@ -159,6 +159,7 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                 yield table(pieces)
         yield table(list(packer.finish()))
 
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), SCHEMA)
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunks, covered, mix, repeated, span_hashes, words_of
+from .common import bounded_batches, chunks, covered, mix, repeated, span_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5  # of the base's repeated words
@@ -101,4 +101,5 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 names = [x.split()[0] for x in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([columns[k] for k in names], names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, SCHEMA)

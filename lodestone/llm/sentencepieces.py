@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bpe import Merges
-from .common import chunks
+from .common import bounded_batches, chunks
 from .rindex import suffix_ranks
 
 MARK = "▁"
@@ -239,6 +239,7 @@ def piece_round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                     [x.split()[0] for x in SCHEMA.split(", ")],
                 )
 
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, SCHEMA)
 
 

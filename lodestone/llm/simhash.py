@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, first_of_runs, give_back, mix, shuffle_parts, tidy
+from .common import bounded_batches, ensure_checkpoint_dir, first_of_runs, give_back, mix, shuffle_parts, tidy
 from .graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -140,6 +140,7 @@ def links(distinct: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id reachable over links, of each row."""
     ensure_checkpoint_dir(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     prints = fingerprints(docs, id_col, text_col).checkpoint()
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).checkpoint()
     parts = components(links(distinct).checkpoint(), distinct.select(F.col("fp").alias("node"), F.col("first").alias("value")))

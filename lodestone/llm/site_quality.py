@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, tidy
+from .common import bounded_batches, ensure_checkpoint_dir, tidy
 
 FIT_ROWS = 4000  # bound of the labelled rows that the classifier is fitted on: those of least hash
 FEATURES = 600  # most features of a classifier
@@ -176,6 +176,7 @@ def _strength(groups: DataFrame, mean: Column) -> float:
 def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None) -> DataFrame:
     """doc_id, host, path, evidence, site_prior, quality, toxic, kept for each row of docs."""
     ensure_checkpoint_dir(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     host = docs["source"] if host is None else host
     path = docs["lang"] if path is None else path
     good, bad = fit_classifiers(docs, labels)

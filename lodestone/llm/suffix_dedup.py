@@ -275,7 +275,7 @@ def _listed(texts: list[tuple]) -> tuple[np.ndarray, ...]:
 
 
 def _unlisted(group: np.ndarray, owner: np.ndarray, length: np.ndarray, data: np.ndarray) -> list[tuple]:
-    whole, ends = data.astype(np.uint8).tobytes(), np.cumsum(length).tolist()
+    whole, ends = data.tobytes(), np.cumsum(length).tolist()
     return [(g, o, whole[e - n : e]) for g, o, n, e in zip(group.tolist(), owner.tolist(), length.tolist(), ends, strict=True)]
 
 
@@ -324,7 +324,8 @@ def _first_documents(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     # a row's own document holds its windows, but for those that leave their text
     outside = (rows == NOT).cumsum(1, dtype=np.int16)
     outside[:, WINDOW:] -= outside[:, : span - 1].copy()
-    out = np.where(outside[:, WINDOW - 1 :] == 0, owner[:, None], NEVER)
+    clear = outside[:, WINDOW - 1 :] == 0
+    out = np.where(clear, owner[:, None], NEVER)
     if span == 1:  # the rows are the windows, and distinct
         return out
     key = _row_hash(rows[:, span - 1 : WINDOW])
@@ -340,7 +341,7 @@ def _first_documents(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
         mine = some[mine]
         if rows[mine].size <= 2 * INDEXED:
             text, asked = mine[indexed[mine]], mine[streamed[mine]]
-            out[asked] = np.where(out[asked] == NEVER, NEVER, np.minimum(out[asked], _found(rows[text], owner[text], rows[asked])))
+            out[asked] = np.where(clear[asked], np.minimum(out[asked], _found(rows[text], owner[text], rows[asked])), NEVER)
         else:
             half = (span - 1) // 2
             out[mine, : half + 1] = first_documents(rows[mine, : half + WINDOW], owner[mine])
@@ -430,7 +431,7 @@ def _resolve(buckets: int):
         for number in sorted({int(x[0][0]) for _, x in asked}):
             mine = [(block, x) for block, x in asked if int(x[0][0]) == number]
             lo, hi = RANGES[number]
-            found = first_documents(np.concatenate([x[2].astype(np.uint8).reshape(-1, hi - lo + WINDOW) for _, x in mine]), np.concatenate([x[1] for _, x in mine]))
+            found = first_documents(np.concatenate([x[2].reshape(-1, hi - lo + WINDOW) for _, x in mine]), np.concatenate([x[1] for _, x in mine]))
             at = 0
             for block, x in mine:
                 some = found[at : at + len(x[1])]
@@ -472,7 +473,7 @@ def _apply(buckets: int, texts: bool, carry: dict[str, pa.DataType]):
     def run(row, got):
         if row is None:
             names = [x.split() for x in SCHEMA.split(", ")]
-            return pa.table({n: pa.array([], {"long": pa.int64(), "string": pa.string()}[t]) for n, t in names} | ({"kept": pa.array([], pa.binary())} if texts else {}) | {k: pa.array([], t) for k, t in carry.items()})
+            return pa.table({n: pa.array([], {"long": pa.int64(), "string": pa.string()}[t]) for n, t in names} | ({"kept": pa.array([], pa.string())} if texts else {}) | {k: pa.array([], t) for k, t in carry.items()})
         a = Anchors(row, buckets)
         gone = _removed(Meeting(a, got, buckets), got)
         kept, shas, removed, spans = [], [], [], []
@@ -484,15 +485,15 @@ def _apply(buckets: int, texts: bool, carry: dict[str, pa.DataType]):
             body = (a.data[lo:hi] if not removed[-1] else a.data[lo:hi][~mine]).tobytes()
             shas.append(hashlib.sha256(body).hexdigest())
             if texts:
-                kept.append(body)
+                kept.append(body.decode("utf-8", "ignore"))
         out = {"doc_id": id_column(row), "n_bytes": pa.array(a.stop - a.head), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())}
-        return pa.table(out | ({"kept": pa.array(kept, pa.binary())} if texts else {}) | (dict(zip(carry, carried(row), strict=True)) if carry else {}))
+        return pa.table(out | ({"kept": pa.array(kept, pa.string())} if texts else {}) | (dict(zip(carry, carried(row), strict=True)) if carry else {}))
 
     return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
-    """What each text loses and the checksum of what it keeps; with texts, also the kept bytes (a cut may fall inside a letter).
+    """What each text loses and the checksum of what it keeps; with texts, also what is kept; letters that a cut leaves in part go too.
 
     carry: further columns to keep, without a join.
     """
@@ -506,5 +507,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     judged = answer(spark, lambda: rejoin(blocks, settled, _meet(buckets), SENT), 2 * buckets, _resolve(buckets))
     # in the second answers contexts are buckets 0.., claims buckets.. of their own
     both = settled.unionByName(judged.withColumn("bucket", F.col("bucket") + buckets))
-    schema = SCHEMA + (", kept binary" if texts else "") + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    schema = SCHEMA + (", kept string" if texts else "") + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rejoin(blocks, both, _apply(buckets, texts, kinds), schema)

@@ -5,7 +5,7 @@ token count of every prefix, and running sums over the words give it for the pre
 cuts are then read off, and nothing is encoded again. Map-only: no shuffle.
 
 Cases: a null or empty text has 0 bytes and 0 tokens. The strings of added special tokens inside texts count as that one
-token, as is the library's default. Repeated rows give repeated rows; further columns are not read; an empty table gives
+token, as is the library's default. Repeated rows give repeated rows, and a null id is returned as null; further columns are not read; an empty table gives
 an empty table. Words of any length are relaxed whole.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bpe import Merges
-from .common import chunks
+from .common import bounded_batches, chunks
 
 CACHED = 600_000  # words whose counts a worker keeps
 
@@ -150,4 +150,5 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
                     ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars"],
                 )
 
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, SCHEMA)

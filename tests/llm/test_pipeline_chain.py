@@ -75,7 +75,7 @@ def masked(text, spans):
 def test_run_is_the_chain(spark):
     table, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     source = {r.doc_id: r for r in table.collect()}
-    pieces = p.run(spark, SF).collect()
+    pieces = p.run(spark, SF, keep=True).collect()
     folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
     last = max(glob.glob(f"{folder}/pipeline-*"), key=os.path.getmtime)
     written = [spark.read.parquet(f"{last}/{k}").collect() for k in range(4)]
