@@ -1,6 +1,12 @@
 """From raw documents to packed token sequences: five stages, each one operator over all that the stage before kept.
 
 Rows of one doc_id stand or fall together in the first two stages. Texts are whole throughout.
+
+Cases, in every stage: a null text counts as empty, and the PII and repeats stages return it as empty. A null doc_id is an id of
+its own: rows of it are kept if any of them is, and they come last where ids have an order. Repeated rows stay repeated
+rows, but for the near-duplicate stage, whose groups are of fingerprints, so that repeated rows of the id that stays all
+stay. Ties go to the smaller id. An empty table gives an empty table; no or one-sided labels keep every document. Further
+columns, also those that clash with an operator's own, are not read and not returned.
 """
 
 from __future__ import annotations
@@ -40,17 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document of smaller id holds are cut out; letters that a cut leaves in part go too."""
     cut = remove_repeats(docs, texts=True, carry=("lang", "source"))
-    return cut.select("doc_id", _decoded("kept").alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
-
-
-def _decoded(column: str):
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
-    def decode(kept):  # noqa: ANN001, ANN202
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return decode(column)
+    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,8 +72,8 @@ STAGES = [
 ORACLE_SQL = None  # a fitted classifier and fingerprints are beyond SQL; tests hold the stages against brute force
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each but the last is written to the shared folder and read again."""
+def run(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+    """All stages over documents; each but the last is written to the shared folder and read again. What no later stage reads is deleted, unless it is to be kept."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
@@ -86,4 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k and not keep:
+                old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+                old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return docs
