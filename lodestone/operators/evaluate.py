@@ -11,6 +11,15 @@ def relevant(text: Column, patterns: Column, least: int = 2) -> Column:
     return F.size(F.filter(patterns, lambda p: F.contains(F.lower(text), F.lower(p)))) >= least
 
 
+def judged(chunks: DataFrame, text: Column, patterns: DataFrame, least: int = 2) -> DataFrame:
+    """query_id, id of the relevant chunks (column id). patterns: query_id, patterns: a stated set of queries, read from every chunk at once."""
+    asked = patterns.collect()
+    if not asked:
+        return chunks.select(F.lit(None).cast("string").alias("query_id"), "id").limit(0)
+    hits = F.array_compact(F.array(*[F.when(relevant(text, F.array(*map(F.lit, r.patterns)), least), F.lit(r.query_id)) for r in asked]))
+    return chunks.select(F.explode(hits).alias("query_id"), "id")
+
+
 def metrics(results: DataFrame, judged: DataFrame, k: int = 10, first: int = 5) -> DataFrame:
     """One row a query. results: query_id, id, rank. judged: query_id, id of all relevant records.
 
@@ -52,5 +61,5 @@ def has_required(results: DataFrame, calls: DataFrame, required: DataFrame) -> D
 
 def summary(per_query: DataFrame) -> DataFrame:
     """Means over queries and the share that passes."""
-    means = [F.round(F.avg(c), 4).alias(c) for c in ("p_first", "p_all", "recall", "mrr", "ndcg", "ndcg_full")]
+    means = [F.round(F.avg(F.col(c).cast("decimal(12,4)")), 4).cast("double").alias(c) for c in ("p_first", "p_all", "recall", "mrr", "ndcg", "ndcg_full")]
     return per_query.agg(F.count("*").alias("queries"), *means, F.round(F.avg((F.col("verdict") == "PASS").cast("double")), 4).alias("pass_rate"))

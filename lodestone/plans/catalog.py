@@ -79,6 +79,7 @@ SNIPPETS = [
     "cinput(0, @IX, @IY) + @IR", "chinput(0) * sample_rate + @Channel", "cvex_bsdf(1) + renderstate('a') + gather(1)", "texture('a.jpg', @uv) + diffuse(nrm)", "@opinput1_P + osd_limitSurface(0) + usd_attrib(0) ; getglobalvariable('x')", "foreach (int i; array) { pcfind_radius(0); detailintrinsic(0, 'b'); inpointgroup(0, 'g', 1); }",
     "dict d; setprimintrinsic(0, 'a', 0, 1); instance(1); @ptnum = 3; @numpt =1;", "how to setup the workflow, step 1 first then next", "the signature returns type and syntax of it", "there is an error and a bug and a problem that is not working", "personally i think this forum has a question and an answer", "an introduction: what is the basic concept",
     "}} ) @numprim == 4\n// a = comment\ny = 2", "volumesample(0, 0, @P) + @voxelsize; Luminance(1); Length(x)", "thread and compile opencl", "chv('c'); ramp and lerp(1, 2, 3) detail(0, 'a', 0)",
+    "setprimattrib(0, 'a', 0, 1); primpoints(0, 1);", "setvertexattrib(0, 'a', 0, 1);", "setdetailattrib(0, 'n', 1);", "foreach (int i; a) { setdetailattrib(0, 'n', i); }",
 ]
 PLANTED = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in SNIPPETS) + f"][CAST(doc_id % {len(SNIPPETS)} AS INTEGER) + 1]"
 
@@ -302,8 +303,8 @@ SELECT query_id, returned, relevant, round(p5, 4) AS p_first, round(p, 4) AS p_a
   CASE WHEN p5 >= 0.4 AND mrr > 0 THEN 'PASS' WHEN mrr > 0 THEN 'WEAK' ELSE 'FAIL' END AS verdict FROM b""")
 def eval_metrics(spark, sf):
     patterns = spark.createDataFrame(PATTERNS, "query_id string, patterns array<string>")
-    judged = read(spark, sf, "documents").join(F.broadcast(patterns)).where(evaluate.relevant(F.col("text"), F.col("patterns"))).select("query_id", F.col("doc_id").alias("id"))
-    return evaluate.metrics(_bm25(spark, sf, 10), judged)
+    found = evaluate.judged(read(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), F.col("text"), patterns)
+    return evaluate.metrics(_bm25(spark, sf, 10), found)
 
 
 # ---- near duplicates
@@ -458,11 +459,8 @@ def minhash_estimates(spark, sf):
 @query(f"""WITH {SETS}, q AS (SELECT item_id, unnest({SHINGLES}) AS g FROM (SELECT item_id, {WORDS.format('lower(text)')} AS w FROM benchmark)), d AS (SELECT id, unnest(s) AS g FROM sets),
 n AS (SELECT item_id, count(*) AS n FROM q GROUP BY item_id) SELECT id, item_id, round(CAST(count(*) AS DOUBLE) / n, 6) AS share FROM d JOIN q USING (g) JOIN n USING (item_id) GROUP BY id, item_id, n HAVING CAST(count(*) AS DOUBLE) / n >= 0.5""")
 def benchmark_contamination(spark, sf):
-    items = read(spark, sf, "benchmark").select("item_id", F.explode(T.shingles(T.words(F.lower("text")))).alias("g"))
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("n"))
-    docs = _sets(spark, sf).select("id", F.explode("set").alias("g"))
-    shared = docs.join(items, "g").groupBy("id", "item_id").agg(F.count("*").cast("double").alias("c")).join(F.broadcast(sizes), "item_id")
-    return shared.where(F.col("c") / F.col("n") >= 0.5).select("id", "item_id", F.round(F.col("c") / F.col("n"), 6).alias("share"))
+    items = dedup.shingle_sets(read(spark, sf, "benchmark"), "item_id", F.col("text"), least_words=1)
+    return dedup.contamination(_sets(spark, sf), items, 0.5).select("id", F.col("item").alias("item_id"), F.round("share", 6).alias("share"))
 
 
 # ---- rules
@@ -950,6 +948,9 @@ def relational_topk(spark, sf):
     return c.select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("balance"), "rank")
 
 
+from . import reports  # noqa: E402, F401  its queries are registered here too
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """BM25 over documents for a batch of questions."""
     return bm25_topk(spark, sf)
