@@ -101,7 +101,7 @@ class Unigrams:
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> bytes:
-    """The tokens of a block: how many each text has, the words' hashes, the most frequent first, and the number of each token among these."""
+    """The tokens of a block: how many each text has, the distinct words, the most frequent first (the end as an empty one), and the number of each token among these."""
     data, n = _LOWER[data], len(offsets) - 1
     start, end = words_of(data)
     sizes = np.bincount(np.searchsorted(offsets, start, "right") - 1, minlength=n) + 1
@@ -114,15 +114,23 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> bytes:
     order = np.argsort(-counts, kind="stable")
     place = np.empty_like(order)
     place[order] = np.arange(len(order))
-    return squeeze(sizes, words[order], place[local])
+    local = place[local]
+    stands = np.full(len(words), -1, np.int64)  # a place of each word in the buffer; the end has none
+    stands[local[inner]] = np.arange(len(start))
+    some = stands >= 0
+    size = np.zeros(len(words), np.int64)
+    size[some] = (end - start)[stands[some]]
+    at = np.repeat(start[stands[some]] - np.cumsum(size[some]) + size[some], size[some]) + np.arange(int(size.sum()))
+    return squeeze(sizes, size, data[at], local)
 
 
 class Tokens:
     """The tokens of a block: their hashes, documents, and local word numbers in the order in which buckets are asked."""
 
     def __init__(self, row: dict, buckets: int) -> None:
-        sizes, words, local = unsqueeze(row["texts"])
-        n = len(sizes)
+        sizes, size, text, local = unsqueeze(row["texts"])
+        n, stop = len(sizes), np.cumsum(size.astype(np.int64))
+        words = np.where(size == 0, END, span_hashes(text, stop - size.astype(np.int64), stop))
         self.ids = np.frombuffer(row["ids"], np.int64, n)
         self.held = np.array([zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT for i in self.ids.tolist()], bool) & ~nulls(row)
         self.doc = np.repeat(np.arange(n), sizes.astype(np.int64))
