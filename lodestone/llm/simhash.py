@@ -27,10 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, ensure_checkpoint_dir, first_of_runs, give_back, mix, shuffle_parts, tidy
-from .graph import components
+from .graph import MANY, components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-MANY = 10_000  # most fingerprints that are sent to every task
 #: Bands as bit ranges, and the pairs of bands that are keys.
 BANDS = ((0, 21), (21, 42), (42, 64))
 PAIRS = ((0, 1), (0, 2), (1, 2))
