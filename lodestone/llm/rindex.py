@@ -26,7 +26,7 @@ def suffix_ranks(text: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     used = np.zeros(256, np.int64)
     used[text] = 1
-    code = np.cumsum(used)  # the separator's is the largest letter's: any order of letters will do
+    code = np.cumsum(used)  # letters keep their order, and nothing at all comes before them
     wide = int(code[-1] + 1).bit_length()
     depth = min(PACKED // wide, keep - 1)
     letter = code[text].astype(np.uint64)
@@ -35,7 +35,7 @@ def suffix_ranks(text: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, np.uint64)
     for k in range(depth):
         key <<= np.uint64(wide)
-        key[: n - k] += letter[k:]
+        key[: max(0, n - k)] += letter[k:]
     near = np.flatnonzero(left < depth)
     past = ((depth - 1 - left[near]) * wide).astype(np.uint64)
     key[near] = key[near] >> past << past

@@ -134,13 +134,18 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(features(t.as_py() or "")) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.string()))], ["quality", "toxic", "found"])
+            found = [sorted(features(t.as_py() or "")) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.string()))], ["doc_id", "quality", "toxic", "found"])
 
+    ensure_checkpoint_dir(docs.sparkSession)
     chosen = _labelled(docs, labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "quality", "toxic")
-    got = rows.mapInArrow(tidy(run), "quality int, toxic int, found array<string>").collect()
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "toxic", "text").mapInArrow(tidy(run), "doc_id long, quality int, toxic int, found array<string>").checkpoint()
+    # features of fewer rows than a classifier may use stay on the executors
+    each = rows.select("doc_id", F.explode("found").alias("f"))
+    often = each.groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SEEN).select("f")
+    some = each.join(often, "f").groupBy("doc_id").agg(F.array_sort(F.collect_list("f")).alias("found"))
+    got = rows.select("doc_id", "quality", "toxic").join(some, "doc_id", "left").select("quality", "toxic", F.coalesce("found", F.array().cast("array<string>")).alias("found")).collect()
     got.sort(key=lambda r: (r.found, r.quality or 0, r.toxic or 0))  # whatever the order of arrival
 
     one_of: dict[str, str] = {}  # a word's string is kept once

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 SCHEMA = "query_id long, vec_id long, score long"
 FIRST_DEPTH = 8
-ROWS, QUERIES = 8192, 512  # of a block
+ROWS, QUERIES = 8192, 2048  # of a block
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

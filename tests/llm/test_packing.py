@@ -13,6 +13,26 @@ from .util import frame, pairs, sample
 PATH = tokenizer_path("word_bpe_49k.json")
 
 
+def test_repeated_and_null_ids(spark):
+    from .util import COLUMNS
+
+    twice = frame(spark).union(frame(spark)).union(spark.createDataFrame([(None, "a b c", None, None, None, None, None)] * 3, COLUMNS))
+    rows = harmonic_pack(twice, tokenizer_path("word_bpe_49k.json")).collect()
+    once = harmonic_pack(frame(spark), tokenizer_path("word_bpe_49k.json")).collect()
+    assert sum(r.length for r in rows if r.doc_id is not None) == 2 * sum(r.length for r in once)
+    assert sorted(r.start for r in rows if r.doc_id is None and r.start == 0) == [0, 0, 0]
+    places = [(r.sequence_id, r.offset + k) for r in rows for k in (0, r.length - 1)]
+    assert len({p for p in places if p}) <= len(places)
+    fill = {}
+    for r in rows:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in fill.values():  # no gap, no overlap
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+
+
 @pytest.mark.parametrize("source", [frame, sample])
 def test_every_id_lies_in_one_piece(spark, source):
     df = source(spark)

@@ -13,6 +13,14 @@ from .util import frame, pairs, sample
 PATH = tokenizer_path("piece_bpe_32k.model")
 
 
+def test_repeated_and_null_ids(spark):
+    from .util import COLUMNS
+
+    twice = frame(spark).union(frame(spark)).union(spark.createDataFrame([(None, "a b c", None, None, None, None, None)] * 2, COLUMNS))
+    rows = [tuple(map(repr, r)) for r in piece_round_trip(twice, PATH).collect()]
+    assert len(rows) == twice.count() and len(set(rows)) == frame(spark).count() + 1
+
+
 def test_random_texts_agree_with_the_library():
     library, r = sentencepiece.SentencePieceProcessor(model_file=PATH), random.Random(6)
     bits = [" ", "  ", "\n", "\t", "a", "the", "lower", "日本", "é", "😀", "▁", "<s>", "1234", "ing", "!!", "\0", "]", "-", "^", "\\", " " * 11, " " * 37, "qzx", "ﬁ"]

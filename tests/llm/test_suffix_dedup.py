@@ -126,6 +126,19 @@ def test_a_gram_with_very_many_contexts():
         assert (got[:, j] == first[back]).all()
 
 
+@pytest.mark.parametrize("end", ["\0", "\xff"])
+def test_suffixes_are_in_order_up_to_their_separator(end):
+    r = random.Random(12)
+    for n in [1, 2, 3, 5, 8, 40, 300, 3000]:
+        text = "".join(r.choice("ab" + end if n < 50 else "abcdefghijk" * 4 + end) for _ in range(n - 1)) + end
+        data = np.frombuffer(text.encode("latin-1"), np.uint8)
+        order, classes = suffix_ranks(data, 20)
+        head = [text[i : text.index(end, i) + 1] for i in range(n)]
+        assert order.tolist() == sorted(range(n), key=lambda i: (head[i], i))
+        whole = [i for i in range(n) if len(head[i]) > 20]
+        assert len({classes[i] for i in whole}) == len({text[i : i + 20] for i in whole}) == len({(classes[i], text[i : i + 20]) for i in whole})
+
+
 def test_separators_are_never_matched():
     text = np.frombuffer(b"abcab\xffbcabc\xffcabca\xff", np.uint8)
     lengths, places = RunIndex(text, suffix_ranks(text, 20)[0]).statistics(np.frombuffer(b"bcab\xff\xffabca\xffcab", np.uint8).reshape(1, -1))

@@ -11,6 +11,14 @@ from .util import frame, pairs, sample
 PATH = tokenizer_path("byte_bpe_50k.json")
 
 
+def test_repeated_and_null_ids(spark):
+    from .util import COLUMNS
+
+    twice = frame(spark).union(frame(spark)).union(spark.createDataFrame([(None, "a b c", None, None, None, None, None)] * 2, COLUMNS))
+    rows = [tuple(r) for r in token_counts(twice, PATH).collect()]
+    assert len(rows) == twice.count() and sum(r[0] is None for r in rows) == 2 and len(set(rows)) == frame(spark).count() + 1
+
+
 @pytest.mark.parametrize("source", [frame, sample])
 def test_agrees_with_the_library(spark, source):
     df = source(spark)
