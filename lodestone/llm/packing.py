@@ -26,7 +26,7 @@ from .common import bounded_batches, tidy
 
 LIMIT = 4096
 SMALL = 256  # rests under this many tokens go to the finer classes
-CACHED = 300_000  # words whose ids a worker keeps
+CACHED = 400_000  # words whose ids a worker keeps
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long"
 
@@ -64,15 +64,24 @@ class WordIds:
             self.memory.clear()
             new = list(set().union(*(w for _, w in found)))
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.memory.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True))
+            self.memory.update(self._alone(new[at : at + 20_000]))
         get = self.memory.__getitem__
         for k, w in found:
             out[k] = b"".join(map(get, w))
-        for k, e in zip(odd, self.library.encode_batch([texts[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = np.array(e.ids, "<u4").tobytes()
+        for k in odd:
+            out[k] = np.array(self.library.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()
         return out  # type: ignore[return-value]
 
+    def _alone(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words with their ids: encoded in one text, in which each is alone between spaces, and cut apart by the library's own word numbers."""
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        ids, number = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+        first = np.flatnonzero(np.diff(number, prepend=-1))
+        if len(first) != len(words):  # not a word of the library's each: one by one
+            return ((w, np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in words)
+        raw, ends = ids.tobytes(), np.append(first[1:], len(ids))
+        return ((w, raw[a:b]) for w, a, b in zip(words, (4 * first).tolist(), (4 * ends).tolist(), strict=True))
+
 
 class Packer:
     """The bins of one worker. A piece: [document, start, ids] and, once its sequence is full, sequence, offset, padded length.
