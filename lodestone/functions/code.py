@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import packs as P
-from .rules import best_class, contains_any, count_contained, count_matched, matches_any, present_classes
+from .rules import best_class, contains_any, count_contained, count_matched, matches, matches_any, present_classes
 from .text import line_count, strip
 
 
@@ -75,9 +75,17 @@ def context_of_word(word: Column) -> Column:
     return F.array(F.coalesce(F.element_at(known, F.lower(strip(F.coalesce(word, F.lit(""))))), F.lit("sop")))
 
 
-def content_type(content: Column, title: Column, has_code: Column, official: Column) -> Column:
-    """reference, troubleshooting, pattern, discussion or concept, in that order of precedence."""
-    text = F.lower(F.concat(content, F.lit(" "), title))
+def typed_text(content: Column, title: Column) -> Column:
+    """What content_type() reads."""
+    return F.lower(F.concat(content, F.lit(" "), title))
+
+
+def content_type(content: Column, title: Column, has_code: Column, official: Column, text: Column | None = None) -> Column:
+    """reference, troubleshooting, pattern, discussion or concept, in that order of precedence.
+
+    text: typed_text() as a column of a projection before, so that it is not made anew for every rule.
+    """
+    text = typed_text(content, title) if text is None else text
     return (
         F.when(official | matches_any(text, P.REFERENCE_SIGNALS), "reference")
         .when(count_matched(text, P.TROUBLE_SIGNALS) >= 2, "troubleshooting")
@@ -89,8 +97,14 @@ def content_type(content: Column, title: Column, has_code: Column, official: Col
     )
 
 
-def difficulty(code: Column, text: Column) -> Column:
-    both = F.lower(F.concat(code, F.lit(" "), text))
+def leveled_text(code: Column, text: Column) -> Column:
+    """What difficulty() reads."""
+    return F.lower(F.concat(code, F.lit(" "), text))
+
+
+def difficulty(code: Column, text: Column, both: Column | None = None) -> Column:
+    """both: leveled_text() as a column of a projection before."""
+    both = leveled_text(code, text) if both is None else both
     advanced, middle = count_contained(both, P.ADVANCED_SIGNALS), count_contained(both, P.INTERMEDIATE_SIGNALS)
     lines = F.when(code != "", line_count(strip(code))).otherwise(0)
     return (
@@ -122,7 +136,7 @@ def local_contexts(code: Column) -> Column:
 
 def version(code: Column) -> tuple[Column, Column]:
     """The highest version that a rule asks for (empty if none does), and the notes of all that do."""
-    hits = F.array_compact(F.array(*[F.when(code.rlike(p), F.struct(F.lit(v).alias("v"), F.lit(n).alias("n"))) for p, v, n in P.VERSION_RULES]))
+    hits = F.array_compact(F.array(*[F.when(matches(code, p), F.struct(F.lit(v).alias("v"), F.lit(n).alias("n"))) for p, v, n in P.VERSION_RULES]))
     return F.coalesce(F.array_max(F.transform(hits, lambda h: h["v"])), F.lit("")), F.array_join(F.transform(hits, lambda h: h["n"]), "; ")
 
 

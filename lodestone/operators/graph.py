@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import packs as P
+from ..functions.rules import matches
 
 
 def shared_folder(spark) -> None:
@@ -46,8 +47,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
 
 def concept_intros(chunks: DataFrame, text: Column, top: int) -> DataFrame:
     """concept, id, place: the chunks that introduce each concept, by authority and then corpus order (columns authority, ord)."""
-    hits = F.array_compact(F.array(*[F.when(text.rlike(f"(?i){p}"), F.lit(c)) for c, p in P.CONCEPT_INTROS.items()]))
-    found = chunks.select("id", "authority", "ord", F.explode(hits).alias("concept"))
+    read = chunks.withColumn("__said", text).withColumn("__lower", F.lower("__said"))
+    hits = F.array_compact(F.array(*[F.when(matches(F.col("__said"), f"(?i){p}", F.col("__lower")), F.lit(c)) for c, p in P.CONCEPT_INTROS.items()]))
+    found = read.select("id", "authority", "ord", F.explode(hits).alias("concept"))
     order = Window.partitionBy("concept").orderBy(F.desc("authority"), "ord")
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select("concept", "id", "place")
 

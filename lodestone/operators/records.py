@@ -105,8 +105,10 @@ def tag(chunks: DataFrame, code: Column, official: Column) -> DataFrame:
     ct, df, ver = (F.coalesce(c, none) for c in ("content_type", "difficulty", "houdini_version_min"))
     ctx = F.coalesce("vex_context", no_list)
     content, title = F.coalesce("content", none), F.coalesce("title", none)
-    new_ct = C.content_type(content, title, code != "", official)
-    new_df = C.difficulty(code, F.concat(content, F.lit(" "), title))
+    text = F.concat(content, F.lit(" "), title)
+    chunks = chunks.withColumns({"__typed": C.typed_text(content, title), "__leveled": C.leveled_text(code, text)})
+    new_ct = C.content_type(content, title, code != "", official, F.col("__typed"))
+    new_df = C.difficulty(code, text, F.col("__leveled"))
     new_ctx = C.contexts(code)
     new_ver, notes = C.version(code)
     fresh = chunks.withColumns({"__ct": new_ct, "__df": new_df, "__ctx": new_ctx, "__ver": new_ver, "__notes": notes})
@@ -126,7 +128,7 @@ def tag(chunks: DataFrame, code: Column, official: Column) -> DataFrame:
         "decisions": decisions,
         "content_type": F.when(set_ct, F.col("__ct")).otherwise(ct), "difficulty": F.when(set_df, F.col("__df")).otherwise(df), "vex_context": F.when(set_ctx, F.col("__ctx")).otherwise(ctx),
         "houdini_version_min": F.when(set_ver, F.col("__ver")).otherwise(ver), "houdini_version_notes": F.when(set_ver, F.col("__notes")).otherwise(F.coalesce("houdini_version_notes", none)),
-    }).drop("__ct", "__df", "__ctx", "__ver", "__notes")
+    }).drop("__ct", "__df", "__ctx", "__ver", "__notes", "__typed", "__leveled")
 
 
 def extract(chunks: DataFrame, code: Column) -> DataFrame:

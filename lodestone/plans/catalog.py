@@ -486,13 +486,15 @@ def coded(spark, sf):
 @query(f"SELECT doc_id, {TYPE} AS content_type FROM (SELECT doc_id, content, doc_id % 2 = 0 AS has_code, lower(content || ' ' || source) AS t FROM (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN code ELSE content END AS content) FROM {CODED}))")
 def classify_content_type(spark, sf):
     d = coded(spark, sf).withColumn("content", F.when(F.col("doc_id") % 5 == 0, F.col("code")).otherwise(F.col("content")))
-    return d.select("doc_id", C.content_type(F.col("content"), F.col("source"), F.col("doc_id") % 2 == 0, F.lit(False)).alias("content_type"))
+    d = d.withColumn("t", C.typed_text(F.col("content"), F.col("source")))
+    return d.select("doc_id", C.content_type(F.col("content"), F.col("source"), F.col("doc_id") % 2 == 0, F.lit(False), F.col("t")).alias("content_type"))
 
 
 @query(f"SELECT doc_id, {LEVEL} AS difficulty FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN code ELSE content END AS code, lower((CASE WHEN doc_id % 2 = 0 THEN code ELSE content END) || ' ' || source) AS t FROM {CODED}) WHERE code <> ''")
 def classify_difficulty(spark, sf):
     d = coded(spark, sf).withColumn("code", F.when(F.col("doc_id") % 2 == 0, F.col("code")).otherwise(F.col("content"))).where("code <> ''")
-    return d.select("doc_id", C.difficulty(F.col("code"), F.col("source")).alias("difficulty"))
+    d = d.withColumn("t", C.leveled_text(F.col("code"), F.col("source")))
+    return d.select("doc_id", C.difficulty(F.col("code"), F.col("source"), F.col("t")).alias("difficulty"))
 
 
 @query(f"SELECT doc_id, {CONTEXTS} AS contexts FROM (SELECT doc_id, code, {FOUND} AS f FROM {CODED})")
