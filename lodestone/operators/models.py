@@ -110,7 +110,7 @@ def needs_review(confidence: Column, consensus_: Column | None = None, status: C
 
 
 def review_reason(confidence: Column) -> Column:
-    """Why a result goes to review, for low confidence; else empty."""
+    """Why a result goes to review, for low confidence (two places, halves up); else empty."""
     low = F.coalesce(confidence, F.lit(0.0))
     return F.when(low < REVIEW_CONFIDENCE, F.concat(F.lit("Low confidence: "), F.format_string("%.2f", low))).otherwise("")
 

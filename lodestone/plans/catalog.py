@@ -836,7 +836,7 @@ def consensus_vote(spark, sf):
     return _consensus(spark, sf).withColumn("consensus", F.round("consensus", 6))
 
 
-GATED = "(SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value / 40 END AS confidence, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 10 AS DOUBLE) / 10 END AS consensus, ['success', 'success', 'success', 'error', 'success', 'uncertain', 'success'][CAST(event_id % 7 AS INTEGER) + 1] AS status FROM events)"
+GATED = "(SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value / 37 END AS confidence, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 10 AS DOUBLE) / 10 END AS consensus, ['success', 'success', 'success', 'error', 'success', 'uncertain', 'success'][CAST(event_id % 7 AS INTEGER) + 1] AS status FROM events)"
 
 
 @query(f"""SELECT event_id, coalesce(confidence, 0) < 0.6 OR coalesce(consensus, 1) < 0.66 OR status IN ('error', 'uncertain') AS flagged,
@@ -849,7 +849,7 @@ def review_gate(spark, sf):
 def _gated(spark, sf):
     n = F.col("event_id")
     status = F.when(n % 7 == 3, "error").when(n % 7 == 5, "uncertain").otherwise("success")
-    return read(spark, sf, "events").select("event_id", F.when(n % 11 != 0, F.col("value") / 40).alias("confidence"), F.when(n % 3 != 0, (n % 10).cast("double") / 10).alias("consensus"), status.alias("status"))
+    return read(spark, sf, "events").select("event_id", F.when(n % 11 != 0, F.col("value") / 37).alias("confidence"), F.when(n % 3 != 0, (n % 10).cast("double") / 10).alias("consensus"), status.alias("status"))
 
 
 @query(f"""SELECT CAST(count_if(NOT f) AS BIGINT) AS passed, CAST(count_if(f) AS BIGINT) AS flagged FROM (SELECT coalesce(confidence, 0) < 0.6 OR coalesce(consensus, 1) < 0.66 OR status IN ('error', 'uncertain') AS f FROM {GATED})""")
