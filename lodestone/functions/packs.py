@@ -105,6 +105,7 @@ TOPIC_NAMES = {
     "scattered points on limit surface": "subdivision_surfaces",
 }
 POINT_CLOUD_CALLS = ["pcopen", "pcfind", "pcclose", "pcfilter", "pcimport", "pcgenerate", "nearpoints"]
+POINT_CLOUD_TOPIC = ["pcopen", "pcfind", "pcclose", "pcfilter", "pcimport", "pcgenerate", "nearpoints", "nearpoint", "pgfind"]
 
 # Names of functions that count as calls in any case.
 KNOWN_CALLS = [
@@ -194,6 +195,11 @@ CALL_CONCEPTS = {
     "primuv": "uv", "uvsample": "uv",
 }
 
+# Wiki pages by name: their labels, the numbered ones, and the one that is not for beginners.
+PAGE_LABELS = {"HoudiniVex": "HoudiniVex Tips", "JoyOfVex": "Joy of VEX Index"}
+DAY_PAGE, DAY_LABEL = r"^JoyOfVex(\d+)", "Joy of VEX Day "
+MIDDLE_PAGES = ["HoudiniVex"]
+
 # How a page names an episode.
 MENTION = r"(?i)(?:joy\s*of\s*vex|jov)\s*(\d+)"
 

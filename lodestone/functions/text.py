@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import packs as P
+
 
 def strip(text: Column) -> Column:
     """Without white space at both ends (Unicode)."""
@@ -73,14 +75,14 @@ def clean_heading(text: Column) -> Column:
 
 def section_label(page: Column) -> Column:
     """A wiki page's label: the day of a numbered page, a fixed name, or the page's own."""
-    day = F.regexp_extract(page, r"^JoyOfVex(\d+)", 1)
-    return F.when(page == "HoudiniVex", "HoudiniVex Tips").when(page == "JoyOfVex", "Joy of VEX Index").when(day != "", F.concat(F.lit("Joy of VEX Day "), day.try_cast("int").cast("string"))).otherwise(page)
+    day = F.regexp_extract(page, P.DAY_PAGE, 1)
+    return F.when(page.isin(*P.PAGE_LABELS), label_of(page, P.PAGE_LABELS)).when(day != "", F.concat(F.lit(P.DAY_LABEL), day.try_cast("int").cast("string"))).otherwise(page)
 
 
 def page_difficulty(page: Column) -> Column:
-    """By the day of a numbered page; of others, one is intermediate."""
-    day = F.regexp_extract(page, r"^JoyOfVex(\d+)", 1)
-    return F.when(page == "HoudiniVex", "intermediate").when(day == "", "beginner").otherwise(number_difficulty(day.try_cast("int")))
+    """By the day of a numbered page; others are for beginners, but for some."""
+    day = F.regexp_extract(page, P.DAY_PAGE, 1)
+    return F.when(page.isin(*P.MIDDLE_PAGES), "intermediate").when(day == "", "beginner").otherwise(number_difficulty(day.try_cast("int")))
 
 
 def number_difficulty(number: Column) -> Column:

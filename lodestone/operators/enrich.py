@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import unfence
-from .models import Model, call_models, needs_tier_one, needs_tier_two, route, unflagged
+from .models import REVIEW_CONFIDENCE, Model, call_models, needs_tier_one, needs_tier_two, route, unflagged
 from .search import keyword_search
 
 BUG = "struct<type:string,severity:string,location:string,description:string,suggestion:string>"
@@ -224,3 +224,61 @@ def model_table(spark: SparkSession, config: dict) -> DataFrame:
 def voted_tasks(config: dict) -> list[str]:
     """Tasks that a configuration puts to a vote."""
     return [name for name, task in (config.get("tasks") or {}).items() if isinstance(task, dict) and task.get("consensus")]
+
+
+#: The tasks that a stage puts to each sample.
+STAGE_TASKS = {1: ["classify_wrangle", "extract_attributes", "extract_functions", "detect_bugs", "estimate_complexity", "classify_topic"], 2: ["generate_prompt", "explain_code", "rate_difficulty"]}
+
+
+def _answered(samples: DataFrame, models: DataFrame, model: Model, tier: int) -> DataFrame:
+    """Samples with __r and __c, maps of each task that succeeded to its result (JSON) and its confidence."""
+    tasks = samples.select("id", F.col("code").alias("input"), F.explode(F.array(*map(F.lit, STAGE_TASKS[tier]))).alias("task"))
+    got = call_models(route(tasks.withColumn("task_id", F.concat_ws("\u0001", "id", "task")), models), model).where("status = 'success'")
+    named = got.select(F.substring_index("task_id", "\u0001", 1).alias("id"), "task", "result", "confidence")
+    maps = [F.map_from_entries(F.collect_list(F.struct("task", c))).alias(name) for c, name in (("result", "__r"), ("confidence", "__c"))]
+    return samples.join(named.groupBy("id").agg(*maps), "id", "left")
+
+
+def _result(task: str, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(F.try_parse_json(F.element_at("__r", F.lit(task))), path, kind)
+
+
+def _columns(df: DataFrame, new: dict[str, tuple[str, Column, str]]) -> DataFrame:
+    """new: column -> (task, value where the task succeeded, type); else what was there stays."""
+    done = {c: F.when(F.element_at("__r", F.lit(task)).isNotNull(), value).otherwise(F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)) for c, (task, value, kind) in new.items()}
+    return df.withColumns(done)
+
+
+def tier_one_stage(samples: DataFrame, models: DataFrame, model: Model) -> DataFrame:
+    """Samples (id, code) after six tasks each: context and its confidence, attributes, channels, functions, bugs, complexity, topic, and whether low confidence sends them to review."""
+    names = lambda task, path: F.coalesce(_result(task, path, "array<string>"), _none())
+    new = {
+        "context": ("classify_wrangle", F.coalesce(_result("classify_wrangle", "$.context"), F.lit("unknown")), "string"),
+        "context_confidence": ("classify_wrangle", F.element_at("__c", F.lit("classify_wrangle")), "double"),
+        "attributes_read": ("extract_attributes", names("extract_attributes", "$.reads"), "array<string>"),
+        "attributes_written": ("extract_attributes", names("extract_attributes", "$.writes"), "array<string>"),
+        "channels": ("extract_attributes", names("extract_attributes", "$.channels"), "array<string>"),
+        "functions": ("extract_functions", names("extract_functions", "$.functions"), "array<string>"),
+        "bugs": ("detect_bugs", F.coalesce(_result("detect_bugs", "$.bugs", f"array<{BUG}>"), F.array().cast(f"array<{BUG}>")), f"array<{BUG}>"),
+        "complexity": ("estimate_complexity", F.coalesce(_result("estimate_complexity", "$.complexity"), F.lit("")), "string"),
+        "topic": ("classify_topic", F.coalesce(_result("classify_topic", "$.primary_topic"), F.lit("")), "string"),
+    }
+    out = _columns(_answered(samples, models, model, 1), new)
+    sure = F.coalesce("context_confidence", F.lit(0.0))
+    old = F.coalesce("flagged_for_review", F.lit(False)) if "flagged_for_review" in samples.columns else F.lit(False)
+    reason = F.col("review_reason") if "review_reason" in samples.columns else F.lit("")
+    low = sure < REVIEW_CONFIDENCE
+    return out.withColumns({"context_confidence": sure, "flagged_for_review": old | low, "review_reason": F.when(low, F.concat(F.lit("Low context confidence: "), F.format_string("%.2f", sure))).otherwise(reason), "stage": F.lit("tier1")}).drop("__r", "__c")
+
+
+def tier_two_stage(samples: DataFrame, models: DataFrame, model: Model) -> DataFrame:
+    """Samples that are not flagged after three tasks each: prompt and its variants, explanation, difficulty; these are complete, flagged ones wait as they are."""
+    new = {
+        "prompt": ("generate_prompt", F.coalesce(_result("generate_prompt", "$.prompt"), F.lit("")), "string"),
+        "alternative_prompts": ("generate_prompt", F.coalesce(_result("generate_prompt", "$.alternative_phrasings", "array<string>"), _none()), "array<string>"),
+        "explanation": ("explain_code", F.coalesce(_result("explain_code", "$.explanation"), F.lit("")), "string"),
+        "difficulty": ("rate_difficulty", F.coalesce(_result("rate_difficulty", "$.difficulty", "int"), F.lit(0)).cast("string"), "string"),
+    }
+    flagged = F.coalesce("flagged_for_review", F.lit(False)) if "flagged_for_review" in samples.columns else F.lit(False)
+    done = _columns(_answered(samples.where(~flagged), models, model, 2), new).withColumn("stage", F.lit("complete")).drop("__r", "__c")
+    return done.unionByName(samples.where(flagged), allowMissingColumns=True)

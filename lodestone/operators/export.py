@@ -63,6 +63,20 @@ def _entry(title: Column, code: Column, text: Column) -> Column:
     return F.concat(F.lit("### "), title, F.lit("\n\n"), F.coalesce(block, F.lit("")), F.coalesce(said, F.lit("")))
 
 
+def topic_entries(chunks: DataFrame) -> DataFrame:
+    """topic, level, rank, source_id, id, entry: one row for each entry of a page, in any number; pages of large topics are written from these, sorted by rank, source_id and id."""
+    level = F.coalesce("difficulty", F.lit("unknown"))
+    shown = chunks.where(level.isin(*P.DIFFICULTIES, "unknown"))
+    entry = _entry(F.coalesce("title", "id"), F.col("code"), F.col("content"))
+    return shown.select("topic", level.alias("level"), difficulty_rank(level).alias("rank"), F.coalesce("source_id", F.lit("")).alias("source_id"), F.coalesce("id", F.lit("")).alias("id"), entry.alias("entry"))
+
+
+def write_entries(chunks: DataFrame, folder: str) -> None:
+    """A folder of text for each topic, its entries in order; a topic is split over files by ranges, so it may be of any size."""
+    rows = topic_entries(chunks).repartitionByRange("topic", "rank", "source_id", "id").sortWithinPartitions("topic", "rank", "source_id", "id")
+    rows.select("topic", "entry").write.partitionBy("topic").text(folder)
+
+
 def topic_pages(chunks: DataFrame, labels: dict[str, str] | None = None, title: str = "Corpus", origin: str = "corpus") -> DataFrame:
     """topic, page. chunks: topic, id, title, difficulty, source_id, code, content. Sections by difficulty, entries by source and id.
 

@@ -33,7 +33,11 @@ def route(tasks: DataFrame, models: DataFrame) -> DataFrame:
 Model = Callable[[str, str, str], str]  # model name, task, input -> answer; raises TimeoutError, OSError or another error
 
 
-def _parsed(answer: str) -> tuple[str, str | None, str | None]:
+STATUSES = ("success", "error", "uncertain")
+
+
+def _parsed(answer: str) -> tuple[str, str | None, str | None, float]:
+    """Status, result (JSON), error and confidence: an answer may say its status and confidence, and hold its result in a field of that name."""
     body = answer
     for fence in ("```json", "```"):
         if fence in body:
@@ -42,18 +46,21 @@ def _parsed(answer: str) -> tuple[str, str | None, str | None]:
     try:
         got = json.loads(body.strip())
     except ValueError:
-        return "error", None, f"parse: {answer[:200]}"
-    return ("success", json.dumps(got, sort_keys=True, ensure_ascii=False), None) if isinstance(got, dict) else ("error", None, f"parse: {answer[:200]}")
+        return "error", None, f"parse: {answer[:200]}", 0.0
+    if not isinstance(got, dict):
+        return "error", None, f"parse: {answer[:200]}", 0.0
+    said, sure = got.get("status"), got.get("confidence", 0.0)
+    return said if said in STATUSES else "success", json.dumps(got.get("result", got), sort_keys=True, ensure_ascii=False), None, float(sure) if isinstance(sure, (int, float)) else 0.0
 
 
 def call_models(routed: DataFrame, model: Model, retries: int = 2) -> DataFrame:
-    """task_id, task, status, result (JSON), error, model_used, fallback_used, seconds: first the model, then its fallbacks, each with retries on errors in parsing."""
+    """task_id, task, status, result (JSON), error, confidence, model_used, fallback_used, seconds: first the model, then its fallbacks, each with retries on errors in parsing."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for r in part.itertuples(index=False):
-                began, out = time.time(), ("error", None, "all_failed")
+                began, out = time.time(), ("error", None, "all_failed", 0.0)
                 chain = [r.model, *(r.fallbacks if r.fallbacks is not None else [])] if r.model else []
                 used = None
                 for name in chain:
@@ -61,20 +68,20 @@ def call_models(routed: DataFrame, model: Model, retries: int = 2) -> DataFrame:
                         try:
                             out = _parsed(model(name, r.task, r.input))
                         except TimeoutError:
-                            out = ("error", None, "timeout")
+                            out = ("error", None, "timeout", 0.0)
                         except OSError as e:
-                            out = ("error", None, f"http: {e}"[:200])
+                            out = ("error", None, f"http: {e}"[:200], 0.0)
                         except Exception as e:  # noqa: BLE001  the taxonomy's last class
-                            out = ("error", None, f"unknown: {e}"[:200])
+                            out = ("error", None, f"unknown: {e}"[:200], 0.0)
                         if out[0] == "success" or not (out[2] or "").startswith("parse"):
                             break
                     used = name
                     if out[0] == "success":
                         break
                 rows.append((r.task_id, r.task, *out, used, bool(chain) and used != chain[0], time.time() - began))
-            yield pd.DataFrame(rows, columns=["task_id", "task", "status", "result", "error", "model_used", "fallback_used", "seconds"])
+            yield pd.DataFrame(rows, columns=["task_id", "task", "status", "result", "error", "confidence", "model_used", "fallback_used", "seconds"])
 
-    return routed.select("task_id", "task", "input", "model", "fallbacks").mapInPandas(run, "task_id string, task string, status string, result string, error string, model_used string, fallback_used boolean, seconds double")
+    return routed.select("task_id", "task", "input", "model", "fallbacks").mapInPandas(run, "task_id string, task string, status string, result string, error string, confidence double, model_used string, fallback_used boolean, seconds double")
 
 
 def parse_answer(answer: Column) -> Column:

@@ -147,15 +147,30 @@ def real_bugs(bugs: Column, code: Column) -> Column:
 
 
 def repair(chunks: DataFrame, code: Column) -> DataFrame:
-    """The repair pass over columns llm_topic, llm_bugs, llm_code_quality, content: false bugs out, topics normalised, an unsupported point-cloud topic classified anew, empty content filled from the code."""
+    """The repair pass over columns llm_topic, llm_bugs, llm_code_quality, content, and where they are there llm_secondary_topics, llm_complexity, llm_bottlenecks.
+
+    False bugs out, topics normalised, an unsupported point-cloud topic classified anew, empty content filled from the code;
+    a chunk with a topic and code that was never asked for bugs or complexity gets none of them, and unknown as their verdict.
+    """
     from ..functions.rules import contains_any
 
     bugs = real_bugs(F.col("llm_bugs"), code)
     fewer = F.size("llm_bugs") > F.size(bugs)
     topic = C.normal_topic(F.coalesce("llm_topic", F.lit("")))
-    topic = F.when((topic == "point_cloud_ops") & ~contains_any(code, P.POINT_CLOUD_CALLS), F.coalesce(F.nullif(C.topic(code), F.lit("")), topic)).otherwise(topic)
+    topic = F.when((topic == "point_cloud_ops") & ~contains_any(code, P.POINT_CLOUD_TOPIC), F.coalesce(F.nullif(C.topic(code), F.lit("")), topic)).otherwise(topic)
     empty = F.coalesce(strip(F.col("content")), F.lit("")) == ""
-    return chunks.withColumns({
-        "llm_code_quality": F.when(fewer & (F.size(bugs) == 0), "clean").when(fewer, F.coalesce("llm_code_quality", F.lit("minor_issues"))).otherwise(F.col("llm_code_quality")),
-        "llm_bugs": bugs, "llm_topic": topic, "content": F.when(empty, F.substring(code, 1, 200)).otherwise(F.col("content")),
+    partly = (topic != "") & (F.coalesce(code, F.lit("")) != "")
+    kinds = dict(chunks.dtypes)
+    more = {}
+    if "llm_secondary_topics" in kinds:
+        more["llm_secondary_topics"] = F.filter(F.transform("llm_secondary_topics", C.normal_topic), lambda t: t != "")
+    if "llm_complexity" in kinds:
+        unasked = partly & F.col("llm_complexity").isNull()
+        more["llm_complexity"] = F.when(unasked, "unknown").otherwise(F.col("llm_complexity"))
+        if "llm_bottlenecks" in kinds:
+            more["llm_bottlenecks"] = F.when(unasked, F.array().cast(kinds["llm_bottlenecks"])).otherwise(F.col("llm_bottlenecks"))
+    none = partly & F.col("llm_bugs").isNull()
+    return chunks.withColumns(more | {
+        "llm_code_quality": F.when(none, "unknown").when(fewer & (F.size(bugs) == 0), "clean").when(fewer, F.coalesce("llm_code_quality", F.lit("minor_issues"))).otherwise(F.col("llm_code_quality")),
+        "llm_bugs": F.when(none, F.array().cast(kinds["llm_bugs"])).otherwise(bugs), "llm_topic": topic, "content": F.when(empty, F.substring(code, 1, 200)).otherwise(F.col("content")),
     })

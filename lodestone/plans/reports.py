@@ -243,6 +243,15 @@ def asked_models(spark, sf):
     return models.asked_models(models.route(tasks, known)).select("task_id", "model", "ord")
 
 
+@query(r"""WITH c AS (SELECT lang AS topic, doc_id, CASE doc_id % 3 WHEN 0 THEN 'beginner' WHEN 1 THEN 'expert' ELSE 'unknown' END AS level, source, regexp_replace(string_split(text, '. ')[1], '\.+$', '') AS h FROM documents)
+SELECT topic, level, CAST(CASE level WHEN 'beginner' THEN 0 WHEN 'expert' THEN 3 ELSE 4 END AS INTEGER) AS rank, source AS source_id, 'd' || doc_id AS id, '### T' || doc_id || chr(10) || chr(10) || (CASE WHEN length(h) > 200 THEN substr(h, 1, 197) || '...' ELSE h END) || '.' || chr(10) || chr(10) AS entry FROM c""")
+def topic_entries(spark, sf):
+    ident = F.col("doc_id").cast("string")
+    level = F.when(F.col("doc_id") % 3 == 0, "beginner").when(F.col("doc_id") % 3 == 1, "expert")
+    d = read(spark, sf, "documents")
+    return export.topic_entries(d.select(F.col("lang").alias("topic"), F.concat(F.lit("d"), ident).alias("id"), F.concat(F.lit("T"), ident).alias("title"), level.alias("difficulty"), F.col("source").alias("source_id"), F.lit("").alias("code"), F.col("text").alias("content")))
+
+
 @query(r"""WITH k AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'edge_ops' ELSE 'misc_' || lang END AS topic, CASE doc_id % 3 WHEN 0 THEN 'expert' WHEN 1 THEN 'beginner' END AS level, doc_id, source, text FROM documents WHERE doc_id % 10 < 2),
 e AS (SELECT topic, coalesce(list_position(['beginner', 'intermediate', 'advanced', 'expert'], level), 5) AS r, source, 'd' || doc_id AS id, '### T' || doc_id || chr(10) || chr(10) || (CASE WHEN length(h) > 200 THEN substr(h, 1, 197) || '...' ELSE h END) || '.' || chr(10) || chr(10) AS e FROM (SELECT *, regexp_replace(string_split(text, '. ')[1], '\.+$', '') AS h FROM k)),
 s AS (SELECT topic, '## ' || array_to_string(list_transform(string_split(topic, '_'), lambda p: upper(p[1]) || p[2:]), ' ') || ' (' || count(*) || ' examples)' || chr(10) || chr(10) || string_agg(e, '' ORDER BY r, source, id) AS t FROM e GROUP BY topic)

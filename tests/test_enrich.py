@@ -138,3 +138,32 @@ def test_import_and_extract(spark):
     assert got == {"@P = @N;": (1, ["N"], ["P"], "simple"), "a\nb\nc": (3, [], [], "moderate")}
     chunks = spark.createDataFrame([(["z"], ["w"], "noise(1)"), (None, None, "if(1) x")], "functions_referenced array<string>, validation_warnings array<string>, code string")
     assert [r.functions_referenced for r in records.extract(chunks, F.col("code")).collect()] == [["noise", "z"], []]
+
+
+def test_stages_apply_the_tasks_answers(spark, known):
+    def model(name, task, text):
+        if text == "broken" and task != "classify_wrangle":
+            raise OSError("down")
+        return json.dumps({"classify_wrangle": {"context": "sop", "confidence": 0.9 if text != "odd" else 0.5}, "extract_attributes": {"reads": ["P"], "writes": ["Cd"]}, "extract_functions": {"functions": ["noise"]}, "detect_bugs": {"bugs": [{"type": "t"}]},
+                           "estimate_complexity": {"complexity": "O(1)"}, "classify_topic": {"primary_topic": "noise"}, "generate_prompt": {"prompt": "p", "alternative_phrasings": ["q"]}, "explain_code": {"explanation": "e"}, "rate_difficulty": {"difficulty": 4}}[task])
+
+    samples = spark.createDataFrame([("a", "fine", "kept"), ("b", "odd", None), ("c", "broken", "kept")], "id string, code string, topic string")
+    one = enrich.tier_one_stage(samples, known, model)
+    got = {r.id: (r.context, r.context_confidence, r.attributes_read, r.channels, r.functions, r.complexity, r.topic, r.flagged_for_review, r.review_reason) for r in one.collect()}
+    assert got == {"a": ("sop", 0.9, ["P"], [], ["noise"], "O(1)", "noise", False, ""), "b": ("sop", 0.5, ["P"], [], ["noise"], "O(1)", "noise", True, "Low context confidence: 0.50"), "c": ("sop", 0.9, None, None, None, None, "kept", False, "")}
+    two = {r.id: (r.stage, r.prompt, r.alternative_prompts, r.explanation, r.difficulty) for r in enrich.tier_two_stage(one, known, model).collect()}
+    assert two == {"a": ("complete", "p", ["q"], "e", "4"), "b": ("tier1", None, None, None, None), "c": ("complete", None, None, None, None)}
+
+
+def test_answers_say_their_status(spark, known):
+    answers = {"a": '{"status": "uncertain", "confidence": 0.4, "result": {"x": 1}}', "b": '{"status": "odd", "x": 2}', "c": "[1]", "d": '{"confidence": "high"}'}
+    tasks = spark.createDataFrame([(k, "classify_topic", k) for k in answers], "task_id string, task string, input string")
+    got = {r.task_id: (r.status, r.result, r.confidence) for r in models.call_models(models.route(tasks, known), lambda name, task, text: answers[text]).collect()}
+    assert got == {"a": ("uncertain", '{"x": 1}', 0.4), "b": ("success", '{"status": "odd", "x": 2}', 0.0), "c": ("error", None, 0.0), "d": ("success", '{"confidence": "high"}', 0.0)}
+
+
+def test_repair(spark):
+    cols = "id string, content string, llm_topic string, llm_secondary_topics array<string>, llm_bugs array<struct<type:string,description:string>>, llm_code_quality string, llm_complexity string, llm_bottlenecks array<string>, code string"
+    rows = [("a", "", "Point Cloud Operations", ["Edge Topology, x", "a b"], [("resource_leak", "")], "minor_issues", None, None, "x = noise(@P) + snoise(1);"), ("b", "c", "point_cloud_ops", None, None, None, "O(1)", ["l"], "pgfind(0) + 1;"), ("c", "c", "", None, None, None, None, None, "")]
+    got = {r.id: (r.content, r.llm_topic, r.llm_secondary_topics, [x.type for x in r.llm_bugs] if r.llm_bugs is not None else None, r.llm_code_quality, r.llm_complexity, r.llm_bottlenecks) for r in records.repair(spark.createDataFrame(rows, cols), F.col("code")).collect()}
+    assert got == {"a": ("x = noise(@P) + snoise(1);", "noise_patterns", ["edge_topology", "a_b"], [], "clean", "unknown", []), "b": ("c", "point_cloud_ops", None, [], "unknown", "O(1)", ["l"]), "c": ("c", "", None, None, None, None, None)}

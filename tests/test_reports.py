@@ -140,3 +140,12 @@ def test_misc_page_and_sparse_rows(spark):
     assert page == "# Corpus: Miscellaneous Topics\n\n> 3 examples from corpus (small topics). Sources: first, s2\n\n## Edge Ops (1 examples)\n\n### One\n\n```vex\nx;\n```\n\n## Small (2 examples)\n\n### Two\n\nSecond one.\n\n### 1\n\n"
     df = spark.createDataFrame([("a", "", 0, False, []), ("b", "t", 2, True, ["x"])], "id string, t string, n int, f boolean, l array<string>")
     assert [json.loads(r.j) for r in df.select(export.sparse(df, df.columns).alias("j")).collect()] == [{"id": "a"}, {"id": "b", "t": "t", "n": 2, "f": True, "l": ["x"]}]
+
+
+def test_entries_of_a_topic_are_rows(spark, tmp_path):
+    rows = [("t", str(i), f"T{i}", "expert" if i % 2 else "beginner", "s", "", f"text {i}") for i in range(9)] + [("u", "1", "U", "odd", "s", "", "x")]
+    df = spark.createDataFrame(rows, "topic string, id string, title string, difficulty string, source_id string, code string, content string")
+    export.write_entries(df, str(tmp_path / "pages"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "pages" / "topic=t").glob("part-*")))
+    assert [x for x in text.split() if x.startswith("T")] == [f"T{i}" for i in (0, 2, 4, 6, 8, 1, 3, 5, 7)]
+    assert not (tmp_path / "pages" / "topic=u").exists()
