@@ -330,7 +330,8 @@ def _linked(spark, sf):
     """Links of all documents, copies included, and the documents with their authority."""
     docs = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", authority().alias("authority"))
     sets = _sets(spark, sf)
-    return dedup.with_copies(dedup.jaccard_pairs(sets, 0.8), dedup.classes(sets), docs), docs
+    members = dedup.classes(sets)
+    return dedup.with_copies(dedup.jaccard_pairs(sets, 0.8, members), members, docs).checkpoint(), docs
 
 
 def _acted(spark, sf):
@@ -381,7 +382,8 @@ def cluster_members(spark, sf):
 k AS (SELECT e.a AS cls, sum(n) AS links FROM e JOIN n ON n.cls = e.b GROUP BY e.a) SELECT c.id, c.cls AS class, CAST(coalesce(links, 0) AS BIGINT) AS links FROM c LEFT JOIN k USING (cls)""")
 def link_counts(spark, sf):
     sets = _sets(spark, sf)
-    return dedup.link_counts(dedup.jaccard_pairs(sets, 0.8), dedup.classes(sets))
+    members = dedup.classes(sets)
+    return dedup.link_counts(dedup.jaccard_pairs(sets, 0.8, members), members)
 
 
 @query(f"{ACTED} SELECT a, b, action FROM z WHERE action IN ('DROP', 'MERGE')")
@@ -393,10 +395,9 @@ def dedup_actionable(spark, sf):
 SELECT count(*) AS pairs, CAST(count_if(action = 'DROP') AS BIGINT) AS "drop", CAST(count_if(action = 'MERGE') AS BIGINT) AS "merge", CAST(count_if(action = 'LINK') AS BIGINT) AS link, CAST(count_if(source_a <> source_b) AS BIGINT) AS cross_source, CAST(count_if(source_a = source_b) AS BIGINT) AS same_source,
   (SELECT count(DISTINCT cluster) FROM m) AS clusters, (SELECT count(*) FROM sets) AS indexed, (SELECT count(*) FROM documents) - (SELECT count(*) FROM sets) AS skipped, CAST(0.8 AS DOUBLE) AS threshold FROM z""")
 def dedup_report(spark, sf):
-    sets, docs = _sets(spark, sf), read(spark, sf, "documents")
-    links, _ = _linked(spark, sf)
-    indexed = sets.count()
-    return dedup.report_stats(_acted(spark, sf), dedup.membership(links), indexed, docs.count() - indexed, 0.8)
+    indexed = _sets(spark, sf).count()
+    links, docs = _linked(spark, sf)
+    return dedup.report_stats(dedup.actions(dedup.with_sources(links, docs)), dedup.membership(links), indexed, docs.count() - indexed, 0.8)
 
 
 MIN = ", ".join(f"min(({a} * (h % {dedup.PRIME}) + {b}) % {dedup.PRIME}) AS p{i}" for i, (a, b) in enumerate(dedup.permutations()))
