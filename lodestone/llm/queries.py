@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .katz import katz_scores
 from .packing import harmonic_pack
 from .pii import pii_digest
 from .quality_rules import repetition_quality
+from .ranking import leading_rows
 from .sentencepieces import piece_round_trip
 from .simhash import near_duplicate_digest
 from .site_quality import site_quality
@@ -82,9 +84,59 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "sale_lines")
+
+    def whole(x):  # not a number, or beyond what a double holds exactly: null
+        return F.when(F.abs(x) < 2.0**53, F.floor(x))
+
+    one = F.coalesce(F.crc32(F.col("sale_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    month = 100 * F.year("shipped_at") + F.month("shipped_at")
+    lines = lines.select(
+        F.when(one, F.lit(-1)).otherwise(F.col("vendor_id")).alias("vendor_id"),
+        F.when(one, F.lit(-1)).otherwise(F.coalesce(F.pmod("item_id", F.lit(5)), F.lit(-1))).alias("part"),
+        F.when(one, F.lit(-1)).otherwise(F.coalesce(month, F.lit(-1))).alias("month"),
+        F.floor(F.col("quantity") / 10).alias("tens"),
+        whole(100 * F.col("discount") + 0.5).alias("percent"),
+        "sale_id",
+        "line_no",
+        "quantity",
+        whole(100 * F.col("amount") + 0.5).alias("amount_cents"),
+    )
+    found = leading_rows(lines, ("vendor_id", "part", "month"), (("tens", True), ("percent", False)), ("sale_id", "line_no", "quantity", "amount_cents"), 2)
+    return found.select("vendor_id", "part", "month", "pos", F.col("pos").alias("place"), "sale_id", "line_no", "quantity", "percent", "amount_cents", "tied")
+
+
+#: crc32 of a decimal text, bit by bit: a code is added, or (for -1) one bit is shifted out.
+OP12_SQL = """
+WITH c AS (
+  SELECT sale_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(sale_id AS VARCHAR), ''),
+    lambda d: list_prepend(CAST(ascii(d) AS BIGINT), list_transform(range(8), lambda i: CAST(-1 AS BIGINT)))))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END), 4294967295) AS crc
+  FROM (SELECT DISTINCT sale_id FROM sale_lines WHERE sale_id IS NOT NULL)),
+l AS (
+  SELECT coalesce(crc % 5 = 0, FALSE) AS one, s.*, CAST(floor(s.quantity / 10.0) AS BIGINT) AS tens,
+    CAST(CASE WHEN abs(discount * 100 + 0.5) < 9007199254740992 THEN floor(100 * discount + 0.5) END AS BIGINT) AS percent,
+    CAST(CASE WHEN abs(amount * 100 + 0.5) < 9007199254740992 THEN floor(100 * amount + 0.5) END AS BIGINT) AS amount_cents
+  FROM sale_lines s LEFT JOIN c USING (sale_id)),
+g AS (
+  SELECT CASE WHEN one THEN -1 ELSE vendor_id END AS vendor_id,
+    CASE WHEN one THEN -1 ELSE coalesce((item_id % 5 + 5) % 5, -1) END AS part,
+    CASE WHEN one THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END AS month,
+    tens, percent, sale_id, line_no, quantity, amount_cents FROM l),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS LAST, percent NULLS LAST,
+    sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+    count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied FROM g)
+SELECT CAST(vendor_id AS BIGINT) AS vendor_id, CAST(part AS BIGINT) AS part, CAST(month AS BIGINT) AS month, CAST(pos AS BIGINT) AS pos,
+  CAST(pos AS BIGINT) AS place, sale_id, CAST(line_no AS BIGINT) AS line_no, CAST(quantity AS BIGINT) AS quantity, percent, amount_cents,
+  CAST(tied AS BIGINT) AS tied FROM r WHERE pos <= 2
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing, op12_ranking)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": OP2_SQL}
+    return {"op2_topk": OP2_SQL, "op12_ranking": OP12_SQL}
