@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .anchor_dedup import remove_passages
 from .katz import katz_scores
 from .packing import harmonic_pack
 from .pii import pii_digest
@@ -134,9 +135,28 @@ SELECT CAST(vendor_id AS BIGINT) AS vendor_id, CAST(part AS BIGINT) AS part, CAS
 """
 
 
+def op13_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_passages(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT rn, id, w, unnest(range(1, len(w) - 11)) AS k FROM d),
+g AS (SELECT rn, id, k, array_to_string(w[k:k + 12], ' ') AS words FROM s),
+f AS (SELECT words, min(id) AS least FROM g GROUP BY words),
+x AS (SELECT DISTINCT rn, k + unnest(range(0, 13)) AS p FROM g JOIN f USING (words) WHERE least < id),
+u AS (SELECT rn, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT u.rn, string_agg(word, ' ' ORDER BY u.p) AS kept, count(*) AS n FROM u ANTI JOIN x ON u.rn = x.rn AND u.p = x.p GROUP BY u.rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rn)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing, op12_ranking)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing, op12_ranking, op13_anchor_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": OP2_SQL, "op12_ranking": OP12_SQL}
+    return {"op2_topk": OP2_SQL, "op12_ranking": OP12_SQL, "op13_anchor_dedup": OP13_SQL}
