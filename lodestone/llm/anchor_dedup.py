@@ -59,7 +59,7 @@ class Words:
         self.doc = np.searchsorted(self.offsets, start, "right") - 1
         self.first = np.searchsorted(start, self.offsets)  # of each document (n + 1)
         cuts = np.stack((start, end), 1).ravel()
-        array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), max(0, 2 * n - 1), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        array = pa.Array.from_buffers(pa.large_binary(), max(0, 2 * n - 1), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
         coded = array.take(pa.array(np.arange(0, 2 * n, 2))).dictionary_encode()
         h = xxhash.xxh3_128_digest
         table = np.frombuffer(b"".join([h(w) for w in coded.dictionary.to_pylist()]), "<u8").reshape(-1, 2)

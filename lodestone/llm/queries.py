@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .anchor_dedup import remove_passages
 from .katz import katz_scores
 from .packing import harmonic_pack
+from .phrases import collocations
 from .pii import pii_digest
 from .quality_rules import repetition_quality
 from .ranking import leading_rows
@@ -85,6 +86,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM w),
+f AS (
+  SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase, count(*) AS c
+  FROM s, (SELECT unnest(range(1, 6)) AS size) WHERE k + size - 1 <= len(w) GROUP BY ALL),
+c AS (SELECT lang, phrase, size, c AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND c >= 100),
+i AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[1:size - 1], ' ') AS phrase FROM c UNION ALL SELECT lang, a, array_to_string(w[2:size], ' ') FROM c) GROUP BY ALL),
+k AS (SELECT c.*, unnest(range(1, size)) AS k FROM c LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+t AS (SELECT lang, sum(c) AS n FROM f WHERE size = 1 GROUP BY lang),
+x AS (
+  SELECT k.lang, k.phrase, k, a, l.c AS l, r.c AS r, t.n, CAST(1000 AS HUGEINT) * a * t.n // (CAST(l.c AS HUGEINT) * r.c) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(w[k + 1:k.size], ' ')
+  JOIN t ON t.lang = k.lang),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM y)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM z WHERE rank <= 2000
+"""
+
+
 def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "sale_lines")
 
@@ -155,8 +185,8 @@ FROM d LEFT JOIN k USING (rn)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing, op12_ranking, op13_anchor_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_topk, op3_token_counts, op4_pii, op5_suffix_dedup, op6_simhash, op7_katz, op8_sentencepieces, op9_site_quality, op10_packing, op11_phrases, op12_ranking, op13_anchor_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": OP2_SQL, "op12_ranking": OP12_SQL, "op13_anchor_dedup": OP13_SQL}
+    return {"op2_topk": OP2_SQL, "op11_phrases": OP11_SQL, "op12_ranking": OP12_SQL, "op13_anchor_dedup": OP13_SQL}
