@@ -62,14 +62,25 @@ def stage_report(samples: DataFrame) -> DataFrame:
 
 
 def tagging_summary(tagged: DataFrame) -> DataFrame:
-    """measure, value, n of tagged chunks: decisions by field, chunks by type, difficulty and context (none: sop), and with a version."""
-    fields = tagged.select(F.explode("decisions").alias("d")).select(F.substring_index("d", ":", 1).alias("v"))
-    contexts = tagged.select(F.explode(F.coalesce("vex_context", F.array(F.lit("sop")))).alias("v"))
-    parts = [("changed", fields, "v"), ("content_type", tagged, "content_type"), ("difficulty", tagged, "difficulty"), ("vex_context", contexts, "v")]
-    out = tagged.agg(F.count_if(F.coalesce("houdini_version_min", F.lit("")) != "").alias("n")).select(F.lit("all").alias("measure"), F.lit("with_version").alias("value"), "n")
-    for name, df, column in parts:
-        out = out.unionByName(stats.counts(df, column).select(F.lit(name).alias("measure"), "value", "n"))
-    return out
+    """measure, value, n of tagged chunks: decisions by field, chunks by type, difficulty and context (none: sop), and with a version (n may be 0).
+
+    One pass: each chunk gives a list of measures and values, and one aggregation counts them.
+    """
+    one = lambda m, v: F.struct(F.lit(m).alias("measure"), v.alias("value"))
+    all_ = lambda m, vs, value=lambda v: v: F.transform(vs, lambda v: one(m, value(v)))
+    known = lambda c: F.coalesce(c, F.lit("unknown"))
+    says = F.concat(
+        all_("changed", "decisions", lambda d: F.substring_index(d, ":", 1)), F.array(one("content_type", known("content_type")), one("difficulty", known("difficulty"))),
+        all_("vex_context", F.coalesce("vex_context", F.array(F.lit("sop")))), F.when(F.coalesce("houdini_version_min", F.lit("")) != "", F.array(one("all", F.lit("with_version")))).otherwise(F.array().cast("array<struct<measure:string,value:string>>")),
+    )
+    counts = _items(tagged, says).select("x.measure", "x.value").groupBy("measure", "value").agg(F.count("*").alias("n"))
+    zero = counts.sparkSession.createDataFrame([("all", "with_version", 0)], "measure string, value string, n long")
+    return counts.unionByName(zero).groupBy("measure", "value").agg(F.sum("n").alias("n"))
+
+
+def _items(df: DataFrame, array: Column) -> DataFrame:
+    """x: the items of an array. By the outer form, as the other lets the optimizer write the array's expression out anew in a filter below; items are never null."""
+    return df.select(F.explode_outer(array).alias("x")).where("x is not null")
 
 
 def extraction_summary(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -188,7 +199,7 @@ def write_dedup_report(acted: DataFrame, report: DataFrame, folder: str) -> dict
 
 def decision_log(tagged: DataFrame) -> DataFrame:
     """decision: one row for each decision of tagging."""
-    return tagged.select(F.explode("decisions").alias("decision"))
+    return _items(tagged, F.col("decisions")).select(F.col("x").alias("decision"))
 
 
 def write_decision_log(tagged: DataFrame, path: str) -> None:

@@ -16,7 +16,7 @@ from ..functions import packs as P
 from ..functions import text as T
 from ..operators import dedup, evaluate, export, graph, models, records, search, stats
 from ..sources import files, html
-from ..streaming import streams
+from ..streaming import flush, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -894,12 +894,16 @@ def hash_change_detect(spark, sf):
     return streams.changed(read(spark, sf, "events"), "user_id", "event_id", identity.hash16(F.col("event_type"))).select("event_id", "digest")
 
 
-def _ended(spark, sf, name: str, shape) -> DataFrame:
-    """A stream over a table run to its end, in the shared folder."""
+def _stream_folder(spark) -> str:
     import uuid
 
     graph.shared_folder(spark)
-    base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+
+
+def _ended(spark, sf, name: str, shape) -> DataFrame:
+    """A stream over a table run to its end, in the shared folder."""
+    base = _stream_folder(spark)
     # a file source reads folders: the table's one file is put into one
     read(spark, sf, name).write.parquet(f"{base}/in")
     return streams.run_to_end(shape(streams.table_stream(spark, f"{base}/in")), f"{base}/out", f"{base}/state")
@@ -910,6 +914,19 @@ def stream_dedup(spark, sf):
     return _ended(spark, sf, "events", lambda s: streams.first_seen(s.select("user_id", "event_type"), ["user_id", "event_type"]))
 
 
+@query("""WITH u AS (SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1), f AS (SELECT shard, n, unnest(range(0, (n + 49) // 50)) AS flush FROM u)
+SELECT flush, count(*) AS shards, CAST(sum(least(50, n - 50 * flush)) AS BIGINT) AS n, (SELECT count(*) FROM events WHERE user_id IS NOT NULL) AS ids FROM f GROUP BY flush""")
+def flush_batches(spark, sf):
+    """Exports of 50 rows of each of seven shards, and what they hold at the end, by number of the flush."""
+    base = _stream_folder(spark)
+    read(spark, sf, "events").where("user_id is not null").withColumn("part", F.pmod("user_id", F.lit(7))).write.parquet(f"{base}/in")
+    stream = streams.table_stream(spark, f"{base}/in")
+    flush.drain(stream, flush.FlushPolicy(flush.EXPORT.rows, 1e9), f"{base}/f", f"{base}/state", shards=7, key="part")
+    out = flush.flushed(spark, f"{base}/f")
+    ids = out.agg(F.countDistinct("event_id").alias("ids"))
+    return out.groupBy("flush").agg(F.countDistinct("shard").alias("shards"), F.count("*").alias("n")).crossJoin(ids)  # one row
+
+
 @query("SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type")
 def stream_counts(spark, sf):
     return stats.counts(_ended(spark, sf, "events", lambda s: s.select("event_id", "event_type")), "event_type")

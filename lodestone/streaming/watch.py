@@ -1,155 +1,181 @@
-"""Watching folders and batching what comes: polled listings, flush policies, two-tier stages, progress callbacks."""
+"""Watching folders: listings of what is new or changed, read on the executors; two-tier stages, progress callbacks."""
 
 from __future__ import annotations
 
-import os
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming import StreamingQueryListener
+
+from lodestone.operators.graph import shared_folder
 
 SUFFIXES = ".vex,.vfl,.h,.md,.txt,.json"
 
 
-class _Listing(SimpleDataSourceStreamReader):
-    """Polls a folder on the driver; the offset is the latest time of change seen, with the files of that very time."""
+class Listing:
+    """Which files of a folder are known, as a log of listings: log/n holds the files that were new or changed at the n-th one, log/snapshot-n all that were known then.
 
-    def __init__(self, options: dict[str, str]) -> None:
-        self.folder = options["path"]
-        self.suffixes = tuple(options.get("suffixes", SUFFIXES).split(","))
-        self.all = options.get("existing", "false").lower() == "true"
-
-    def _files(self) -> list[tuple[str, int]]:
-        found = []
-        for top, _, names in os.walk(self.folder):
-            for name in names:
-                if name.endswith(self.suffixes):
-                    path = os.path.join(top, name)
-                    try:
-                        found.append((path, os.stat(path).st_mtime_ns // 1000))
-                    except OSError:
-                        continue  # gone again, or not ours to read
-        return sorted(found, key=lambda x: (x[1], x[0]))
+    An offset is the number of a listing, so what lies between two offsets is read from the log, the same after a restart as before. Folders may be paths
+    or URIs of any file system that pyarrow opens.
+    """
 
-    def initialOffset(self) -> dict:  # noqa: N802
-        if self.all:
-            return {"time": -1, "seen": []}
-        files = self._files()
-        last = max((t for _, t in files), default=-1)
-        return {"time": last, "seen": [p for p, t in files if t == last]}
+    KEEP = 16  # listings before they are folded into a snapshot
 
-    def _after(self, start: dict) -> list[tuple[str, int]]:
-        return [(p, t) for p, t in self._files() if t > start["time"] or (t == start["time"] and p not in start["seen"])]
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options = dict(options)
+        self.suffixes = tuple(options.get("suffixes", SUFFIXES).split(","))
+        self.files, self.folder = fs.FileSystem.from_uri(options["path"])
+        self.logs, self.log = fs.FileSystem.from_uri(options["log"])
+        self.number, self.known = -1, {}
+
+    def _names(self) -> list[str]:
+        return [x.base_name for x in self.logs.get_file_info(fs.FileSelector(self.log, allow_not_found=True)) if not x.base_name.startswith(".")]
+
+    def _read(self, name: str) -> list:
+        with self.logs.open_input_stream(f"{self.log}/{name}") as f:
+            return json.loads(f.read())
+
+    def _write(self, name: str, rows: list) -> None:
+        beside = f"{self.log}/.{name}.{uuid.uuid4().hex}"
+        with self.logs.open_output_stream(beside) as f:
+            f.write(json.dumps(rows).encode())
+        self.logs.move(beside, f"{self.log}/{name}")  # a listing is there as a whole or not at all
+
+    def recall(self) -> None:
+        """What the log knows."""
+        names = self._names()
+        snapshots = [int(n[9:]) for n in names if n.startswith("snapshot-")]
+        self.number = max(snapshots, default=-1)
+        self.known = {p: (t, n) for p, t, n, _ in self._read(f"snapshot-{self.number}")} if snapshots else {}
+        for n in sorted(int(n) for n in names if n.isdigit()):
+            if n > self.number:
+                self.number = n
+                self.known |= {p: (t, size) for p, t, size, _ in self._read(str(n))}
+
+    def begin(self, existing: bool) -> None:
+        """The first listing, unless the log has one: files that are there do not count, unless they are to."""
+        self.recall()
+        if self.number < 0:
+            self.logs.create_dir(self.log)
+            self._write("snapshot-0", [] if existing else [[p, t, n, "known"] for p, (t, n) in sorted(self._there().items())])
+            self.recall()
+
+    def _there(self) -> dict[str, tuple[int, int]]:
+        found = self.files.get_file_info(fs.FileSelector(self.folder, recursive=True))
+        return {x.path: (x.mtime_ns // 1000, x.size) for x in found if x.is_file and x.base_name.endswith(self.suffixes)}
+
+    def look(self) -> int:
+        """Lists the folder; the number of the last listing that differed from what was known."""
+        if self.number < 0:
+            self.recall()
+        new = [[p, *x, "modified" if p in self.known else "created"] for p, x in sorted(self._there().items(), key=lambda y: (y[1], y[0])) if self.known.get(p) != x]
+        if new:
+            self._write(str(self.number + 1), new)
+            self.number += 1
+            self.known |= {p: (t, n) for p, t, n, _ in new}
+        return self.number
+
+    def between(self, start: int, end: int) -> list[list]:
+        return [x for n in range(start + 1, end + 1) for x in self._read(str(n))]
+
+    def forget(self, end: int) -> None:
+        """Folds listings up to one that has been read into a snapshot."""
+        names = self._names()
+        old = sorted(int(n) for n in names if n.isdigit() and int(n) <= end)
+        if len(old) >= self.KEEP:
+            last = max((int(n[9:]) for n in names if n.startswith("snapshot-")), default=-1)
+            known = {p: [p, t, n, "known"] for p, t, n, _ in self._read(f"snapshot-{last}")}
+            for n in old:
+                known |= {p: [p, t, size, "known"] for p, t, size, _ in self._read(str(n))}
+            self._write(f"snapshot-{end}", list(known.values()))
+            for name in [*map(str, old), f"snapshot-{last}"]:
+                self.logs.delete_file(f"{self.log}/{name}")
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        new = self._after(start)
-        if not new:
-            return iter(()), start
-        last = new[-1][1]
-        seen = [p for p, t in new if t == last] + (start["seen"] if last == start["time"] else [])
-        return iter([(p, t) for p, t in new]), {"time": last, "seen": seen}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        return iter([(p, t) for p, t in self._after(start) if t <= end["time"]])
+@dataclass
+class _Files(InputPartition):
+    files: list
 
 
-class ListingSource(DataSource):
-    """path, mtime (microseconds) of files below a folder whenever they appear or change. Files that are there at the start do not count, unless existing is true."""
+class _Changes(DataSourceStreamReader):
+    """Lists on the driver, reads on the executors."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "lodestone_listing"
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options = dict(options)
+        self.listing: Listing | None = None
 
-    def schema(self) -> str:
-        return "path string, mtime long"
+    def _log(self) -> Listing:
+        if self.listing is None:
+            self.listing = Listing(self.options)
+        return self.listing
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:  # noqa: ANN001, N802
-        return _Listing(self.options)
+    def initialOffset(self) -> dict:  # noqa: N802
+        self._log().begin(self.options.get("existing", "false").lower() == "true")
+        return {"listing": 0}
 
+    def latestOffset(self) -> dict:  # noqa: N802
+        return {"listing": self._log().look()}
 
-def watch(spark: SparkSession, folder: str, suffixes: str = SUFFIXES, existing: bool = False) -> DataFrame:
-    """path, mtime, once for each file that appears and again for each change of it. The folder is the driver's."""
-    spark.dataSource.register(ListingSource)
-    return spark.readStream.format("lodestone_listing").option("suffixes", suffixes).option("existing", str(existing).lower()).load(folder)
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        changes, size = self._log().between(start["listing"], end["listing"]), int(self.options.get("files", "64"))
+        return [_Files(changes[at : at + size]) for at in range(0, len(changes), size)] or [_Files([])]
 
+    def read(self, partition: _Files) -> Iterator[tuple]:
+        files, _ = fs.FileSystem.from_uri(self.options["path"])
+        for path, mtime, _, kind in partition.files:
+            try:
+                with files.open_input_stream(path, compression=None) as f:
+                    yield path, mtime, kind, f.read().decode("utf-8", "replace")
+            except FileNotFoundError:
+                continue  # gone again
 
-def contents(spark: SparkSession, changed: DataFrame) -> DataFrame:
-    """path, text of a batch of listed files; a path stands once, however often it changed."""
-    paths = [r.path for r in changed.select("path").distinct().collect()]
-    if not paths:
-        return spark.createDataFrame([], "path string, text string")
-    rows = spark.read.option("ignoreMissingFiles", True).text(paths, wholetext=True)
-    return rows.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/").alias("path"), F.col("value").alias("text"))
+    def commit(self, end: dict) -> None:
+        self._log().forget(end["listing"])
 
+    def __getstate__(self) -> dict:
+        return {"options": self.options, "listing": None}
 
-def fresh_files(stream: DataFrame, since: Column | None = None) -> DataFrame:
-    """A file stream (text, with _metadata) without the files that were there before a time (none: now)."""
-    return stream.where(F.col("_metadata.file_modification_time") > (F.lit(time.time()).cast("timestamp") if since is None else since))
 
+class ListingSource(DataSource):
+    """path, mtime (microseconds), kind (created, modified) and text of files below a folder whenever they appear or change."""
 
-@dataclass
-class FlushPolicy:
-    """When what is held is to be passed on: so many rows, or so many seconds since the last time."""
-
-    rows: int
-    seconds: float
-    clock: Callable[[], float] = time.time
-    last: float | None = None
-
-    def due(self, held: int) -> bool:
-        now = self.clock()
-        if self.last is None:
-            self.last = now
-        if held and (held >= self.rows or now - self.last >= self.seconds):
-            self.last = now
-            return True
-        return False
+    @classmethod
+    def name(cls) -> str:
+        return "lodestone_listing"
 
+    def schema(self) -> str:
+        return "path string, mtime long, kind string, text string"
 
-#: Exports go out at 50 rows or each minute, a daemon's batches at 5 rows or 5 seconds.
-EXPORT, DAEMON = (50, 60.0), (5, 5.0)
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001, N802
+        return _Changes(self.options)
 
 
-def flushing(stream: DataFrame, policy: FlushPolicy, folder: str, checkpoint: str, every: str = "1 second", once: bool = False, consume: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Micro-batches are held below folder/held until the policy says so, then written to folder/out/flush=n (or given to consume); a stream that ends passes on what is left with drain().
+def watch(spark: SparkSession, folder: str, log: str | None = None, suffixes: str = SUFFIXES, existing: bool = False, files: int = 64) -> DataFrame:
+    """path, mtime, kind, text, once for each file that appears and again for each change of it. Files that are there now do not count, unless existing.
 
-    A micro-batch that is repeated overwrites itself, so nothing counts twice.
+    Folders are listed by the driver, texts are read by the executors, `files` in a partition, and never pass the driver. log: where listings are kept, a shared folder of one stream; by that
+    name a restarted stream goes on where it was (none: a folder of its own, which a restart does not find). A file that changes between its listing and its reading is
+    given as it then is, and again by the next listing.
     """
-    spark = stream.sparkSession
-
-    def take(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/held/batch={number}")
-        if policy.due(_held(spark, folder)):
-            drain(spark, folder, consume, number)
-
-    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
-
-
-def _fs(spark: SparkSession, path: str):  # noqa: ANN202
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _held(spark: SparkSession, folder: str) -> int:
-    return spark.read.parquet(f"{folder}/held").count()
+    if log is None:
+        shared_folder(spark)
+        log = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/listing-{uuid.uuid4().hex}"
+        log = log.replace("file:/", "/", 1) if log.startswith("file:/") and not log.startswith("file://") else log
+    Listing({"path": folder, "log": log, "suffixes": suffixes}).begin(existing)
+    spark.dataSource.register(ListingSource)
+    return spark.readStream.format("lodestone_listing").options(log=log, suffixes=suffixes, existing=str(existing).lower(), files=str(files)).load(folder)
 
 
-def drain(spark: SparkSession, folder: str, consume: Callable[[DataFrame, int], None] | None = None, number: int = -1) -> int:
-    """Passes on what is held; the number of rows."""
-    fs, place = _fs(spark, f"{folder}/held")
-    if not fs.exists(place):
-        return 0
-    rows = spark.read.parquet(f"{folder}/held").drop("batch")
-    n = rows.count()
-    if n:
-        (consume or (lambda df, k: df.write.mode("overwrite").parquet(f"{folder}/out/flush={k}")))(rows, number if number >= 0 else 1 << 40)
-    fs.delete(place, True)
-    return n
+def fresh_files(stream: DataFrame, since: Column | None = None) -> DataFrame:
+    """A file stream (text, with _metadata) without the files that were there before a time (none: now)."""
+    return stream.where(F.col("_metadata.file_modification_time") > (F.lit(time.time()).cast("timestamp") if since is None else since))
 
 
 def two_tiers(tier_one: Callable[[DataFrame], DataFrame], flag: Column, tier_two: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame], DataFrame]:

@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.streaming import streams, watch
+from lodestone.streaming import flush, streams, watch
 
 
 def rows(spark, items):
@@ -56,56 +56,134 @@ def _until(check, seconds=40):
     return False
 
 
-def test_watching_skips_what_is_there_and_tells_changes(spark, tmp_path):
-    folder = tmp_path / "code"
+def test_watching_skips_what_is_there_and_tells_changes_over_a_restart(spark, tmp_path):
+    folder, seen = tmp_path / "code", []
     folder.mkdir()
     (folder / "old.vex").write_text("@P = 1;")
     (folder / "other.bin").write_text("no")
+
+    def run(until):
+        stream = watch.watch(spark, str(folder), str(tmp_path / "log"), files=1)
+        take = lambda b, _: seen.extend((os.path.basename(r.path), r.kind, r.text) for r in b.collect())
+        query = stream.writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="300 milliseconds").start()
+        try:
+            assert _until(until)
+        finally:
+            query.stop()
+
+    def first():
+        if not (folder / "new.vex").exists():
+            (folder / "new.vex").write_text("@P = 2;")
+            (folder / "deep").mkdir()
+            (folder / "deep" / "more.md").write_text("# é")
+        return len(seen) == 2
+
+    run(first)
+    (folder / "old.vex").write_text("@P = 33;")  # while nothing runs
+    run(lambda: len(seen) == 3)
+    (folder / "last.h").write_text("int")
+    run(lambda: len(seen) == 4)
+    assert sorted(seen[:2]) == [("more.md", "created", "# é"), ("new.vex", "created", "@P = 2;")]
+    assert seen[2:] == [("old.vex", "modified", "@P = 33;"), ("last.h", "created", "int")]
+
+
+def test_listings_are_kept_and_folded(tmp_path):
+    folder = tmp_path / "code"
+    folder.mkdir()
+    (folder / "a.md").write_text("x")
+    options = {"path": str(folder), "log": str(tmp_path / "log")}
+    one = watch.Listing(options)
+    one.begin(existing=True)
+    assert one.look() == 1 and one.look() == 1
+    for k in range(20):
+        (folder / f"b{k}.md").write_text("y")
+        assert one.look() == k + 2
+    assert [os.path.basename(p) for p, *_ in one.between(0, 3)] == ["a.md", "b0.md", "b1.md"]
+    two = watch.Listing(options)
+    two.forget(18)
+    names = sorted(two._names())
+    assert names == ["19", "20", "21", "snapshot-18"]
+    assert two.look() == 21 and len(two.known) == 21
+    assert [os.path.basename(p) for p, *_ in two.between(18, 21)] == ["b17.md", "b18.md", "b19.md"]
+
+
+def put(spark, folder, lo, hi):
+    spark.range(lo, hi).withColumn("t", F.timestamp_micros(F.col("id") * 1_000_000 + 123_456)).withColumn("x", F.when(F.col("id") % 2 == 0, F.lit("a"))).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def passed_on(spark, folder):
+    """ids by shard and flush, each row as it came in."""
+    out = {}
+    schema = spark.range(1).select("id", F.timestamp_micros("id").alias("t"), F.lit("a").alias("x")).schema
+    for r in flush.flushed(spark, str(folder), schema).orderBy("shard", "flush", "id").collect():
+        assert r.x == ("a" if r.id % 2 == 0 else None) and r.t.microsecond == 123456
+        out.setdefault((r.shard, r.flush), []).append(r.id)
+    return out
+
+
+def test_flushes_by_size_and_two_runs_with_a_drain_each(spark, tmp_path):
+    put(spark, tmp_path / "in", 0, 7)
+    put(spark, tmp_path / "in", 7, 12)
+    policy, where = flush.FlushPolicy(5, 1e6), (str(tmp_path / "f"), str(tmp_path / "c"))
+    stream = lambda: streams.table_stream(spark, str(tmp_path / "in"), 1)
+    flush.flushing(stream(), policy, *where, once=True, shards=1, order="id").awaitTermination()
+    assert passed_on(spark, tmp_path / "f") == {(0, 0): [0, 1, 2, 3, 4], (0, 1): [5, 6, 7, 8, 9]}
+    flush.drain(stream(), policy, *where, shards=1, order="id")
+    put(spark, tmp_path / "in", 12, 14)
+    flush.drain(stream(), policy, *where, shards=1, order="id")
+    flush.drain(stream(), policy, *where, shards=1, order="id")  # nothing is held
+    assert passed_on(spark, tmp_path / "f") == {(0, 0): [0, 1, 2, 3, 4], (0, 1): [5, 6, 7, 8, 9], (0, 2): [10, 11], (0, 3): [12, 13]}
+
+
+def test_a_batch_whose_commit_is_lost_passes_its_rows_on_once(spark, tmp_path):
+    put(spark, tmp_path / "in", 0, 8)
+    policy, where = flush.FlushPolicy(3, 1e6), (str(tmp_path / "f"), str(tmp_path / "c"))
+    stream = lambda: streams.table_stream(spark, str(tmp_path / "in"), 1)
+    flush.flushing(stream(), policy, *where, once=True, shards=2).awaitTermination()
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"))
+    for lost in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        lost.unlink(missing_ok=True)  # as if the process had ended after the output
+    put(spark, tmp_path / "in", 8, 11)
+    flush.drain(stream(), policy, *where, shards=2)
+    got = passed_on(spark, tmp_path / "f")
+    assert sorted(i for ids in got.values() for i in ids) == list(range(11))
+    assert {k for k in got} == {(s, n) for s in (0, 1) for n in range(1 + max(n for t, n in got if t == s))}
+
+
+def test_a_consumer_that_fails_after_its_output_is_given_the_same_flushes_again(spark, tmp_path):
+    put(spark, tmp_path / "in", 0, 9)
     seen = []
-    query = watch.watch(spark, str(folder)).writeStream.foreachBatch(lambda b, _: seen.extend((os.path.basename(r.path), r.text) for r in watch.contents(spark, b).collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="500 milliseconds").start()
-    try:
-        assert _until(lambda: query.lastProgress is not None or query.status["isDataAvailable"] is False)
-        time.sleep(1)
-        (folder / "new.vex").write_text("@P = 2;")
-        assert _until(lambda: ("new.vex", "@P = 2;") in seen)
-        time.sleep(0.05)
-        (folder / "old.vex").write_text("@P = 3;")
-        assert _until(lambda: ("old.vex", "@P = 3;") in seen)
-    finally:
-        query.stop()
-    assert {n for n, _ in seen} == {"new.vex", "old.vex"} and ("old.vex", "@P = 1;") not in seen
 
+    def consume(df, number):
+        seen.append((number, sorted((r.flush, r.id) for r in df.collect())))
+        if len(seen) == 1:
+            raise RuntimeError("the process ends here")
 
-def test_existing_files_count_if_asked_for(spark, tmp_path):
-    (tmp_path / "a.md").write_text("x")
-    reader = watch._Listing({"path": str(tmp_path), "existing": "true"})
-    start = reader.initialOffset()
-    found, after = reader.read(start)
-    assert [os.path.basename(p) for p, _ in found] == ["a.md"]
-    assert list(reader.read(after)[0]) == [] and len(list(reader.readBetweenOffsets(start, after))) == 1
+    policy, where = flush.FlushPolicy(4, 1e6), (str(tmp_path / "f"), str(tmp_path / "c"))
+    stream = lambda: streams.table_stream(spark, str(tmp_path / "in"), 1)
+    with pytest.raises(Exception, match="ends here"):
+        flush.flushing(stream(), policy, *where, once=True, shards=1, order="id", consume=consume).awaitTermination()
+    flush.flushing(stream(), policy, *where, once=True, shards=1, order="id", consume=consume).awaitTermination()
+    assert seen[0] == seen[1] == (0, [(k // 4, k) for k in range(8)])
 
 
-def test_flush_policy():
-    now = [0.0]
-    policy = watch.FlushPolicy(5, 10.0, lambda: now[0])
-    assert [policy.due(n) for n in (0, 4, 5)] == [False, False, True]
-    now[0] = 9.0
-    assert not policy.due(1)
-    now[0] = 11.0
-    assert policy.due(1) and not policy.due(0)
+@pytest.mark.parametrize("since", ["flush", "add"])
+def test_flushes_by_time(spark, tmp_path, since):
+    put(spark, tmp_path / "in", 0, 3)
+    stream = streams.table_stream(spark, str(tmp_path / "in"), 1)
+    query = flush.flushing(stream, flush.FlushPolicy(50, 3.0, since), str(tmp_path / "f"), str(tmp_path / "c"), every="500 milliseconds", shards=1)
+    try:
+        there = lambda: (tmp_path / "f" / "out" / "_spark_metadata").exists() and sum(map(len, passed_on(spark, tmp_path / "f").values()))
+        assert _until(lambda: there() == 3)
+        put(spark, tmp_path / "in", 3, 5)
+        assert _until(lambda: there() == 5)
+    finally:
+        query.stop()
+    assert sorted(passed_on(spark, tmp_path / "f").values()) == [[0, 1, 2], [3, 4]]
 
 
-@pytest.mark.parametrize(("most", "flushes"), [(4, 2), (100, 0)])
-def test_flushing_passes_all_rows_on_once(spark, tmp_path, most, flushes):
-    for k in range(4):
-        spark.range(k * 2, k * 2 + 2).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = streams.table_stream(spark, str(tmp_path / "in"), 1)
-    watch.flushing(stream, watch.FlushPolicy(most, 1e9), str(tmp_path / "f"), str(tmp_path / "state"), once=True).awaitTermination()
-    out = tmp_path / "f" / "out"
-    assert len(list(out.glob("flush=*"))) == flushes if out.exists() else flushes == 0
-    left = watch.drain(spark, str(tmp_path / "f"))
-    assert left == (0 if flushes else 8) and watch.drain(spark, str(tmp_path / "f")) == 0
-    assert sorted(r.id for r in spark.read.parquet(str(out)).collect()) == list(range(8))
+def test_deadlines():
+    assert flush.EXPORT.deadline(1000, 9000) == 61_000 and flush.DAEMON.deadline(1000, 9000) == 6000 and flush.WATCHER.deadline(1000, 9000) == 39_000
 
 
 def test_two_tiers(spark):
