@@ -154,5 +154,5 @@ def drain(stream: DataFrame, policy: FlushPolicy, folder: str, checkpoint: str,
 
 def flushed(spark: SparkSession, folder: str, schema: StructType | None = None) -> DataFrame:
     """What flushing() has passed on. schema: that of the stream, which alone tells the columns while nothing has gone out."""
-    read = spark.read if schema is None else spark.read.schema(StructType([StructField("shard", IntegerType()), StructField("flush", LongType()), *schema.fields]))
+    read = spark.read if schema is None else spark.read.schema(StructType([StructField("shard", IntegerType()), StructField("flush", LongType()), *(StructField(f.name, f.dataType) for f in schema.fields)]))
     return read.parquet(f"{folder}/out")
