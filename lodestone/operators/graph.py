@@ -24,6 +24,20 @@ def shared_folder(spark) -> None:
     sc.setCheckpointDir(folder)
 
 
+MANY = 10_000  # most rows that are sent to every task
+
+
+def labelled(rows: DataFrame, labels: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows with the columns of labels, which has one row a key. Keys of very many rows, at most MANY of them by their counts, are sent to the rows; the rest meet theirs by a join.
+
+    rows are read more than once: a checkpoint, or what is cheap to make again.
+    """
+    often = max(64, rows.count() // MANY)
+    keys = F.broadcast(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > often).select(key))
+    hot = labels.join(keys, key, "left_semi")
+    return rows.join(keys, key, "left_semi").join(F.broadcast(hot), key, how).unionByName(rows.join(keys, key, "left_anti").join(labels, key, how))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """node, component (the smallest node reachable) for each node of the edges.
 
@@ -36,9 +50,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     label = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component"))
     for _ in range(rounds):
         near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        least = label.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
+        least = label.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component")).checkpoint()
         up = least.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        new = least.join(up, "component", "left").select("node", "old", F.least("component", F.coalesce("up", "component")).alias("component")).checkpoint()
+        new = labelled(least, up, "component", "left").select("node", "old", F.least("component", F.coalesce("up", "component")).alias("component")).checkpoint()
         label = new.select("node", "component")
         if new.where("old <> component").limit(1).count() == 0:
             return label

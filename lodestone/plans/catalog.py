@@ -334,6 +334,13 @@ def _linked(spark, sf):
     return dedup.with_copies(dedup.jaccard_pairs(sets, 0.8, members), members, docs).checkpoint(), docs
 
 
+def _spanning(spark, sf):
+    """Links that span every family and all copies, for questions of membership alone."""
+    sets = _sets(spark, sf)
+    members = dedup.classes(sets)
+    return dedup.family_links(sets, 0.8, members).select("a", "b").unionByName(dedup.copy_links(members)).checkpoint()
+
+
 def _acted(spark, sf):
     return dedup.actions(dedup.with_sources(*_linked(spark, sf)))
 
@@ -369,13 +376,13 @@ t(node, comp) AS (SELECT a, a FROM e UNION SELECT e.b, t.comp FROM t JOIN e ON e
 
 @query(f"""{CLUSTERED} SELECT cluster, array_to_string(list_sort(list(node)), ',') AS members, count(*) AS size FROM m GROUP BY cluster""")
 def dup_clusters(spark, sf):
-    found = dedup.clusters(_linked(spark, sf)[0])
+    found = dedup.clusters(_spanning(spark, sf))
     return found.select("cluster", F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"), "size")
 
 
 @query(f"{CLUSTERED} SELECT node AS id, cluster FROM m")
 def cluster_members(spark, sf):
-    return dedup.membership(_linked(spark, sf)[0])
+    return dedup.membership(_spanning(spark, sf))
 
 
 @query(f"""{PAIRS}, n AS (SELECT cls, count(*) AS n FROM c GROUP BY cls), e AS (SELECT a, b FROM j WHERE similarity >= 0.8 UNION ALL SELECT b, a FROM j WHERE similarity >= 0.8),
@@ -423,7 +430,7 @@ def _candidates(spark, sf):
     All 128 permutations in bands of 4 give every pair that fewer bands of 4 give.
     """
     members, reps = _representatives(spark, sf)
-    return members, dedup.lsh_candidates(dedup.minhash(reps), 32, 4)
+    return members, dedup.lsh_candidates(dedup.minhash(reps).checkpoint(), 32, 4)
 
 
 def _banded(bands: int, rows: int) -> str:
@@ -447,14 +454,16 @@ def minhash_pairs(spark, sf):
     return near.unionByName(dedup.copy_links(members).withColumn("similarity", F.lit(1.0)))
 
 
-@query(f"""{PAIRS}, {SIGNED}, {_banded(*dedup.BANDS[0.85])}, e AS (SELECT a, b, CAST(list_sum(list_transform(range(1, 129), lambda i: CAST(x.sig[i] = y.sig[i] AS INTEGER))) AS DOUBLE) / 128 AS similarity FROM cand JOIN signed x ON a = x.id JOIN signed y ON b = y.id)
-SELECT a, b, similarity FROM e WHERE similarity >= 0.85 UNION ALL SELECT a, b, 1.0 FROM ({COPIES})""")
+@query(f"""{PAIRS}, {SIGNED}, {_banded(*dedup.bands_for(0.85))}, e AS (SELECT a, b, CAST(list_sum(list_transform(range(1, 129), lambda i: CAST(x.sig[i] = y.sig[i] AS INTEGER))) AS DOUBLE) / 128 AS estimate FROM cand JOIN signed x ON a = x.id JOIN signed y ON b = y.id)
+SELECT a, b, estimate, round(similarity, 6) AS similarity FROM e JOIN j USING (a, b) WHERE similarity >= 0.85 UNION ALL SELECT a, b, 1.0, 1.0 FROM ({COPIES})""")
 def minhash_estimates(spark, sf):
-    """Bands and estimates as for a report at 0.85: pairs by the share of equal permutations, without whole sets."""
+    """Pairs for a report at 0.85, by bands chosen for 0.95 of those at the threshold: the share of equal permutations, and the exact similarity, which decides."""
     members, reps = _representatives(spark, sf)
-    signed = dedup.minhash(reps)
-    found = dedup.estimated_pairs(signed, dedup.lsh_candidates(signed, *dedup.BANDS[0.85]), 0.85)
-    return found.unionByName(dedup.copy_links(members).withColumn("similarity", F.lit(1.0)))
+    signed = dedup.minhash(reps).checkpoint()
+    found = dedup.lsh_candidates(signed, *dedup.bands_for(0.85)).checkpoint()
+    exact = dedup.exact_pairs(members.where("id = class").select("id", "set"), found, 0.85)
+    out = dedup.estimated_pairs(signed, found, 0.0).withColumnRenamed("similarity", "estimate").join(exact, ["a", "b"])
+    return out.withColumn("similarity", F.round("similarity", 6)).unionByName(dedup.copy_links(members).withColumns({"estimate": F.lit(1.0), "similarity": F.lit(1.0)}))
 
 
 @query(f"""WITH {SETS}, q AS (SELECT item_id, unnest({SHINGLES}) AS g FROM (SELECT item_id, {WORDS.format('lower(text)')} AS w FROM benchmark)), d AS (SELECT id, unnest(s) AS g FROM sets),
