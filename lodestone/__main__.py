@@ -74,11 +74,11 @@ def merge(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
-    before = _codes(_read(spark, args.input), "\n")
-    after = records.extract(before, F.col("__code"))
+    before = _read(spark, args.input)
+    after = records.extract(before, F.col("code") if "code" in before.columns else None, F.transform("code_blocks", lambda b: b["code"]) if "code_blocks" in before.columns else None)
     print(json.dumps(reports.extraction_summary(before, after).first().asDict()))
     if not args.dry_run:
-        export.write_sorted_json(after.drop("__code"), args.output)
+        export.write_sorted_json(after, args.output)
 
 
 def tag(spark: SparkSession, args: argparse.Namespace) -> None:

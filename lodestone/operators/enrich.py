@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,16 +87,16 @@ def requests(chunks: DataFrame, code: Column, tier: int) -> DataFrame:
     return chunks.where(lacking).select("id", code.alias("code"))
 
 
-def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], folder: str, tier: int, batch: int = 50, limit: int | None = None) -> DataFrame:
+def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], folder: str, tier: int, batch: int = 50, limit: int | None = None, in_flight: int = 8) -> DataFrame:
     """Chunks enriched by one combined call each (model: tier, code -> JSON text), in batches that are kept below a folder as they end.
 
     A run that was broken off goes on where it was: chunks whose answer is there are not asked about again. Failed calls
-    are kept as errors of that run only.
+    are kept as errors of that run only. limit: so many chunks that have no answer yet, by id, so that repeated runs get on. in_flight: most calls at once over the
+    whole job: a batch has few partitions, and each of these calls from a few threads, partitions times threads being the bound.
     """
     spark = chunks.sparkSession
     asked = requests(chunks, code, tier)
-    if limit is not None:
-        asked = asked.orderBy("id").limit(limit)
+    threads = next(t for t in (4, 3, 2, 1) if in_flight % t == 0)
     place = f"{folder}/tier{tier}"
 
     def answers() -> DataFrame | None:
@@ -109,23 +110,27 @@ def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], fo
     known = answers()
     if known is not None:
         asked = asked.join(known.where("failed is null").select("id"), "id", "left_anti")
+    if limit is not None:
+        asked = asked.orderBy("id").limit(limit)
     n = asked.count()
     first = 0 if known is None else (known.agg(F.max("batch")).first()[0] or 0) + 1
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for ident, text in part.itertuples(index=False):
-                try:
-                    rows.append((ident, model(tier, text), None))
-                except Exception as e:  # noqa: BLE001  a call that fails is a result like any other
-                    rows.append((ident, None, str(e)[:200]))
-            yield pd.DataFrame(rows, columns=["id", "answer", "failed"])
+        def one(x: tuple) -> tuple:
+            try:
+                return x[0], model(tier, x[1]), None
+            except Exception as e:  # noqa: BLE001  a call that fails is a result like any other
+                return x[0], None, str(e)[:200]
+
+        with ThreadPoolExecutor(threads) as pool:
+            for part in parts:
+                yield pd.DataFrame(pool.map(one, part.itertuples(index=False)), columns=["id", "answer", "failed"])
 
     groups = max(1, -(-n // batch))
     dealt = asked.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
     for g in range(groups if n else 0):
-        dealt.where(F.col("group") == g).select("id", "code").mapInPandas(run, "id string, answer string, failed string").write.mode("overwrite").parquet(f"{place}/batch={first + g}")
+        mine = dealt.where(F.col("group") == g).select("id", "code").repartition(max(1, in_flight // threads))
+        mine.mapInPandas(run, "id string, answer string, failed string").write.mode("overwrite").parquet(f"{place}/batch={first + g}")
     got = answers()
     if got is None:
         return chunks

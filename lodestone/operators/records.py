@@ -131,10 +131,20 @@ def tag(chunks: DataFrame, code: Column, official: Column) -> DataFrame:
     }).drop("__ct", "__df", "__ctx", "__ver", "__notes", "__typed", "__leveled")
 
 
-def extract(chunks: DataFrame, code: Column) -> DataFrame:
-    """Calls joined to functions_referenced, and warnings that are not yet among validation_warnings."""
+def extract(chunks: DataFrame, code: Column | None = None, blocks: Column | None = None) -> DataFrame:
+    """Calls joined to functions_referenced, and warnings that are not yet among validation_warnings.
+
+    blocks: an array of codes, each judged by itself, so that lines are counted from each block's start and balances do not make up for each other; code:
+    one more, judged after them. Null and empty codes say nothing.
+    """
     none = F.array().cast("array<string>")
-    return chunks.withColumns({"functions_referenced": F.array_sort(F.array_union(F.coalesce("functions_referenced", none), C.calls(code))), "validation_warnings": C.add_absent(F.col("validation_warnings"), C.warnings(code))})
+    each = F.filter(F.coalesce(blocks, none) if blocks is not None else none, lambda b: F.coalesce(b, F.lit("")) != "")
+    calls, warned = F.flatten(F.transform(each, C.calls)), F.flatten(F.transform(each, C.warnings))
+    if code is not None:
+        said = F.coalesce(code, F.lit("")) != ""
+        calls = F.concat(calls, F.when(said, C.calls(code)).otherwise(none))
+        warned = F.concat(warned, F.when(said, C.warnings(code)).otherwise(none))
+    return chunks.withColumns({"functions_referenced": F.array_sort(F.array_union(F.coalesce("functions_referenced", none), calls)), "validation_warnings": C.add_absent(F.col("validation_warnings"), warned)})
 
 
 def real_bugs(bugs: Column, code: Column) -> Column:

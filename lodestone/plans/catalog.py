@@ -245,12 +245,12 @@ def bm25_multi_query(spark, sf):
 
 @query("""WITH s AS (SELECT doc_id, 2 * len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(text), t)))
     + 3 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(lang), t))) > 0 AS INTEGER) + 3 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(source), t))) > 0 AS INTEGER)
-    + 4 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(lang || 'the'), t))) > 0 AS INTEGER) + 2 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(substr(text, 1, 60)), t))) > 0 AS INTEGER) AS score FROM documents)
+    + 4 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(lang || 'the'), t))) > 0 AS INTEGER) + 2 * CAST(len(list_filter(['idiot', 'the', 'trash'], lambda t: contains(lower(text), t))) > 0 AS INTEGER) AS score FROM documents)
 SELECT doc_id, CAST(score AS INTEGER) AS score FROM s WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 50""")
 def keyword_weighted_search(spark, sf):
     d = read(spark, sf, "documents")
     terms = F.array(*map(F.lit, ["idiot", "the", "trash"]))
-    score = search.keyword_score(terms, F.col("text"), F.col("lang"), F.col("source"), F.array(F.concat("lang", F.lit("the"))), F.substring("text", 1, 60))
+    score = search.keyword_score(terms, F.col("text"), F.col("lang"), F.col("source"), F.array(F.concat("lang", F.lit("the"))), F.col("text"))
     return d.select("doc_id", score.cast("int").alias("score")).where("score > 0").orderBy(F.desc("score"), "doc_id").limit(50)
 
 

@@ -43,11 +43,8 @@ def index_totals(spark, sf):
     return _indexed(spark, sf, lambda i: i.totals.withColumn("avg_dl", F.round("avg_dl", 6)))
 
 
-QUESTIONS = [("k1", "noise on @P"), ("k2", "addpoint fit"), ("k3", "zzz qqq")]
-
-
 @query(f"""WITH s AS (SELECT doc_id AS id, lower(code) AS code, lang AS context, source AS topic, {CALLS} AS calls, lower(text) AS prompt FROM (SELECT d.*, x.text FROM {CODED} d JOIN documents x USING (doc_id)) JOIN documents USING (doc_id, source, text)),
-q(query, terms) AS (VALUES {", ".join(f"('{a}', {b.lower().split()})" for a, b in QUESTIONS)}),
+q AS (SELECT CAST(item_id AS VARCHAR) AS query, {c.WORDS.format('lower(text)')} AS terms FROM benchmark UNION ALL SELECT * FROM (VALUES ('k1', ['noise', 'on', '@p', 'noise']), ('k2', ['addpoint', 'fit']), ('k3', ['zzz', 'qqq']))),
 z AS (SELECT query, id, 2 * len(list_filter(terms, lambda t: contains(code, t))) + 3 * CAST(len(list_filter(terms, lambda t: contains(context, t))) > 0 AS INTEGER) + 3 * CAST(len(list_filter(terms, lambda t: contains(topic, t))) > 0 AS INTEGER)
   + 4 * len(list_filter(calls, lambda f: len(list_filter(terms, lambda t: contains(lower(f), t))) > 0)) + 2 * CAST(len(list_filter(terms, lambda t: contains(prompt, t))) > 0 AS INTEGER) AS score FROM s, q),
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM z WHERE score > 0)
@@ -55,7 +52,9 @@ SELECT query AS question_id, id, CAST(score AS INTEGER) AS score, CAST(rank AS I
 def keyword_search(spark, sf):
     d = coded(spark, sf)
     samples = d.select(F.col("doc_id").alias("id"), "code", F.col("lang").alias("context"), F.col("source").alias("topic"), C.calls(F.col("code")).alias("calls"), F.col("text").alias("prompt"))
-    return search.keyword_search(samples, spark.createDataFrame(QUESTIONS, "question_id string, question string"), 5)
+    asked = read(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("question_id"), F.col("text").alias("question"))
+    own = spark.createDataFrame([("k1", "noise on @P Noise"), ("k2", "addpoint fit"), ("k3", "zzz qqq")], "question_id string, question string")
+    return search.keyword_search(samples, asked.unionByName(own), 5)
 
 
 # ---- evaluation
@@ -252,7 +251,7 @@ def topic_entries(spark, sf):
     return export.topic_entries(d.select(F.col("lang").alias("topic"), F.concat(F.lit("d"), ident).alias("id"), F.concat(F.lit("T"), ident).alias("title"), level.alias("difficulty"), F.col("source").alias("source_id"), F.lit("").alias("code"), F.col("text").alias("content")))
 
 
-@query(r"""WITH k AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'edge_ops' ELSE 'misc_' || lang END AS topic, CASE doc_id % 3 WHEN 0 THEN 'expert' WHEN 1 THEN 'beginner' END AS level, doc_id, source, text FROM documents WHERE doc_id % 10 < 2),
+@query(r"""WITH k AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'edge_ops' ELSE 'misc_' || lang END AS topic, CASE doc_id % 3 WHEN 0 THEN 'expert' WHEN 1 THEN 'beginner' END AS level, doc_id, source, text FROM documents),
 e AS (SELECT topic, coalesce(list_position(['beginner', 'intermediate', 'advanced', 'expert'], level), 5) AS r, source, 'd' || doc_id AS id, '### T' || doc_id || chr(10) || chr(10) || (CASE WHEN length(h) > 200 THEN substr(h, 1, 197) || '...' ELSE h END) || '.' || chr(10) || chr(10) AS e FROM (SELECT *, regexp_replace(string_split(text, '. ')[1], '\.+$', '') AS h FROM k)),
 s AS (SELECT topic, '## ' || array_to_string(list_transform(string_split(topic, '_'), lambda p: upper(p[1]) || p[2:]), ' ') || ' (' || count(*) || ' examples)' || chr(10) || chr(10) || string_agg(e, '' ORDER BY r, source, id) AS t FROM e GROUP BY topic)
 SELECT '# Corpus: Miscellaneous Topics' || chr(10) || chr(10) || '> ' || (SELECT count(*) FROM k) || ' examples from corpus (small topics). Sources: ' || (SELECT array_to_string(list_sort(list(DISTINCT source)), ', ') FROM k) || chr(10) || chr(10) || string_agg(t, '' ORDER BY topic) AS page FROM s""")
@@ -260,7 +259,7 @@ def misc_page(spark, sf):
     n = F.col("doc_id")
     ident = n.cast("string")
     topic = F.when(n % 2 == 0, "edge_ops").otherwise(F.concat(F.lit("misc_"), "lang"))
-    d = read(spark, sf, "documents").where("doc_id % 10 < 2")
+    d = read(spark, sf, "documents")
     return export.misc_page(d.select(topic.alias("topic"), F.concat(F.lit("d"), ident).alias("id"), F.concat(F.lit("T"), ident).alias("title"), F.when(n % 3 == 0, "expert").when(n % 3 == 1, "beginner").alias("difficulty"), F.col("source").alias("source_id"), F.lit("").alias("code"), F.col("text").alias("content")))
 
 

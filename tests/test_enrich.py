@@ -54,6 +54,8 @@ def test_enrichment_goes_on_where_it_was(spark, tmp_path):
 
     done = enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 1, batch=3, limit=4)
     assert done.where("llm_topic = 't'").count() == 4 and len(list(log.iterdir())) == 4
+    done = enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 1, batch=3, limit=2)  # two more, not the same again
+    assert done.where("llm_topic = 't'").count() == 6 and len(list(log.iterdir())) == 6
     done = enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 1, batch=3)
     assert done.where("llm_topic = 't'").count() == 7 and len(list(log.iterdir())) == 7
     assert enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 2).where("prompt = 'p'").count() == 8
@@ -64,6 +66,37 @@ def test_enrichment_goes_on_where_it_was(spark, tmp_path):
     assert enrich.enrich(chunks, F.col("code"), broken, str(tmp_path / "other"), 1).where("llm_topic = 't'").count() == 0
 
 
+def test_calls_in_flight_are_bounded(spark, tmp_path):
+    now, most = tmp_path / "now", tmp_path / "most"
+    now.mkdir()
+    most.mkdir()
+    chunks = spark.createDataFrame([(f"c{i}", "x" * 20, "", "", "") for i in range(40)], "id string, code string, llm_topic string, prompt string, explanation string")
+
+    def model(tier, code, now=str(now), most=str(most)):
+        import os
+        import tempfile
+        import time
+
+        handle, name = tempfile.mkstemp(dir=now)
+        os.close(handle)
+        time.sleep(0.05)
+        open(f"{most}/{len(os.listdir(now))}", "w").close()
+        time.sleep(0.05)
+        os.unlink(name)
+        return json.dumps({"topic": "t"})
+
+    done = enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 1, batch=40, in_flight=6)
+    assert done.where("llm_topic = 't'").count() == 40
+    assert 2 <= max(int(p.name) for p in most.iterdir()) <= 6
+
+
+def test_warnings_are_of_each_block(spark):
+    blocks = ["int a = 1;\nint b = 2", None, "", "if (x) {", "}"]
+    chunks = spark.createDataFrame([(blocks, ["old"], ["f"]), (None, None, None)], "codes array<string>, validation_warnings array<string>, functions_referenced array<string>")
+    got = [r.validation_warnings for r in records.extract(chunks, None, F.col("codes")).collect()]
+    assert got == [["old", "Line 2: possible missing semicolon: int b = 2", "Unclosed braces: 1 more { than }", "Extra closing braces: 1 more } than {"], []]
+
+
 def answering(name, task, text):
     if name == "bad":
         raise TimeoutError
