@@ -137,7 +137,7 @@ def ask_index(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def sync(spark: SparkSession, args: argparse.Namespace) -> None:
     chunks = _read(spark, args.input).where("llm_topic <> ''")
-    pages = chunks.select(F.col("llm_topic").alias("topic"), "id", "title", "difficulty", "source_id", F.coalesce(F.get("code_blocks", F.lit(0))["code"], F.lit("")).alias("code"), F.coalesce(F.nullif("content", F.lit("")), "explanation").alias("content"))
+    pages = chunks.select(F.col("llm_topic").alias("topic"), "id", "title", "difficulty", "source_id", F.coalesce(F.get("code_blocks", F.lit(0))["code"], F.lit("")).alias("code"), F.coalesce(F.nullif("content", F.lit("")), "explanation").alias("content"), *[c for c in export.KEYWORD_LISTS if c in chunks.columns])
     grouped = export.grouped_topics(pages, args.least)
     print(json.dumps(export.sync(grouped, args.output, dry_run=args.dry_run, force=args.force)))
 

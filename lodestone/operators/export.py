@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
-from pathlib import Path
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import packs as P
 from ..functions import text as T
+from ..sources import hadoop
+from .stats import keywords
 
 MIN_TOPIC = 10
+AGENT = "sop_agent"  # whom all topics are relevant to
+#: Columns whose words are a topic's keywords.
+KEYWORD_LISTS = ("functions_referenced", "attributes_read", "attributes_written", "alternative_prompts", "vex_context")
 
 
 def training_pairs(samples: DataFrame) -> DataFrame:
@@ -119,10 +125,10 @@ def misc_page(chunks: DataFrame, labels: dict[str, str] | None = None, title: st
 def semantic_entries(chunks: DataFrame, keywords: DataFrame, namespace: str = "corpus_", title: str = "Corpus") -> DataFrame:
     """file_key, summary, description, keywords for each topic."""
     sources = F.array_sort(F.collect_set(F.nullif("source_id", F.lit(""))))
-    heads = chunks.groupBy("topic").agg(F.count("*").cast("string").alias("n"), F.array_join(sources, ", ").alias("sources")).withColumn("label", T.pretty_label(F.col("topic")))
+    heads = chunks.groupBy("topic").agg(F.count("*").cast("string").alias("n"), F.array_join(sources, ", ").alias("sources")).withColumn("label", F.when(F.col("topic") == "misc", "Miscellaneous Topics").otherwise(T.pretty_label(F.col("topic"))))
     summary = F.concat(F.lit(f"{title}: "), "label", F.lit(" ("), "n", F.lit(" examples)"))
     description = F.concat(F.lit("Labeled examples for "), F.lower("label"), F.lit(". Sources: "), "sources", F.lit(". Covers "), "n", F.lit(" code snippets with difficulty ratings and metadata."))
-    return heads.join(keywords, "topic", "left").select(F.concat(F.lit(namespace), "topic", F.lit(".md")).alias("file_key"), summary.alias("summary"), description.alias("description"), "keywords")
+    return heads.join(keywords, "topic", "left").select(F.concat(F.lit(namespace), "topic").alias("file_key"), summary.alias("summary"), description.alias("description"), "keywords")
 
 
 def merge_namespace(existing: DataFrame, new: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -135,17 +141,36 @@ def stale(existing: DataFrame, planned: DataFrame, key: str) -> DataFrame:
 
 
 def write_json_atomically(path: str, value: object) -> None:
-    """Small driver-side documents: written beside the target, then renamed over it."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    handle, name = tempfile.mkstemp(dir=target.parent, suffix=".tmp")
-    try:
-        with os.fdopen(handle, "w", encoding="utf-8") as f:
-            json.dump(value, f, indent=2, ensure_ascii=False, sort_keys=True)
-        os.replace(name, target)
-    except BaseException:
-        Path(name).unlink(missing_ok=True)
-        raise
+    """A small document where Spark's data lies, whatever the scheme: written beside the target, then renamed over it."""
+    hadoop.write_text(SparkSession.active(), path, json.dumps(value, indent=2, ensure_ascii=False, sort_keys=True))
+
+
+def read_json(path: str, none: object = None) -> object:
+    """A small document, or what stands for none."""
+    text = hadoop.read_text(SparkSession.active(), path)
+    return none if text is None else json.loads(text)
+
+
+def write_named(files: DataFrame, folder: str) -> list[str]:
+    """Writes files (name, text) into a folder from the executors, each as a whole; the names. Texts never pass the driver."""
+    from pyarrow import fs
+
+    SparkSession.active()
+    place = folder if "://" in folder or folder.startswith("file:") else os.path.abspath(folder)
+    store, root = fs.FileSystem.from_uri(place)
+    store.create_dir(root)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = fs.FileSystem.from_uri(place)
+        for part in parts:
+            for name, text in part[["name", "text"]].itertuples(index=False):
+                beside = f"{root}/.{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(beside) as out:
+                    out.write(text.encode())
+                store.move(beside, f"{root}/{name}")  # a task that runs twice writes the same
+            yield part[["name"]]
+
+    return sorted(r.name for r in files.select("name", "text").mapInPandas(run, "name string").collect())
 
 
 def corpus_hash(df: DataFrame) -> str:
@@ -154,32 +179,34 @@ def corpus_hash(df: DataFrame) -> str:
     return "-".join(str(x or 0) for x in row)
 
 
-def sync(df: DataFrame, folder: str, namespace: str = "corpus_", dry_run: bool = False, force: bool = False) -> dict:
-    """Writes topic pages, index and manifest unless the corpus is unchanged; foreign files and index keys stay, stale pages go."""
-    root = Path(folder)
-    manifest = root / "manifest.json"
+def sync(df: DataFrame, folder: str, namespace: str = "corpus_", dry_run: bool = False, force: bool = False, agent: str = AGENT) -> dict:
+    """Writes topic pages, semantic index, relevance map and manifest unless the corpus is unchanged; foreign files and keys stay, stale pages and keys of the namespace go.
+
+    df: grouped_topics() or chunks of a topic each; what it has of KEYWORD_LISTS gives the keywords of the index. Pages are written by the executors.
+    """
+    spark = df.sparkSession
+    manifest = f"{folder}/manifest.json"
     mark = corpus_hash(df)
-    old = json.loads(manifest.read_text()) if manifest.exists() else {}
-    if old.get("corpus") == mark and not force:
+    if read_json(manifest, {}).get("corpus") == mark and not force:
         return {"skipped": True, "written": [], "deleted": []}
-    pages = topic_pages(df.where("topic <> 'misc'") if "own_topic" in df.columns else df)
-    names = [r.topic for r in pages.select("topic").collect()]
-    pooled = df.where("topic = 'misc'").withColumn("topic", F.col("own_topic")) if "own_topic" in df.columns else None
-    if pooled is not None and pooled.limit(1).count():
-        names.append("misc")
-        pages = pages.unionByName(misc_page(pooled).select(F.lit("misc").alias("topic"), "page"))
+    grouped = "own_topic" in df.columns
+    pages = topic_pages(df.where("topic <> 'misc'") if grouped else df)
+    names = [r.topic for r in df.select("topic").distinct().where("topic is not null").collect()]
+    if grouped and "misc" in names:
+        pages = pages.unionByName(misc_page(df.where("topic = 'misc'").withColumn("topic", F.col("own_topic"))).select(F.lit("misc").alias("topic"), "page"))
     planned = {f"{namespace}{t}.md" for t in names}
-    gone = sorted(p.name for p in root.glob(f"{namespace}*.md") if p.name not in planned)
+    gone = [n for n in hadoop.names(spark, folder) if n.startswith(namespace) and n.endswith(".md") and n not in planned]
     plan = {"skipped": False, "written": sorted(planned), "deleted": gone}
     if dry_run:
         return plan
-    root.mkdir(parents=True, exist_ok=True)
-    for r in pages.toLocalIterator():
-        (root / f"{namespace}{r.topic}.md").write_text(r.page, encoding="utf-8")
+    write_named(pages.select(F.concat(F.lit(namespace), "topic", F.lit(".md")).alias("name"), F.col("page").alias("text")), folder)
     for name in gone:
-        (root / name).unlink()
-    index = root / "semantic_index.json"
-    kept = {k: v for k, v in (json.loads(index.read_text()) if index.exists() else {}).items() if not k.startswith(namespace)}
-    write_json_atomically(str(index), kept | {f"{namespace}{t}": {"reference_file": f"{namespace}{t}.md", "summary": t} for t in names})
-    write_json_atomically(str(manifest), {"corpus": mark, "files": sorted(planned)})
+        hadoop.remove(spark, f"{folder}/{name}")
+    lists = [F.coalesce(F.col(c), F.array().cast("array<string>")) for c in KEYWORD_LISTS if c in df.columns]
+    keys = keywords(df, "topic", lists or [F.array().cast("array<string>")])
+    entries = {r.file_key: {"summary": r.summary, "description": r.description, "keywords": r.keywords or [], "reference_file": r.file_key} for r in semantic_entries(df, keys, namespace).collect()}
+    for name, new in (("semantic_index", entries), ("agent_relevance_map", dict.fromkeys(entries, agent))):
+        old = read_json(f"{folder}/{name}.json", {})
+        write_json_atomically(f"{folder}/{name}.json", {k: v for k, v in old.items() if not k.startswith(namespace)} | new)
+    write_json_atomically(manifest, {"corpus": mark, "files": sorted(planned)})
     return plan

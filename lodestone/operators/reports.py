@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stats
-from .export import chats, training_pairs, write_json_atomically, write_samples, write_sorted_json
+from .export import chats, read_json, training_pairs, write_json_atomically, write_samples, write_sorted_json
 
 
 def _now() -> str:
@@ -255,20 +255,13 @@ def write_index_metadata(chunks: DataFrame, path: str) -> None:
 
 def rewrite(spark, folder: str, name: str, df: DataFrame) -> str:
     """A corpus in place: the new version is written beside the old one, then folder/<name>.json names it; the old one stays readable until then."""
-    import json
-    from pathlib import Path
-
-    mark = Path(folder) / f"{name}.json"
-    number = json.loads(mark.read_text())["version"] + 1 if mark.exists() else 1
+    number = read_json(f"{folder}/{name}.json", {"version": 0})["version"] + 1
     target = f"{folder}/{name}-v{number:06d}"
     df.write.parquet(target)
-    write_json_atomically(str(mark), {"version": number, "path": target})
+    write_json_atomically(f"{folder}/{name}.json", {"version": number, "path": target})
     return target
 
 
 def current(spark, folder: str, name: str) -> DataFrame:
     """The version of a corpus that rewrite() named last."""
-    import json
-    from pathlib import Path
-
-    return spark.read.parquet(json.loads((Path(folder) / f"{name}.json").read_text())["path"])
+    return spark.read.parquet(read_json(f"{folder}/{name}.json")["path"])

@@ -809,7 +809,7 @@ def render_topic_page(spark, sf):
 
 @query(f"""WITH k AS (SELECT lang, array_to_string(list_sort(list(k)), ',') AS keywords FROM (SELECT lang, k, row_number() OVER (PARTITION BY lang ORDER BY k) AS r FROM (SELECT DISTINCT lang, trim(lower(unnest({TOKENS.format('text')}))) AS k FROM documents)) WHERE r <= 50 GROUP BY lang),
 l AS (SELECT lang, upper(lang[1]) || lang[2:] AS label, count(*) AS n, list_sort(list(DISTINCT source)) AS sources FROM documents GROUP BY lang)
-SELECT 'corpus_' || lang || '.md' AS file_key, 'Corpus: ' || label || ' (' || n || ' examples)' AS summary, 'Labeled examples for ' || lower(label) || '. Sources: ' || array_to_string(sources, ', ') || '. Covers ' || n || ' code snippets with difficulty ratings and metadata.' AS description, keywords FROM l JOIN k USING (lang)""")
+SELECT 'corpus_' || lang AS file_key, 'Corpus: ' || label || ' (' || n || ' examples)' AS summary, 'Labeled examples for ' || lower(label) || '. Sources: ' || array_to_string(sources, ', ') || '. Covers ' || n || ' code snippets with difficulty ratings and metadata.' AS description, keywords FROM l JOIN k USING (lang)""")
 def semantic_entries(spark, sf):
     d = read(spark, sf, "documents").select(F.col("lang").alias("topic"), F.col("source").alias("source_id"), T.search_tokens(F.col("text")).alias("t"))
     return export.semantic_entries(d, stats.keywords(d, "topic", [F.col("t")])).withColumn("keywords", F.array_join("keywords", ","))

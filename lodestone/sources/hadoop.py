@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 def at(spark: SparkSession, path: str):  # noqa: ANN201
     """The file system of a path, and the path in it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(str(path))
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.setWriteChecksum(False)  # no files of sums beside small ones
+    return fs, place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -64,20 +66,6 @@ def append_text(spark: SparkSession, path: str, text: str) -> None:
         fs.rename(beside, place)
 
 
-def claim(spark: SparkSession, path: str, text: str) -> bool:
-    """Whether this caller alone made the file: a commit that only one of several can win."""
-    fs, place = at(spark, path)
-    try:
-        out = fs.create(place, False)
-    except Exception:  # noqa: BLE001  it was there first
-        return False
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    return True
-
-
 def remove(spark: SparkSession, path: str) -> bool:
     fs, place = at(spark, path)
     return fs.delete(place, True)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from lodestone.streaming.hadoop import append_text
+from lodestone.sources.hadoop import append_text
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Times keep their microseconds and nulls their fields in the text that state holds.

@@ -73,13 +73,21 @@ def test_migration_and_tags(spark):
 
 
 def test_sync_is_idempotent(spark, tmp_path):
-    df = spark.createDataFrame([("t", "1", "A", "beginner", "s", "x = 1;", "Does it. More")], "topic string, id string, title string, difficulty string, source_id string, code string, content string")
+    columns = "topic string, id string, title string, difficulty string, source_id string, code string, content string, functions_referenced array<string>"
+    df = spark.createDataFrame([("edge_ops", "1", "A", "beginner", "s", "x = 1;", "Does it. More", ["Noise", "abs "])], columns)
     (tmp_path / "own.md").write_text("mine")
     (tmp_path / "corpus_old.md").write_text("stale")
+    (tmp_path / "semantic_index.json").write_text(json.dumps({"karma": {"summary": "k"}, "corpus_old": {"summary": "o"}}))
+    (tmp_path / "agent_relevance_map.json").write_text(json.dumps({"karma": "lop_agent", "corpus_old": "sop_agent"}))
     first = export.sync(df, str(tmp_path))
-    assert first["written"] == ["corpus_t.md"] and first["deleted"] == ["corpus_old.md"]
+    assert first["written"] == ["corpus_edge_ops.md"] and first["deleted"] == ["corpus_old.md"]
     assert export.sync(df, str(tmp_path))["skipped"] and (tmp_path / "own.md").exists()
-    assert "### A" in (tmp_path / "corpus_t.md").read_text()
+    assert "### A" in (tmp_path / "corpus_edge_ops.md").read_text()
+    entry = {"summary": "Corpus: Edge Ops (1 examples)", "description": "Labeled examples for edge ops. Sources: s. Covers 1 code snippets with difficulty ratings and metadata.", "keywords": ["abs", "noise"], "reference_file": "corpus_edge_ops"}
+    assert json.loads((tmp_path / "semantic_index.json").read_text()) == {"karma": {"summary": "k"}, "corpus_edge_ops": entry}
+    assert json.loads((tmp_path / "agent_relevance_map.json").read_text()) == {"karma": "lop_agent", "corpus_edge_ops": "sop_agent"}
+    assert {p.name for p in tmp_path.iterdir()} == {"own.md", "corpus_edge_ops.md", "semantic_index.json", "agent_relevance_map.json", "manifest.json"}
+    assert not export.sync(df.withColumn("title", F.lit("B")), f"file:{tmp_path}")["skipped"] and "### B" in (tmp_path / "corpus_edge_ops.md").read_text()
 
 
 def test_metrics(spark):
