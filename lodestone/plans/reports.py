@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import code as C
 from ..functions import packs as P
 from ..functions import text as T
-from ..operators import enrich, evaluate, export, graph, models, reports, search, stats
-from ..sources import files
+from ..operators import enrich, evaluate, export, graph, models, reports, search, segments, stats
+from ..sources import files, hadoop
 from . import catalog as c
 from .catalog import ASKED, BM25, CALLS, CODED, EDGES, JUDGED, STRIP, TOKENS, WARNED, coded, query, questions, read
 
@@ -33,6 +33,21 @@ def index_search(spark, sf):
     return _indexed(spark, sf, lambda i: search.search_index(i, questions(spark), "query_id", F.col("query")))
 
 
+@query(f"WITH {ASKED}, {BM25} SELECT query_id, id, score, rank FROM r WHERE rank <= 20")
+def segment_search(spark, sf):
+    """From an index that was changed until it holds the documents: some came with another text, some that are no documents came and went."""
+    graph.shared_folder(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/segments-{uuid.uuid4().hex}"
+    docs, n = read(spark, sf, "documents").select("doc_id", "text"), F.col("doc_id")
+    first = docs.where(n % 2 == 0).withColumn("text", F.when(n % 6 == 0, F.concat(F.lit("the trash "), F.coalesce("text", F.lit("")))).otherwise(F.col("text")))
+    index = segments.add(segments.open_snapshot(spark, folder), first.unionByName(first.select((-1 - n).alias("doc_id"), "text")), "doc_id", F.col("text"))
+    index = segments.add(index, docs.where((n % 2 != 0) | (n % 6 == 0)), "doc_id", F.col("text"))
+    index = segments.delete(index, first.select((-1 - n).alias("id")))
+    out = segments.search(index, questions(spark), "query_id", F.col("query"))[0].checkpoint()
+    hadoop.remove(spark, folder)
+    return out
+
+
 @query(f"SELECT t AS term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest({TOKENS.format('text')}) AS t FROM documents) GROUP BY t")
 def index_terms(spark, sf):
     return _indexed(spark, sf, lambda i: i.terms)
