@@ -1,14 +1,15 @@
-"""Markup to chunks, links and reference pages: the standard library's parser, one Arrow pass over pages."""
+"""Markup to chunks, links and reference pages: the standard library's parser in table functions, joined laterally to pages."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from ..functions import packs as P
 from ..functions import text as T
@@ -24,19 +25,23 @@ _UNSEEN = {"script", "style", "head", "template"}
 class Node:
     """An element: its children are elements and strings."""
 
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "gone")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None = None) -> None:
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.tag, self.attrs, self.children, self.parent, self.gone = tag, attrs, [], parent, False
 
     def walk(self) -> Iterator[Node | str]:
         """Everything below, in document order, with a stack of its own, so that depth is no concern."""
         stack: list[Node | str] = self.children[::-1]
         while stack:
             x = stack.pop()
-            yield x
             if isinstance(x, Node):
+                if x.gone:
+                    continue
+                yield x
                 stack.extend(x.children[::-1])
+            else:
+                yield x
 
     def find(self, *tags: str) -> Iterator[Node]:
         return (x for x in self.walk() if isinstance(x, Node) and x.tag in tags)
@@ -59,8 +64,8 @@ class Node:
         return name in (self.attrs.get("class") or "").split()
 
     def drop(self) -> None:
-        if self.parent is not None:
-            self.parent.children = [x for x in self.parent.children if x is not self]
+        """Out of what its ancestors walk from now on."""
+        self.gone = True
 
 
 class _Tree(HTMLParser):
@@ -68,6 +73,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("", {})
         self.quiet = 0
+        self.open: Counter[str] = Counter()  # elements that are open, so that an end without a start costs nothing
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _UNSEEN:
@@ -78,6 +84,7 @@ class _Tree(HTMLParser):
         self.here.children.append(node)
         if tag not in _VOID:
             self.here = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if not self.quiet:
@@ -87,13 +94,15 @@ class _Tree(HTMLParser):
         if tag in _UNSEEN:
             self.quiet = max(0, self.quiet - 1)
             return
-        if self.quiet:
+        if self.quiet or not self.open[tag]:
             return
-        node: Node | None = self.here
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.here = node.parent
+        while self.here.tag != tag:
+            self._close()
+        self._close()
+
+    def _close(self) -> None:
+        self.open[self.here.tag] -= 1
+        self.here = self.here.parent
 
     def handle_data(self, data: str) -> None:
         if not self.quiet:
@@ -109,10 +118,14 @@ def parse(html: str | None) -> Node:
 
 def _parts(root: Node) -> Iterator[Node | str]:
     """The elements that count as a page's own: those of the top, and those of elements that hold headings."""
+    holders: set[int] = set()
+    for x in root.find(*HEADINGS):
+        while (x := x.parent) is not None and id(x) not in holders:
+            holders.add(id(x))
     stack: list[Node | str] = root.children[::-1]
     while stack:
         x = stack.pop()
-        if isinstance(x, Node) and x.tag not in HEADINGS and (x.tag in ("html", "body") or next(x.find(*HEADINGS), None) is not None):
+        if isinstance(x, Node) and x.tag not in HEADINGS and (x.tag in ("html", "body") or id(x) in holders):
             stack.extend(x.children[::-1])
         else:
             yield x
@@ -164,21 +177,63 @@ def sections(html: str | None, heading: str = "") -> list[tuple[str, str, list[s
     return out
 
 
-def _rows(pages: DataFrame, key: str, html_col: str, schema: str, of: Callable[[object, str | None], list[tuple]]) -> DataFrame:
-    """of(key, html) gives the rows of a page, without the key."""
-    names = ["key", *(c.split()[0] for c in schema.split(", "))]
+class Sections:
+    """Table function of a page: seq, heading, content, codes of its sections in order; navigation and empty ones are left out."""
+
+    def eval(self, html: str) -> Iterator[tuple]:
+        for n, (heading, content, codes) in enumerate(sections(html), 1):
+            yield n, heading, content, codes
+
+
+class Anchors:
+    """Table function of a page: href, label of each link with a label."""
+
+    def eval(self, html: str) -> Iterator[tuple]:
+        for a in parse(html).find("a"):
+            if (href := a.attrs.get("href")) and (label := a.text().strip()):
+                yield href, label
+
+
+class IndexRows:
+    """Table function of an index page: seq, name, href, category, brief of its links; a term's link comes twice, the second time with its brief."""
+
+    def eval(self, html: str) -> Iterator[tuple]:
+        for n, row in enumerate(_index(html), 1):
+            yield n, *row
+
+
+class Reference:
+    """Table function of a function's page, by its name: signature, description, examples, parameters, related."""
+
+    def eval(self, name: str, html: str) -> Iterator[tuple]:
+        yield _reference(str(name or ""), html)
+
+
+#: By the names that SQL calls them by.
+TABLES = {
+    "page_sections": udtf(Sections, returnType="seq int, heading string, content string, codes array<string>", useArrow=True),
+    "page_anchors": udtf(Anchors, returnType="href string, label string", useArrow=True),
+    "page_index": udtf(IndexRows, returnType="seq int, name string, href string, category string, brief string", useArrow=True),
+    "page_reference": udtf(Reference, returnType="signature string, description string, examples array<string>, parameters array<string>, related array<string>", useArrow=True),
+}
+
+
+def register(spark: SparkSession) -> None:
+    """Lets SQL call the table functions of pages: SELECT ... FROM pages, LATERAL page_sections(html)."""
+    for name, table in TABLES.items():
+        spark.udtf.register(name, table)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield pd.DataFrame([(k, *row) for k, html in part.itertuples(index=False) for row in of(k, html)], columns=names)
 
-    kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html_col).mapInPandas(run, f"key {kind}, {schema}").withColumnRenamed("key", key)
+def _rows(pages: DataFrame, table: str, key: str, *columns: str) -> DataFrame:
+    """A page's key and what a table function gives for its columns."""
+    few = pages.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__c{n}") for n, c in enumerate(columns)])
+    out = few.lateralJoin(TABLES[table](*[F.col(f"__c{n}").outer() for n in range(len(columns))]))
+    return out.select(F.col("__key").alias(key), *[c for c in out.columns if not c.startswith("__")])
 
 
 def page_chunks(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
     """key, seq, heading, content, codes: sections of each page in order; navigation and empty ones are left out."""
-    out = _rows(pages, key, html_col, "seq int, heading string, content string, codes array<string>", lambda _, html: [(n, *s) for n, s in enumerate(sections(html), 1)])
+    out = _rows(pages, "page_sections", key, html_col)
     return out.withColumn("heading", T.clean_heading(F.col("heading")))
 
 
@@ -205,12 +260,12 @@ def page_number(url: Column) -> Column:
 
 def page_links(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
     """key, href, label of each link with a label."""
-    return _rows(pages, key, html_col, "href string, label string", lambda _, html: [(h, t) for a in parse(html).find("a") if (h := a.attrs.get("href")) and (t := a.text().strip())])
+    return _rows(pages, "page_anchors", key, html_col)
 
 
 def _index(html: str | None) -> list[tuple[str, str, str, str]]:
     """(name, href, category, brief) of an index' links, those of terms once more, with the beginning of what explains them."""
-    out, category = [], ""
+    out, category, follows = [], "", {}  # follows: of each parent, the dd after each child
 
     def add(link: Node | None, brief: str, far: bool) -> None:
         href, name = (link.attrs.get("href") or "", link.compact()) if link is not None else ("", "")
@@ -223,15 +278,20 @@ def _index(html: str | None) -> list[tuple[str, str, str, str]]:
         elif x.tag == "a":
             add(x, "", False)
         else:
-            after = x.parent.children[[y is x for y in x.parent.children].index(True) + 1 :]
-            explained = next((y for y in after if isinstance(y, Node) and y.tag == "dd"), None)
+            if id(x.parent) not in follows:
+                last, mine = None, {}
+                for y in reversed(x.parent.children):
+                    mine[id(y)] = last
+                    last = y if isinstance(y, Node) and y.tag == "dd" else last
+                follows[id(x.parent)] = mine
+            explained = follows[id(x.parent)][id(x)]
             add(next(x.find("a"), None), explained.compact()[:200] if explained is not None else "", True)
     return out
 
 
 def function_index(pages: DataFrame, key: str = "page_id", html_col: str = "html", base_url: str = "") -> DataFrame:
     """key, seq, name, url, category, brief of the links of index pages; a term's link comes twice, the second time with its brief."""
-    out = _rows(pages, key, html_col, "seq int, name string, href string, category string, brief string", lambda _, html: [(n, *x) for n, x in enumerate(_index(html), 1)])
+    out = _rows(pages, "page_index", key, html_col)
     return out.select(key, "seq", "name", F.concat(F.lit(base_url + "/"), "href").alias("url"), "category", "brief")
 
 
@@ -256,7 +316,7 @@ def _reference(name: str, html: str | None) -> tuple[str, str, list[str], list[s
 def reference_pages(pages: DataFrame, name_col: str = "name", html_col: str = "html", category: Column | None = None) -> DataFrame:
     """name, signature, return_type, description, examples, parameters, related, vex_context, content of function pages; pages with nothing to say are left out."""
     keyed = pages.select(name_col, html_col, (F.lit("") if category is None else F.coalesce(category, F.lit(""))).alias("category"))
-    read = _rows(keyed, name_col, html_col, "signature string, description string, examples array<string>, parameters array<string>, related array<string>", lambda name, html: [_reference(str(name or ""), html)])
+    read = _rows(keyed, "page_reference", name_col, name_col, html_col)
     contexts = F.flatten(F.array(*[F.when(F.contains(F.lower("category"), F.lit(word)), F.array(*map(F.lit, found))).otherwise(F.array().cast("array<string>")) for word, found in P.CATEGORY_CONTEXTS.items()]))
     found = F.array_sort(F.array_distinct(contexts))
     listed = lambda c, sep: F.when(F.size(c) > 0, F.array_join(c, sep))

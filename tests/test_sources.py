@@ -150,3 +150,29 @@ def test_texts_of_records(spark):
     assert one(spark, T.sequence_id(F.lit("p"), F.col("x").cast("int")), x="7") == "p_007"
     assert one(spark, C.is_snippet(F.col("c"), F.col("l")), c="vector a;", l="C++") is True and one(spark, C.is_snippet(F.col("c"), F.col("l")), c="vector a;", l="python") is False
     assert one(spark, C.local_contexts(F.col("c")), c="@Frame + @voxelsize + @uv") == ["dop", "material"]
+
+
+def test_pages_through_table_functions_in_sql(spark):
+    page = '<body><h1>T</h1><p>a <code>b</code></p><div><h2>U</h2><pre>int x;\nint y;</pre><p>more</p></div><a href="/n">next</a> <a href="/e"> </a></body>'
+    spark.createDataFrame([(1, page), (2, None), (3, "")], "page_id long, html string").createOrReplaceTempView("own_pages")
+    html.register(spark)
+    got = spark.sql("SELECT page_id, s.* FROM own_pages, LATERAL page_sections(html) s ORDER BY page_id, seq").collect()
+    assert [tuple(r) for r in got] == [(1, 1, "T", "a b", []), (1, 2, "U", "more\n\nnext", ["int x;\nint y;"])]
+    assert [tuple(r) for r in spark.sql("SELECT page_id, a.* FROM own_pages, LATERAL page_anchors(html) a").collect()] == [(1, "/n", "next")]
+    assert [(r.page_id, r.seq, r.heading) for r in html.page_chunks(spark.table("own_pages")).orderBy("seq").collect()] == [(1, 1, "T"), (1, 2, "U")]
+
+
+def test_deep_and_broken_pages_in_linear_time():
+    import time
+
+    n = 20_000
+    deep = "<div>" * n + "<h2>H</h2><p>text</p>" + "</b></div>" * n
+    wide = "<dl>" + "".join(f"<dt><a href='f{k}'>f{k}</a></dt><dd>does {k}</dd>" for k in range(n)) + "</dl>"
+    many = "<p>" + "<pre>int x;</pre>" * 2000 + "</p>"
+    began = time.process_time()
+    assert html.sections(deep) == [("H", "text", [])]
+    assert time.process_time() - began < 2
+    began = time.process_time()
+    rows = html._index(wide)
+    assert len(rows) == 2 * n and rows[0] == ("f0", "f0.html", "", "does 0") and rows[-2][3] == f"does {n - 1}"
+    assert len(html.sections(many)[0][2]) == 2000 and time.process_time() - began < 3
