@@ -8,6 +8,7 @@ under one bin of each class, is cut to fill sequences exactly, and the last one
 padding.
 
 Cases: a null or empty text is one piece that holds the end id alone. Repeated rows are packed as often as they stand.
+Pieces of a null id have that id.
 Texts of any length are cut, never truncated. An empty table gives an empty table; further columns are not read.
 """
 

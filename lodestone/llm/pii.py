@@ -11,7 +11,7 @@ cut from short parts, so the work for each span does not grow with the text, up
 
 Cases: a null or empty text has no span. Positions are code points, end exclusive. Kinds may overlap one another; spans of
 one kind do not. Each row is judged alone, so repeated rows, ties and further columns (read by no expression but kept by
-the callers that ask) are no concern. An empty table gives an empty table.
+the callers that ask) are no concern. A null id is returned as it is. An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ documents at once) tell which characters lie inside duplicated n-grams and dupli
 their 64-bit hashes are, n-grams if the rolling hashes of their words are. Map-only: no shuffle.
 
 Cases: a null or empty text has no word (all counts 0, base_failed, not kept). Repeated doc_ids and further columns are
-no concern: each row is judged alone and only the id and text columns are read. An empty table gives an empty table.
+no concern: each row is judged alone and only the id and text columns are read. A null id is returned as it is. An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ each prefix (bpe.py). No piece reaches from a letter over a space, so words, wit
 alone; runs of spaces merge last. Letters outside the vocabulary are written as bytes. Map-only: no shuffle.
 
 Cases: a null or empty text has no pieces. The space mark U+2581 in a text reads as a space, as in the library, and is
-decoded as one. Repeated rows give repeated rows; further columns are not read; an empty table gives an empty table.
+decoded as one. A null id is returned as it is. Repeated rows give repeated rows; further columns are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations

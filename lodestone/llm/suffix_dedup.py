@@ -12,6 +12,9 @@ and contexts only say where texts may meet; what is removed is decided by run-le
 3. Contested grams (the borders of repeats) send their distinct contexts as text; these are indexed and streamed alike, and
    the places of the matches tell the first document of each window.
 
+A wrong meeting removes nothing. Only where two different contexts of a gram agree in the 48 bits of hash that are sent is the gram taken to have one context, so that
+a repeat around it can be kept.
+
 Hot keys are split. A gram seen at very many places sends its contexts once for each of several ranges of windows, routed by
 the bytes that all windows of the range share; within a bucket, what would outgrow an index is split in the same way. A
 range of one window has one text, so in the end every block sends it once. An owner claimed by very many blocks is sent to

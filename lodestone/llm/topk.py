@@ -9,7 +9,7 @@ k rows for a query, and a ranked merge keeps the best k of all blocks.
 Cases: vectors that are null or hold a null, NaN or infinite component take no part, neither as rows nor as queries.
 Shorter vectors count as padded with zeros. Ties go to the smaller id. A row never answers a query of its own id. A
 repeated id asks once (with its smallest vector) and answers as often as it stands. Components are clipped to +-2^53 and
-scores to 64 bits. An empty table gives an empty table; further columns are not read.
+scores to 64 bits. Rows of null id take no part. An empty table gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations

@@ -66,6 +66,11 @@ def test_span_hashes():
     assert len(set(zip(texts, got, strict=True))) == len(set(texts)) == len(set(got))
 
 
+def test_null_ids_and_clashing_columns(spark):
+    df = spark.createDataFrame([(None, "a b c", 1, True), (3, None, 2, False), (None, None, 3, True)], "doc_id long, text string, n_words int, kept boolean")
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words) for r in repetition_quality(df).collect()) == [(False, 3, 0), (True, 0, 0), (True, 0, 3)]
+
+
 def test_empty_and_repeated_rows(spark):
     assert repetition_quality(frame(spark, [])).count() == 0
     twice = frame(spark).union(frame(spark))

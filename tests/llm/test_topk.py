@@ -42,6 +42,14 @@ def test_few_and_none(spark):
     assert run(spark, [(0, [1.0]), (0, [1.0]), (1, [0.5]), (1, [0.5])]) == [(0, 1, 1, 2048), (0, 2, 1, 2048)]
 
 
+def test_null_ids_and_clashing_columns(spark):
+    """Rows of null id take no part; further columns, also those named as the operator's own, are not read."""
+    rows = [(0, [1.0]), (None, [9.0]), (1, [0.5]), (2, [0.25])]
+    df = spark.createDataFrame([(i, v, "x", -1, "y", 0, "z") for i, v in rows], "vec_id long, embedding array<float>, id string, rank int, query_id string, q int, v string")
+    got = sorted(map(tuple, top_k(df, df.where("vec_id is null or vec_id = 0"), 5).collect()))
+    assert got == [(0, 1, 1, 2048), (0, 2, 2, 1024)]
+
+
 def test_rows_met_are_counted_before_the_cut():
     r = np.random.default_rng(1)
     flat = r.integers(-64, 64, (400, 32))
