@@ -290,7 +290,8 @@ def rrf_single_list(spark, sf):
     return search.fuse([_dense(spark, sf, 20)], 20)
 
 
-PATTERNS = [("Q1", ["the", "and", "ththe", "with"]), ("Q2", ["idiot", "clown", "trash", "moron"]), ("Q3", ["@mail", "token", "555-"]), ("Q4", ["elle", "pour", "eaux"])]
+#: Judgments by which one question fails, one has its first hit late, and two pass.
+PATTERNS = [("Q1", ["token", "@mail", "555-"]), ("Q2", ["idiot", "moron"]), ("Q3", ["@mail", "token", "idiot"]), ("Q4", ["elle", "pour", "eaux"])]
 JUDGED = "pat AS (SELECT * FROM (VALUES " + ", ".join(f"({_q(a)}, [{', '.join(map(_q, b))}])" for a, b in PATTERNS) + ") v(query_id, patterns)), rel AS (SELECT query_id, doc_id AS id FROM pat, documents WHERE len(list_filter(patterns, lambda p: contains(lower(text), p))) >= 2)"
 
 
@@ -578,16 +579,18 @@ def _tagged(spark, sf):
     return records.tag(d, F.col("code"), F.lit(False))
 
 
-BUGGY = "(SELECT doc_id, text AS code, CASE WHEN doc_id % 2 = 0 THEN ['resource_leak', 'style'] ELSE ['pcopen misuse'] END AS bugs FROM documents)"
+BUGGY = f"(SELECT doc_id, code, CASE WHEN doc_id % 2 = 0 THEN ['resource_leak', 'style'] ELSE ['pcopen misuse'] END AS bugs, CASE doc_id % 3 WHEN 0 THEN 'point_cloud_ops' WHEN 1 THEN '' ELSE lang END AS topic, {BEST} AS b FROM {CODED} JOIN documents USING (doc_id, source))"
 
 
 @query(f"""SELECT doc_id, array_to_string(CASE WHEN {_any('code', P.POINT_CLOUD_CALLS)} THEN bugs ELSE list_filter(bugs, lambda b: NOT (contains(b, 'pcopen') OR contains(b, 'pcclose') OR contains(b, 'resource_leak'))) END, ',') AS bugs,
-CASE WHEN NOT {_any('code', P.POINT_CLOUD_CALLS)} AND len(bugs) = 1 THEN 'clean' ELSE 'minor_issues' END AS quality FROM {BUGGY}""")
+CASE WHEN NOT {_any('code', P.POINT_CLOUD_CALLS)} AND len(bugs) = 1 THEN 'clean' ELSE 'minor_issues' END AS quality,
+CASE WHEN topic = 'point_cloud_ops' AND NOT {_any('code', P.POINT_CLOUD_TOPIC)} THEN coalesce(nullif({TOPIC}, ''), topic) ELSE topic END AS topic FROM {BUGGY}""")
 def repair_corpus(spark, sf):
     kinds = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("resource_leak"), F.lit("style"))).otherwise(F.array(F.lit("pcopen misuse")))
-    d = read(spark, sf, "documents").select("doc_id", F.col("text").alias("content"), F.lit("").alias("llm_topic"), F.lit("minor_issues").alias("llm_code_quality"), F.transform(kinds, lambda k: F.struct(k.alias("type"), F.lit("").alias("description"))).alias("llm_bugs"))
-    r = records.repair(d, F.col("content"))
-    return r.select("doc_id", F.array_join(F.transform("llm_bugs", lambda b: b["type"]), ",").alias("bugs"), F.col("llm_code_quality").alias("quality"))
+    topic = F.when(F.col("doc_id") % 3 == 0, "point_cloud_ops").when(F.col("doc_id") % 3 == 1, "").otherwise(F.col("lang"))
+    d = coded(spark, sf).select("doc_id", "code", "content", topic.alias("llm_topic"), F.lit("minor_issues").alias("llm_code_quality"), F.transform(kinds, lambda k: F.struct(k.alias("type"), F.lit("").alias("description"))).alias("llm_bugs"))
+    r = records.repair(d, F.col("code"))
+    return r.select("doc_id", F.array_join(F.transform("llm_bugs", lambda b: b["type"]), ",").alias("bugs"), F.col("llm_code_quality").alias("quality"), F.col("llm_topic").alias("topic"))
 
 
 _LIST = lambda xs: "[" + ", ".join(map(_q, xs)) + "]"
