@@ -159,6 +159,23 @@ def run_two_tiers(samples: DataFrame, models: DataFrame, model: Model, gate: Cal
     return first, second
 
 
+def run_queue(jobs: DataFrame, models: DataFrame, model: Model, folder: str, most_retries: int = 3) -> DataFrame:
+    """The last result of each job (job_id, task_id, task, input, priority and so on), with retries: a job that ends in error goes back into the queue up to so many times; one that
+    no model serves fails at once. Each round's results are a table below a folder, and the next round begins from it.
+    """
+    spark, left, last = jobs.sparkSession, jobs, None
+    for k in range(most_retries + 1):
+        call_models(route(left, models), model).withColumn("retries", F.lit(k)).write.mode("overwrite").parquet(f"{folder}/round={k}")
+        got = spark.read.parquet(f"{folder}/round={k}")
+        again = got.where((F.col("status") == "error") & F.col("model_used").isNotNull()).select("task_id")
+        ended = got if k == most_retries else got.join(again, "task_id", "left_anti")
+        last = ended if last is None else last.unionByName(ended)
+        left = left.join(again, "task_id", "left_semi")
+        if k < most_retries and not again.limit(1).count():
+            break
+    return last
+
+
 def job_table(jobs: DataFrame, results: DataFrame) -> DataFrame:
     """Jobs with the status of their result: pending, completed or failed, and its seconds."""
     got = results.select(F.col("task_id").alias("job_id"), "status", "result", "seconds")

@@ -334,6 +334,12 @@ def reference_pages(pages: DataFrame, name_col: str = "name", html_col: str = "h
     return out.select(name_col, "signature", "return_type", "description", "examples", "parameters", "related", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("sop"))).alias("vex_context"), "content")
 
 
+def indexed_pages(index: DataFrame, pages: DataFrame, key: str = "name", html_col: str = "html") -> DataFrame:
+    """name, url, category, brief, html: the pages (key, html) that an index (function_index()) names, once each, with its category and the longest brief; names without a page are left out."""
+    once = index.groupBy("name").agg(F.min("url").alias("url"), F.max_by("category", F.struct(F.length("category"), "category")).alias("category"), F.max_by("brief", F.struct(F.length("brief"), "brief")).alias("brief"))
+    return once.join(pages.select(F.col(key).alias("name"), F.col(html_col).alias("html")), "name")
+
+
 def reference_chunks(pages: DataFrame, source_id: str = "reference", base_url: str = "", name_col: str = "name", html_col: str = "html", category: Column | None = None) -> DataFrame:
     """Chunks of function pages."""
     r = reference_pages(pages, name_col, html_col, category)

@@ -190,6 +190,25 @@ def two_tiers(tier_one: Callable[[DataFrame], DataFrame], flag: Column, tier_two
     return run
 
 
+def telling(take: Callable[[DataFrame, int], None], path: str = "path", on_file: Callable[[str, int], None] | None = None, on_sample: Callable[[dict], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A function for foreachBatch: take(batch, number), then on_file(path, rows) for each file of the batch and on_sample(row) for each row, a partition at a time on the driver."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            take(batch, number)
+            if on_file:
+                for r in batch.groupBy(path).count().toLocalIterator():
+                    on_file(r[path], r["count"])
+            if on_sample:
+                for r in batch.toLocalIterator():
+                    on_sample(r.asDict(recursive=True))
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 class Callbacks(StreamingQueryListener):
     """Calls functions as streams go on: on_progress(rows of a batch, rows in all), on_error(message), on_complete(rows in all)."""
 

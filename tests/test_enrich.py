@@ -97,6 +97,29 @@ def test_warnings_are_of_each_block(spark):
     assert got == [["old", "Line 2: possible missing semicolon: int b = 2", "Unclosed braces: 1 more { than }", "Extra closing braces: 1 more } than {"], []]
 
 
+def test_jobs_that_fail_go_back_into_the_queue(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def model(name, task, text, calls=str(calls)):
+        import os
+        import tempfile
+
+        os.close(tempfile.mkstemp(dir=calls, prefix=f"{text}-")[0])
+        n = len([f for f in os.listdir(calls) if f.startswith(f"{text}-")])
+        if text == "never" or (text == "third" and n < 3):
+            raise TimeoutError
+        return json.dumps({"n": n})
+
+    tasks = [("t1", "classify_wrangle", "first"), ("t2", "classify_wrangle", "third"), ("t3", "classify_wrangle", "never"), ("t4", "no such task", "unserved")]
+    jobs = spark.createDataFrame(tasks, "task_id string, task string, input string")
+    models = spark.createDataFrame([(1, "m", [])], "tier int, model string, fallbacks array<string>")
+    models = models.unionByName(spark.createDataFrame([], models.schema))
+    got = {r.task_id: (r.status, r.retries) for r in enrich.run_queue(jobs, models, model, str(tmp_path / "q"), most_retries=3).collect()}
+    assert got["t1"] == ("success", 0) and got["t2"] == ("success", 2) and got["t3"] == ("error", 3) and len(got) == 4
+    assert len([p for p in calls.iterdir() if p.name.startswith("never")]) == 4
+
+
 def answering(name, task, text):
     if name == "bad":
         raise TimeoutError

@@ -176,3 +176,13 @@ def test_deep_and_broken_pages_in_linear_time():
     rows = html._index(wide)
     assert len(rows) == 2 * n and rows[0] == ("f0", "f0.html", "", "does 0") and rows[-2][3] == f"does {n - 1}"
     assert len(html.sections(many)[0][2]) == 2000 and time.process_time() - began < 3
+
+
+def test_index_rows_meet_their_pages(spark):
+    index = "<h2>Noise</h2><a href='noise'>noise</a><dl><dt><a href='noise'>noise</a></dt><dd>Makes noise.</dd><dt><a href='gone'>gone</a></dt><dd>No page.</dd></dl>"
+    rows = html.function_index(spark.createDataFrame([(1, index)], "page_id long, html string"), base_url="http://x")
+    pages = spark.createDataFrame([("noise", "<body><p>Noise of a point.</p><pre>float noise(vector p)</pre></body>"), ("other", "<p>Not in the index.</p>")], "name string, html string")
+    found = html.indexed_pages(rows, pages)
+    assert [(r.name, r.url, r.category, r.brief) for r in found.collect()] == [("noise", "http://x/noise.html", "noise", "Makes noise.")]
+    got = html.reference_pages(found, category=F.col("category")).first()
+    assert got.name == "noise" and got.signature == "float noise(vector p)" and got.description == "Noise of a point."

@@ -217,3 +217,10 @@ def test_fresh_files(spark, tmp_path):
     got = streams.run_to_end(watch.fresh_files(stream, F.lit("2000-01-01").cast("timestamp")).select("value"), str(tmp_path / "o1"), str(tmp_path / "s1"))
     none = streams.run_to_end(watch.fresh_files(stream, F.lit("2999-01-01").cast("timestamp")).select("value"), str(tmp_path / "o2"), str(tmp_path / "s2"))
     assert got.count() == 1 and none.count() == 0
+
+
+def test_files_and_samples_are_told(spark):
+    files, samples, taken = [], [], []
+    run = watch.telling(lambda b, n: taken.append((n, b.count())), on_file=lambda p, n: files.append((p, n)), on_sample=samples.append)
+    run(spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "path string, x int"), 7)
+    assert taken == [(7, 3)] and sorted(files) == [("a", 2), ("b", 1)] and sorted(s["x"] for s in samples) == [1, 2, 3]
