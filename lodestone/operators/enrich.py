@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import unfence
-from .models import REVIEW_CONFIDENCE, Model, call_models, needs_tier_one, needs_tier_two, route, unflagged
+from .models import REVIEW_CONFIDENCE, TIER_ONE, Model, call_models, needs_tier_one, needs_tier_two, route, unflagged
 from .search import keyword_search
 
 BUG = "struct<type:string,severity:string,location:string,description:string,suggestion:string>"
@@ -249,7 +249,7 @@ def voted_tasks(config: dict) -> list[str]:
 
 
 #: The tasks that a stage puts to each sample.
-STAGE_TASKS = {1: ["classify_wrangle", "extract_attributes", "extract_functions", "detect_bugs", "estimate_complexity", "classify_topic"], 2: ["generate_prompt", "explain_code", "rate_difficulty"]}
+STAGE_TASKS = {1: TIER_ONE, 2: ["generate_prompt", "explain_code", "rate_difficulty"]}
 
 
 def _answered(samples: DataFrame, models: DataFrame, model: Model, tier: int) -> DataFrame:

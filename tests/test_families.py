@@ -91,3 +91,13 @@ def test_hot_classes(spark):
     sets = frame(spark, {k: {"a", "b", "c"} if k % 2 else {str(k), "x", "y"} for k in range(400)})
     got = {r.id: r["class"] for r in dedup.classes(sets).collect()}
     assert got == {k: 1 if k % 2 else k for k in range(400)}
+
+
+def test_hot_buckets_are_met_in_parts(spark, monkeypatch):
+    """All pairs, whatever the parts."""
+    monkeypatch.setattr(dedup, "MEETING", 3)
+    sets = {k: {f"c{j}" for j in range(20)} | {f"o{k}"} for k in range(25)}
+    got = {(r.a, r.b) for r in dedup.jaccard_pairs(frame(spark, sets), 0.8).collect()}
+    assert got == {(a, b) for a in sets for b in sets if a < b}
+    signatures = spark.createDataFrame([(k, [1, 2, k % 2, k]) for k in range(25)], "id long, signature array<long>")
+    assert {(r.a, r.b) for r in dedup.lsh_candidates(signatures, 2, 2).collect()} == {(a, b) for a in range(25) for b in range(25) if a < b}

@@ -49,3 +49,13 @@ def test_topics_and_levels(spark):
     assert one(spark, C.snippet_context(F.col("t")), t="setprimattrib(0)") == "prim"
     assert one(spark, C.contexts(F.col("t")), t="@Frame + @P") == ["dop", "sop"]
     assert one(spark, C.version(F.col("t"))[0], t="chramp(1); dict d;") == "18.0"
+
+
+def test_words_of_models_and_answers(spark):
+    from lodestone.functions import packs as P
+    from lodestone.operators import models
+
+    word, kind = next(iter(P.COMPLEXITY_WORDS.items()))
+    df = spark.createDataFrame([(f" {word.upper()} ", '```json\n{"a": 1}\n```'), ("own word", "no json")], "w string, a string")
+    got = df.select(C.complexity_of_word(F.col("w")).alias("w"), F.to_json(models.parse_answer(F.col("a"))).alias("a")).collect()
+    assert [(r.w, r.a) for r in got] == [(kind, '{"a":1}'), ("own word", None)]

@@ -224,3 +224,11 @@ def test_files_and_samples_are_told(spark):
     run = watch.telling(lambda b, n: taken.append((n, b.count())), on_file=lambda p, n: files.append((p, n)), on_sample=samples.append)
     run(spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "path string, x int"), 7)
     assert taken == [(7, 3)] and sorted(files) == [("a", 2), ("b", 1)] and sorted(s["x"] for s in samples) == [1, 2, 3]
+
+
+def test_a_file_is_streamed_once_and_whole(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ntwo")
+    for _ in range(2):
+        got = streams.run_to_end(streams.file_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
+        assert [(os.path.basename(r.path), r.text) for r in got.collect()] == [("a.txt", "one\ntwo")]
