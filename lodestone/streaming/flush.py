@@ -103,10 +103,9 @@ class Flusher(StatefulProcessor):
 def batches(stream: DataFrame, policy: FlushPolicy, shards: int | None = None, order: str | None = None, marks: DataFrame | None = None, key: str | None = None) -> DataFrame:
     """shard, flush, and the stream's columns: its rows in batches of a shard, by hash or by an integer column that names it (key, from 0).
 
-    shards: as many as the session's shuffle partitions, or one for batches over all rows; one stream keeps one number of them. order: a column that orders the rows of a micro-batch. marks: a stream with a column shard, null for all; a row passes on what is held.
+    shards: as many as the session's shuffle partitions, or one for batches over all rows; one stream keeps one number of them. Its query needs PROVIDER for its state, as flushing() sets it. order: a column that orders the rows of a micro-batch. marks: a stream with a column shard, null for all; a row passes on what is held.
     """
     spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.col(order).cast("string") if order else F.lit("")
     if order and dict(stream.dtypes)[order] in ("tinyint", "smallint", "int", "bigint"):
@@ -133,16 +132,16 @@ def flushing(
     out = batches(stream, policy, shards, order, marks, key)
     writer = out.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.foreachBatch(lambda df, k: consume(df, k)) if consume else writer.format("parquet").option("path", f"{folder}/out")
-    if not once:
-        return writer.trigger(processingTime=every).start()
-    # timers ask for batches without rows for ever; a query to the present end has none
-    name = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    # a query takes the session's settings as they are when it starts. Timers ask for batches without rows for ever; one to the present end has none
+    own = {"spark.sql.streaming.stateStore.providerClass": PROVIDER} | ({"spark.sql.streaming.noDataMicroBatches.enabled": "false"} if once else {})
+    before = {name: spark.conf.get(name) for name in own}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
-        return writer.trigger(availableNow=True).start()
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def drain(stream: DataFrame, policy: FlushPolicy, folder: str, checkpoint: str, **options) -> None:
