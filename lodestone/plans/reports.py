@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from ..functions import code as C
 from ..functions import packs as P
 from ..functions import text as T
-from ..operators import enrich, evaluate, export, graph, models, reports, search, segments, stats
+from ..operators import enrich, evaluate, export, graph, models, reports, search, segments, stats, vectors
 from ..sources import files, hadoop
 from . import catalog as c
-from .catalog import ASKED, BM25, CALLS, CODED, EDGES, JUDGED, STRIP, TOKENS, WARNED, coded, query, questions, read
+from .catalog import ASKED, BM25, CALLS, CODED, DENSE, EDGES, JUDGED, STRIP, TOKENS, WARNED, coded, query, questions, read
 
 # ---- the stored index
 
@@ -48,6 +48,18 @@ def segment_search(spark, sf):
     return out
 
 
+@query(f"WITH {DENSE} SELECT query_id, id, score, rank FROM e WHERE rank <= 20")
+def vector_index_search(spark, sf):
+    """From a stored index of vectors; what dense_topk finds by a scan."""
+    graph.shared_folder(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/vectors-{uuid.uuid4().hex}"
+    v = read(spark, sf, "embeddings")
+    index = vectors.build_vectors(v, "vec_id", "embedding", folder)
+    out = vectors.search_vectors(index, v.where("vec_id % 50 = 0"), "vec_id", "embedding", 20, 5)[0].checkpoint()
+    hadoop.remove(spark, folder)
+    return out
+
+
 @query(f"SELECT t AS term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest({TOKENS.format('text')}) AS t FROM documents) GROUP BY t")
 def index_terms(spark, sf):
     return _indexed(spark, sf, lambda i: i.terms)
