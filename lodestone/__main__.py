@@ -6,15 +6,16 @@ Corpora are JSON lines (or parquet, by the path's suffix) in, and folders of the
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import code as C
 from .functions import text as T
-from .operators import dedup, export, graph, records, reports, search
+from .operators import dedup, enrich, evaluate, export, graph, records, reports, search, vectors
 from .sources import files, html
 
 
@@ -119,20 +120,87 @@ def repair(spark: SparkSession, args: argparse.Namespace) -> None:
         reports.write_cleaned_stats(mended, F.col("__code"), f"{args.output}/stats.json")
 
 
-def index(spark: SparkSession, args: argparse.Namespace) -> None:
-    chunks = _read(spark, args.input)
+def _hook(name: str) -> Callable:
+    """The function that module:function names: a model or an embedder, which the library has none of."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def import_samples(spark: SparkSession, args: argparse.Namespace) -> None:
+    raw = spark.read.schema(" ".join(records.UPSTREAM.split())).json(args.input).withColumn("ord", F.monotonically_increasing_id())
+    samples = records.import_records(raw)
+    n = raw.count()
+    converted = raw.where(T.strip(F.col("code")) != "").count()
+    told = {f"{r.measure}:{r.value}": r.n for r in reports.import_summary(samples).collect()}  # a few measures
+    print(json.dumps({"records": n, "converted": converted, "skipped": n - converted, "samples": samples.count()} | told, sort_keys=True))
+    if not args.dry_run:
+        export.write_sorted_json(samples, args.output)
+
+
+def enrich_chunks(spark: SparkSession, args: argparse.Namespace) -> None:
+    graph.shared_folder(spark)
+    chunks = _codes(_read(spark, args.input), "\n")
+    lacking = lambda df, tier: enrich.requests(df, F.col("__code"), tier).count()
+    told = {}
+    for tier in [args.tier] if args.tier else [1, 2]:
+        before = lacking(chunks, tier)
+        told[f"tier{tier}"] = {"lacking": before}
+        if not args.dry_run:
+            chunks = enrich.enrich(chunks, F.col("__code"), _hook(args.model), f"{args.output}/answers", tier, limit=args.limit, in_flight=args.concurrency).checkpoint()
+            told[f"tier{tier}"]["enriched"] = before - lacking(chunks, tier)
+    print(json.dumps(told))
+    if not args.dry_run:
+        export.write_sorted_json(chunks.drop("__code"), f"{args.output}/corpus")
+
+
+def _text() -> Column:
     codes = F.transform("code_blocks", lambda b: b["code"])
-    text = T.searchable(F.col("title"), F.col("content"), codes, F.col("code"), F.col("prompt"), F.col("explanation"))
+    return T.searchable(F.col("title"), F.col("content"), codes, F.col("code"), F.col("prompt"), F.col("explanation"))
+
+
+def _found(spark: SparkSession, args: argparse.Namespace, folder: str, asked: DataFrame, k: int) -> DataFrame:
+    """query_id, id, score, rank of questions (query_id, query) from an index, by words; with an embedder from its vectors too, both lists fused."""
+    words = search.search_index(search.open_index(spark, folder), asked, "query_id", F.col("query"), 3 * k if args.embedder else k)
+    if not args.embedder:
+        return words
+    meant = search.embed(asked, "query_id", F.col("query"), _hook(args.embedder))
+    near, _ = vectors.search_vectors(vectors.open_vectors(spark, f"{folder}/vectors"), meant, "id", "vector", 3 * k)
+    return search.hybrid(words, near, k)
+
+
+def evaluation(spark: SparkSession, args: argparse.Namespace) -> None:
+    k = args.limit or 10
+    chunks = _read(spark, args.input)
+    judged = spark.read.schema("id string, query string, relevant_patterns array<string>, required_functions array<string>").json(args.questions)
+    asked = judged.select(F.col("id").alias("query_id"), "query")
+    graph.shared_folder(spark)
+    ranked = _found(spark, args, args.index, asked, k).checkpoint()
+    relevant = evaluate.judged(chunks.withColumn("__t", _text()), F.col("__t"), judged.select(F.col("id").alias("query_id"), F.col("relevant_patterns").alias("patterns")))
+    per = evaluate.metrics(ranked, relevant, k)
+    calls = chunks.select("id", F.coalesce("functions_referenced", F.array().cast("array<string>")).alias("calls"))
+    held = evaluate.has_required(ranked, calls, judged.select(F.col("id").alias("query_id"), F.coalesce("required_functions", F.array().cast("array<string>")).alias("required")))
+    per = per.join(held, "query_id", "left")
+    print(json.dumps(evaluate.summary(per).first().asDict()))
+    if _shown(per, args, "query_id"):
+        return
+    per.orderBy("query_id").write.json(f"{args.output}/per_query")
+    evaluate.summary(per).write.json(f"{args.output}/summary")
+
+
+def index(spark: SparkSession, args: argparse.Namespace) -> None:
+    chunks, text = _read(spark, args.input), _text()
     if args.dry_run:
         search.document_lengths(chunks, "id", text).agg(F.count("*").alias("chunks"), F.sum("dl").alias("tokens")).show()
         return
     search.build_index(chunks, "id", text, args.output)
+    if args.embedder:
+        vectors.build_vectors(search.embed(chunks, "id", text, _hook(args.embedder)), "id", "vector", f"{args.output}/vectors")
     reports.write_index_metadata(chunks, f"{args.output}/metadata")
 
 
 def ask_index(spark: SparkSession, args: argparse.Namespace) -> None:
-    asked = spark.createDataFrame([("q", args.query)], "q string, t string")
-    search.search_index(search.open_index(spark, args.input), asked, "q", F.col("t"), args.limit or 10).orderBy("rank").show(truncate=False)
+    asked = spark.createDataFrame([("q", args.query)], "query_id string, query string")
+    _found(spark, args, args.input, asked, args.limit or 10).orderBy("rank").show(truncate=False)
 
 
 def sync(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -143,7 +211,7 @@ def sync(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 STEPS: dict[str, Callable[[SparkSession, argparse.Namespace], None]] = {
-    "ingest": ingest, "markdown": markdown, "wiki": wiki, "reference": reference, "migrate": migrate, "merge": merge, "extract": extract, "tag": tag, "link": link, "dedup-report": report, "repair": repair, "index": index, "search": ask_index, "sync": sync,
+    "ingest": ingest, "import": import_samples, "markdown": markdown, "wiki": wiki, "reference": reference, "migrate": migrate, "merge": merge, "extract": extract, "tag": tag, "link": link, "dedup-report": report, "repair": repair, "enrich": enrich_chunks, "index": index, "search": ask_index, "evaluate": evaluation, "sync": sync,
 }
 
 
@@ -157,6 +225,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--least", type=int, default=export.MIN_TOPIC, help="examples of a topic with a page of its own")
     p.add_argument("--source", help="the source's id; of tag, that of the official source")
     p.add_argument("--query", default="")
+    p.add_argument("--questions", help="JSON lines of id, query, relevant_patterns, required_functions, for evaluate")
+    p.add_argument("--index", help="the index that evaluate asks")
+    p.add_argument("--model", help="module:function that answers (tier, code), for enrich")
+    p.add_argument("--embedder", help="module:function that gives vectors of texts: index stores them, search and evaluate fuse both lists")
+    p.add_argument("--tier", type=int, choices=[1, 2])
+    p.add_argument("--concurrency", type=int, default=8, help="calls of enrich at once")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--force", action="store_true")
     return p

@@ -79,20 +79,35 @@ def migrate(raw: DataFrame, json_col: str = "value") -> DataFrame:
     return conform(out.withColumn("checksum", checksum(F.col("content"), F.transform("code_blocks", lambda b: b["code"]))))
 
 
+#: The fields of an upstream record.
+UPSTREAM = """
+id STRING, code STRING, difficulty STRING, vex_functions ARRAY<STRING>, vex_context STRING, ocr_confidence DOUBLE, category STRING, topic STRING, related_concepts ARRAY<STRING>,
+explanation STRING, needs_review BOOLEAN, youtube_url STRING, source STRING
+"""
+
+
 def import_records(raw: DataFrame) -> DataFrame:
-    """Upstream records (id, code, difficulty, ...): empty code out, first of each code hash, difficulty as a number, attributes by reading and writing."""
-    from .dedup import first_wins
+    """Samples of upstream records (the columns of UPSTREAM that there are, and ord): code without blank ends, empty code out, first by ord of each code's hash; with what the code
+    reads, writes and how complex it is, difficulty as a number, and the record's own words as prompt, topic and explanation. An absent column is one of nulls.
+    """
     from ..functions.identity import hash16
+    from .dedup import first_wins
 
-    kept = raw.where(F.coalesce(strip(F.col("code")), F.lit("")) != "")
+    given = {f.name: (F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(" ".join(UPSTREAM.split()))}
+    kept = raw.select("ord", *given.values()).withColumn("code", strip(F.col("code"))).where("code <> ''")
     once = first_wins(kept, hash16(F.col("code")), [F.col("ord")])
-    parts = C.attributes(F.col("code"))
-    n_calls = F.size(F.coalesce("vex_functions", F.array().cast("array<string>")))
+    code, none = F.col("code"), F.array().cast("array<string>")
+    parts = C.attributes(code)
+    functions = F.filter(F.coalesce("vex_functions", none), lambda f: ~F.coalesce(F.startswith(f, F.lit("@")), F.lit(False)))
+    review = F.coalesce("needs_review", F.lit(False))
     return once.select(
-        derived_id(F.col("id"), F.col("code")).alias("id"), "code", hash16(F.col("code")).alias("hash"),
+        derived_id(F.col("id"), code).alias("id"), "code", F.coalesce("youtube_url", "source", F.lit("")).alias("source_file"), F.lit(0).alias("source_line"), hash16(code).alias("hash"), F.lit("complete").alias("stage"),
+        F.coalesce("vex_context", F.lit("SOP")).alias("context"), F.coalesce("ocr_confidence", F.lit(0.8)).alias("context_confidence"),
+        parts["read"].alias("attributes_read"), parts["written"].alias("attributes_written"), F.regexp_extract_all(code, F.lit(r"ch[fivs]\(|chramp\("), F.lit(0)).alias("channels"),
+        functions.alias("functions"), C.size_complexity(code, F.size(functions)).alias("complexity"), F.coalesce("category", "topic", F.lit("")).alias("topic"),
+        F.coalesce("topic", F.lit("")).alias("prompt"), F.coalesce("related_concepts", none).alias("alternative_prompts"), F.coalesce("explanation", F.lit("")).alias("explanation"),
         F.when(F.col("difficulty") == "beginner", 1).when(F.col("difficulty") == "advanced", 5).otherwise(3).alias("difficulty"),
-        F.col("vex_functions").alias("functions"), parts["read"].alias("attributes_read"), parts["written"].alias("attributes_written"), parts["channels"].alias("channels"),
-        C.size_complexity(F.col("code"), n_calls).alias("complexity"),
+        review.alias("flagged_for_review"), F.when(review, "auto-imported").otherwise("").alias("review_reason"),
     )
 
 

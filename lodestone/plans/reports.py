@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import code as C
 from ..functions import packs as P
 from ..functions import text as T
-from ..operators import enrich, evaluate, export, graph, models, reports, search, segments, stats, vectors
+from ..operators import enrich, evaluate, export, graph, models, records, reports, search, segments, stats, vectors
 from ..sources import files, hadoop
 from . import catalog as c
 from .catalog import ASKED, BM25, CALLS, CODED, DENSE, EDGES, JUDGED, STRIP, TOKENS, WARNED, coded, query, questions, read
@@ -257,6 +257,22 @@ def import_summary(spark, sf):
     return reports.import_summary(read(spark, sf, "events").select((F.col("event_id") % 10).alias("difficulty"), (F.col("event_id") % 9 == 0).alias("flagged_for_review")))
 
 
+@query(rf"""WITH r AS (SELECT doc_id, {STRIP.format("text || CASE WHEN doc_id % 2 = 0 THEN ' @Cd = @P; chf(1) chs(2)  ' ELSE chr(10) || '@N += 1 ' END")} AS code FROM documents),
+k AS (SELECT *, substr(sha256(code), 1, 16) AS h, row_number() OVER (PARTITION BY sha256(code) ORDER BY doc_id) AS n FROM r WHERE code <> ''), s AS (SELECT *, len(code) - len(replace(code, chr(10), '')) + 1 AS lines, CASE WHEN doc_id % 4 = 0 THEN 3 WHEN doc_id % 4 = 1 THEN 1 ELSE 0 END AS calls FROM k WHERE n = 1)
+SELECT CASE WHEN doc_id % 3 = 0 THEN 'vex_' || h ELSE CAST(doc_id AS VARCHAR) END AS id, h AS hash, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(code, '@(\w+)', 1), lambda a: NOT list_contains(regexp_extract_all(code, '@(\w+)\s*=', 1), a)))), ',') AS read,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(code, '@(\w+)\s*=', 1))), ',') AS written, array_to_string(regexp_extract_all(code, 'ch[fivs]\(|chramp\('), ',') AS channels,
+  CASE WHEN lines <= 2 AND calls <= 2 THEN 'simple' WHEN lines <= 8 AND calls <= 5 THEN 'moderate' ELSE 'complex' END AS complexity, CASE doc_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE 3 END AS difficulty, doc_id % 9 = 0 AS flagged FROM s""")
+def imported_samples(spark, sf):
+    n = F.col("doc_id")
+    raw = read(spark, sf, "documents").select(
+        n.alias("ord"), F.when(n % 3 != 0, n.cast("string")).alias("id"), F.concat("text", F.when(n % 2 == 0, " @Cd = @P; chf(1) chs(2)  ").otherwise("\n@N += 1 ")).alias("code"),
+        F.when(n % 5 == 0, "beginner").when(n % 5 == 1, "advanced").when(n % 5 == 2, "odd").alias("difficulty"), (n % 9 == 0).alias("needs_review"),
+        F.when(n % 4 == 0, F.array(*map(F.lit, ["a", "b", "@P", "c"]))).when(n % 4 == 1, F.array(F.lit("noise"))).alias("vex_functions"),
+    )
+    got = records.import_records(raw)
+    return got.select("id", "hash", *[F.array_join(c, ",").alias(name) for name, c in (("read", "attributes_read"), ("written", "attributes_written"), ("channels", "channels"))], "complexity", "difficulty", F.col("flagged_for_review").alias("flagged"))
+
+
 @query("""SELECT d.doc_id || '_' || suffix AS job_id, task, CAST(tier AS INTEGER) AS tier, CAST(1 - tier AS INTEGER) AS priority FROM documents d, (VALUES ('classify', 'classify_wrangle', 1), ('attrs', 'extract_attributes', 1), ('funcs', 'extract_functions', 1), ('bugs', 'detect_bugs', 1), ('explain', 'explain_code', 2), ('prompt', 'generate_prompt', 2)) j(suffix, task, tier)""")
 def job_list(spark, sf):
     return enrich.job_list(read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("code"))).select("job_id", "task", "tier", "priority")

@@ -54,6 +54,48 @@ def test_index_and_sync(spark, corpus, tmp_path, capsys):
     assert export.MIN_TOPIC == 10
 
 
+def answered(tier, code):
+    return json.dumps({"topic": {"primary": "patterns"}, "bugs": [], "complexity": "low"} if tier == 1 else {"prompt": "make it", "explanation": "it is made", "key_concepts": ["noise"]})
+
+
+def embedded(texts):
+    return [[float(t.count("w3_")), float(t.count("w4_")), 1.0] for t in texts]
+
+
+def test_import_and_enrich(spark, tmp_path, capsys):
+    raw = [{"code": " @P = @N; ", "difficulty": "beginner", "topic": "t"}, {"code": "@P = @N;", "needs_review": True}, {"code": "  "}, {"id": "x", "code": "f@a = 1;", "difficulty": "advanced", "needs_review": True}]
+    (tmp_path / "raw.jsonl").write_text("\n".join(map(json.dumps, raw)))
+    for more in (["--dry-run"], []):
+        main(["import", "--input", str(tmp_path / "raw.jsonl"), "--output", str(tmp_path / "imported"), *more], spark)
+        told = json.loads(capsys.readouterr().out.splitlines()[0])
+        assert told == {"records": 4, "converted": 3, "skipped": 1, "samples": 2, "difficulty:1": 1, "difficulty:5": 1, "all:flagged_for_review": 1}
+        assert (tmp_path / "imported").exists() == (not more)
+    assert {r["id"]: (r["code"], r["prompt"], r["flagged_for_review"]) for r in lines(tmp_path / "imported")} == {"x": ("f@a = 1;", "", True), next(r["id"] for r in lines(tmp_path / "imported") if r["id"] != "x"): ("@P = @N;", "t", False)}
+    chunks = [{"id": f"c{k}", "content": "c", "code": "float a = noise(@P) * 2;\n@Cd = a;"} for k in range(5)] + [{"id": "none", "content": "no code"}]
+    (tmp_path / "chunks.jsonl").write_text("\n".join(map(json.dumps, chunks)))
+    asked = ["enrich", "--input", str(tmp_path / "chunks.jsonl"), "--output", str(tmp_path / "e"), "--model", "tests.test_commands:answered", "--limit", "3", "--concurrency", "4"]
+    main([*asked, "--dry-run"], spark)
+    assert json.loads(capsys.readouterr().out.splitlines()[0]) == {"tier1": {"lacking": 5}, "tier2": {"lacking": 5}} and not (tmp_path / "e").exists()
+    main(asked, spark)
+    assert json.loads(capsys.readouterr().out.splitlines()[0]) == {"tier1": {"lacking": 5, "enriched": 3}, "tier2": {"lacking": 5, "enriched": 3}}
+    got = lines(tmp_path / "e" / "corpus")
+    assert len(got) == 6 and sum(r.get("llm_topic") == "patterns" for r in got) == 3 and sum(r.get("prompt") == "make it" for r in got) == 3
+
+
+def test_hybrid_search_and_evaluation(spark, corpus, tmp_path, capsys):
+    hook = ["--embedder", "tests.test_commands:embedded"]
+    main(["index", "--input", str(corpus), "--output", str(tmp_path / "i"), *hook], spark)
+    main(["search", "--input", str(tmp_path / "i"), "--query", "w3_1 noise", "--limit", "2", *hook], spark)
+    assert {"joy_of_vex_ep04_1", "joy_of_vex_ep16_1"} == {w for w in capsys.readouterr().out.replace("|", " ").split() if w.startswith("joy_")}
+    (tmp_path / "q.jsonl").write_text("\n".join(map(json.dumps, [{"id": "q1", "query": "w3_1 w3_2", "relevant_patterns": ["w3_1", "w3_2"], "required_functions": ["noise"]}, {"id": "q2", "query": "w4_1", "relevant_patterns": ["absent", "missing"]}])))
+    for more in ([], hook):
+        out = tmp_path / f"out{len(more)}"
+        main(["evaluate", "--input", str(corpus), "--index", str(tmp_path / "i"), "--questions", str(tmp_path / "q.jsonl"), "--output", str(out), "--limit", "5", *more], spark)
+        per = {r["query_id"]: r for r in lines(out / "per_query")}
+        assert (per["q1"]["relevant"], per["q1"]["recall"], per["q1"]["mrr"], per["q1"]["has_required"], per["q1"]["returned"]) == (2, 1.0, 1.0, True, 5 if more else 2)
+        assert per["q2"]["verdict"] == "FAIL" and json.loads(capsys.readouterr().out.splitlines()[0])["pass_rate"] == lines(out / "summary")[0]["pass_rate"]
+
+
 def test_sources(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.vex").write_text("@P = 1;")

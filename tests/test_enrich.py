@@ -192,6 +192,10 @@ def test_import_and_extract(spark):
     raw = spark.createDataFrame([(1, "", "@P = @N;", "beginner", ["f"]), (2, "x", "@P = @N;", "advanced", None), (3, "y", "  ", None, []), (4, "z", "a\nb\nc", "odd", ["a", "b", "c"])], "ord int, id string, code string, difficulty string, vex_functions array<string>")
     got = {r.code: (r.difficulty, r.attributes_read, r.attributes_written, r.complexity) for r in records.import_records(raw).collect()}
     assert got == {"@P = @N;": (1, ["N"], ["P"], "simple"), "a\nb\nc": (3, [], [], "moderate")}
+    full = spark.createDataFrame([(5, "  f@a = chf('x') + chramp('y');  ", ["@P", "noise"], "wave", "cat", True, None, "s.txt", 0.5), (6, "f@a = chf('x') + chramp('y');", None, None, None, None, None, None, None)], "ord int, code string, vex_functions array<string>, topic string, category string, needs_review boolean, youtube_url string, source string, ocr_confidence double")
+    (one,) = records.import_records(full).collect()
+    assert one.code == "f@a = chf('x') + chramp('y');" and one.id == f"vex_{one.hash}" and one.channels == ["chf(", "chramp("] and one.functions == ["noise"]
+    assert (one.topic, one.prompt, one.context, one.context_confidence, one.source_file, one.flagged_for_review, one.explanation, one.alternative_prompts) == ("cat", "wave", "SOP", 0.5, "s.txt", True, "", [])
     chunks = spark.createDataFrame([(["z"], ["w"], "noise(1)"), (None, None, "if(1) x")], "functions_referenced array<string>, validation_warnings array<string>, code string")
     assert [r.functions_referenced for r in records.extract(chunks, F.col("code")).collect()] == [["noise", "z"], []]
 
