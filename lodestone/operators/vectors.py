@@ -19,13 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import shared_folder
-from .search import QUERY_BYTES, _best, _unit, top
+from .search import AT_ONCE, QUERY_BYTES, _met, _unit, top
 
 SAMPLE = 50_000  # rows that centres are fitted on
 MOST_CENTRES = 4096
 CENTRE_BYTES = 64 << 20  # centres are sent to every task
 BLOCK_BITS = 12  # a block has at most 2^12 rows
-AT_ONCE = 1024  # rows or queries of one matrix product
 ALL = 4.0  # beyond every angle
 SLACK = 1e-6  # of angles, over what arccos loses near 1
 ZERO = -1  # the cell of zero vectors
@@ -113,11 +112,6 @@ def _gaps(q: np.ndarray, middle: np.ndarray, low: np.ndarray, high: np.ndarray)
     return np.maximum(0.0, np.maximum(a - high, low - a))
 
 
-def _met(names: np.ndarray, q: np.ndarray, ids: list, rows: np.ndarray, k: int, digits: int) -> Iterator[pd.DataFrame]:
-    for at in range(0, len(names), AT_ONCE):
-        yield _best(names[at : at + AT_ONCE].tolist(), q[at : at + AT_ONCE], ids, rows, k, digits)
-
-
 def search_vectors(index: VectorIndex, queries: DataFrame, query_col: str, query_vector: str, k: int = 20, digits: int = 6, most_bytes: int = QUERY_BYTES) -> tuple[DataFrame, DataFrame]:
     """query_id, id, score, rank by cosine, as dense() gives them; and how far blocks are skipped: query_id, n (rows of the index), read.
 
@@ -189,9 +183,7 @@ def search_vectors(index: VectorIndex, queries: DataFrame, query_col: str, query
                 at = {r.query_id: i for i, r in enumerate(got)}
                 for r in pairs.collect():  # few cells a query: as many as hold k rows
                     firsts.setdefault(r.cell, []).append(at[r.query_id])
-            names = np.empty(len(got), object)
-            names[:] = [r.query_id for r in got]
-            sent = spark.sparkContext.broadcast((names, _unit([r.q for r in got]), np.array([r.t for r in got]), firsts))
+            sent = spark.sparkContext.broadcast(([r.query_id for r in got], _unit([r.q for r in got]), np.array([r.t for r in got]), firsts))
 
             def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 names, q, t, firsts = sent.value
@@ -204,7 +196,7 @@ def search_vectors(index: VectorIndex, queries: DataFrame, query_col: str, query
                             a = np.full(len(q), np.pi / 2) if cell == ZERO else np.arccos(np.clip(q @ middle[cell], -1, 1))
                             pick = np.nonzero(np.maximum(a - g["angle"].max(), g["angle"].min() - a) <= t)[0]
                         if len(pick):
-                            yield from _met(names[pick], q[pick], g["id"].tolist(), _unit(g["v"].tolist()), k, digits)
+                            yield from _met([names[i] for i in pick], q[pick], g["id"].tolist(), _unit(g["v"].tolist()), k, digits)
 
             return rows.mapInPandas(run, found_kinds), blocks.drop("q")
         slices = -(-size // most_bytes)
@@ -215,9 +207,7 @@ def search_vectors(index: VectorIndex, queries: DataFrame, query_col: str, query
         def meet(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
             if not len(qs) or not len(rs):
                 return pd.DataFrame({"query_id": [], "id": [], "score": []})
-            names = np.empty(len(qs), object)
-            names[:] = qs["query_id"].tolist()
-            return pd.concat(_met(names, _unit(qs["q"].tolist()), rs["id"].tolist(), _unit(rs["v"].tolist()), k, digits))
+            return pd.concat(_met(qs["query_id"].tolist(), _unit(qs["q"].tolist()), rs["id"].tolist(), _unit(rs["v"].tolist()), k, digits))
 
         key = ["cell", "block", "slice"]
         return dealt.groupBy(*key).cogroup(copies.groupBy(*key)).applyInPandas(meet, found_kinds), blocks.drop("q")

@@ -980,7 +980,7 @@ def relational_topk(spark, sf):
     return c.select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("balance"), "rank")
 
 
-from . import reports  # noqa: E402, F401  its queries are registered here too
+from . import answers, reports  # noqa: E402, F401  their queries are registered here too
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ from lodestone.plans import catalog
 from .conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUICK = ["hash16_identity", "exact_dedup_first_wins", "shingle_counts", "first_sentence", "truncate_code", "bm25_topk", "eval_metrics", "classify_content_type", "classify_difficulty", "topic_argmax", "topic_normalize", "extract_calls", "prereq_edges", "consensus_vote", "migrate_v1", "render_topic_page", "json_walk", "stream_dedup"]
+QUICK = ["hash16_identity", "exact_dedup_first_wins", "shingle_counts", "first_sentence", "truncate_code", "bm25_topk", "eval_metrics", "classify_content_type", "classify_difficulty", "topic_argmax", "topic_normalize", "extract_calls", "prereq_edges", "consensus_vote", "migrate_v1", "render_topic_page", "json_walk", "stream_dedup", "imported_samples", "vector_index_search", "model_answers", "voted_answers", "enriched_documents", "retried_jobs", "text_forms"]
 
 
 @pytest.fixture(scope="module")
