@@ -26,8 +26,9 @@ def tier(task: Column) -> Column:
 
 
 def route(tasks: DataFrame, models: DataFrame) -> DataFrame:
-    """Tasks (column task) with their tier's models (tier, model, fallbacks)."""
-    return tasks.withColumn("tier", tier(F.col("task"))).join(models, "tier", "left")
+    """Tasks (column task) with their tier's models (tier, model, fallbacks; of several rows of a tier, the least). The two tiers' rows are sent to the tasks, which stay where they are."""
+    one = models.where(F.col("tier").isin(1, 2)).groupBy("tier").agg(F.min(F.struct("model", "fallbacks")).alias("__m"))  # two rows at most
+    return tasks.withColumn("tier", tier(F.col("task"))).join(F.broadcast(one.select("tier", "__m.model", "__m.fallbacks")), "tier", "left")
 
 
 Model = Callable[[str, str, str], str]  # model name, task, input -> answer; raises TimeoutError, OSError or another error
