@@ -70,7 +70,7 @@ def merge(spark: SparkSession, args: argparse.Namespace) -> None:
     if _shown(once, args, "id"):
         return
     text = T.comparable(F.col("content"), F.transform("code_blocks", lambda b: b["code"]))
-    pairs = dedup.jaccard_pairs(dedup.shingle_sets(once.where("id <> ''").withColumn("__t", text), "id", F.col("__t")), args.threshold)
+    pairs = dedup.jaccard_pairs(dedup.hashed_sets(once.where("id <> ''").withColumn("__t", text), "id", F.col("__t")), args.threshold)
     reports.write_merged(once, pairs, args.output, args.threshold, records.PIPELINE_VERSION)
 
 
@@ -104,8 +104,8 @@ def link(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = _read(spark, args.input).where("id <> ''").select("id", F.col("source_id").alias("source"), F.col("source_authority").alias("authority"), T.comparable(F.col("content"), F.transform("code_blocks", lambda b: b["code"]), F.col("code")).alias("t"))
-    sets = dedup.shingle_sets(docs, "id", F.col("t"), least_words=5)
-    links = dedup.with_copies(dedup.jaccard_pairs(sets, args.threshold), dedup.classes(sets), docs)
+    sets = dedup.classes(dedup.hashed_sets(docs, "id", F.col("t"), least_words=5))
+    links = dedup.with_copies(dedup.jaccard_pairs(sets, args.threshold, sets), sets, docs)
     acted = dedup.actions(dedup.with_sources(links, docs))
     if not _shown(acted, args, "a", "b"):
         indexed = sets.count()

@@ -101,3 +101,22 @@ def test_hot_buckets_are_met_in_parts(spark, monkeypatch):
     assert got == {(a, b) for a in sets for b in sets if a < b}
     signatures = spark.createDataFrame([(k, [1, 2, k % 2, k]) for k in range(25)], "id long, signature array<long>")
     assert {(r.a, r.b) for r in dedup.lsh_candidates(signatures, 2, 2).collect()} == {(a, b) for a in range(25) for b in range(25) if a < b}
+
+
+def test_items_of_few_sets_are_no_meeting_place_where_sets_have_rarer_ones(spark):
+    # 30 of 40 items stand in 12 sets each, the others in one: every set's first nine items are its own
+    sets = {k: {f"own{k}-{j}" for j in range(10)} | {f"few{k // 12}-{j}" for j in range(30)} for k in range(240)}
+    members = dedup.classes(frame(spark, sets))
+    assert dedup.prefixes(members.select("id", "set"), 0.8).count() == 0
+    assert dedup.jaccard_pairs(members, 0.6, members).count() == 20 * 66 and dedup.jaccard_pairs(members, 0.61, members).count() == 0
+
+
+def test_hashed_sets_are_those_of_shingles(spark):
+    rows = [(1, "a b c d"), (2, " A  b\tc d "), (3, "a b"), (4, None), (5, ""), (6, "a a a a a a a a a a a"), (7, "é b c d e f g h i j k"), (8, "a b c x"), (9, "b"), (10, "b c d a")]
+    docs = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    for least in (1, 3):
+        strings = {r.id: set(r.set) for r in dedup.shingle_sets(docs, "k", F.col("t"), least_words=least).collect()}
+        hashes = {r.id: r.set for r in dedup.hashed_sets(docs, "k", F.col("t"), least_words=least).collect()}
+        assert strings.keys() == hashes.keys() and all(sorted(set(h)) == h for h in hashes.values())
+        for a in strings:
+            assert [len(strings[a] & strings[b]) for b in strings] == [len(set(hashes[a]) & set(hashes[b])) for b in strings]
