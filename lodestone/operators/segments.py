@@ -15,10 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..sources import hadoop
 from .graph import shared_folder
-from .search import B, K1, query_terms, top
+from .search import B, K1, counted, query_terms, top
 
 RANGE_BITS = 3  # a range has 2^3 documents
 FIRST = 48  # ranges a query looks at first, as a multiple of k documents, to learn what a k-th score must beat
@@ -100,11 +99,7 @@ def _store(forward: DataFrame, place: str) -> None:
 def forward(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
     """id, dl, terms (term, tf) of documents, also those without a term; rows of an id beyond its first (by text) do not count."""
     one = docs.select(F.col(id_col).alias("id"), F.coalesce(text, F.lit("")).alias("t")).groupBy("id").agg(F.min("t").alias("t"))
-    tokens = one.select("id", F.transform(T.search_tokens(F.col("t")), lambda t: t).alias("t"))
-    counted = tokens.select("id", F.explode("t").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
-    terms = counted.groupBy("id").agg(F.collect_list(F.struct("term", "tf")).alias("terms"), F.sum("tf").alias("dl"))
-    none = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return tokens.select("id").join(terms, "id", "left").select("id", F.coalesce("dl", F.lit(0)).alias("dl"), F.coalesce("terms", none).alias("terms"))
+    return counted(one, "id", F.col("t"))
 
 
 def delete(index: Snapshot, ids: DataFrame) -> Snapshot:
