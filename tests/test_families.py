@@ -1,8 +1,11 @@
+import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.functions import md5
 from lodestone.operators import dedup
 from lodestone.plans import catalog
 
@@ -120,3 +123,24 @@ def test_hashed_sets_are_those_of_shingles(spark):
         assert strings.keys() == hashes.keys() and all(sorted(set(h)) == h for h in hashes.values())
         for a in strings:
             assert [len(strings[a] & strings[b]) for b in strings] == [len(set(hashes[a]) & set(hashes[b])) for b in strings]
+
+
+def test_signatures_of_texts_are_those_of_their_shingles(spark):
+    """Also of long words, white space beyond ASCII, capitals, few words, and none; without a shuffle and without strings of shingles."""
+    r = random.Random(3)
+    parts = ["a", "Bc", "é", "😀", "x" * 60, "İ", "word"]
+    gaps = [" ", "  ", "\n", "\u2003", "\u00a0", "\u3000 "]
+    rows = [(i, "".join(r.choice(parts) + r.choice(gaps) for _ in range(r.randint(0, 30)))) for i in range(200)] + [(200, None), (201, ""), (202, " \u2003"), (203, "  to be or"), (204, "same " * 5000)]
+    docs = spark.createDataFrame(rows, "k long, t string")
+    want = {x.id: x.signature for x in dedup.minhash(dedup.shingle_sets(docs, "k", F.col("t"))).collect()}
+    found = dedup.signatures(docs, "k", F.col("t"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {x.id: x.signature for x in found.collect()} == want and 150 < len(want) < 203
+
+
+def test_heads_of_md5():
+    data = np.frombuffer("".join(chr(i % 700 + 1) for i in range(4000)).encode(), np.uint8)
+    lo = np.arange(0, 3000, 7)
+    hi = lo + np.arange(len(lo)) % 150
+    assert md5.heads(data, lo, hi).tolist() == [int(hashlib.md5(data[a:b].tobytes()).hexdigest()[:8], 16) for a, b in zip(lo, hi)]
+    assert not len(md5.heads(data[:0], lo[:0], hi[:0]))
