@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import unfence
+from ..sources import hadoop
 from .models import REVIEW_CONFIDENCE, TIER_ONE, Model, call_models, needs_tier_one, needs_tier_two, route, unflagged
 from .search import keyword_search
 
@@ -87,12 +88,16 @@ def requests(chunks: DataFrame, code: Column, tier: int) -> DataFrame:
     return chunks.where(lacking).select("id", code.alias("code"))
 
 
+PART_BYTES = 256 << 20  # of texts that one task is given
+
+
 def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], folder: str, tier: int, batch: int = 50, limit: int | None = None, in_flight: int = 8) -> DataFrame:
     """Chunks enriched by one combined call each (model: tier, code -> JSON text), in batches that are kept below a folder as they end.
 
     A run that was broken off goes on where it was: chunks whose answer is there are not asked about again. Failed calls
     are kept as errors of that run only. limit: so many chunks that have no answer yet, by id, so that repeated runs get on. in_flight: most calls at once over the
-    whole job: a batch has few partitions, and each of these calls from a few threads, partitions times threads being the bound.
+    whole job: a batch has few partitions, and each of these calls from a few threads, partitions times threads being the bound. A batch is cut into more where its texts would give a
+    task over PART_BYTES; what is asked is then dealt to files once, and each batch reads its own.
     """
     spark = chunks.sparkSession
     asked = requests(chunks, code, tier)
@@ -112,7 +117,7 @@ def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], fo
         asked = asked.join(known.where("failed is null").select("id"), "id", "left_anti")
     if limit is not None:
         asked = asked.orderBy("id").limit(limit)
-    n = asked.count()
+    n, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()
     first = 0 if known is None else (known.agg(F.max("batch")).first()[0] or 0) + 1
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,11 +131,19 @@ def enrich(chunks: DataFrame, code: Column, model: Callable[[int, str], str], fo
             for part in parts:
                 yield pd.DataFrame(pool.map(one, part.itertuples(index=False)), columns=["id", "answer", "failed"])
 
-    groups = max(1, -(-n // batch))
-    dealt = asked.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    parts = max(1, in_flight // threads)
+    groups = max(1, -(-n // batch), -(-size // (PART_BYTES * parts)))
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    dealt = f"{folder}/dealt{tier}"
+    if groups > 1 and n:
+        files = min(groups, max(1, size // PART_BYTES))  # of few texts one file has many groups
+        asked.repartitionByRange(files, "group").sortWithinPartitions("group").write.mode("overwrite").parquet(dealt)
+        asked = spark.read.parquet(dealt)
     for g in range(groups if n else 0):
-        mine = dealt.where(F.col("group") == g).select("id", "code").repartition(max(1, in_flight // threads))
+        mine = asked.where(F.col("group") == g).select("id", "code").repartition(parts)
         mine.mapInPandas(run, "id string, answer string, failed string").write.mode("overwrite").parquet(f"{place}/batch={first + g}")
+    if groups > 1 and n:
+        hadoop.remove(spark, dealt)
     got = answers()
     if got is None:
         return chunks

@@ -90,6 +90,29 @@ def test_calls_in_flight_are_bounded(spark, tmp_path):
     assert 2 <= max(int(p.name) for p in most.iterdir()) <= 6
 
 
+def test_a_batch_of_many_texts_is_cut(spark, tmp_path, monkeypatch):
+    """One batch of 80 texts of 1,000 bytes, of which a task may have 5,000: calls at once stay as few, and no task is given much more."""
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    monkeypatch.setattr(enrich, "PART_BYTES", 5_000)
+    chunks = spark.createDataFrame([(f"s{k}", "x" * 1_000) for k in range(80)], "id string, code string").withColumn("llm_topic", F.lit(None).cast("string"))
+
+    def model(tier, code, seen=str(seen)):
+        from pyspark import TaskContext
+
+        c = TaskContext.get()
+        open(f"{seen}/{c.stageId()}-{c.partitionId()}-{len(os.listdir(seen))}-{os.urandom(8).hex()}", "w").close()
+        return json.dumps({"topic": "t"})
+
+    import os
+
+    done = enrich.enrich(chunks, F.col("code"), model, str(tmp_path / "run"), 1, batch=1 << 40)
+    assert done.where("llm_topic = 't'").count() == 80 and len(os.listdir(seen)) == 80
+    tasks = [tuple(p.split("-")[:2]) for p in os.listdir(seen)]
+    assert max(map(tasks.count, set(tasks))) <= 16 and len({s for s, _ in tasks}) >= 6
+    assert {p.name for p in (tmp_path / "run").iterdir()} == {"tier1"}
+
+
 def test_warnings_are_of_each_block(spark):
     blocks = ["int a = 1;\nint b = 2", None, "", "if (x) {", "}"]
     chunks = spark.createDataFrame([(blocks, ["old"], ["f"]), (None, None, None)], "codes array<string>, validation_warnings array<string>, functions_referenced array<string>")
