@@ -16,8 +16,10 @@ def judged(chunks: DataFrame, text: Column, patterns: DataFrame, least: int = 2)
     asked = patterns.collect()
     if not asked:
         return chunks.select(F.lit(None).cast("string").alias("query_id"), "id").limit(0)
-    hits = F.array_compact(F.array(*[F.when(relevant(text, F.array(*map(F.lit, r.patterns)), least), F.lit(r.query_id)) for r in asked]))
-    return chunks.select(F.explode(hits).alias("query_id"), "id")
+    said = chunks.select("id", F.lower(text).alias("said"))  # once, not for each pattern
+    held = lambda patterns: sum((F.contains("said", F.lower(F.lit(p))).cast("int") for p in patterns), F.lit(0))
+    hits = F.array_compact(F.array(*[F.when(held(r.patterns) >= least, F.lit(r.query_id)) for r in asked]))
+    return said.select(F.explode(hits).alias("query_id"), "id")
 
 
 def metrics(results: DataFrame, judged: DataFrame, k: int = 10, first: int = 5) -> DataFrame:
