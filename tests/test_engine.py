@@ -110,3 +110,11 @@ def test_staged_stream(spark, tmp_path):
     streams.staged(stream, [lambda d: d.where("id > 2")], str(tmp_path / "out"), str(tmp_path / "state"), F.col("id") > 7).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out/complete")).count() == 5
     assert spark.read.parquet(str(tmp_path / "out/review")).count() == 2
+
+
+def test_estimates_do_not_grow_with_the_rounds_of_a_chain(spark):
+    """Checkpoints kept estimates that doubled their digits each round, until the driver was full."""
+    found = connected_components(spark.range(200).selectExpr("id AS a", "id + 1 AS b"))
+    assert found.where("component = 0").count() == 201
+    estimate = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert (estimate.bit_length() if isinstance(estimate, int) else estimate.bitLength()) < 64
