@@ -104,11 +104,11 @@ def link(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     docs = _read(spark, args.input).where("id <> ''").select("id", F.col("source_id").alias("source"), F.col("source_authority").alias("authority"), T.comparable(F.col("content"), F.transform("code_blocks", lambda b: b["code"]), F.col("code")).alias("t"))
-    sets = dedup.classes(dedup.hashed_sets(docs, "id", F.col("t"), least_words=5))
-    links = dedup.with_copies(dedup.jaccard_pairs(sets, args.threshold, sets), sets, docs)
+    sets, members = dedup.prepared(dedup.hashed_sets(docs, "id", F.col("t"), least_words=5))
+    links = dedup.with_copies(dedup.jaccard_pairs(sets, args.threshold, members), members, docs)
     acted = dedup.actions(dedup.with_sources(links, docs))
     if not _shown(acted, args, "a", "b"):
-        indexed = sets.count()
+        indexed = members.count()
         found = dedup.report_stats(acted, dedup.membership(links), indexed, docs.count() - indexed, args.threshold)
         reports.write_dedup_report(acted, found, args.output)
 

@@ -144,3 +144,33 @@ def test_heads_of_md5():
     hi = lo + np.arange(len(lo)) % 150
     assert md5.heads(data, lo, hi).tolist() == [int(hashlib.md5(data[a:b].tobytes()).hexdigest()[:8], 16) for a, b in zip(lo, hi)]
     assert not len(md5.heads(data[:0], lo[:0], hi[:0]))
+
+
+@pytest.mark.parametrize("name", ["jaccard_pairs", "link_counts", "dedup_stats"])
+def test_whole_sets_are_written_once(spark, monkeypatch, name):
+    """They were written twice and sent three times, which filled the disk."""
+    kind, written = type(spark.range(1)), []
+    before = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a: written.append(self.columns) or before(self, *a))
+    catalog.QUERIES[name](spark, SF).collect()
+    assert sum("set" in c for c in written) == 1
+
+
+def test_sets_are_judged_in_turns_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "JUDGED", 2)
+    monkeypatch.setattr(dedup, "JUDGED_BYTES", 200)
+    sets = {k: {f"c{j}" for j in range(20)} | {f"o{k}"} for k in range(12)} | {k: {f"d{k // 2}-{j}" for j in range(30)} | {f"o{k}"} for k in range(12, 30)}
+    reps, members = dedup.prepared(frame(spark, sets))
+    want = {(a, b): similar(sets[a], sets[b]) for a in sets for b in sets if a < b and similar(sets[a], sets[b]) >= 0.8}
+    assert {(r.a, r.b): r.similarity for r in dedup.jaccard_pairs(reps, 0.8, members).collect()} == want and len(want) == 66 + 9
+    pairs = spark.createDataFrame([*want, (0, 12), (3, 29)], "a long, b long")
+    assert {(r.a, r.b): r.similarity for r in dedup.exact_pairs(reps, pairs, 0.8, 4).collect()} == want
+
+
+def test_an_id_of_two_texts_stands_for_its_own_class_alone(spark):
+    words = [f"w{j}" for j in range(30)]
+    rows = [(1, words), (2, [*words, "x"]), (3, ["a", "b", "c"]), (5, [*words, "y"]), (5, ["a", "b", "c"])]
+    docs = spark.createDataFrame(rows, "id long, set array<string>")
+    want = {(1, 2): 30 / 31, (1, 5): 30 / 31, (2, 5): 30 / 32}
+    assert {(r.a, r.b): r.similarity for r in dedup.jaccard_pairs(docs, 0.8).collect()} == want
+    assert sorted((r.id, r["class"]) for r in dedup.prepared(docs)[1].collect()) == [(1, 1), (2, 2), (3, 3), (5, 3), (5, 5)]
