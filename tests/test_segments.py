@@ -84,3 +84,20 @@ def test_nothing_indexed_and_empty_texts(spark, tmp_path):
     index = segments.add(empty, spark.createDataFrame([(1, None), (2, ""), (3, "alpha"), (3, "alpha")], "id long, t string"), "id", F.col("t"))
     assert (index.n, index.tokens) == (3, 1)
     assert [(r.q, r.id) for r in segments.search(index, asked(spark), "q", F.col("t"))[0].select(F.col("query_id").alias("q"), "id").collect()] == [("q1", 3)]
+
+
+def test_texts_are_sent_only_where_an_id_is_there_twice(spark):
+    plan = lambda rows: segments.forward(frame(spark, {}).union(spark.createDataFrame(rows, "id long, t string")), "id", F.col("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan([(1, "alpha"), (2, "beta")]) and "Exchange" in plan([(1, "alpha"), (1, "beta")])
+
+
+def test_deletions_in_turns_and_spread_terms(spark, tmp_path, monkeypatch):
+    """The same answers where a term's postings lie in many buckets, and ids of a deletion are sent in several turns."""
+    for name, value in (("AT_ONCE", 7), ("SPREAD", 40), ("DEALT", 50)):
+        monkeypatch.setattr(segments, name, value)
+    docs = texts(5, range(120))
+    index = segments.add(segments.open_snapshot(spark, str(tmp_path)), frame(spark, docs).repartition(3), "id", F.col("t"))
+    index = segments.delete(index, spark.range(0, 60, 2).toDF("id"))
+    same(spark, index, {k: t for k, t in docs.items() if k % 2 or k >= 60})
+    left = [t.split() for k, t in docs.items() if k % 2 or k >= 60]
+    assert {r.term: (r.df, r.cf) for r in index.terms().collect()} == {t: (sum(t in d for d in left), sum(d.count(t) for d in left)) for t in VOCABULARY}
